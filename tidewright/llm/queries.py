@@ -8,12 +8,18 @@ from pyspark.sql import functions as F
 from tidewright.llm.chat import CONTROL_STRINGS, Template, format_conversations, loss_text
 from tidewright.llm.common import table
 from tidewright.llm.exact_dedup import exact_dedup
+from tidewright.llm.substring_dedup import substring_dedup
 from tidewright.llm.url_filter import filter_urls
 
 #: The rules of op10: host, path, action.
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -70,7 +76,7 @@ FROM g"""
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_exact_dedup, op5_chat_format, op10_url_filter)}
+    return {f.__name__: f for f in (op1_substring_dedup, op4_exact_dedup, op5_chat_format, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
