@@ -40,9 +40,11 @@ def exact_dedup(
     rows = docs.select(F.col(id_col).alias("_id"), text.alias("_text")).withColumn("_hash", content_hash(F.col("_text")))
     keys = written(rows.select("_id", "_hash", F.unhex(F.sha2("_text", 256)).alias("_sha")), "exact-keys")
 
-    groups = keys.groupBy("_hash").agg(F.count("*").alias("_n"), F.min("_sha").alias("_ref")).filter("_n > 1").select("_hash", "_ref")
-    twice = written(rows.join(groups, "_hash").select("_hash", "_ref", F.unhex(F.sha2("_text", 256)).alias("_sha"), "_text"), "exact-twice")
-    refs = twice.filter("_sha = _ref").groupBy("_hash").agg(F.first("_text").alias("_ref_text"))
+    groups = keys.groupBy("_hash").agg(F.count("*").alias("_n")).filter("_n > 1").select("_hash")
+    # Once written, a row has a number; so one row of each group can be named, and only its text is sent to the others.
+    twice = written(rows.join(groups, "_hash").select("_hash", F.unhex(F.sha2("_text", 256)).alias("_sha"), "_text", F.monotonically_increasing_id().alias("_row")), "exact-twice")
+    named = twice.groupBy("_hash").agg(F.min("_row").alias("_row"))
+    refs = written(twice.join(named, ["_hash", "_row"]).select("_hash", F.col("_text").alias("_ref_text")), "exact-refs")
     others = twice.join(refs, "_hash").filter("_text <> _ref_text").select("_hash", "_sha").distinct().withColumn("_other", F.lit(True))
 
     split = keys.join(others, ["_hash", "_sha"], "left").withColumn("_part", F.when(F.col("_other"), F.col("_sha")).otherwise(F.lit(b""))).drop("_other")
