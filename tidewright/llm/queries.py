@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewright.llm.chat import CONTROL_STRINGS, Template, format_conversations, loss_text
 from tidewright.llm.common import table
 from tidewright.llm.exact_dedup import exact_dedup
+from tidewright.llm.packing import pack_documents
 from tidewright.llm.substring_dedup import substring_dedup
 from tidewright.llm.url_filter import filter_urls
 
@@ -40,6 +41,12 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).withColumn("piece", F.col("piece").cast("int"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return filter_urls(table(spark, sf_dir, "pages"), rules).drop("component")
@@ -76,7 +83,7 @@ FROM g"""
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_substring_dedup, op4_exact_dedup, op5_chat_format, op10_url_filter)}
+    return {f.__name__: f for f in (op1_substring_dedup, op4_exact_dedup, op5_chat_format, op6_best_fit_packing, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
