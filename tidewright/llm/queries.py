@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tidewright.llm.chat import CONTROL_STRINGS, Template, format_conversations, loss_text
 from tidewright.llm.common import table
 from tidewright.llm.exact_dedup import exact_dedup
+from tidewright.llm.language import identify_language
 from tidewright.llm.packing import pack_documents
+from tidewright.llm.quality import classify_quality
 from tidewright.llm.substring_dedup import substring_dedup
 from tidewright.llm.url_filter import filter_urls
 
@@ -21,6 +23,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -47,6 +53,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).withColumn("piece", F.col("piece").cast("int"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return filter_urls(table(spark, sf_dir, "pages"), rules).drop("component")
@@ -83,7 +93,7 @@ FROM g"""
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_substring_dedup, op4_exact_dedup, op5_chat_format, op6_best_fit_packing, op10_url_filter)}
+    return {f.__name__: f for f in (op1_substring_dedup, op3_quality_classifier, op4_exact_dedup, op5_chat_format, op6_best_fit_packing, op7_language_id, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
