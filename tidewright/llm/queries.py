@@ -9,6 +9,7 @@ from tidewright.llm.chat import CONTROL_STRINGS, Template, format_conversations,
 from tidewright.llm.common import table
 from tidewright.llm.exact_dedup import exact_dedup
 from tidewright.llm.language import identify_language
+from tidewright.llm.near_dedup import near_duplicates
 from tidewright.llm.packing import pack_documents
 from tidewright.llm.quality import classify_quality
 from tidewright.llm.substring_dedup import substring_dedup
@@ -57,6 +58,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(table(spark, sf_dir, "documents"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=2, threshold=80)
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return filter_urls(table(spark, sf_dir, "pages"), rules).drop("component")
@@ -93,7 +98,7 @@ FROM g"""
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_substring_dedup, op3_quality_classifier, op4_exact_dedup, op5_chat_format, op6_best_fit_packing, op7_language_id, op10_url_filter)}
+    return {f.__name__: f for f in (op1_substring_dedup, op3_quality_classifier, op4_exact_dedup, op5_chat_format, op6_best_fit_packing, op7_language_id, op8_near_dedup, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
