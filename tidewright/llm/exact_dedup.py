@@ -45,7 +45,9 @@ def exact_dedup(
     twice = written(rows.join(groups, "_hash").select("_hash", F.unhex(F.sha2("_text", 256)).alias("_sha"), "_text", F.monotonically_increasing_id().alias("_row")), "exact-twice")
     named = twice.groupBy("_hash").agg(F.min("_row").alias("_row"))
     refs = written(twice.join(named, ["_hash", "_row"]).select("_hash", F.col("_text").alias("_ref_text")), "exact-refs")
-    others = twice.join(refs, "_hash").filter("_text <> _ref_text").select("_hash", "_sha").distinct().withColumn("_other", F.lit(True))
+    # Written before it is made distinct, so that nothing keeps Spark from splitting a hot group in this join.
+    differ = written(twice.join(refs, "_hash").filter("_text <> _ref_text").select("_hash", "_sha"), "exact-differ")
+    others = differ.distinct().withColumn("_other", F.lit(True))
 
     split = keys.join(others, ["_hash", "_sha"], "left").withColumn("_part", F.when(F.col("_other"), F.col("_sha")).otherwise(F.lit(b""))).drop("_other")
     split = written(split, "exact-split")
