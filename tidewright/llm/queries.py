@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewright.llm.chat import CONTROL_STRINGS, Template, format_conversations, loss_text
 from tidewright.llm.common import table
+from tidewright.llm.decontaminate import decontaminate
 from tidewright.llm.exact_dedup import exact_dedup
 from tidewright.llm.language import identify_language
 from tidewright.llm.near_dedup import near_duplicates
@@ -62,6 +63,11 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2, threshold=80)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "contaminated", F.transform("items", lambda x: x["item_id"]).alias("item_ids"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return filter_urls(table(spark, sf_dir, "pages"), rules).drop("component")
@@ -98,7 +104,7 @@ FROM g"""
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_substring_dedup, op3_quality_classifier, op4_exact_dedup, op5_chat_format, op6_best_fit_packing, op7_language_id, op8_near_dedup, op10_url_filter)}
+    return {f.__name__: f for f in (op1_substring_dedup, op3_quality_classifier, op4_exact_dedup, op5_chat_format, op6_best_fit_packing, op7_language_id, op8_near_dedup, op9_decontamination, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -13,6 +13,9 @@ BYTE_WEIGHTS = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np
 BASE_BYTE, BASE_A, BASE_B = (np.uint64(int(x) * 8 + 3) for x in _rng.integers(2**58, 2**60, 3))
 NOT_SPACE = np.ones(256, dtype=bool)
 NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
+#: For matching regardless of punctuation: words of letters, digits and bytes of multi-byte characters.
+LETTERS_DIGITS = np.zeros(256, dtype=bool)
+LETTERS_DIGITS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 ASCII_LOWER = np.arange(256, dtype=np.uint8)
 ASCII_LOWER[0x41:0x5B] += 32
 BLOCK_BYTES = 1 << 20
@@ -57,9 +60,9 @@ class Sums:
 class Block:
     """Consecutive rows of a text column: data (bytes), offsets of rows; starts, ends (in data) and row of each word."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, first_row: int):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, first_row: int, word_bytes: np.ndarray = NOT_SPACE):
         self.data, self.offsets, self.first_row, self.n_rows = data, offsets, first_row, len(offsets) - 1
-        word = NOT_SPACE[data]
+        word = word_bytes[data]
         begins, ends = word.copy(), word.copy()
         begins[1:] &= ~word[:-1]
         ends[:-1] &= ~word[1:]
@@ -89,7 +92,7 @@ class Block:
         return out
 
 
-def blocks(texts: pa.Array, lower: bool = False) -> Iterator[Block]:
+def blocks(texts: pa.Array, lower: bool = False, word_bytes: np.ndarray = NOT_SPACE) -> Iterator[Block]:
     """The rows of an Arrow string array in blocks of about BLOCK_BYTES (a longer row is a block of its own); null is empty."""
     texts = texts.cast(pa.large_string())
     if isinstance(texts, pa.ChunkedArray):
@@ -103,5 +106,5 @@ def blocks(texts: pa.Array, lower: bool = False) -> Iterator[Block]:
     while i < len(texts):
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + BLOCK_BYTES, side="right")) - 1)
         piece = raw[offsets[i] : offsets[j]]
-        yield Block(ASCII_LOWER[piece] if lower else piece, offsets[i : j + 1] - offsets[i], i)
+        yield Block(ASCII_LOWER[piece] if lower else piece, offsets[i : j + 1] - offsets[i], i, word_bytes)
         i = j
