@@ -7,11 +7,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import shared_dir, shuffle_partitions
-from tidewright.llm.words import Sums, blocks, mix
+from tidewright.llm.common import shared_dir, shuffle_partitions, written
+from tidewright.llm.words import Sums, blocks
 
 WINDOW = 50
 #: The words whose hash can stand for a window. The least hash among a window's 39 places is its anchor, so equal windows have equal anchors.
@@ -49,49 +49,54 @@ def _segments(block, window: int, gram: int):
     return block.row[first], first - block.first[block.row[first]], last - first + 1, grams[anchor[first]], sums.of(first, last + window)
 
 
-SEGMENTS = "doc_id bigint, rev int, at int, n int, anchor bigint, body bigint"
+SEGMENTS = "doc_id bigint, at bigint, n int, anchor bigint, body int"
 
 
 def segments(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Per document (doc_id, rev, text) its segments; anchor and body together are a 128-bit digest of a segment's words."""
+    """Per document (doc_id, part, text) its segments; anchor and body together are a 96-bit digest of a segment's words.
+
+    ``at`` is the place of the first window, with the row's part in its upper half.
+    """
 
     def run(batches):
         for batch in batches:
-            ids, rev = batch.column("doc_id"), batch.column("rev")
+            ids, part = batch.column("doc_id"), batch.column("part").to_numpy().astype(np.int64) << 32
             for b in blocks(batch.column("text")):
                 if found := _segments(b, window, gram):
                     row, at, n, anchor, body = found
-                    of = pa.array(row + b.first_row)
-                    yield pa.RecordBatch.from_arrays([ids.take(of), rev.take(of), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(body.view(np.int64))], ["doc_id", "rev", "at", "n", "anchor", "body"])
+                    of = row + b.first_row
+                    columns = [ids.take(pa.array(of)), pa.array(at + part[of]), pa.array(n.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array((body >> np.uint64(32)).astype(np.uint32).view(np.int32))]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "at", "n", "anchor", "body"])
 
-    return docs.select("doc_id", "rev", "text").mapInArrow(run, SEGMENTS)
+    return docs.select("doc_id", "part", "text").mapInArrow(run, SEGMENTS)
 
 
-WINDOWS = "doc_id bigint, rev int, at int, w1 bigint, w2 bigint"
+WINDOWS = "doc_id bigint, at bigint, w1 bigint, w2 int"
 
 
 def _windows(docs_with_spans: DataFrame, window: int) -> DataFrame:
-    """128-bit digests of the single windows in ``spans`` (array of struct at, n) of each document."""
+    """96-bit digests of the single windows in ``spans`` (array of struct at, n) of each document."""
 
     def run(batches):
         for batch in batches:
-            ids, rev, spans = batch.column("doc_id"), batch.column("rev"), batch.column("spans")
+            ids, spans, part = batch.column("doc_id"), batch.column("spans"), batch.column("part").to_numpy().astype(np.int64) << 32
             flat, lengths = spans.flatten(), spans.value_lengths().to_numpy()
             at, n = (flat.field(k).to_numpy().astype(np.int64) for k in (0, 1))
             upto = np.concatenate([[0], np.cumsum(lengths)])
             for b in blocks(batch.column("text")):
                 lo, hi = upto[b.first_row], upto[b.first_row + b.n_rows]
                 row = np.repeat(np.arange(b.n_rows), lengths[b.first_row : b.first_row + b.n_rows])
-                begin, count = b.first[row] + at[lo:hi], n[lo:hi]
+                begin, count = b.first[row] + (at[lo:hi] & 0xFFFFFFFF), n[lo:hi]
                 total = int(count.sum())
                 s = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(total)
                 row = np.repeat(row, count)
                 h = b.hashes()
-                w1, w2 = (Sums(h, k).of(s, s + window).view(np.int64) for k in "ab")
-                of = pa.array(row + b.first_row)
-                yield pa.RecordBatch.from_arrays([ids.take(of), rev.take(of), pa.array((s - b.first[row]).astype(np.int32)), pa.array(w1), pa.array(w2)], ["doc_id", "rev", "at", "w1", "w2"])
+                w1, w2 = (Sums(h, k).of(s, s + window) for k in "ab")
+                of = row + b.first_row
+                columns = [ids.take(pa.array(of)), pa.array(s - b.first[row] + part[of]), pa.array(w1.view(np.int64)), pa.array((w2 >> np.uint64(32)).astype(np.uint32).view(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "at", "w1", "w2"])
 
-    return docs_with_spans.select("doc_id", "rev", "text", "spans").mapInArrow(run, WINDOWS)
+    return docs_with_spans.select("doc_id", "part", "text", "spans").mapInArrow(run, WINDOWS)
 
 
 CLEANED = "doc_id bigint, n_words bigint, n_removed bigint, text string, removed array<struct<at:int,n:int>>"
@@ -109,7 +114,7 @@ def _cleaned(docs_with_spans: DataFrame) -> DataFrame:
             upto = np.concatenate([[0], np.cumsum(lengths)])
             for b in blocks(batch.column("text")):
                 lo, hi = upto[b.first_row], upto[b.first_row + b.n_rows]
-                begin = b.first[np.repeat(np.arange(b.n_rows), lengths[b.first_row : b.first_row + b.n_rows])] + at[lo:hi]
+                begin = b.first[np.repeat(np.arange(b.n_rows), lengths[b.first_row : b.first_row + b.n_rows])] + (at[lo:hi] & 0xFFFFFFFF)
                 cover = np.zeros(len(b.starts) + 1, dtype=np.int32)
                 np.add.at(cover, begin, 1)
                 np.add.at(cover, begin + n[lo:hi], -1)
@@ -146,9 +151,11 @@ def _cleaned(docs_with_spans: DataFrame) -> DataFrame:
 class FingerprintIndex:
     """Immutable runs of segment fingerprints: Parquet tables, bucketed and sorted by fingerprint, newest last.
 
-    A run's row is the first place of a segment: (anchor, body, doc_id, rev, at, n). ``append`` merge-joins a batch's
-    fingerprints with each run, without moving the runs, and writes those not yet known as a new run; runs whose sizes are within
-    a factor ``fanout`` are then compacted into one. ``covered`` finds the repeated windows of documents that were appended.
+    A run's row is a segment that its batch holds: (anchor, body, doc_id, at, n, own, many): the first place, whether it is of this
+    run's documents (else only known from an older run), and whether other documents of the run hold the segment too.
+    ``append`` merge-joins a batch's fingerprints with each run, without moving the runs, and writes the outcome as a new run; runs whose
+    sizes are within a factor ``fanout`` are then compacted into one by another merge. ``covered`` finds the repeated windows of
+    documents that were appended. Batches are to be appended in ascending order of ids.
     """
 
     spark: SparkSession
@@ -160,30 +167,29 @@ class FingerprintIndex:
     def _write(self, rows: DataFrame) -> tuple[str, str, int]:
         name = f"fp_run_{uuid.uuid4().hex}"
         path = f"{shared_dir(self.spark)}/{name}"
-        rows.select("anchor", "body", "doc_id", "rev", "at", "n").write.bucketBy(shuffle_partitions(self.spark), "anchor", "body").sortBy("anchor", "body").option("path", path).saveAsTable(name)
+        rows.select("anchor", "body", "doc_id", "at", "n", "own", "many").write.bucketBy(shuffle_partitions(self.spark), "anchor", "body").sortBy("anchor", "body").option("path", path).saveAsTable(name)
         return name, path, self.spark.read.parquet(path).count()
 
-    @staticmethod
-    def _first(rows: DataFrame) -> DataFrame:
-        """The place with the smallest doc_id of each segment; one hash aggregate, combined before it is shuffled."""
-        return rows.groupBy("anchor", "body").agg(F.min(F.struct("doc_id", "rev", "at", "n")).alias("p")).select("anchor", "body", "p.*")
-
     def append(self, docs: DataFrame) -> None:
-        new = self._first(segments(docs, self.window, self.gram))
+        """Fingerprints are combined per task before they are shuffled: a hash aggregate over numbers. Equal bodies have equal n."""
+        found = segments(docs, self.window, self.gram).groupBy("anchor", "body")
+        new = found.agg(F.min("doc_id").alias("doc_id"), F.min_by("at", "doc_id").alias("at"), F.first("n").alias("n"), (F.max("doc_id") > F.min("doc_id")).alias("many")).withColumn("own", F.lit(True))
         for name, _, _ in self.runs:
-            known = self.spark.table(name).select("anchor", "body", F.col("doc_id").alias("_known"))
-            new = new.join(known.hint("merge"), (new["anchor"] == known["anchor"]) & (new["body"] == known["body"]) & (known["_known"] <= new["doc_id"]), "left_anti")
+            known = self.spark.table(name).filter("own").select("anchor", "body", F.col("doc_id").alias("_known"))
+            new = new.join(known.hint("merge"), ["anchor", "body"], "left").withColumn("own", F.col("own") & F.col("_known").isNull()).withColumn("doc_id", F.coalesce("_known", "doc_id")).drop("_known")
         self.runs.append(self._write(new))
         while len(self.runs) > 1 and self.runs[-1][2] * self.fanout > self.runs[-2][2]:
-            (a, _, _), (b, _, _) = self.runs[-2:]
-            whole = self._write(self._first(self.spark.table(a).unionByName(self.spark.table(b))))
-            for name, path, _ in self.runs[-2:]:
+            (a, path_a, _), (b, path_b, _) = self.runs[-2:]
+            older, newer = (self.spark.table(t).select("anchor", "body", F.struct("doc_id", "at", "n", "own", "many").alias(x)) for t, x in ((a, "x"), (b, "y")))
+            merged = older.join(newer.hint("merge"), ["anchor", "body"], "full").withColumn("p", F.coalesce("x", "y"))
+            whole = self._write(merged.select("anchor", "body", "p.doc_id", "p.at", "p.n", "p.own", (F.col("p.many") | (F.col("x").isNotNull() & F.col("y").isNotNull())).alias("many")))
+            for name, path in ((a, path_a), (b, path_b)):
                 self.spark.sql(f"DROP TABLE {name}")
                 _delete(self.spark, path)
             self.runs[-2:] = [whole]
 
     def covered(self, docs: DataFrame) -> DataFrame:
-        """(doc_id, rev, spans): stretches of words covered by windows that also start in a smaller doc_id.
+        """(doc_id, part, spans): stretches of words covered by windows that also start in a smaller doc_id.
 
         A segment known from a smaller doc_id is covered whole. Else two equal windows lie in segments of one anchor and
         different bodies: of those, the first places alone are opened, and their windows' digests compared one by one. A later
@@ -191,15 +197,16 @@ class FingerprintIndex:
         Joins and aggregates only, so hot segments, anchors and windows are combined or split by Spark.
         """
         index = self.spark.read.parquet(*[path for _, path, _ in self.runs])
-        places = segments(docs, self.window, self.gram)
-        first = index.select("anchor", "body", F.col("doc_id").alias("_first"))
-        whole = places.join(first, ["anchor", "body"]).filter("doc_id > _first").select("doc_id", "rev", "at", (F.col("n") + self.window - 1).alias("n"))
-        mixed = index.groupBy("anchor").agg(F.count("*").alias("_bodies")).filter("_bodies > 1").select("anchor")
-        opened = index.join(mixed, "anchor").groupBy("doc_id", "rev").agg(F.collect_set(F.struct("at", "n")).alias("spans"))
-        windows = _windows(docs.join(opened, ["doc_id", "rev"]), self.window)
+        twice = index.filter("many or not own").select("anchor", "body", F.col("doc_id").alias("_first"))
+        whole = segments(docs, self.window, self.gram).join(twice, ["anchor", "body"]).filter("doc_id > _first").select("doc_id", "at", (F.col("n") + self.window - 1).alias("n"))
+        own = index.filter("own")
+        mixed = own.groupBy("anchor").agg(F.count("*").alias("_bodies")).filter("_bodies > 1").select("anchor")
+        part = F.shiftright("at", 32).cast("int").alias("part")
+        opened = own.select("anchor", "doc_id", "at", "n").join(mixed, "anchor").groupBy("doc_id", part).agg(F.collect_set(F.struct("at", "n")).alias("spans"))
+        windows = _windows(docs.join(opened, ["doc_id", "part"]), self.window)
         least = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("_first"))
-        single = windows.join(least, ["w1", "w2"]).filter("doc_id > _first").select("doc_id", "rev", "at", F.lit(self.window).alias("n"))
-        return whole.unionByName(single).groupBy("doc_id", "rev").agg(F.collect_set(F.struct("at", "n")).alias("spans"))
+        single = windows.join(least, ["w1", "w2"]).filter("doc_id > _first").select("doc_id", "at", F.lit(self.window).alias("n"))
+        return whole.unionByName(single).groupBy("doc_id", part).agg(F.collect_set(F.struct("at", "n")).alias("spans"))
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -217,12 +224,21 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words from each other. A text of fewer than ``window`` words stays. Other columns are not read. Ids are whole numbers.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.hash(text_col).alias("rev"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    known = rows.filter("doc_id is not null")
+    if known.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        rows = rows.withColumn("part", F.lit(0))
+    else:  # only then are texts sorted, to tell the rows of one id apart
+        rows = written(rows.withColumn("part", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))), "parts")
+    known = rows.filter("doc_id is not null")
     index = FingerprintIndex(spark, window=window, gram=min(GRAM, window))
-    edges = rows.filter("doc_id is not null").agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 10_000)).first()[0] or []
+    edges = known.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 10_000)).first()[0] or []
     for low, high in zip([None, *edges], [*edges, None], strict=True):
-        part = rows.filter(F.col("doc_id").isNotNull() if low is None else F.col("doc_id") > low)
+        part = known if low is None else known.filter(F.col("doc_id") > low)
         index.append(part if high is None else part.filter(F.col("doc_id") <= high))
-    spans = index.covered(rows.filter("doc_id is not null"))
-    none = F.array().cast("array<struct<at:int,n:int>>")
-    return _cleaned(rows.join(spans, ["doc_id", "rev"], "left").withColumn("spans", F.coalesce("spans", none))).withColumnRenamed("doc_id", id_col)
+    spans = index.covered(known)
+    none = F.array().cast("array<struct<at:bigint,n:int>>")
+    # From ``known``, as in ``covered``: there and here Spark then moves the texts by one and the same exchange.
+    texts = known.join(spans, ["doc_id", "part"], "left").withColumn("spans", F.coalesce("spans", none))
+    others = rows.filter("doc_id is null").withColumn("spans", none)
+    return _cleaned(texts.unionByName(others)).withColumnRenamed("doc_id", id_col)
