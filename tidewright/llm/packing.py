@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from bisect import bisect_left
 from collections import defaultdict
 
@@ -16,39 +17,77 @@ from tidewright.llm.common import written
 CAPACITY = 2048
 END_OF_DOCUMENT = 0
 #: Words that a Python worker remembers with their ids; others are looked up again in each batch.
-WORD_MEMORY = 400_000
+WORD_MEMORY = 600_000
 #: Pieces of one length are ranked in parts of about so many rows of all lengths.
 RANK_PART = 50_000
 #: Up to so many placement runs (five whole numbers each) are broadcast; more are joined by shuffle.
 BROADCAST_RUNS = 200_000
 
-_tokenizers: dict[str, tuple] = {}
+class _WordIds:
+    """Ids of words (bytes without white space) as little-endian uint32 bytes, remembered as long as the Python worker lives.
 
+    A word is taken apart into letters and the marks behind them, which the tokenizer splits anyway and to which case makes no difference; the letters of
+    many new words are encoded as one text, whose ids are told apart by the tokens that end a word. Other words are encoded one by one.
+    """
+
+    MARKS = b".,;:!?%&*$#|()\""
 
-def _words_to_ids(path: str):
-    """A function from a list of words (bytes without white space) to their ids as little-endian uint32 bytes."""
-    if path not in _tokenizers:
+    def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
-    tokenizer, memory = _tokenizers[path]
-
-    def known(words: list[bytes]) -> dict[bytes, bytes]:
-        new = list({w for w in words if w not in memory})
-        found = {}
-        for i in range(0, len(new), 1000):
-            part = new[i : i + 1000]
-            for w, e in zip(part, tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                found[w] = np.asarray(e.ids, dtype="<u4").tobytes()
-        if len(memory) + len(found) <= WORD_MEMORY:
-            memory.update(found)
-            return memory
-        return _Both(memory, found)
-
-    return known
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        for token, i in vocabulary.items():
+            self.ends[i] = token.endswith("</w>")
+        self.words: dict[bytes, bytes] = {}
+        self.letters: dict[bytes, bytes] = {}
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+
+    def encode_letters(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Each of ``words`` is letters only, so it is one unit of the tokenizer and has one token that ends it, its last."""
+        out = {}
+        parts = [words[i : i + 64] for i in range(0, len(words), 64)]
+        for part, e in zip(parts, self.tokenizer.encode_batch_fast([b" ".join(p).decode() for p in parts], add_special_tokens=False), strict=True):
+            ids = np.asarray(e.ids, dtype="<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(part) and ends[-1] == len(ids):
+                raw, at = ids.tobytes(), 0
+                for word, end in zip(part, (4 * ends).tolist(), strict=True):
+                    out[word], at = raw[at:end], end
+            else:  # a letter that becomes more than letters in lower case
+                out.update(zip(part, self.encode(part), strict=True))
+        return out
+
+    def of(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """A mapping that has all of ``words``."""
+        new = [w for w in words if w not in self.words]
+        split, alone = [], []
+        for w in new:
+            letters = w.rstrip(self.MARKS)
+            if letters and (letters.isalpha() or letters.decode().isalpha()):
+                split.append((w, letters.lower(), w[len(letters) :]))
+            else:
+                alone.append(w)
+        fresh = self.encode_letters(list({x for _, x, _ in split if x not in self.letters}))
+        marks = list({m for _, _, m in split if m and m not in self.letters})
+        fresh.update(zip(marks, self.encode(marks), strict=True))
+        if len(self.letters) + len(fresh) <= WORD_MEMORY:
+            self.letters.update(fresh)
+            fresh = self.letters
+        else:
+            fresh = _Both(self.letters, fresh)
+        found = {w: fresh[x] + fresh[m] if m else fresh[x] for w, x, m in split}
+        found.update(zip(alone, self.encode(alone), strict=True))
+        if len(self.words) + len(found) <= WORD_MEMORY:
+            self.words.update(found)
+            return self.words
+        return _Both(self.words, found)
 
 
 class _Both(dict):
@@ -62,6 +101,15 @@ class _Both(dict):
         return self.memory[word]
 
 
+_known: dict[str, _WordIds] = {}
+
+
+def _word_ids(path: str) -> _WordIds:
+    if path not in _known:
+        _known[path] = _WordIds(path)
+    return _known[path]
+
+
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -72,15 +120,15 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
     """
 
     def run(batches):
-        ids_of = _words_to_ids(tokenizer_path)
+        ids = _word_ids(tokenizer_path)
         end = np.asarray([END_OF_DOCUMENT], dtype="<u4").tobytes()
         for batch in batches:
             doc_ids, texts = batch.column("doc_id"), batch.column("text")
             rows, size, begun = [], 0, 0
             for i in range(batch.num_rows + 1):
                 if i == batch.num_rows or size > 1 << 20:
-                    known = ids_of([w for words in rows for w in words])
-                    yield _pieces(doc_ids.slice(begun, len(rows)), [b"".join([known[w] for w in words]) + end for words in rows], capacity, with_ids)
+                    known = ids.of(set().union(*rows))
+                    yield _pieces(doc_ids.slice(begun, len(rows)), [b"".join(map(known.__getitem__, words)) + end for words in rows], capacity, with_ids)
                     begun, rows, size = begun + len(rows), [], 0
                 if i < batch.num_rows:
                     text = (texts[i].as_py() or "").encode()
