@@ -15,11 +15,12 @@ from tidewright.llm.words import LETTERS_DIGITS, blocks
 
 #: Document frequencies are counted in so many buckets of word hashes.
 BUCKETS = 1 << 16
-#: Words of a benchmark passage and of the windows of a document, which start every quarter of their width.
-PASSAGE, WIDTHS = 64, (16, 32, 64, 128)
+#: Words of a benchmark passage, and of the windows of a document, which start every third of their width: of a passage of any
+#: length to 64 words, some window holds enough, and little else, for a cosine above 0.6.
+PASSAGE, WIDTHS = 64, (24, 64)
 RANK = 256
 #: Least share of a window's TF-IDF mass in benchmark words, and least cosine, of a candidate.
-LEAST_SHARE, LEAST_COSINE = 0.25, 0.45
+LEAST_SHARE, LEAST_COSINE = 0.3, 0.5
 #: Least share of an item's TF-IDF mass in the longest common subsequence: for a copy, and for a paraphrase that also has the answer's words.
 COPY, PARAPHRASE, ANSWER = 0.75, 0.5, 0.8
 #: Passages that one pass over the documents carries: so many times (PASSAGE words + RANK numbers) are broadcast at most. More passages take more passes.
@@ -159,38 +160,50 @@ class Retriever:
         first = np.searchsorted(row, np.arange(n_rows + 1))
         spans = []
         for width in WIDTHS:
-            step = width // 4
+            step = width // 3
             place = np.arange(n) - first[row]
             begin = np.flatnonzero(place % step == 0)
             end = np.minimum(begin + width, first[row[begin] + 1])
             # A shorter window at a row's end adds nothing to the one before, unless it is the row's only one.
             ok = (end - begin == width) | (place[begin] == 0) | (begin + width - step < end)
             begin, end = begin[ok], end[ok]
+            if not len(begin):
+                continue
             share = (own[end] - own[begin]) / np.maximum(mass[end] - mass[begin], 1e-12)
             spans.append(np.stack([begin[share >= LEAST_SHARE], end[share >= LEAST_SHARE]], axis=1))
         spans = np.concatenate(spans)
-        best: dict[tuple[int, int], tuple] = {}
-        for s in range(0, len(spans), 512):
-            part = spans[s : s + 512]
-            latent = np.stack([(self.vectors[at[b:e][known[b:e]]] * self.weight(h[b:e][known[b:e]])[:, None]).sum(axis=0) for b, e in part])
-            norm = np.sqrt(np.maximum(mass[part[:, 1]] - mass[part[:, 0]], 1e-12))
-            cosine = latent @ self.passages.T / norm[:, None]
-            for i, j in zip(*np.nonzero(cosine >= LEAST_COSINE), strict=True):
-                b, e = part[i]
-                key = (int(row[b]), int(j))
-                words = self.words[j]
-                lo, hi = max(first[key[0]], b - len(words)), min(first[key[0] + 1], e + len(words))
-                known_best = best.get(key)
-                if known_best and (known_best[1] >= 0.999 or known_best[3] <= lo and hi <= known_best[4]):
-                    continue
-                kind, share = self.check(h[lo:hi], j)
-                if not known_best or share > known_best[1]:
-                    best[key] = (float(cosine[i, j]), share, kind, lo, hi)
-        return [(r, self.items[j], c, share, kind) for (r, j), (c, share, kind, _, _) in best.items() if kind]
+        known_at = np.flatnonzero(known)
+        upto = np.concatenate([[0], np.cumsum(known)])
+        found = []
+        for s in range(0, len(spans), 1024):
+            part = spans[s : s + 1024]
+            lo, count = upto[part[:, 0]], upto[part[:, 1]] - upto[part[:, 0]]
+            words = known_at[np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())]
+            latent = np.add.reduceat(self.vectors[at[words]] * self.weight(h[words])[:, None], np.cumsum(count) - count)
+            cosine = latent @ self.passages.T / np.sqrt(np.maximum(mass[part[:, 1]] - mass[part[:, 0]], 1e-12))[:, None]
+            i, j = np.nonzero(cosine >= LEAST_COSINE)
+            found.append(np.stack([row[part[i, 0]], j, part[i, 0], part[i, 1], cosine[i, j]], axis=1))
+        found = np.concatenate(found) if found else np.zeros((0, 5))
+        out: dict[tuple[int, int], tuple] = {}
+        done: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for r, j, b, e, cosine in found[np.argsort(-found[:, 4], kind="stable")].tolist():
+            key = r, j = int(r), int(j)
+            if key in out and out[key][1] >= COPY:
+                continue
+            lo, hi = max(first[r], int(b) - len(self.words[j])), min(first[r + 1], int(e) + len(self.words[j]))
+            if any(x <= lo and hi <= y for x, y in done.get(key, ())):
+                continue
+            done.setdefault(key, []).append((lo, hi))
+            kind, share = self.check(h[lo:hi], j)
+            if kind and (key not in out or share > out[key][1]):
+                out[key] = (cosine, share, kind)
+        return [(r, self.items[j], *v) for (r, j), v in out.items()]
 
     def check(self, h: np.ndarray, j: int) -> tuple[str, float]:
         """Longest common subsequence of a passage and a stretch of words, weighed by IDF, as a share of the passage."""
         words, weight = self.words[j], self.weight(self.words[j])
+        if weight[np.isin(words, h)].sum() < PARAPHRASE * weight.sum():  # in whatever order
+            return "", 0.0
         row = np.zeros(len(h) + 1)
         for word, w in zip(words, weight, strict=True):
             step = np.where(h == word, row[:-1] + w, row[1:])
