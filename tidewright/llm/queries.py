@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from tidewright.llm.common import table
 from tidewright.llm.decontaminate import decontaminate
 from tidewright.llm.exact_dedup import exact_dedup
 from tidewright.llm.language import identify_language
+from tidewright.llm.line_dedup import line_dedup
 from tidewright.llm.near_dedup import near_duplicates
 from tidewright.llm.packing import pack_documents
 from tidewright.llm.quality import classify_quality
@@ -25,6 +27,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", F.size("removed_lines").alias("n_removed"), "n_links", "removed_lines")
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -103,8 +110,12 @@ SELECT conv_id, n_turns, sha256(listed) AS turns_sha256, length(loss) AS loss_ch
 FROM g"""
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_substring_dedup, op3_quality_classifier, op4_exact_dedup, op5_chat_format, op6_best_fit_packing, op7_language_id, op8_near_dedup, op9_decontamination, op10_url_filter)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_line_dedup, op3_quality_classifier, op4_exact_dedup, op5_chat_format, op6_best_fit_packing, op7_language_id, op8_near_dedup, op9_decontamination, op10_url_filter, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
