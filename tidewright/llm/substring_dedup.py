@@ -14,8 +14,8 @@ from tidewright.llm.common import shared_dir, shuffle_partitions, written
 from tidewright.llm.words import Sums, blocks
 
 WINDOW = 50
-#: The words whose hash can stand for a window. The least hash among a window's 39 places is its anchor, so equal windows have equal anchors.
-GRAM = 12
+#: The words whose hash can stand for a window. The least hash among a window's 43 places is its anchor, so equal windows have equal anchors.
+GRAM = 8
 _POSITION = np.uint64((1 << 28) - 1)
 
 
@@ -71,6 +71,7 @@ def segments(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFra
     return docs.select("doc_id", "part", "text").mapInArrow(run, SEGMENTS)
 
 
+RUN = "anchor bigint, body int, doc_id bigint, at bigint, n int, own boolean, many boolean"
 WINDOWS = "doc_id bigint, at bigint, w1 bigint, w2 int"
 
 
@@ -168,7 +169,7 @@ class FingerprintIndex:
         name = f"fp_run_{uuid.uuid4().hex}"
         path = f"{shared_dir(self.spark)}/{name}"
         rows.select("anchor", "body", "doc_id", "at", "n", "own", "many").write.bucketBy(shuffle_partitions(self.spark), "anchor", "body").sortBy("anchor", "body").option("path", path).saveAsTable(name)
-        return name, path, self.spark.read.parquet(path).count()
+        return name, path, self.spark.read.schema(RUN).parquet(path).count()
 
     def append(self, docs: DataFrame) -> None:
         """Fingerprints are combined per task before they are shuffled: a hash aggregate over numbers. Equal bodies have equal n."""
@@ -196,7 +197,7 @@ class FingerprintIndex:
         place of a segment needs no look: its first place has the same windows and a smaller doc_id.
         Joins and aggregates only, so hot segments, anchors and windows are combined or split by Spark.
         """
-        index = self.spark.read.parquet(*[path for _, path, _ in self.runs])
+        index = self.spark.read.schema(RUN).parquet(*[path for _, path, _ in self.runs])
         twice = index.filter("many or not own").select("anchor", "body", F.col("doc_id").alias("_first"))
         whole = segments(docs, self.window, self.gram).join(twice, ["anchor", "body"]).filter("doc_id > _first").select("doc_id", "at", (F.col("n") + self.window - 1).alias("n"))
         own = index.filter("own")
