@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.clustering import BisectingKMeans, GaussianMixture
+from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import BucketedRandomProjectionLSH, VectorAssembler
 from pyspark.sql import DataFrame, Window
@@ -40,7 +40,10 @@ def cluster(features: DataFrame, k: int | None = None, completeness: float = 0.8
     if n < 2:
         return rows.withColumn("cluster_id", F.lit(None).cast("int")).limit(0)
     data = vectors(rows, names)
-    model = BisectingKMeans(k=min(max(2, n // 2) if k is None else k, n), seed=seed, featuresCol="vector", predictionCol="cluster_id").fit(data)
+    k = min(max(2, n // 2) if k is None else k, n)
+    model = BisectingKMeans(k=k, seed=seed, featuresCol="vector", predictionCol="cluster_id").fit(data)
+    if len(model.clusterCenters()) < 2 <= k:  # a first split can leave one side empty on very few rows
+        model = KMeans(k=k, seed=seed, featuresCol="vector", predictionCol="cluster_id").fit(data)
     return model.transform(data)
 
 
@@ -57,7 +60,7 @@ def density_cluster(features: DataFrame, key: str, radius: float, min_points: in
     reach of a core row joins its cluster.
     """
     data = vectors(features, names).select(key, "vector")
-    lsh = BucketedRandomProjectionLSH(inputCol="vector", outputCol="_h", bucketLength=radius, numHashTables=8, seed=1).fit(data)
+    lsh = BucketedRandomProjectionLSH(inputCol="vector", outputCol="_h", bucketLength=radius, numHashTables=4, seed=1).fit(data)
     near = lsh.approxSimilarityJoin(data, data, radius, distCol="_d").select(F.col(f"datasetA.{key}").alias("a"), F.col(f"datasetB.{key}").alias("b")).distinct()
     cores = near.groupBy("a").agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_points).select("a")
     links = near.join(cores, "a").join(cores.select(F.col("a").alias("b")), "b").select("a", "b").persist()
@@ -65,9 +68,9 @@ def density_cluster(features: DataFrame, key: str, radius: float, min_points: in
     for _ in range(rounds):
         spread = links.join(labels.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("label").alias("_new"))
         nxt = labels.join(spread, "a").select("a", F.least("label", "_new").alias("label")).persist()
-        moved = nxt.join(labels.withColumnRenamed("label", "_old"), "a").filter("label <> _old").isEmpty()
+        settled = nxt.join(labels.withColumnRenamed("label", "_old"), "a").filter("label <> _old").isEmpty()
         labels = nxt
-        if moved:
+        if settled:
             break
     reach = near.join(labels.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("label").alias("cluster_id"))
     return features.join(reach.withColumnRenamed("a", key), key, "left").withColumn("is_outlier", F.col("cluster_id").isNull())
