@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions import codes, text
-from tidewright.operators import asof, cdc, gold, joins, profile, quality, sample, series
+from tidewright.operators import asof, cdc, gold, joins, profile, quality, reports, sample, series
 from tidewright.plans.bindings import sql, view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -513,3 +513,115 @@ def curve_density_clusters(v):
     from tidewright.operators.models import density_cluster
 
     return density_cluster(series.features(v("curves")), "entity_key", 3.0, 3).select("entity_key", "cluster_id", "is_outlier")
+
+
+@query("SELECT count(*) AS events, count(DISTINCT container_no) AS containers, count(*) FILTER (type = 'GATE_IN') AS moves_in, count(*) FILTER (type = 'GATE_OUT') AS moves_out FROM :gate:")
+def gate_counters(v):
+    return reports.coverage(v("gate"), "type", "container_no")
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS rows FROM {t}" for t in ("orders", "lineitem", "events", "customer")))
+def layer_rows(v):
+    return reports.table_counts({t: v(t) for t in ("orders", "lineitem", "events", "customer")})
+
+
+@query("SELECT type, direction, count(*) AS n, round(count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY type), 6) AS share FROM :gate: GROUP BY type, direction")
+def direction_shares(v):
+    return doubles(reports.shares(v("gate"), "type", "direction"), "share")
+
+
+@query("SELECT terminal, count(*) AS n, round(1 - count(out_time)::DOUBLE / count(*), 6) AS missing_rate FROM :gate: GROUP BY terminal")
+def missing_out_times(v):
+    return doubles(reports.missing_rate(v("gate"), "terminal", "out_time"), "missing_rate")
+
+
+@query("SELECT terminal, count(*) AS n, round(CAST(avg(CAST(value AS DECIMAL(18, 4))) AS DOUBLE), 4) AS mean FROM :gate: WHERE value BETWEEN 1 AND 40 GROUP BY terminal HAVING count(*) > 20")
+def mean_weights(v):
+    return doubles(reports.mean_in_range(v("gate").withColumn("value", F.col("value").cast("double")), "terminal", "value", 1, 40, 20), "mean", digits=4)
+
+
+@query("""SELECT from_state, to_state, count(*) AS n FROM (SELECT event_type AS to_state, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS from_state FROM events) WHERE from_state IS NOT NULL GROUP BY ALL""")
+def event_transitions(v):
+    return reports.state_transitions(v("events"), "user_id", "ts", "event_type")
+
+
+@query("""SELECT o_orderkey, o_orderstatus FROM orders ORDER BY CASE o_orderstatus WHEN 'P' THEN 0 WHEN 'O' THEN 1 ELSE 2 END, o_orderdate DESC, o_orderkey LIMIT 200 OFFSET 10""")
+def enrichment_batch(v):
+    return reports.queue_order(v("orders").withColumn("status", F.col("o_orderstatus")), {"P": 0, "O": 1}, "o_orderdate", "o_orderkey", 200, 10).select("o_orderkey", "o_orderstatus")
+
+
+@query("""SELECT event_type AS kind, count(*) AS runs, round(CAST(avg(CAST(user_id AS DECIMAL(18, 4))) AS DOUBLE), 6) AS avg_requests, 10.0 AS avg_minutes FROM events GROUP BY 1""")
+def run_performance(v):
+    return doubles(reports.run_statistics(_runs(v)), "avg_requests", "avg_minutes")
+
+
+@query("""SELECT count(*) AS runs, round(coalesce(sum(user_id), 0) / 86400.0, 6) AS requests_per_second, round(count(*) * 600 / 86400.0, 6) AS concurrency FROM events WHERE ts + INTERVAL 10 MINUTE >= TIMESTAMP '2024-01-05' AND ts + INTERVAL 10 MINUTE < TIMESTAMP '2024-01-06'""")
+def run_throughput(v):
+    return doubles(reports.throughput(_runs(v), dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 6)), "requests_per_second", "concurrency")
+
+
+def _runs(v):
+    return v("events").select(F.col("event_type").alias("kind"), F.col("ts").alias("started_at"), (F.col("ts") + F.expr("interval 10 minutes")).alias("finished_at"), F.col("user_id").alias("requests"))
+
+
+@query("""SELECT user_id AS fingerprint, min(CASE WHEN event_type <> 'error' THEN ts END) AS first_success, max(CASE WHEN event_type <> 'error' THEN ts END) AS last_success, count(*) AS runs, CAST(sum(event_id % 5) AS BIGINT) AS requests, max(CASE WHEN event_type = 'error' THEN ts END) AS last_failure FROM events GROUP BY user_id""")
+def sessions(v):
+    rows = v("events").select(F.col("user_id").alias("fingerprint"), F.col("event_id").alias("event_key"), F.when(F.col("event_type") == "error", "failed").otherwise("ok").alias("outcome"), F.col("ts").alias("at"), (F.col("event_id") % 5).alias("requests"))
+    return reports.session_rollup(rows.unionByName(rows))
+
+
+@query("""SELECT o_custkey, o_orderkey, coalesce(round((epoch(o_orderdate) - epoch(lag(o_orderdate) OVER w)) / 3600, 6), -1) AS delta_h, coalesce(o_orderdate <> lag(o_orderdate) OVER w, false) AS changed FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)""")
+def schedule_deltas(v):
+    out = reports.revision_deltas(v("orders"), ["o_custkey"], ["o_orderkey"], ["o_orderdate"])
+    return doubles(out.select("o_custkey", "o_orderkey", F.coalesce("o_orderdate_delta_h", F.lit(-1.0)).alias("delta_h"), F.col("o_orderdate_changed").alias("changed")), "delta_h")
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, row_number() OVER w AS place, count(*) OVER p AS size, min(l_quantity) OVER p AS least, max(l_quantity) OVER p AS largest FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey), p AS (PARTITION BY l_orderkey)""")
+def ranked_lines(v):
+    out = reports.rank_in_partition(v("lineitem"), ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], "l_quantity")
+    return longs(out.select("l_orderkey", "l_linenumber", "l_partkey", "place", "size", "least", "largest"), "place")
+
+
+@query("SELECT DISTINCT container_no FROM (SELECT container_no FROM :gate: UNION ALL SELECT CAST(o_custkey AS STRING) FROM orders)")
+def vgm_work_list(v):
+    return reports.work_list([v("gate"), v("orders").select(F.col("o_custkey").cast("string").alias("container_no"))], ["container_no"])
+
+
+@query("SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-09 22:00:00' AND ts <= TIMESTAMP '2024-01-12'")
+def incremental_rows(v):
+    ledger = v("nation").select(F.lit("incremental").alias("kind"), F.lit("ok").alias("status"), F.lit(dt.datetime(2024, 1, 10)).alias("watermark_to"))
+    return reports.in_window(v("events"), "ts", *reports.incremental_window(ledger, ["incremental"], dt.datetime(2024, 1, 11))).select("event_id")
+
+
+@query("""SELECT endpoint, fingerprint, page, seq, coalesce(payload_hash = lag(payload_hash, 1) OVER w OR payload_hash = lag(payload_hash, 2) OVER w, false) AS adjacent_repeat FROM :page_log: WINDOW w AS (PARTITION BY endpoint, fingerprint ORDER BY seq)""")
+def adjacent_page_repeats(v):
+    pages = v("page_log").withColumnsRenamed({"page": "p", "seq": "page"})
+    return quality.adjacent_repeats(pages).select("endpoint", "fingerprint", F.col("p").alias("page"), F.col("page").alias("seq"), "adjacent_repeat")
+
+
+@query("""WITH f AS (SELECT DISTINCT event_type AS endpoint, unnest(['event_id', 'value', 'props']) AS field FROM events), e AS (SELECT DISTINCT event_type AS endpoint, unnest(['event_id', 'owner']) AS field FROM events)
+SELECT *, 'new' AS drift FROM (SELECT * FROM f EXCEPT SELECT * FROM e) UNION ALL SELECT *, 'missing' FROM (SELECT * FROM e EXCEPT SELECT * FROM f)""")
+def field_drift(v):
+    from tidewright.sources.landing import observed_fields, schema_drift
+
+    records = v("events").select(F.col("event_type").alias("endpoint"), F.col("ts").alias("seen_at"), F.to_json(F.struct("event_id", "value", "props")).alias("record"))
+    expected = v("events").select(F.col("event_type").alias("endpoint"), F.explode(F.array(F.lit("event_id"), F.lit("owner"))).alias("field")).distinct()
+    return schema_drift(observed_fields(records).select("endpoint", "field"), expected)
+
+
+@query("""SELECT l_suppkey AS job, count(*) AS pages, CAST(ceil(max(CASE WHEN page = 1 THEN total END) / 2.0) AS BIGINT) AS expected_pages FROM (SELECT l_suppkey, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey) AS page, count(*) OVER (PARTITION BY l_suppkey) * 2 AS total FROM lineitem) GROUP BY l_suppkey""")
+def page_plans(v):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("l_suppkey")
+    pages = v("lineitem").select(F.col("l_suppkey").alias("job"), F.row_number().over(w.orderBy("l_orderkey", "l_linenumber", "l_partkey")).alias("page"), (F.count("*").over(w) * 2).cast("int").alias("total"), F.lit(2).alias("row_count"))
+    return quality.page_ledger(pages, 2).drop("fault")
+
+
+@query("""SELECT cluster, round(quantile_cont(value, 0.5), 4) AS median, round(quantile_cont(value, 0.9), 4) AS high FROM (SELECT CASE WHEN entity_key < 'M' THEN 0 ELSE 1 END AS cluster, value FROM :curves:) GROUP BY cluster""")
+def cluster_bands(v):
+    from tidewright.operators.models import prototypes
+
+    rows = v("curves").withColumn("time_bucket", F.lit(0))
+    assigned = v("curves").select("entity_key").distinct().withColumn("cluster_id", F.when(F.col("entity_key") < "M", 0).otherwise(1))
+    return doubles(prototypes(rows, assigned).select(F.col("cluster_id").alias("cluster"), F.col("bands")[2].alias("median"), F.col("bands")[4].alias("high")), "median", "high", digits=4)
