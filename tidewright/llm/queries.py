@@ -110,6 +110,47 @@ SELECT conv_id, n_turns, sha256(listed) AS turns_sha256, length(loss) AS loss_ch
 FROM g"""
 
 
+OP1_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS win FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50)),
+f AS (SELECT win, min(doc_id) AS first FROM s GROUP BY win),
+d AS (SELECT doc_id, i FROM s JOIN f USING (win) WHERE doc_id > first),
+x AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word FROM w),
+g AS (SELECT x.doc_id, x.i, x.word, max(d.i) OVER (PARTITION BY x.doc_id ORDER BY x.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone FROM x LEFT JOIN d ON d.doc_id = x.doc_id AND d.i = x.i),
+r AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM g GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN r ON r.doc_id = w.doc_id"""
+
+OP8_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_NORM4}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) > 1 THEN list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) ELSE ws END AS gs FROM w),
+g AS (SELECT doc_id, unnest(gs) AS g FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN s a ON a.doc_id = x JOIN s b ON b.doc_id = y WHERE 100 * c >= 80 * (len(a.gs) + len(b.gs) - c)),
+e AS (SELECT x AS a, y AS b FROM l UNION SELECT y, x FROM l),
+t(node, reach) AS (SELECT a, a FROM e UNION SELECT t.node, e.b FROM t JOIN e ON e.a = t.reach),
+c AS (SELECT node, min(reach) AS component FROM t GROUP BY node)
+SELECT s.doc_id, CAST(len(gs) AS BIGINT) AS n_shingles, coalesce(component, s.doc_id) AS component_id, coalesce(component, s.doc_id) = s.doc_id AS kept FROM s LEFT JOIN c ON c.node = s.doc_id"""
+
+_HOST = r"translate(regexp_extract({0}, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = r"regexp_extract({0}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+_REST = r"regexp_extract({0}, '(?s)^.*?://[^/?#]*([^#]*)', 1)"
+_KEY = f"CASE WHEN contains({{0}}, '://') THEN {_HOST} || CASE {_REST} WHEN '' THEN '/' ELSE {_REST} END END"
+OP10_SQL = rf"""
+WITH RECURSIVE rules(h, p, a) AS (VALUES {", ".join(map(str, URL_RULES))}),
+q AS (SELECT page_id, coalesce(url, '') AS url, html, {_HOST.format("coalesce(url, '')")} AS host, {_PATH.format("coalesce(url, '')")} AS path, {_KEY.format("url")} AS node FROM pages),
+link AS (SELECT url, host, unnest([regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical["''\s/>][^>]*>|<link\b[^>]*\brel\s*=\s*["'']?canonical["'']?\s*>', 0), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
+  regexp_extract(html, '(?is)<meta\b[^>]*http-equiv\s*=\s*["'']?refresh[^>]*url\s*=\s*[''"]?([^"''\s>]+)', 1)]) AS target FROM q),
+full_link AS (SELECT url, CASE WHEN contains(target, '://') THEN target WHEN target LIKE '//%' THEN 'http:' || target WHEN target LIKE '/%' THEN 'http://' || host || target END AS target FROM link WHERE target <> ''),
+one AS (SELECT {_KEY.format("url")} AS a, {_KEY.format("target")} AS b FROM full_link WHERE target IS NOT NULL),
+e AS (SELECT a, b FROM one UNION SELECT b, a FROM one),
+t(node, reach) AS (SELECT a, a FROM e UNION SELECT t.node, e.b FROM t JOIN e ON e.a = t.reach),
+place AS (SELECT host, path FROM q UNION SELECT {_HOST.format("'http://' || node")}, {_PATH.format("'http://' || node")} FROM t),
+fit AS (SELECT host, path, h || p AS rule, a, row_number() OVER (PARTITION BY host, path ORDER BY length(h || p) DESC, a, h || p) AS r FROM place, rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)),
+bad AS (SELECT DISTINCT t.node FROM t JOIN fit ON fit.host = {_HOST.format("'http://' || reach")} AND fit.path = {_PATH.format("'http://' || reach")} WHERE r = 1 AND a = 'block')
+SELECT page_id, q.host, q.path, rule, coalesce(a, CASE WHEN q.node IN (SELECT node FROM bad) THEN 'block' END, 'allow') AS verdict
+FROM q LEFT JOIN fit ON fit.host = q.host AND fit.path = q.path AND r = 1"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -119,4 +160,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": OP4_SQL, "op5_chat_format": OP5_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op5_chat_format": OP5_SQL, "op8_near_dedup": OP8_SQL, "op10_url_filter": OP10_SQL}
