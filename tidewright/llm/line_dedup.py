@@ -54,19 +54,23 @@ def similar_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     join; the rest are verified on all tokens. Every different line takes part once, however often it occurs.
     """
     ranks = rarity(docs)
-    lines = _lines(docs).groupBy("h1", "h2", "line").agg(F.count("*").alias("_n")).select("h1", "h2", "line")
-    # Rarity above, hash below: one number that orders tokens and tells them apart. pmod takes the hash's low bits, the shift drops them.
-    bucket = lambda t: F.pmod(F.xxhash64(t), F.lit(BUCKETS)).cast("int")
-    order = lambda t: F.shiftleft(F.element_at(ranks, bucket(t) + 1), 55).bitwiseOR(F.shiftrightunsigned(F.xxhash64(t), 9))
-    sets = lines.select("h1", "h2", F.sort_array(F.array_distinct(F.transform(_tokens(F.col("line")), order))).alias("s")).withColumn("n", F.size("s"))
+    # Dealt by the digest alone, so that texts are moved once: the comparison at the end finds them where they are.
+    lines = _lines(docs).groupBy("h1", "h2").agg(F.min("line").alias("line"))
+    hashes = F.array_distinct(F.array_remove(F.transform(F.split("line", " "), lambda t: F.xxhash64(t)), F.xxhash64(F.lit(""))))
+    # Rarity above, hash below: one number that orders tokens and tells them apart.
+    order = lambda h: F.shiftleft(F.element_at(ranks, F.pmod(h, F.lit(BUCKETS)).cast("int") + 1), 55).bitwiseOR(F.shiftrightunsigned(h, 9))
+    # A bit for each token: sets whose bits differ in more places than their difference may have tokens are not similar.
+    bits = F.aggregate("h", F.lit(0).cast("bigint"), lambda acc, h: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(F.lit(63)).cast("int"))))
+    sets = lines.select("h1", "h2", hashes.alias("h")).select("h1", "h2", bits.alias("bits"), F.sort_array(F.transform("h", order)).alias("s")).withColumn("n", F.size("s"))
     least = F.ceil(F.col("n") * F.lit(threshold) / 100).cast("int")
-    prefix = sets.select("h1", "h2", "n", F.posexplode(F.slice("s", F.lit(1), F.col("n") - least + 1)).alias("p", "t"))
-    x, y = (prefix.select("t", *[F.col(c).alias(f"{s}_{c}") for c in ("h1", "h2", "n", "p")]) for s in "xy")
-    after = F.least(F.col("x_n") - F.col("x_p"), F.col("y_n") - F.col("y_p"))
+    prefix = sets.select("h1", "h2", "bits", "n", F.posexplode(F.slice("s", F.lit(1), F.col("n") - least + 1)).alias("p", "t")).withColumn("t", F.hash("t"))
+    x, y = (prefix.select("t", *[F.col(c).alias(f"{s}_{c}") for c in ("h1", "h2", "bits", "n", "p")]) for s in "xy")
+    after, both = F.least(F.col("x_n") - F.col("x_p"), F.col("y_n") - F.col("y_p")), F.col("x_n") + F.col("y_n")
     fits = (
-        ((F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & ((F.col("x_h1") < F.col("y_h1")) | ((F.col("x_h1") == F.col("y_h1")) & (F.col("x_h2") < F.col("y_h2"))))))
+        ((F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.struct("x_h1", "x_h2") < F.struct("y_h1", "y_h2"))))
         & (100 * F.col("x_n") >= threshold * F.col("y_n"))
-        & ((100 + threshold) * after >= threshold * (F.col("x_n") + F.col("y_n")))
+        & ((100 + threshold) * after >= threshold * both)
+        & ((100 + threshold) * F.bit_count(F.col("x_bits").bitwiseXOR(F.col("y_bits"))) <= (100 - threshold) * both)
     )
     pairs = x.join(y, "t").filter(fits).select(F.col("x_h1").alias("a1"), F.col("x_h2").alias("a2"), F.col("y_h1").alias("b1"), F.col("y_h2").alias("b2")).distinct()
     a, b = (lines.select(F.col("h1").alias(f"{s}1"), F.col("h2").alias(f"{s}2"), F.col("line").alias(f"{s}_line")) for s in "ab")
@@ -90,13 +94,13 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     known = rows.filter("doc_id is not null")
     links = written(similar_lines(known, threshold), "line-links")
-    lines = _lines(known)
+    lines = written(_lines(known).select("doc_id", "pos", "h1", "h2"), "line-places")
     firsts = lines.groupBy("h1", "h2").agg(F.min(_place()).alias("first"))
     ends = links.select(F.explode(F.array(F.struct(*[F.col(c).alias(n) for c, n in (("a1", "h1"), ("a2", "h2"), ("b1", "o1"), ("b2", "o2"))]), F.struct(*[F.col(c).alias(n) for c, n in (("b1", "h1"), ("b2", "h2"), ("a1", "o1"), ("a2", "o2"))]))).alias("e")).select("e.*")
     other = firsts.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("first").alias("_other"))
     linked = ends.join(other, ["o1", "o2"]).groupBy("h1", "h2").agg(F.min("_other").alias("_earliest"), F.count("*").alias("_links"))
     classes = firsts.join(linked, ["h1", "h2"], "left")
-    judged = lines.select("doc_id", "pos", "h1", "h2").join(classes, ["h1", "h2"])
+    judged = lines.join(classes, ["h1", "h2"])
     gone = (_place() > F.col("first")) | (_place() > F.col("_earliest"))
     by_doc = judged.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.when(gone, F.col("pos")))).alias("_gone"), F.sum(F.coalesce("_links", F.lit(0))).alias("_links"))
     out = rows.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n")))).join(by_doc, "doc_id", "left")
