@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -155,7 +156,7 @@ def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     model = fit_language_model(docs, id_col, text_col, lang_col, docs_a_language)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    key = f"{spark.sparkContext.applicationId}-{id(shared)}"
+    key = uuid.uuid4().hex
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
