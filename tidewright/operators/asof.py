@@ -29,13 +29,13 @@ def fingerprint(rows: DataFrame, name: str, id_col: str, time_col: str) -> DataF
     )
 
 
-def strict_digest(rows: DataFrame, columns: list[str], key: str, buckets: int) -> DataFrame:
-    """One SHA-256 over all content, whatever the order of rows: rows' hashes are sorted and hashed per bucket of keys, then buckets are.
+def strict_digest(rows: DataFrame, columns: list[str], bucket: Column) -> DataFrame:
+    """One SHA-256 over all content, whatever the order of rows: rows' hashes are sorted and hashed per bucket, then buckets are.
 
-    Give buckets in proportion to the rows: a bucket's hashes (32 bytes a row) meet in one task.
+    Let the number of buckets follow the rows: a bucket's hashes (64 bytes a row) meet in one task.
     """
     row = F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns]), 256)
-    parts = rows.select(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).alias("b"), row.alias("h")).groupBy("b").agg(F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ""), 256).alias("d"))
+    parts = rows.select(bucket.alias("b"), row.alias("h")).groupBy("b").agg(F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ""), 256).alias("d"))
     return parts.agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("b", "d"))), lambda x: x["d"]), ""), 256).alias("digest"))
 
 

@@ -118,9 +118,9 @@ def input_fingerprint(v):
     return asof.fingerprint(v("orders"), "orders", "o_orderkey", "o_orderdate")
 
 
-@query("""WITH h AS (SELECT sha256(concat_ws(chr(31), CAST(n_nationkey AS STRING), n_name, CAST(n_regionkey AS STRING))) AS h FROM nation), b AS (SELECT sha256(string_agg(h, '' ORDER BY h)) AS d FROM h) SELECT sha256(d) AS digest FROM b""")
+@query("""WITH h AS (SELECT o_orderkey % 64 AS b, sha256(concat_ws(chr(31), CAST(o_orderkey AS STRING), CAST(o_custkey AS STRING), o_orderstatus, o_orderpriority)) AS h FROM orders), d AS (SELECT b, sha256(string_agg(h, '' ORDER BY h)) AS d FROM h GROUP BY b) SELECT sha256(string_agg(d, '' ORDER BY b)) AS digest FROM d""")
 def strict_fingerprint(v):
-    return asof.strict_digest(v("nation"), ["n_nationkey", "n_name", "n_regionkey"], "n_nationkey", 1)
+    return asof.strict_digest(v("orders"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"], F.col("o_orderkey") % 64)
 
 
 _FIELDS = ["status", "customer", "priority", "compare_time"]
@@ -492,11 +492,14 @@ def landed_records(v):
     return page_rows(pages).select("endpoint", fields["id"].alias("id"), fields["uid"].alias("uid"))
 
 
-@query("SELECT x.entity_key AS a, y.entity_key AS b, round(count(*) / 3.0, 6) AS share FROM (SELECT r, n_name AS entity_key, n_nationkey % (r + 3) AS c FROM nation, (SELECT unnest([0, 1, 2]) AS r)) x JOIN (SELECT r, n_name AS entity_key, n_nationkey % (r + 3) AS c FROM nation, (SELECT unnest([0, 1, 2]) AS r)) y ON x.r = y.r AND x.c = y.c AND x.entity_key < y.entity_key GROUP BY 1, 2")
+_RUNS = "(SELECT r, s_name AS entity_key, s_suppkey // (r + 3) AS c FROM supplier, (SELECT unnest([0, 1, 2]) AS r))"
+
+
+@query(f"SELECT x.entity_key AS a, y.entity_key AS b, round(count(*) / 3.0, 6) AS share FROM {_RUNS} x JOIN {_RUNS} y ON x.r = y.r AND x.c = y.c AND x.entity_key < y.entity_key GROUP BY 1, 2")
 def consensus(v):
     from tidewright.operators.models import co_assignment
 
-    rows = v("nation").select(F.explode(F.array(*map(F.lit, range(3)))).alias("run_id"), F.col("n_name").alias("entity_key"), "n_nationkey").withColumn("cluster_id", F.col("n_nationkey") % (F.col("run_id") + 3))
+    rows = v("supplier").select(F.explode(F.array(*map(F.lit, range(3)))).alias("run_id"), F.col("s_name").alias("entity_key"), "s_suppkey").withColumn("cluster_id", F.floor(F.col("s_suppkey") / (F.col("run_id") + 3)))
     return doubles(co_assignment(rows), "share")
 
 
