@@ -1,6 +1,5 @@
 import corpus_pipeline
 from tests.llm import brute
-from tidewright.llm.common import held_out
 from tidewright.llm.queries import oracle_sql, queries
 
 SF = "/root/testdata/sf0.001"
@@ -40,4 +39,3 @@ def test_run_packs_what_is_left(spark):
 def test_queries_and_oracles_have_the_same_names():
     assert set(oracle_sql()) <= set(queries())
     assert sorted(n for n in queries() if n.startswith("op")) == sorted(f"op{n}_{x}" for n, x in enumerate(("substring_dedup", "line_dedup", "quality_classifier", "exact_dedup", "chat_format", "best_fit_packing", "language_id", "near_dedup", "decontamination", "url_filter"), 1))
-    assert held_out is not None
