@@ -16,8 +16,8 @@ from tidewright.llm.common import written
 
 CAPACITY = 2048
 END_OF_DOCUMENT = 0
-#: Words that a Python worker remembers with their ids; others are looked up again in each batch.
-WORD_MEMORY = 600_000
+#: Words that a Python worker remembers with their ids, in each of two generations; about 0.2 KB a word.
+WORD_MEMORY = 120_000
 #: Pieces of one length are ranked in parts of about so many rows of all lengths.
 RANK_PART = 50_000
 #: Up to so many placement runs (five whole numbers each) are broadcast; more are joined by shuffle.
@@ -43,8 +43,7 @@ class _WordIds:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for token, i in vocabulary.items():
             self.ends[i] = token.endswith("</w>")
-        self.words: dict[bytes, bytes] = {}
-        self.letters: dict[bytes, bytes] = {}
+        self.words, self.letters = _Memory(), _Memory()
 
     def encode(self, words: list[bytes]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
@@ -65,8 +64,8 @@ class _WordIds:
         return out
 
     def of(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """A mapping that has all of ``words``."""
-        new = [w for w in words if w not in self.words]
+        """The ids of each of ``words``."""
+        out, new = self.words.get(words)
         split, alone = [], []
         for w in new:
             letters = w.rstrip(self.MARKS)
@@ -74,31 +73,42 @@ class _WordIds:
                 split.append((w, letters.lower(), w[len(letters) :]))
             else:
                 alone.append(w)
-        fresh = self.encode_letters(list({x for _, x, _ in split if x not in self.letters}))
-        marks = list({m for _, _, m in split if m and m not in self.letters})
-        fresh.update(zip(marks, self.encode(marks), strict=True))
-        if len(self.letters) + len(fresh) <= WORD_MEMORY:
-            self.letters.update(fresh)
-            fresh = self.letters
-        else:
-            fresh = _Both(self.letters, fresh)
-        found = {w: fresh[x] + fresh[m] if m else fresh[x] for w, x, m in split}
+        parts, unseen = self.letters.get({x for _, x, _ in split})
+        marks = list({m for _, _, m in split if m})
+        self.letters.put(parts, self.encode_letters(unseen))
+        of_marks = dict(zip(marks, self.encode(marks), strict=True))
+        found = {w: parts[x] + of_marks[m] if m else parts[x] for w, x, m in split}
         found.update(zip(alone, self.encode(alone), strict=True))
-        if len(self.words) + len(found) <= WORD_MEMORY:
-            self.words.update(found)
-            return self.words
-        return _Both(self.words, found)
-
-
-class _Both(dict):
-    """Two dicts as one, for reading: the worker's memory, and the words of this batch that don't fit it."""
+        self.words.put(out, found)
+        return out
 
-    def __init__(self, memory: dict, more: dict):
-        super().__init__(more)
-        self.memory = memory
 
-    def __missing__(self, word):
-        return self.memory[word]
+class _Memory:
+    """A bounded memory in two generations: what is asked for again moves to the young one, and when that is full the old one is forgotten."""
+
+    def __init__(self):
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def get(self, keys) -> tuple[dict[bytes, bytes], list[bytes]]:
+        """What is known, and the keys that aren't."""
+        young, old, known, unknown = self.young, self.old, {}, []
+        for k in keys:
+            v = young.get(k)
+            if v is None:
+                v = old.get(k)
+                if v is None:
+                    unknown.append(k)
+                    continue
+                young[k] = v
+            known[k] = v
+        return known, unknown
+
+    def put(self, known: dict[bytes, bytes], found: dict[bytes, bytes]) -> None:
+        known.update(found)
+        self.young.update(found)
+        if len(self.young) > WORD_MEMORY:
+            self.old, self.young = self.young, {}
 
 
 _known: dict[str, _WordIds] = {}
