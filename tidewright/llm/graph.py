@@ -21,8 +21,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         low = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("a"), F.col("m").alias("b")), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))).alias("e"))
         now = written(small.select(F.col("e.a").alias("u"), F.col("e.b").alias("v")).filter("u <> v").distinct(), "cc")
