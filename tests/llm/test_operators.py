@@ -183,6 +183,15 @@ def test_decontamination(spark):
     assert all(d % 100 in {x["item_id"] for x in got[d]["items"]} for d in [*range(100, 120), *range(200, 220)])
 
 
+def test_decontamination_finds_every_whole_passage_of_many(spark):
+    rng = random.Random(6)
+    some = lambda k: " ".join(f"w{rng.randrange(4000)}" for _ in range(k))
+    items = [(i, some(rng.randint(15, 60))) for i in range(1100)]
+    rows = [(i, f"{some(30)} {t} {some(30)}") for i, t in items] + [(5000 + d, some(200)) for d in range(50)]
+    got = {r.doc_id: {x["item_id"] for x in r["items"]} for r in decontaminate(frame(spark, rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert [d for d in range(1100) if d not in got[d]] == [] and not any(got[5000 + d] for d in range(50))
+
+
 def test_latent_space_is_the_svd(spark):
     rng = np.random.default_rng(1)
     a = rng.random((12, 30)) * (rng.random((12, 30)) < 0.4)

@@ -18,13 +18,14 @@ BUCKETS = 1 << 16
 #: Words of a benchmark passage, and of the windows of a document, which start every third of their width: of a passage of any
 #: length to 64 words, some window holds enough, and little else, for a cosine above 0.6.
 PASSAGE, WIDTHS = 64, (24, 64)
+#: A latent space is of at most so many passages and has a dimension for each, so that it holds every passage whole.
 RANK = 256
 #: Least share of a window's TF-IDF mass in benchmark words, and least cosine, of a candidate.
 LEAST_SHARE, LEAST_COSINE = 0.3, 0.5
 #: Least share of an item's TF-IDF mass in the longest common subsequence: for a copy, and for a paraphrase that also has the answer's words.
 COPY, PARAPHRASE, ANSWER = 0.75, 0.5, 0.8
-#: Passages that one pass over the documents carries: so many times (PASSAGE words + RANK numbers) are broadcast at most. More passages take more passes.
-PASSAGES_A_PASS = 1000
+#: Passages that one pass over the documents carries, in spaces of RANK: so many times PASSAGE words of RANK numbers are broadcast at most. More passages take more passes.
+PASSAGES_A_PASS = 1024
 
 
 def _words(texts: pa.Array):
@@ -241,12 +242,35 @@ def benchmark_passages(benchmark: DataFrame, id_col: str, text_col: str) -> Data
     return rows.select(F.monotonically_increasing_id().alias("pid"), "*")
 
 
+def _retriever(idf: np.ndarray, passages: DataFrame, terms: DataFrame, low: int, high: int) -> Retriever:
+    """The passages from ``low`` to below ``high``, RANK at most, in a latent space of their own, of as many dimensions as there are passages."""
+    inside = (F.col("pid") >= low) & (F.col("pid") < high)
+    terms = terms.filter(inside)
+    space = latent_space(terms, high - low)
+    rows = _weighted_sums(terms.join(space, "term"), "pid").join(passages.filter(inside), "pid").toPandas().sort_values("pid")
+    own = space.toPandas()
+    keys = own["term"].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    unit = np.stack(rows["vec"]).astype(np.float32)
+    unit /= np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-12)
+    as_hashes = lambda x: [np.asarray(v, dtype=np.int64).view(np.uint64) for v in x]
+    return Retriever(idf, keys[order], np.stack(own["vec"]).astype(np.float32)[order], unit, rows["item_id"].tolist(), as_hashes(rows["words"]), as_hashes(rows["answer"]))
+
+
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, cosine, in_order, kind) from docs (doc_id, text) and benchmark (item_id, text)."""
     spark = docs.sparkSession
     n_docs, df = document_frequencies(docs)
     idf = np.log((n_docs + 1) / (df + 1)).astype(np.float32) + np.float32(0.01)
     passages = written(benchmark_passages(benchmark, "item_id", "text"), "passages")
+    # ``pid`` has the partition above its lower 33 bits; passages are counted through over all partitions.
+    sizes = sorted(passages.groupBy(F.shiftright("pid", 33).alias("p")).count().collect())
+    schema = "doc_id bigint, item_id bigint, cosine double, in_order double, kind string"
+    if not sizes:
+        return spark.createDataFrame([], schema)
+    before = np.cumsum([0, *(n for _, n in sizes)]).tolist()
+    shift = F.create_map(*[F.lit(x) for (p, _), k in zip(sizes, before, strict=False) for x in (p, k - (p << 33))])
+    passages = written(passages.withColumn("pid", F.col("pid") + shift[F.shiftright("pid", 33)]), "passages")
     exploded = passages.select("pid", F.explode("words").alias("term")).groupBy("pid", "term").count()
 
     def weigh(batches):
@@ -255,33 +279,24 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             w = idf[(terms.view(np.uint64) >> np.uint64(48)).astype(np.int64)].astype(float) * batch.column("count").to_numpy()
             yield pa.RecordBatch.from_arrays([batch.column("pid"), batch.column("term"), pa.array(w)], ["pid", "term", "w"])
 
-    terms = written(exploded.mapInArrow(weigh, "pid bigint, term bigint, w double"), "terms")
-    schema = "doc_id bigint, item_id bigint, cosine double, in_order double, kind string"
-    n_passages = passages.count()
-    if not n_passages:
-        return spark.createDataFrame([], schema)
-    space = latent_space(terms, min(RANK, n_passages))
-    latent = written(_weighted_sums(terms.join(space, "term"), "pid").join(passages, "pid"), "latent")
-    edges = [0.0, *latent.approxQuantile("pid", [i * PASSAGES_A_PASS / n_passages for i in range(1, -(-n_passages // PASSAGES_A_PASS))], 0.0), float("inf")] if n_passages > PASSAGES_A_PASS else [0.0, float("inf")]
+    terms = exploded.mapInArrow(weigh, "pid bigint, term bigint, w double")
+    # Passages of one length each: a space spans the same, and none is lost for its small weight.
+    norms = terms.groupBy("pid").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    terms = written(terms.join(norms, "pid").select("pid", "term", (F.col("w") / F.col("norm")).alias("w")), "terms")
     out = None
-    for low, high in zip(edges, edges[1:], strict=False):
-        block = latent.filter((F.col("pid") >= low) & (F.col("pid") < high))
-        rows = block.toPandas().sort_values("pid")
-        own = space.join(block.select(F.explode("words").alias("term")).distinct(), "term").toPandas()
-        keys = own["term"].to_numpy().astype(np.int64).view(np.uint64)
-        order = np.argsort(keys)
-        unit = np.stack(rows["vec"]).astype(np.float32)
-        unit /= np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-12)
-        as_hashes = lambda x: [np.asarray(v, dtype=np.int64).view(np.uint64) for v in x]
-        shared = spark.sparkContext.broadcast(Retriever(idf, keys[order], np.stack(own["vec"]).astype(np.float32)[order], unit, rows["item_id"].tolist(), as_hashes(rows["words"]), as_hashes(rows["answer"])))
+    for low in range(0, before[-1], PASSAGES_A_PASS):
+        carried = [_retriever(idf, passages, terms, k, min(k + RANK, before[-1])) for k in range(low, min(low + PASSAGES_A_PASS, before[-1]), RANK)]
+        shared = spark.sparkContext.broadcast(carried)
 
         def run(batches, shared=shared):
             for batch in batches:
                 ids = batch.column("doc_id")
                 for b in blocks(batch.column("text"), lower=True, word_bytes=LETTERS_DIGITS):
-                    if found := shared.value.search(b.row, b.hashes(), b.n_rows):
-                        row, item, cosine, share, kind = zip(*found, strict=True)
-                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.asarray(row) + b.first_row)), pa.array(item, pa.int64()), pa.array(cosine, pa.float64()), pa.array(share, pa.float64()), pa.array(kind, pa.string())], ["doc_id", "item_id", "cosine", "in_order", "kind"])
+                    h = b.hashes()
+                    for retriever in shared.value:
+                        if found := retriever.search(b.row, h, b.n_rows):
+                            row, item, cosine, share, kind = zip(*found, strict=True)
+                            yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.asarray(row) + b.first_row)), pa.array(item, pa.int64()), pa.array(cosine, pa.float64()), pa.array(share, pa.float64()), pa.array(kind, pa.string())], ["doc_id", "item_id", "cosine", "in_order", "kind"])
 
         pairs = docs.select("doc_id", "text").mapInArrow(run, schema)
         out = pairs if out is None else out.unionByName(pairs)
@@ -291,8 +306,8 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, contaminated, items (array of struct item_id, cosine, in_order, kind).
 
-    Words are letters and digits, A-Z lower-cased; IDF counts all documents. Benchmark passages span a latent space by a randomised SVD of their
-    TF-IDF rows. Windows of every whole text, of four widths, that have enough mass in benchmark words are projected and compared with all
+    Words are letters and digits, A-Z lower-cased; IDF counts all documents. Blocks of RANK benchmark passages span a latent space each, of full rank, by
+    a randomised SVD of their TF-IDF rows. Windows of every whole text, of four widths, that have enough mass in benchmark words are projected and compared with all
     passages by cosine; of candidates, the longest common subsequence with the passage is weighed: enough of it is a copy, and less of
     it a paraphrase if the window also has the words of the passage's answer.
 
