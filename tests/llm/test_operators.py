@@ -128,6 +128,19 @@ def test_near_duplicates_large_group_stays_one(spark):
     assert got == {d: c for d, (_, c) in brute.near_duplicates(rows, 5).items()}
 
 
+@pytest.mark.parametrize("changed", [19, 21])
+def test_near_duplicates_of_a_dense_group_at_the_threshold(spark, changed):
+    rng = random.Random(12)
+    rows = []
+    for d in range(150):
+        w = [f"w{i}" for i in range(300)]
+        for i in rng.sample(range(300), changed):
+            w[i] = f"x{d}_{i}"
+        rows.append((d, " ".join(w)))
+    got = {r.doc_id: r.component_id for r in near_duplicates(frame(spark, rows), shingle=1).collect()}
+    assert got == {d: c for d, (_, c) in brute.near_duplicates(rows, 1).items()}
+
+
 def test_connected_components(spark):
     edges = [(5, 4), (4, 3), (3, 9), (7, 8), (2, 2), (None, 1), (8, 7)] + [(100, i) for i in range(101, 140)]
     got = dict(connected_components(spark.createDataFrame(edges, "src bigint, dst bigint")).collect())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from tidewright.llm.words import Sums, blocks, mix
 TREES, DEPTH, SHALLOW = 28, 6, 4
 #: Up to so many rows in a region, all its pairs are candidates; a region with more is looked at one value deeper.
 REGION = 16
-#: Larger regions of full depth are taken in blocks of so many rows; each overlaps the next by half.
+#: Larger regions of full depth are taken in blocks of so many rows; each overlaps the next by half. In the last comparison each block meets each.
 BLOCK = 1024
 #: How far an estimate of similarity (from TREES * DEPTH values; its deviation is 0.03 at 0.8) may fall below the threshold.
 SLACK = 0.15
@@ -80,6 +81,7 @@ def _candidates(forest: DataFrame, threshold: int) -> DataFrame:
     parts in one region; a region's depth adapts, from SHALLOW values where few rows share them, one more where more than REGION do.
     Of a region, the pairs of a maximum spanning forest over its parts by estimated similarity: what a link would join, some path of
     pairs at least as similar joins as well, so their number is linear in the rows. Regions above BLOCK rows are taken in overlapping blocks.
+    What estimates or borders of partitions and blocks leave out here is for ``_remaining``.
     """
     second = "part" in forest.columns
 
@@ -98,7 +100,8 @@ def _candidates(forest: DataFrame, threshold: int) -> DataFrame:
             i = np.flatnonzero(lcp >= SHALLOW)
             ok = (100 * np.minimum(n[i], n[i + 1]) >= threshold * np.maximum(n[i], n[i + 1])) & (ids[i] != ids[i + 1])
             found.append(np.stack([np.minimum(ids[i], ids[i + 1])[ok], np.maximum(ids[i], ids[i + 1])[ok]], axis=1))
-            near = np.unique(np.concatenate([ids[i], ids[i + 1]]))
+            # The first and last row as well: what they share a region with may be in the next partition.
+            near = np.unique(np.concatenate([ids[i], ids[i + 1], ids[[0, -1]]]))
             found.append(np.stack([near, near], axis=1))
         else:
             part = rows.column("part").to_numpy()
@@ -162,6 +165,69 @@ def _spanning_pairs(n, ids, part, sketch, threshold: int) -> np.ndarray:
     return np.array(out, dtype=np.int64).reshape(-1, 2)
 
 
+def _remaining(near: DataFrame, threshold: int) -> DataFrame:
+    """All pairs of rows (doc_id, n, sig, sketch, part) of different parts that share SHALLOW values of some order, but for those that sizes or estimates rule out.
+
+    A region is a key of a plain exchange, whatever its place in the order. One of more than BLOCK rows is dealt into blocks by hash, and each
+    two of its blocks are a cell that is compared apart, so that no task holds a hot region and none of its pairs is left out.
+    """
+    keys = [F.struct(F.lit(t).cast("tinyint").alias("tree"), F.expr(f"substring(sig, {2 * DEPTH * t + 1}, {2 * SHALLOW})").alias("key")) for t in range(TREES)]
+    rows = near.select("doc_id", "part", F.explode(F.array(*keys)).alias("t")).select("t.tree", "t.key", "doc_id", "part")
+    regions = rows.groupBy("tree", "key").agg(F.count("*").alias("size"), F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high")
+    regions = regions.select("tree", "key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    dealt = rows.select("tree", "key", "doc_id").join(regions, ["tree", "key"]).withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cell = ["tree", "key", "lo", "hi"]
+    cells = dealt.select("tree", "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "doc_id").join(near.select("doc_id", "n", "part", "sketch"), "doc_id")
+
+    def run(batches):
+        def pairs(rows):
+            rows = rows.combine_chunks()
+            n, ids, part, block = (rows.column(c).to_numpy() for c in ("n", "doc_id", "part", "block"))
+            across = rows.column("lo")[0].as_py() < rows.column("hi")[0].as_py()
+            sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
+            _, of = np.unique(part, return_inverse=True)
+            largest = of == np.argmax(np.bincount(of))
+            for i in np.flatnonzero(~largest).tolist():
+                j = np.flatnonzero((of != of[i]) & (largest | (np.arange(len(ids)) > i)) & (100 * np.minimum(n, n[i]) >= threshold * np.maximum(n, n[i])))
+                if across:
+                    j = j[block[j] != block[i]]
+                j = j[(sketch[j] == sketch[i]).mean(axis=1) >= threshold / 100 - SLACK]
+                if len(j):
+                    yield np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])], axis=1)
+
+        def cells_of(batches):
+            kept = None
+            for batch in batches:
+                if batch.num_rows:
+                    kept = pa.Table.from_batches([batch]) if kept is None else pa.concat_tables([kept, pa.Table.from_batches([batch])])
+                    columns = [kept.column(c).combine_chunks() for c in cell]
+                    new = np.zeros(kept.num_rows - 1, dtype=bool)
+                    for c in columns:
+                        new |= pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)).to_numpy(zero_copy_only=False)
+                    edges = [0, *(np.flatnonzero(new) + 1).tolist()]
+                    for b, e in zip(edges, edges[1:], strict=False):
+                        yield kept.slice(b, e - b)
+                    kept = kept.slice(edges[-1])
+            if kept is not None:
+                yield kept
+
+        found, size = [], 0
+        for rows in cells_of(batches):
+            for x in pairs(rows):
+                found.append(x)
+                size += len(x)
+                if size > 100_000:
+                    x = np.unique(np.concatenate(found), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["a", "b"])
+                    found, size = [], 0
+        if found:
+            x = np.unique(np.concatenate(found), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["a", "b"])
+
+    return cells.repartition(shuffle_partitions(near.sparkSession), *cell).sortWithinPartitions(*cell).mapInArrow(run, FOUND).distinct()
+
+
 LINKS = "a bigint, b bigint"
 
 
@@ -200,9 +266,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Rows with one set are linked by its digest, and one of them stands for all. These enter a forest of TREES orders sorted by
     MinHash values; neighbours with a common prefix are candidates, first those next to each other, then, of each region at the depth
-    where it is small enough, the pairs that would join what the first links left apart, the most similar by estimate first. All links are
-    confirmed on the whole sets. A link between components is missed only if its two sets share no region in any tree, or if
-    in each of these an estimate puts another pair in its place that isn't a link.
+    where it is small enough, the pairs that would join what the first links left apart, the most similar by estimate first. At last
+    all pairs of still different components that share SHALLOW values of some order are candidates, whatever the size of
+    the region. All links are confirmed on the whole sets. A link between components is missed only if its two sets share SHALLOW
+    values of no order, or if the estimate of its similarity is SLACK too low.
 
     Null, empty and blank texts have empty sets and are linked with nothing, nor are rows with a null id, whose component_id is null and
     which are kept. Rows that repeat an id are one node. Other columns are not read. Ids are whole numbers.
@@ -228,7 +295,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     near = written(near.select("doc_id", "n", "sig", low_bytes.alias("sketch"), F.coalesce("component", "doc_id").alias("part")), "near")
     forest = near.select("doc_id", "n", "part", "sketch", F.explode(F.array(*keys)).alias("t")).select("t.tree", "t.key", "n", "doc_id", "part", "sketch")
     more = written(_confirmed(_candidates(forest, threshold), texts, shingle, threshold), "links")
-    final = connected_components(links.unionByName(more).unionByName(same), "a", "b").select(F.col("node").alias("doc_id"), "component")
+    # The forest only saves comparisons: what it left apart is compared pair by pair.
+    parts = connected_components(links.unionByName(more), "a", "b").withColumnRenamed("node", "doc_id")
+    apart = written(near.drop("part").join(parts, "doc_id", "left").withColumn("part", F.coalesce("component", "doc_id")).drop("component"), "apart")
+    last = written(_confirmed(written(_remaining(apart, threshold), "candidates"), texts, shingle, threshold), "links")
+    final = connected_components(links.unionByName(more).unionByName(last).unionByName(same), "a", "b").select(F.col("node").alias("doc_id"), "component")
     out = sets.select("doc_id", "n_shingles").join(final, "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return out.select(F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
