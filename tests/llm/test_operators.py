@@ -74,6 +74,17 @@ def test_substring_dedup_spans_null_ids_and_repeated_ids(spark):
     assert (False, 3, 120, 120, [(0, 120)]) in got and (False, 3, 121, 120, [(1, 120)]) in got
 
 
+def test_substring_dedup_takes_every_place_inside_one_document(spark):
+    rng = random.Random(4)
+    some = lambda k: " ".join(f"w{rng.randrange(10**6)}" for _ in range(k))
+    rows = []
+    for d in range(10):
+        p = some(60)
+        rows += [(d, f"{some(20)} {p} {some(20)}"), (100 + d, " ".join([p] * 4)), (200 + d, f"{p} {some(9)} {p}")]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in substring_dedup(frame(spark, rows)).collect()}
+    assert got == brute.substring_dedup(rows)
+
+
 def test_line_dedup_equals_brute_force(spark):
     rows = documents(3)
     want = brute.line_dedup(rows)

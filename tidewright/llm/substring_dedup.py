@@ -71,7 +71,7 @@ def segments(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFra
     return docs.select("doc_id", "part", "text").mapInArrow(run, SEGMENTS)
 
 
-RUN = "anchor bigint, body int, doc_id bigint, at bigint, n int, own boolean, many boolean"
+RUN = "anchor bigint, body int, doc_id bigint, at bigint, n int, own boolean, many boolean, again boolean"
 WINDOWS = "doc_id bigint, at bigint, w1 bigint, w2 int"
 
 
@@ -152,8 +152,9 @@ def _cleaned(docs_with_spans: DataFrame) -> DataFrame:
 class FingerprintIndex:
     """Immutable runs of segment fingerprints: Parquet tables, bucketed and sorted by fingerprint, newest last.
 
-    A run's row is a segment that its batch holds: (anchor, body, doc_id, at, n, own, many): the first place, whether it is of this
-    run's documents (else only known from an older run), and whether other documents of the run hold the segment too.
+    A run's row is a segment that its batch holds: (anchor, body, doc_id, at, n, own, many, again): a place in the first document, whether it is
+    of this run's documents (else only known from an older run), whether other documents of the run hold the segment too, and whether
+    the run's batch holds it at more places than one, in whatever documents.
     ``append`` merge-joins a batch's fingerprints with each run, without moving the runs, and writes the outcome as a new run; runs whose
     sizes are within a factor ``fanout`` are then compacted into one by another merge. ``covered`` finds the repeated windows of
     documents that were appended. Batches are to be appended in ascending order of ids.
@@ -168,22 +169,22 @@ class FingerprintIndex:
     def _write(self, rows: DataFrame) -> tuple[str, str, int]:
         name = f"fp_run_{uuid.uuid4().hex}"
         path = f"{shared_dir(self.spark)}/{name}"
-        rows.select("anchor", "body", "doc_id", "at", "n", "own", "many").write.bucketBy(shuffle_partitions(self.spark), "anchor", "body").sortBy("anchor", "body").option("path", path).saveAsTable(name)
+        rows.select("anchor", "body", "doc_id", "at", "n", "own", "many", "again").write.bucketBy(shuffle_partitions(self.spark), "anchor", "body").sortBy("anchor", "body").option("path", path).saveAsTable(name)
         return name, path, self.spark.read.schema(RUN).parquet(path).count()
 
     def append(self, docs: DataFrame) -> None:
         """Fingerprints are combined per task before they are shuffled: a hash aggregate over numbers. Equal bodies have equal n."""
         found = segments(docs, self.window, self.gram).groupBy("anchor", "body")
-        new = found.agg(F.min("doc_id").alias("doc_id"), F.min_by("at", "doc_id").alias("at"), F.first("n").alias("n"), (F.max("doc_id") > F.min("doc_id")).alias("many")).withColumn("own", F.lit(True))
+        new = found.agg(F.min("doc_id").alias("doc_id"), F.min_by("at", "doc_id").alias("at"), F.first("n").alias("n"), (F.max("doc_id") > F.min("doc_id")).alias("many"), (F.count("*") > 1).alias("again")).withColumn("own", F.lit(True))
         for name, _, _ in self.runs:
             known = self.spark.table(name).filter("own").select("anchor", "body", F.col("doc_id").alias("_known"))
             new = new.join(known.hint("merge"), ["anchor", "body"], "left").withColumn("own", F.col("own") & F.col("_known").isNull()).withColumn("doc_id", F.coalesce("_known", "doc_id")).drop("_known")
         self.runs.append(self._write(new))
         while len(self.runs) > 1 and self.runs[-1][2] * self.fanout > self.runs[-2][2]:
             (a, path_a, _), (b, path_b, _) = self.runs[-2:]
-            older, newer = (self.spark.table(t).select("anchor", "body", F.struct("doc_id", "at", "n", "own", "many").alias(x)) for t, x in ((a, "x"), (b, "y")))
+            older, newer = (self.spark.table(t).select("anchor", "body", F.struct("doc_id", "at", "n", "own", "many", "again").alias(x)) for t, x in ((a, "x"), (b, "y")))
             merged = older.join(newer.hint("merge"), ["anchor", "body"], "full").withColumn("p", F.coalesce("x", "y"))
-            whole = self._write(merged.select("anchor", "body", "p.doc_id", "p.at", "p.n", "p.own", (F.col("p.many") | (F.col("x").isNotNull() & F.col("y").isNotNull())).alias("many")))
+            whole = self._write(merged.select("anchor", "body", "p.doc_id", "p.at", "p.n", "p.own", (F.col("p.many") | (F.col("x").isNotNull() & F.col("y").isNotNull())).alias("many"), "p.again"))
             for name, path in ((a, path_a), (b, path_b)):
                 self.spark.sql(f"DROP TABLE {name}")
                 _delete(self.spark, path)
@@ -193,17 +194,20 @@ class FingerprintIndex:
         """(doc_id, part, spans): stretches of words covered by windows that also start in a smaller doc_id.
 
         A segment known from a smaller doc_id is covered whole. Else two equal windows lie in segments of one anchor and
-        different bodies: of those, the first places alone are opened, and their windows' digests compared one by one. A later
-        place of a segment needs no look: its first place has the same windows and a smaller doc_id.
+        different bodies: of those, all places in the segment's first document are opened, and their windows' digests compared one by
+        one. A place in a later document needs no look: it is covered whole.
         Joins and aggregates only, so hot segments, anchors and windows are combined or split by Spark.
         """
         index = self.spark.read.schema(RUN).parquet(*[path for _, path, _ in self.runs])
-        twice = index.filter("many or not own").select("anchor", "body", F.col("doc_id").alias("_first"))
-        whole = segments(docs, self.window, self.gram).join(twice, ["anchor", "body"]).filter("doc_id > _first").select("doc_id", "at", (F.col("n") + self.window - 1).alias("n"))
         own = index.filter("own")
         mixed = own.groupBy("anchor").agg(F.count("*").alias("_bodies")).filter("_bodies > 1").select("anchor")
+        twice = index.filter("many or again or not own").select("anchor", "body", F.col("doc_id").alias("_first"))
+        hits = segments(docs, self.window, self.gram).join(twice, ["anchor", "body"]).filter("doc_id >= _first")
+        hits = written(hits.select("anchor", "doc_id", "at", "n", (F.col("doc_id") > F.col("_first")).alias("later")), "hits")
+        whole = hits.filter("later").select("doc_id", "at", (F.col("n") + self.window - 1).alias("n"))
+        places = own.filter("not again").select("anchor", "doc_id", "at", "n").unionByName(hits.filter("not later").drop("later"))
         part = F.shiftright("at", 32).cast("int").alias("part")
-        opened = own.select("anchor", "doc_id", "at", "n").join(mixed, "anchor").groupBy("doc_id", part).agg(F.collect_set(F.struct("at", "n")).alias("spans"))
+        opened = places.join(mixed, "anchor").groupBy("doc_id", part).agg(F.collect_set(F.struct("at", "n")).alias("spans"))
         windows = _windows(docs.join(opened, ["doc_id", "part"]), self.window)
         least = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("_first"))
         single = windows.join(least, ["w1", "w2"]).filter("doc_id > _first").select("doc_id", "at", F.lit(self.window).alias("n"))
