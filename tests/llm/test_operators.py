@@ -19,7 +19,7 @@ from tidewright.llm.line_dedup import line_dedup
 from tidewright.llm.near_dedup import near_duplicates
 from tidewright.llm.packing import best_fit_rounds, pack_documents
 from tidewright.llm.quality import classify_quality
-from tidewright.llm.substring_dedup import substring_dedup
+from tidewright.llm.substring_dedup import segments, substring_dedup
 from tidewright.llm.url_filter import filter_urls
 from tidewright.llm.words import blocks
 
@@ -85,6 +85,12 @@ def test_substring_dedup_takes_every_place_inside_one_document(spark):
     assert got == brute.substring_dedup(rows)
 
 
+def test_segments_of_one_anchor_differ_in_64_bits(spark):
+    docs = spark.createDataFrame([(d, 0, " ".join(f"w{d}_{i}" for i in range(90))) for d in range(20)], "doc_id bigint, part int, text string")
+    bodies = [r.body for r in segments(docs).collect()]
+    assert len({b >> 32 for b in bodies}) > 20 and len({b & 0xFFFFFFFF for b in bodies}) > 20
+
+
 def test_line_dedup_equals_brute_force(spark):
     rows = documents(3)
     want = brute.line_dedup(rows)

@@ -33,7 +33,8 @@ def _segments(block, window: int, gram: int):
     n = len(block.starts)
     if n < window:
         return None
-    sums = Sums(block.hashes())
+    hashes = block.hashes()
+    sums = Sums(hashes)
     grams = sums.of(np.arange(n - gram + 1), np.arange(gram, n + 1))
     keys = (grams & ~_POSITION) | np.arange(len(grams), dtype=np.uint64)
     anchor = (_least(keys, window - gram + 1) & _POSITION).astype(np.int64)
@@ -46,14 +47,14 @@ def _segments(block, window: int, gram: int):
     ends = whole.copy()
     ends[:-1] &= (anchor[1:] != anchor[:-1]) | ~whole[1:]
     last = np.flatnonzero(ends)
-    return block.row[first], first - block.first[block.row[first]], last - first + 1, grams[anchor[first]], sums.of(first, last + window)
+    return block.row[first], first - block.first[block.row[first]], last - first + 1, grams[anchor[first]], Sums(hashes, "b").of(first, last + window)
 
 
-SEGMENTS = "doc_id bigint, at bigint, n int, anchor bigint, body int"
+SEGMENTS = "doc_id bigint, at bigint, n int, anchor bigint, body bigint"
 
 
 def segments(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Per document (doc_id, part, text) its segments; anchor and body together are a 96-bit digest of a segment's words.
+    """Per document (doc_id, part, text) its segments; body is a 64-bit digest of a segment's words, of another base than the anchor's.
 
     ``at`` is the place of the first window, with the row's part in its upper half.
     """
@@ -65,13 +66,13 @@ def segments(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFra
                 if found := _segments(b, window, gram):
                     row, at, n, anchor, body = found
                     of = row + b.first_row
-                    columns = [ids.take(pa.array(of)), pa.array(at + part[of]), pa.array(n.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array((body >> np.uint64(32)).astype(np.uint32).view(np.int32))]
+                    columns = [ids.take(pa.array(of)), pa.array(at + part[of]), pa.array(n.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(body.view(np.int64))]
                     yield pa.RecordBatch.from_arrays(columns, ["doc_id", "at", "n", "anchor", "body"])
 
     return docs.select("doc_id", "part", "text").mapInArrow(run, SEGMENTS)
 
 
-RUN = "anchor bigint, body int, doc_id bigint, at bigint, n int, own boolean, many boolean, again boolean"
+RUN = "anchor bigint, body bigint, doc_id bigint, at bigint, n int, own boolean, many boolean, again boolean"
 WINDOWS = "doc_id bigint, at bigint, w1 bigint, w2 int"
 
 
