@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from array import array
 from bisect import bisect_left
@@ -23,6 +24,12 @@ RANK_PART = 50_000
 #: Up to so many placement runs (five whole numbers each) are broadcast; more are joined by shuffle.
 BROADCAST_RUNS = 200_000
 
+
+def _only_letters(word: str) -> bool:
+    """Whether a word is letters alone, also in the form that the tokenizer reads: some letters become a letter and a combining mark there."""
+    return word.isalpha() and unicodedata.normalize("NFC", word).lower().isalpha()
+
+
 class _WordIds:
     """Ids of words (bytes without white space) as little-endian uint32 bytes, remembered as long as the Python worker lives.
 
@@ -69,7 +76,7 @@ class _WordIds:
         split, alone = [], []
         for w in new:
             letters = w.rstrip(self.MARKS)
-            if letters and (letters.isalpha() or letters.decode().isalpha()):
+            if letters.isalpha() or _only_letters(letters.decode()):
                 split.append((w, letters.lower(), w[len(letters) :]))
             else:
                 alone.append(w)
