@@ -51,18 +51,22 @@ def vessel_prefix(c: Column) -> Column:
     return F.when(F.startswith(code, F.lit("UN")), "UN").when(F.startswith(code, F.lit("FC")), "FC").when(F.startswith(code, F.lit("CN")), "CN").otherwise("OTHER")
 
 
-def classify_cargo(c: Column, exact: dict[str, str], patterns: list[tuple[str, str]]) -> Column:
-    """struct(group, match): a normalized text by the dictionary, else by the first pattern found in it (in order, any case), else UNKNOWN.
+def _cargo(group: str, match: str) -> Column:
+    return F.struct(F.lit(group).alias("group"), F.lit(match).alias("match"))
+
 
-    For rule sets that fit in a query; ``classify_by_table`` takes larger dictionaries.
-    """
+def classify_cargo(c: Column, exact: dict[str, str], patterns: list[tuple[str, str]]) -> Column:
+    """struct(group, match): a normalized text by the dictionary, whose keys are normalized likewise (of keys that become one the last counts), else by
+    the first pattern found in it (in order, any case), else UNKNOWN. The dictionary is one map, looked up by hash."""
     text = normalize_name(c)
-    out = F.when(text.isNull(), F.struct(F.lit("UNKNOWN").alias("group"), F.lit("unknown").alias("match")))
-    for key, group in exact.items():
-        out = out.when(text == key.upper(), F.struct(F.lit(group).alias("group"), F.lit("exact").alias("match")))
+    out = F.when(text.isNull(), _cargo("UNKNOWN", "unknown"))
+    known = {" ".join(key.upper().split()): group for key, group in exact.items()}
+    if known:
+        table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+        out = out.when(table[text].isNotNull(), F.struct(table[text].alias("group"), F.lit("exact").alias("match")))
     for pattern, group in patterns:
-        out = out.when(text.rlike(f"(?i){pattern}"), F.struct(F.lit(group).alias("group"), F.lit("regex").alias("match")))
-    return out.otherwise(F.struct(F.lit("UNKNOWN").alias("group"), F.lit("unknown").alias("match")))
+        out = out.when(text.rlike(f"(?i){pattern}"), _cargo(group, "regex"))
+    return out.otherwise(_cargo("UNKNOWN", "unknown"))
 
 
 def classify_vessel(name_cn: Column, name_en: Column, code: Column, imo: Column, mmsi: Column, rules: list[tuple[str, str, str]]) -> Column:

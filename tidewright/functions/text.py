@@ -80,11 +80,15 @@ def week_start(c: Column) -> Column:
 
 
 def month_day_near(c: Column, now: Column) -> Column:
-    """``MM-dd HH:mm`` without a year, in the year that puts it nearest to ``now``; ``01-01 00:00`` means unknown, a 29 February falls only in leap years."""
-    text = clean(c)
-    tries = F.array(*[F.try_to_timestamp(F.concat((F.year(now) + k).cast("string"), F.lit("-"), text), F.lit("yyyy-MM-dd HH:mm")) for k in (-1, 0, 1)])
+    """``M-d H:mm`` without a year (one or two digits, any white space between), in the year that puts it nearest to ``now``, of equal ones the earlier;
+    ``01-01 00:00`` means unknown, a 29 February falls only in leap years."""
+    text = F.trim(c)
+    parts = [F.regexp_extract(text, r"^(\d{1,2})-(\d{1,2})\s+(\d{1,2}):(\d{2})$", i + 1) for i in range(4)]
+    month, day, hour, minute = (F.lpad(p, 2, "0") for p in parts)
+    moment = F.concat(month, F.lit("-"), day, F.lit(" "), hour, F.lit(":"), minute)
+    tries = F.array(*[F.try_to_timestamp(F.concat((F.year(now) + k).cast("string"), F.lit("-"), moment), F.lit("yyyy-MM-dd HH:mm")) for k in (-1, 0, 1)])
     gaps = F.transform(F.filter(tries, lambda t: t.isNotNull()), lambda t: F.struct(F.abs(F.unix_timestamp(t) - F.unix_timestamp(now)).alias("gap"), t.alias("t")))
-    return F.when(text.rlike(r"^\d\d-\d\d \d\d:\d\d$") & (text != "01-01 00:00"), F.array_min(gaps)["t"])
+    return F.when((parts[3] != "") & (moment != "01-01 00:00"), F.array_min(gaps)["t"])
 
 
 def before(c: Column, mark: str) -> Column:

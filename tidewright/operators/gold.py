@@ -15,7 +15,7 @@ from tidewright.operators.asof import latest
 FLOW_KEYS = ["flow_date", "terminal", "direction", "route", "cargo_group", "operator"]
 #: A delay outside these hours is an error of the source; what lies further ahead than so many days, or before that date, is no plan.
 DELAY_HOURS, HORIZON_DAYS, FIRST_DATE = (0, 720), 180, dt.date(2000, 1, 1)
-SUMS = ["vgm_count", "vgm_weight_kg", "release_count", "release_weight", "release_weight_kg", "release_pieces", "transship_count", "transship_weight", "transship_volume", "planned_calls", "actual_calls"]
+SUMS = ["vgm_count", "vgm_weight_kg", "release_count", "release_weight", "release_weight_kg", "release_volume", "release_pieces", "transship_count", "transship_weight", "transship_volume", "planned_calls", "actual_calls"]
 
 
 def delay_hours(planned: Column, actual: Column) -> Column:
@@ -38,12 +38,12 @@ def latest_plans(snapshots: DataFrame, tie: list[str]) -> DataFrame:
     return latest(snapshots, keys, ["snapshot_time", *tie])
 
 
-def daily_flow(vgm: DataFrame, release: DataFrame, transship: DataFrame, plans: DataFrame) -> DataFrame:
+def daily_flow(vgm: DataFrame, release: DataFrame, transship: DataFrame, plans: DataFrame, anchor: dt.date | None = None, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """Four facts in one bucket of six keys. Facts bring what they have of FLOW_KEYS (absent: empty; a transshipment's missing cargo
-    group: UNKNOWN) and their measures: vgm weight_kg; release bill_no, weight, weight_kg, pieces; transship container_no, weight, volume;
+    group: UNKNOWN) and their measures: vgm weight_kg; release bill_no, weight, weight_kg, volume, pieces; transship container_no, weight, volume;
     plans arrived (boolean), arrival_delay_h, departure_delay_h. Sums of nothing are 0, delays of nothing null.
 
-    One union and one aggregate, combined before the only shuffle.
+    With an ``anchor`` only dates that ``allowed_date`` allows count. One union and one aggregate, combined before the only shuffle.
     """
 
     def part(df: DataFrame, measures: dict[str, Column]) -> DataFrame:
@@ -57,10 +57,12 @@ def daily_flow(vgm: DataFrame, release: DataFrame, transship: DataFrame, plans:
         transship = transship.withColumn("cargo_group", F.lit("UNKNOWN"))
     parts = [
         part(vgm, {"vgm_count": F.lit(1).cast("bigint"), "vgm_weight_kg": F.col("weight_kg")}),
-        part(release, {"release_count": one(has_value(F.col("bill_no"))), "release_weight": F.col("weight"), "release_weight_kg": F.col("weight_kg"), "release_pieces": F.col("pieces")}),
+        part(release, {"release_count": one(has_value(F.col("bill_no"))), "release_weight": F.col("weight"), "release_weight_kg": F.col("weight_kg"), "release_volume": F.col("volume"), "release_pieces": F.col("pieces")}),
         part(transship, {"transship_count": one(has_value(F.col("container_no"))), "transship_weight": F.col("weight"), "transship_volume": F.col("volume")}),
         part(plans, {"planned_calls": F.lit(1).cast("bigint"), "actual_calls": one(F.col("arrived")), "arrival_delay": valid_delay(F.col("arrival_delay_h")), "departure_delay": valid_delay(F.col("departure_delay_h"))}),
     ]
+    if anchor is not None:
+        parts = [p.filter(allowed_date(F.col("flow_date"), anchor, start, end)) for p in parts]
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return whole.groupBy(*FLOW_KEYS).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in SUMS], F.avg("arrival_delay").alias("avg_arrival_delay"), F.avg("departure_delay").alias("avg_departure_delay"))
 
@@ -71,16 +73,21 @@ def weekly_flow(daily: DataFrame) -> DataFrame:
     return daily.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMS], *[F.avg(c).alias(c) for c in ("avg_arrival_delay", "avg_departure_delay")])
 
 
-def gate_daily(events: DataFrame, quarantined: DataFrame) -> DataFrame:
+def gate_daily(events: DataFrame, quarantined: DataFrame, anchor: dt.date | None = None) -> DataFrame:
     """Gate throughput by day and direction from events (type, direction, container_no, size_code, in_time, out_time, vesselcode, voyage).
 
     IN or OUT is said by ``type`` alone: an OUT event may carry an old in time. A container counts once a day, direction and kind, with its
-    largest TEU. Quarantined pairs are left out.
+    largest TEU, whatever the case of its number and the spaces around it; events without a number or a time don't count. Quarantined pairs are left out, and
+    with an ``anchor`` so are dates that ``allowed_date`` doesn't allow.
     """
     rows = events.join(quarantined.select("vesselcode", "voyage").distinct(), ["vesselcode", "voyage"], "left_anti")
     kind = F.when(F.col("type") == "GATE_IN", "IN").when(F.col("type") == "GATE_OUT", "OUT")
-    moves = rows.select(F.coalesce("direction", F.lit("")).alias("direction"), kind.alias("kind"), "container_no", flow_date(F.when(kind == "IN", F.col("in_time")).otherwise(F.col("out_time"))).alias("flow_date"), teu(F.col("size_code")).alias("teu"))
-    once = moves.filter("kind is not null and flow_date is not null").groupBy("flow_date", "direction", "kind", "container_no").agg(F.max("teu").alias("teu"))
+    at = flow_date(F.when(kind == "IN", F.col("in_time")).otherwise(F.col("out_time")))
+    moves = rows.select(F.coalesce("direction", F.lit("")).alias("direction"), kind.alias("kind"), F.upper(F.trim("container_no")).alias("container_no"), at.alias("flow_date"), teu(F.col("size_code")).alias("teu"))
+    moves = moves.filter("kind is not null and flow_date is not null and container_no <> ''")
+    if anchor is not None:
+        moves = moves.filter(allowed_date(F.col("flow_date"), anchor))
+    once = moves.groupBy("flow_date", "direction", "kind", "container_no").agg(F.max("teu").alias("teu"))
     side = lambda k: F.col("kind") == k
     return once.groupBy("flow_date", "direction").agg(
         F.count_if(side("IN")).alias("in_count"), F.count_if(side("OUT")).alias("out_count"), F.countDistinct("container_no").alias("unique_containers"),

@@ -34,9 +34,18 @@ def all_movements(*sources: tuple[DataFrame, str, Column]) -> DataFrame:
     return out
 
 
-def container_catalog(events: DataFrame) -> DataFrame:
-    """First and last event, number of events and validity of each container, and the state of its work."""
-    out = events.groupBy("container_no").agg(F.min("event_time").alias("first_event"), F.max("event_time").alias("last_event"), F.count("*").alias("events"))
+def container_catalog(events: DataFrame, quarantined: DataFrame) -> DataFrame:
+    """First and last event, number of events and validity of each container, and the state of its work.
+
+    Events (container_no, in_time, out_time, received_time, vesselcode, voyage) of quarantined pairs don't count, nor do those without a container; numbers are
+    taken without case and surrounding spaces. The first event goes by the in time, else the out time, else the message's; the last by out, then in. Times are
+    texts of one form each, as the source has them.
+    """
+    at = lambda *names: F.coalesce(*[F.nullif(F.trim(n), F.lit("")) for n in names])
+    rows = events.join(quarantined.select("vesselcode", "voyage").distinct(), ["vesselcode", "voyage"], "left_anti").withColumn("container_no", F.upper(F.trim("container_no")))
+    out = rows.filter("container_no <> ''").groupBy("container_no").agg(
+        F.min(at("in_time", "out_time", "received_time")).alias("first_event"), F.max(at("out_time", "in_time", "received_time")).alias("last_event"), F.count("*").alias("events")
+    )
     return out.withColumn("valid", iso6346_valid(F.col("container_no"))).withColumn("status", F.when(F.col("valid"), "pending").otherwise("invalid"))
 
 

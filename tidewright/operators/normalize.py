@@ -10,7 +10,15 @@ from tidewright.functions.text import business_key, clean, digest, normalize_nam
 
 #: Version of the rule by which a cargo weight is taken as kilograms.
 WEIGHT_RULE = "cargo-weight-kg-v1"
-PLAN_TIMES = ("ctnStartTime", "ctnEndTime", "eta", "etd", "ata", "atd", "closingTime", "ctnApplyBeginTime", "ctnApplyEndTime", "publishTime", "updateTime")
+#: The times of a vessel plan, and its texts, by the name that the source gives them.
+PLAN_TIMES = {
+    "ctnStartTime": "ctn_start_time", "ctnEndTime": "ctn_end_time", "customCloseTime": "custom_close_time", "portCloseTime": "port_close_time", "eta": "eta", "etd": "etd",
+    "ata": "ata", "atd": "atd", "etanchor": "estimated_anchor_time", "atanchor": "actual_anchor_time", "publishTime": "publish_time",
+}
+PLAN_TEXTS = {
+    "vesselUnCode": "vessel_code", "vesselCnName": "vessel_cn_name", "voyage": "voyage", "terminal": "terminal_code", "vesselDirect": "direction", "tradeFlag": "trade_flag",
+    "lastPortCode": "last_port_code", "nextPortCode": "next_port_code", "berthReference": "berth_reference", "status": "status", "published": "published",
+}
 
 
 def _have(df: DataFrame, *names: str) -> DataFrame:
@@ -18,71 +26,93 @@ def _have(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.lit(None).cast("string") for n in names if n not in df.columns})
 
 
+def _texts(names: dict[str, str]) -> list[Column]:
+    return [clean(F.col(c)).alias(n) for c, n in names.items()]
+
+
+def _key(rows: DataFrame, *names: str, need_all: bool = False) -> Column:
+    return business_key([F.col(c) for c in names], row_json(*rows.columns), need_all).alias("business_key_hash")
+
+
+def _record_hash(rows: DataFrame) -> Column:
+    """Digest of the whole source row; fields that it lacks don't count."""
+    return digest(row_json(*rows.columns)).alias("record_hash")
+
+
 def normalize_vgm(rows: DataFrame) -> DataFrame:
     """Verified gross mass. ``direction`` is the source's container type; ``quality`` notes a weight that is given but not a number."""
-    names = ("containerNumber", "vesselcode", "vessel", "voyage", "operatetime", "senderCode", "containerType", "vgmGrossWeight", "portreceiverdate")
-    rows = _have(rows, *names)
+    texts = {"containerNumber": "container_no", "vesselcode": "vessel_code", "vessel": "vessel_name_raw", "voyage": "voyage", "receiverCode": "terminal_code", "ctnOperatorCode": "operator_code", "containerType": "direction"}
+    more = {"containerType": "container_type", "vgmMethod": "vgm_method", "resultCode": "result_code", "resultDescripts": "result_description", "senderCode": "sender_code", "receiverCode": "receiver_code"}
+    rows = _have(rows, *texts, *more, "vgmGrossWeight", "operatetime", "portreceiverdate")
     weight = parse_number(F.col("vgmGrossWeight"))
     bad = clean(F.col("vgmGrossWeight")).isNotNull() & weight.isNull()
     return rows.select(
-        business_key([F.col(c) for c in ("containerNumber", "vesselcode", "voyage", "operatetime", "senderCode")], row_json(*rows.columns)).alias("business_key_hash"),
-        clean(F.col("containerNumber")).alias("container_no"), clean(F.col("vesselcode")).alias("vessel_code"), clean(F.col("voyage")).alias("voyage"),
-        clean(F.col("containerType")).alias("direction"), weight.alias("weight_kg"), parse_time(F.col("operatetime")).alias("event_time"),
-        parse_time(F.col("portreceiverdate")).alias("received_time"), F.when(bad, '{"invalid_vgm_weight":true}').otherwise("{}").alias("quality"),
+        _key(rows, "containerNumber", "vesselcode", "voyage", "operatetime", "senderCode"), *_texts(texts), *_texts(more), weight.alias("vgm_weight_kg"),
+        parse_time(F.col("operatetime")).alias("operator_time"), parse_time(F.col("portreceiverdate")).alias("terminal_received_time"),
+        F.when(bad, '{"invalid_vgm_weight":true}').otherwise("{}").alias("quality"), _record_hash(rows),
     )
 
 
 def normalize_release(rows: DataFrame) -> DataFrame:
-    """Cargo release. ``cargovolum`` is a piece count; a gross weight counts as kilograms only when it is a number from 0 on."""
-    rows = _have(rows, "billno", "vesselcode", "voyage", "direct", "passtime", "cpcode", "cargovolum", "grossweight", "flag")
-    weight = parse_number(F.col("grossweight"))
+    """Cargo release. ``cargovolum`` is a piece count, kept as a volume too; a gross weight counts as kilograms only when it is a number from 0 on."""
+    texts = {"billno": "bill_no", "vesselcode": "vessel_code", "envessel": "vessel_name_raw", "voyage": "voyage", "direct": "direction", "cpcode": "terminal_code", "flag": "flag"}
+    rows = _have(rows, *texts, "passtime", "cargovolum", "grossweight")
+    weight, pieces = parse_number(F.col("grossweight")), parse_number(F.col("cargovolum"))
     good = F.coalesce(weight >= 0, F.lit(False))
     return rows.select(
-        business_key([F.col(c) for c in ("billno", "vesselcode", "voyage", "direct")], row_json(*rows.columns)).alias("business_key_hash"),
-        clean(F.col("billno")).alias("bill_no"), clean(F.col("vesselcode")).alias("vessel_code"), clean(F.col("voyage")).alias("voyage"), clean(F.col("direct")).alias("direction"),
-        clean(F.col("cpcode")).alias("operator"), parse_time(F.col("passtime")).alias("event_time"), weight.alias("gross_weight"), F.when(good, weight).alias("gross_weight_kg"),
-        F.when(good, "kg").alias("weight_unit"), F.when(good, WEIGHT_RULE).alias("weight_rule"), parse_number(F.col("cargovolum")).alias("piece_count"),
+        _key(rows, "billno", "vesselcode", "voyage", "passtime", "cpcode"), *_texts(texts), parse_time(F.col("passtime")).alias("pass_time"), pieces.alias("cargo_volume"),
+        weight.alias("gross_weight"), pieces.alias("piece_count"), F.when(good, weight).alias("gross_weight_kg"), F.when(good, "kg").alias("weight_unit"),
+        F.when(good, WEIGHT_RULE).alias("weight_rule"), _record_hash(rows),
     )
 
 
 def normalize_transshipment(rows: DataFrame, exact: dict[str, str], patterns: list[tuple[str, str]]) -> DataFrame:
-    rows = _have(rows, "ctnNo", "billNo", "firstVesselCode", "firstVoyage", "secondVesselCode", "secondVoyage", "firstLoadPortCode", "firstDischargePortCode", "secondTransPortCode", "cargoDescription", "quantity", "weight", "volume", "sailingDate", "terminal", "ctnOperatorCode")
+    """Transshipments, with the cargo's group; ``route`` joins the three ports."""
+    texts = {
+        "ctnNo": "container_no", "ctnOperatorCode": "operator_code", "billNo": "bill_no", "cargoDescription": "cargo_description_raw", "firstVesselCode": "first_vessel_code", "firstVoyage": "first_voyage",
+        "firstLoadPortCode": "first_load_port_code", "firstDischargePortCode": "first_discharge_port_code", "secondVesselCode": "second_vessel_code", "secondVoyage": "second_voyage",
+        "secondTransPortCode": "second_trans_port_code", "terminal": "terminal_code", "checkFlag": "check_flag", "sendFlag": "send_flag",
+    }
+    rows = _have(rows, *texts, "quantity", "weight", "volume", "sailingDate", "cutOffDate")
     cargo = classify_cargo(F.col("cargoDescription"), exact, patterns)
+    route = F.concat_ws(":", *[F.coalesce(clean(F.col(c)), F.lit("")) for c in ("firstLoadPortCode", "firstDischargePortCode", "secondTransPortCode")])
     return rows.select(
-        business_key([F.col(c) for c in ("ctnNo", "billNo", "firstVesselCode", "firstVoyage", "secondVesselCode", "secondVoyage")], row_json(*rows.columns)).alias("business_key_hash"),
-        clean(F.col("ctnNo")).alias("container_no"), clean(F.col("billNo")).alias("bill_no"), clean(F.col("terminal")).alias("terminal"), clean(F.col("ctnOperatorCode")).alias("operator"),
-        F.concat_ws(":", *[F.coalesce(clean(F.col(c)), F.lit("")) for c in ("firstLoadPortCode", "firstDischargePortCode", "secondTransPortCode")]).alias("route"),
-        cargo["group"].alias("cargo_group"), cargo["match"].alias("cargo_match"), parse_number(F.col("quantity")).alias("quantity"), parse_number(F.col("weight")).alias("weight"),
-        parse_number(F.col("volume")).alias("volume"), parse_time(F.col("sailingDate")).alias("event_time"),
+        _key(rows, "ctnNo", "firstVesselCode", "firstVoyage", "secondVesselCode", "secondVoyage", "billNo"), *_texts(texts), route.alias("route"), cargo["group"].alias("cargo_group"),
+        cargo["match"].alias("cargo_match"), *[parse_number(F.col(c)).alias(c) for c in ("quantity", "weight", "volume")], parse_time(F.col("sailingDate")).alias("sailing_date"),
+        parse_time(F.col("cutOffDate")).alias("cutoff_date"), _record_hash(rows),
     )
 
 
-def normalize_container_event(rows: DataFrame) -> DataFrame:
-    """History rows: the code isn't interpreted and the time isn't known, so both say so."""
-    rows = _have(rows, "ctnno", "vesselcode", "voyage", "direct", "operateId", "blNo")
+def normalize_container_event(rows: DataFrame, asked: str = "asked_container") -> DataFrame:
+    """History rows of the container named in ``asked``, which is part of the key: the code isn't interpreted and the time isn't known, so both say so."""
+    texts = {"operateId": "event_code_raw", "vesselcode": "vessel_code", "voyage": "voyage", "cpcode": "terminal_code", "direct": "direction", "blNo": "bill_no"}
+    rows = _have(rows, asked, "ctnno", *texts)
+    source = row_json(*[c for c in rows.columns if c != asked])
+    key = business_key([F.col(c) for c in (asked, "vesselcode", "voyage", "cpcode", "operateId", "blNo")], source)
     return rows.select(
-        business_key([F.col(c) for c in ("ctnno", "vesselcode", "voyage", "operateId", "blNo")], row_json(*rows.columns)).alias("business_key_hash"),
-        clean(F.col("ctnno")).alias("container_no"), F.lit("UNKNOWN").alias("event_type"), clean(F.col("operateId")).alias("raw_code"), F.lit(None).cast("timestamp").alias("event_time"),
+        key.alias("business_key_hash"), F.coalesce(clean(F.col("ctnno")), F.col(asked)).alias("container_no"), F.lit("UNKNOWN").alias("event_type"), F.lit(None).cast("timestamp").alias("event_time"),
+        *_texts(texts), F.lit("ediContainerlog").alias("event_source"), F.lit("unverified").alias("event_confidence"), digest(source).alias("record_hash"),
     )
 
 
 def normalize_plan(rows: DataFrame) -> DataFrame:
-    """Vessel plan snapshots; the estimate of arrival isn't part of the key, so a revised plan keeps it."""
-    rows = _have(rows, "vesselUnCode", "voyage", "terminal", "vesselDirect", "vesselEnName", "vesselCnName", "tradeFlag", "status", *PLAN_TIMES)
-    key = business_key([F.col(c) for c in ("vesselUnCode", "voyage", "terminal", "vesselDirect")], row_json(*rows.columns), need_all=True)
-    texts = {"vesselUnCode": "vessel_code", "voyage": "voyage", "terminal": "terminal_code", "vesselDirect": "direction", "vesselCnName": "vessel_cn_name", "tradeFlag": "trade_flag", "status": "status"}
-    return rows.select(key.alias("business_key_hash"), normalize_name(F.col("vesselEnName")).alias("vessel_en_name"), *[clean(F.col(c)).alias(n) for c, n in texts.items()], *[parse_time(F.col(c)).alias(c) for c in PLAN_TIMES], digest(row_json(*rows.columns)).alias("record_hash"))
+    """Vessel plan snapshots; the estimate of arrival isn't part of the key, so a revised plan keeps it. The source's update time is its publish time."""
+    rows = _have(rows, *PLAN_TEXTS, *PLAN_TIMES, "vesselEnName")
+    return rows.select(
+        _key(rows, "vesselUnCode", "voyage", "terminal", "vesselDirect", need_all=True), normalize_name(F.col("vesselEnName")).alias("vessel_en_name"), *_texts(PLAN_TEXTS),
+        *[parse_time(F.col(c)).alias(n) for c, n in PLAN_TIMES.items()], parse_time(F.col("publishTime")).alias("source_update_time"), _record_hash(rows),
+    )
 
 
 def normalize_notice(rows: DataFrame) -> DataFrame:
-    """Container notices; the two container times belong to the key. Ports are sorted before they are hashed, so their order is no revision."""
-    rows = _have(rows, "vesselcode", "voyage", "matou", "ioflag", "ctnstart", "ctnend", "ediports", "vesselename")
+    """Container notices; the two container times belong to the key, the direction doesn't. Ports are sorted before they are hashed, so their order is no revision."""
+    texts = {"vesselcode": "vessel_code", "voyage": "voyage", "matou": "terminal_code", "ioflag": "direction", "ediports": "ports_raw", "vesselowner": "vessel_operator"}
+    rows = _have(rows, *texts, "ctnstart", "ctnend", "vesselename", "revtime")
     ports = F.array_join(F.array_sort(F.split(F.coalesce(clean(F.col("ediports")), F.lit("")), r"[,;\s]+")), ",")
-    key = business_key([F.col(c) for c in ("vesselcode", "voyage", "matou", "ioflag", "ctnstart", "ctnend")], row_json(*rows.columns), need_all=True)
     rest = sorted(set(rows.columns) - {"ediports"})
     return rows.select(
-        key.alias("business_key_hash"), normalize_name(F.col("vesselename")).alias("vessel_en_name"), clean(F.col("vesselcode")).alias("vessel_code"), clean(F.col("voyage")).alias("voyage"),
-        clean(F.col("matou")).alias("terminal_code"), clean(F.col("ioflag")).alias("direction"), parse_time(F.col("ctnstart")).alias("ctn_start"), parse_time(F.col("ctnend")).alias("ctn_end"),
+        _key(rows, "vesselcode", "voyage", "matou", "ctnstart", "ctnend", need_all=True), normalize_name(F.col("vesselename")).alias("vessel_en_name"), *_texts(texts),
+        parse_time(F.col("ctnstart")).alias("ctn_start_time"), parse_time(F.col("ctnend")).alias("ctn_end_time"), parse_time(F.col("revtime")).alias("source_update_time"),
         ports.alias("ports"), digest(F.concat_ws("|", row_json(*rest), ports)).alias("record_hash"),
     )
 

@@ -7,8 +7,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewright.functions.text import week_start
+
 #: Weights of the pressure index by curve type.
-PRESSURE_WEIGHTS = {"planned_calls": 0.2, "vgm_count": 0.25, "release_count": 0.2, "transship_count": 0.15, "arrival_delay": 0.1, "plan_revision": 0.1}
+PRESSURE_WEIGHTS = {"vgm": 0.30, "cargo_release": 0.20, "transshipment": 0.15, "arrival_delay": 0.15, "departure_delay": 0.10, "plan_revision": 0.10}
+#: Curve types by the column of a daily or weekly aggregate that they are summed from, or averaged from; and those of gate throughput.
+SUM_CURVES = {
+    "planned_demand": "planned_calls", "vgm": "vgm_weight_kg", "cargo_release": "release_weight_kg", "cargo_release_piece_count": "release_pieces", "transshipment": "transship_weight",
+    "container_vgm_count": "vgm_count", "released_bill_count": "release_count", "transshipment_container_count": "transship_count",
+}
+MEAN_CURVES = {"arrival_delay": "avg_arrival_delay", "departure_delay": "avg_departure_delay"}
+GATE_CURVES = {"gate_in_container_count": "in_count", "gate_out_container_count": "out_count", "gate_in_teu": "in_teu", "gate_out_teu": "out_teu"}
 SERIES = ["entity_key", "curve_type", "granularity", "model_version"]
 
 
@@ -19,11 +28,21 @@ def revision_points(snapshots: DataFrame, tie: list[str]) -> DataFrame:
     return changed.select(F.to_date("snapshot_time").alias("flow_date"), "terminal", F.lit("").alias("direction"), F.lit(1.0).alias("value"))
 
 
-def build_curves(gold: DataFrame, bucket: str, sums: list[str], means: list[str], granularity: str, model_version: str) -> DataFrame:
-    """Gold metrics melted into (curve_type, entity_key, granularity, model_version, time_bucket, value), summed or averaged over an entity ``terminal:direction``."""
-    metrics = F.array(*[F.struct(F.lit(m).alias("curve_type"), F.col(m).cast("double").alias("value"), F.lit(m in means).alias("mean")) for m in [*sums, *means]])
-    entity = F.concat_ws(":", F.when(F.trim("terminal") == "", "UNKNOWN").otherwise(F.coalesce("terminal", F.lit("UNKNOWN"))), F.coalesce("direction", F.lit("")))
-    long = gold.select(F.col(bucket).alias("time_bucket"), entity.alias("entity_key"), F.explode(metrics).alias("m")).select("time_bucket", "entity_key", "m.*").filter("value is not null")
+def build_curves(gold: DataFrame, bucket: str, granularity: str, model_version: str, gate: DataFrame | None = None, revisions: DataFrame | None = None) -> DataFrame:
+    """(curve_type, entity_key, granularity, model_version, time_bucket, value): the metrics of daily or weekly aggregates, summed or averaged
+    over an entity ``terminal:direction``; of daily gate throughput over all terminals; and numbers of plan revisions. ``granularity`` week takes days to their Monday."""
+
+    def melted(rows: DataFrame, at: Column, terminal: Column, metrics: dict[str, Column], means: tuple[str, ...] = ()) -> DataFrame:
+        entity = F.concat_ws(":", F.coalesce(F.nullif(F.trim(terminal), F.lit("")), F.lit("UNKNOWN")), F.coalesce("direction", F.lit("")))
+        each = F.array(*[F.struct(F.lit(m).alias("curve_type"), c.cast("double").alias("value"), F.lit(m in means).alias("mean")) for m, c in metrics.items()])
+        return rows.select(at.alias("time_bucket"), entity.alias("entity_key"), F.explode(each).alias("m")).select("time_bucket", "entity_key", "m.*").filter("value is not null")
+
+    day = week_start(F.col("flow_date")) if granularity == "week" else F.col("flow_date")
+    long = melted(gold, F.col(bucket), F.col("terminal"), {m: F.col(c) for m, c in (SUM_CURVES | MEAN_CURVES).items()}, tuple(MEAN_CURVES))
+    if gate is not None:
+        long = long.unionByName(melted(gate, day, F.lit("ALL_GATE_TERMINALS"), {m: F.col(c) for m, c in GATE_CURVES.items()}))
+    if revisions is not None:
+        long = long.unionByName(melted(revisions, day, F.col("terminal"), {"plan_revision": F.col("value")}))
     value = F.when(F.first("mean"), F.avg("value")).otherwise(F.sum("value"))
     return long.groupBy("curve_type", "entity_key", "time_bucket").agg(value.alias("value")).select("curve_type", "entity_key", F.lit(granularity).alias("granularity"), F.lit(model_version).alias("model_version"), "time_bucket", "value")
 
@@ -51,13 +70,14 @@ def with_zscore(curves: DataFrame) -> DataFrame:
 
 
 def pressure_index(scored: DataFrame, weights: dict[str, float] = PRESSURE_WEIGHTS, include_revision: bool = False) -> DataFrame:
-    """Weighted z-scores of an entity's curves at each time; weights are renormalised over the curves there are. ``plan_revision`` takes part only if asked to."""
-    used = {k: v for k, v in weights.items() if include_revision or k != "plan_revision"}
-    table = F.create_map(*[F.lit(x) for pair in used.items() for x in pair])
+    """Weighted z-scores of an entity's curves at each time; weights are renormalised over the curves there are, and ``contributions`` add up to the value.
+    ``plan_revision`` takes part only if asked to, and is missing otherwise."""
+    table = F.create_map(*[F.lit(x) for k, v in weights.items() if include_revision or k != "plan_revision" for x in (k, v)])
     rows = scored.withColumn("_w", table[F.col("curve_type")]).filter("_w is not null")
     parts = F.map_from_entries(F.array_sort(F.collect_list(F.struct("curve_type", (F.col("_w") * F.col("z")).alias("part")))))
-    out = rows.groupBy("entity_key", "granularity", "model_version", "time_bucket").agg((F.sum(F.col("_w") * F.col("z")) / F.sum("_w")).alias("value"), parts.alias("contributions"))
-    return out.withColumn("missing", F.array_sort(F.array_except(F.array(*map(F.lit, used)), F.map_keys("contributions"))))
+    out = rows.groupBy("entity_key", "granularity", "model_version", "time_bucket").agg((F.sum(F.col("_w") * F.col("z")) / F.sum("_w")).alias("value"), F.sum("_w").alias("_w"), parts.alias("contributions"))
+    out = out.withColumn("contributions", F.transform_values("contributions", lambda _, v: v / F.col("_w"))).drop("_w")
+    return out.withColumn("missing", F.array_sort(F.array_except(F.array(*map(F.lit, weights)), F.map_keys("contributions"))))
 
 
 def change_points(curves: DataFrame, threshold: float = 1.0) -> DataFrame:
@@ -89,18 +109,20 @@ def _growth(value: Column, past: Column) -> Column:
 
 
 def trends(curves: DataFrame) -> DataFrame:
-    """Latest growth over 1, 4 and 13 points, deviation of the last 13, data quality (a partial point counts half) and a state by ordered rules."""
-    w = Window.partitionBy(*SERIES).orderBy("time_bucket")
-    back = Window.partitionBy(*SERIES).orderBy(F.desc("time_bucket"))
-    rows = curves.withColumns({f"g{k}": _growth(F.col("value"), F.lag("value", k).over(w)) for k in (1, 4, 13)} | {"_r": F.row_number().over(back)})
+    """Latest growth over 1, 4 and 13 points, deviation of the last 13, data quality (a partial point counts half, one without a value too) and a state by ordered
+    rules; the deviation is compared with the mean of all points. Points without a value are left out before places are counted."""
+    order = [F.col("value").isNotNull().cast("int")]
+    w = Window.partitionBy(*SERIES, *order).orderBy("time_bucket")
+    back = Window.partitionBy(*SERIES, *order).orderBy(F.desc("time_bucket"))
+    rows = curves.withColumns({f"g{k}": _growth(F.col("value"), F.lag("value", k).over(w)) for k in (1, 4, 13)} | {"_r": F.when(F.col("value").isNotNull(), F.row_number().over(back))})
     last = lambda c: F.max(F.when(F.col("_r") == 1, F.col(c)))
     recent = F.when(F.col("_r") <= 13, F.col("value"))
     out = rows.groupBy(*SERIES).agg(
         F.max("time_bucket").alias("time_bucket"), last("value").alias("value"), *[last(f"g{k}").alias(f"g{k}") for k in (1, 4, 13)], F.stddev_pop(recent).alias("volatility"),
-        F.avg(recent).alias("_mean"), F.avg(F.when(F.col("quality_flag") == "complete", 1.0).otherwise(0.5)).alias("data_quality"),
-    )
+        F.avg("value").alias("_mean"), F.avg(F.when(F.col("quality_flag") == "complete", 1.0).otherwise(0.5)).alias("data_quality"),
+    ).filter("_mean is not null")
     state = (
-        F.when(F.col("data_quality") < 0.8, "insufficient_data").when(F.col("g4") > 0.1, "growth").when(F.col("g4") < -0.1, "decline")
+        F.when(F.col("data_quality") < 0.8, "data_insufficient").when(F.col("g4") > 0.1, "growth").when(F.col("g4") < -0.1, "decline")
         .when((F.col("_mean") != 0) & (F.col("volatility") > F.abs("_mean")), "high_volatility").otherwise("stable")
     )
     return out.withColumn("state", state).drop("_mean")

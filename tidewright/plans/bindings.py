@@ -17,16 +17,16 @@ FROM (SELECT event_id, event_type, user_id, ts, value, CAST(regexp_extract(props
   FROM {events} WHERE event_type <> 'error') e"""
 QUARANTINED = "SELECT DISTINCT 'UN' || CAST(user_id % 40 AS STRING) AS vesselcode, CAST(user_id % 7 AS STRING) AS voyage FROM {events} WHERE user_id % 37 = 0"
 PLANS = """SELECT CAST(l_suppkey AS STRING) AS vessel_code, CAST(l_partkey % 50 AS STRING) AS voyage, l_linestatus AS terminal, l_returnflag AS direction,
-  l_shipdate AS snapshot_time, CAST(l_shipdate AS DATE) AS flow_date, CAST(l_quantity AS STRING) AS record_hash, l_quantity > 10 AS arrived,
+  l_shipdate AS snapshot_time, CAST(l_shipdate AS DATE) + 2900 AS flow_date, CAST(l_quantity AS STRING) AS record_hash, l_quantity > 10 AS arrived,
   l_quantity * 20 - 40 AS arrival_delay_h, l_quantity * 15 - 30 AS departure_delay_h, l_orderkey AS t1, l_linenumber AS t2, l_extendedprice AS t3, l_partkey AS t4
 FROM {lineitem}"""
 VERSIONS = """SELECT l_orderkey, l_linenumber, l_shipdate AS observed_at, l_partkey * 100000 + l_suppkey AS version_id,
   CAST(l_quantity AS DECIMAL(18, 4)) AS quantity, CAST(l_extendedprice AS DECIMAL(18, 4)) AS price, l_returnflag AS direction, l_linestatus AS terminal FROM {lineitem}"""
-VGM = "SELECT CAST(l_shipdate AS DATE) AS flow_date, l_linestatus AS terminal, l_returnflag AS direction, CAST(l_quantity AS DECIMAL(18, 4)) AS weight_kg FROM {lineitem}"
-RELEASE = """SELECT CAST(o_orderdate AS DATE) AS flow_date, o_orderstatus AS terminal, o_orderpriority AS direction, 'C' || CAST(o_custkey % 5 AS STRING) AS operator,
+VGM = "SELECT CAST(l_shipdate AS DATE) + 2900 AS flow_date, l_linestatus AS terminal, l_returnflag AS direction, CAST(l_quantity AS DECIMAL(18, 4)) AS weight_kg FROM {lineitem}"
+RELEASE = """SELECT CAST(o_orderdate AS DATE) + 2900 AS flow_date, o_orderstatus AS terminal, o_orderpriority AS direction, 'C' || CAST(o_custkey % 5 AS STRING) AS operator,
   CASE WHEN o_orderkey % 9 = 0 THEN ' ' ELSE CAST(o_orderkey AS STRING) END AS bill_no, CAST(o_totalprice AS DECIMAL(18, 4)) AS weight,
-  CAST(CASE WHEN o_custkey % 3 = 0 THEN o_totalprice END AS DECIMAL(18, 4)) AS weight_kg, CAST(o_custkey AS DECIMAL(18, 4)) AS pieces FROM {orders}"""
-TRANSSHIP = """SELECT CAST(l_shipdate AS DATE) AS flow_date, l_linestatus AS terminal, p_brand || ':' || p_type AS route, CASE WHEN p_size < 40 THEN p_type END AS cargo_group,
+  CAST(CASE WHEN o_custkey % 3 = 0 THEN o_totalprice END AS DECIMAL(18, 4)) AS weight_kg, CAST(o_orderkey % 100 AS DECIMAL(18, 4)) AS volume, CAST(o_custkey AS DECIMAL(18, 4)) AS pieces FROM {orders}"""
+TRANSSHIP = """SELECT CAST(l_shipdate AS DATE) + 2900 AS flow_date, l_linestatus AS terminal, p_brand || ':' || p_type AS route, CASE WHEN p_size < 40 THEN p_type END AS cargo_group,
   CAST(l_orderkey AS STRING) AS container_no, CAST(l_quantity AS DECIMAL(18, 4)) AS weight, CAST(l_extendedprice AS DECIMAL(18, 4)) AS volume
 FROM {lineitem} JOIN {part} ON l_partkey = p_partkey WHERE l_linenumber = 1"""
 CURRENT = "SELECT o_orderkey AS id, o_orderstatus AS status, CAST(o_custkey AS STRING) AS customer, o_orderpriority AS priority, CAST(o_orderdate AS STRING) AS compare_time FROM {orders}"
@@ -41,9 +41,54 @@ PAGE_LOG = """SELECT event_type AS endpoint, CAST(user_id % 3 AS STRING) AS fing
 CANDIDATES = "SELECT ' UN' || CAST(l_suppkey AS STRING) || ' ' AS vesselcode, CASE WHEN l_partkey % 9 = 0 THEN '/' ELSE CAST(l_partkey % 20 AS STRING) END AS voyage, CAST(l_shipdate AS DATE) AS eta, l_returnflag AS vessel_en_name FROM {lineitem}"
 CATALOG = "SELECT 'UN' || CAST(s_suppkey AS STRING) AS vesselcode, CAST(s_nationkey % 20 AS STRING) AS voyage FROM {supplier} WHERE s_suppkey % 2 = 0"
 
+#: A gate log as it comes: containers padded, in lower case, blank or missing; times blank, in two forms, malformed or far off; directions missing.
+GATE_RAW = """SELECT event_id AS id, CASE WHEN event_type IN ('signup', 'click') THEN 'GATE_IN' ELSE 'GATE_OUT' END AS type, CASE WHEN event_id % 19 = 0 THEN NULL WHEN k % 2 = 0 THEN 'E' ELSE 'I' END AS direction,
+  CASE user_id % 9 WHEN 0 THEN '  ' WHEN 1 THEN NULL WHEN 2 THEN ' abcu' || number || ' ' ELSE 'ABCU' || number END AS container_no,
+  'UN' || CAST(user_id % 40 AS STRING) AS vesselcode, CAST(user_id % 7 AS STRING) AS voyage, CASE WHEN k % 11 = 0 THEN NULL ELSE substr('124lLX', k % 6 + 1, 1) || '5GP' END AS size_code,
+  CASE event_id % 17 WHEN 0 THEN ' ' WHEN 1 THEN '209901010000' WHEN 2 THEN t16 WHEN 3 THEN NULL ELSE t12 END AS in_time,
+  CASE event_id % 17 WHEN 4 THEN '' WHEN 5 THEN '199912310000' WHEN 6 THEN t16 WHEN 7 THEN 'bad' WHEN 8 THEN NULL ELSE t12 END AS out_time, t12 AS received_time
+FROM (SELECT event_id, event_type, user_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k, substr(CAST(10000000 + (user_id - user_id % 9) AS STRING), 2, 7) AS number,
+  substr(CAST(ts AS STRING), 1, 16) AS t16, replace(replace(replace(substr(CAST(ts AS STRING), 1, 16), '-', ''), ' ', ''), ':', '') AS t12 FROM {events}) e"""
+_dates = "CAST(CAST({0} AS DATE) AS STRING) AS d, replace(CAST(CAST({0} AS DATE) AS STRING), '-', '') AS d8"
+_time = "CASE {0} % 6 WHEN 0 THEN d8 || '101500' WHEN 1 THEN d8 || '1015' WHEN 2 THEN ' ' || d || ' 10:15:00' WHEN 3 THEN d || 'T10:15:00' WHEN 4 THEN 'n/a' END"
+_weight = "CASE {0} % 7 WHEN 0 THEN 'heavy' WHEN 1 THEN ' ' WHEN 2 THEN '-4' WHEN 3 THEN ' ' || CAST(CAST(floor({1}) AS INT) AS STRING) || '.5 ' WHEN 4 THEN 'NaN' WHEN 5 THEN NULL ELSE CAST(CAST(floor({1}) AS INT) AS STRING) END"
+SOURCE_VGM = f"""SELECT CASE WHEN none THEN ' ' WHEN k = 1 THEN NULL WHEN k = 2 THEN ' abcu' || number || '  ' ELSE 'ABCU' || number END AS containerNumber, CASE WHEN none THEN NULL ELSE vessel END AS vesselcode,
+  CASE WHEN none THEN '' ELSE voyage END AS voyage, CASE WHEN none THEN NULL ELSE {_time.format("l_linenumber")} END AS operatetime, CASE WHEN none OR k = 3 THEN NULL ELSE mode END AS senderCode, 'T' || flag AS receiverCode,
+  ' ' || flag AS containerType, {_weight.format("l_partkey", "l_quantity")} AS vgmGrossWeight, {_time.format("l_suppkey")} AS portreceiverdate, ' name of ' || vessel AS vessel, 'OP' || flag AS ctnOperatorCode, CASE WHEN k = 4 THEN 'SM1' END AS vgmMethod
+FROM (SELECT *, l_orderkey % 33 = 0 AS none, l_orderkey % 11 AS k, CAST(l_orderkey AS STRING) AS number, 'UN' || CAST(l_suppkey AS STRING) AS vessel, CAST(l_partkey % 50 AS STRING) AS voyage, l_linestatus AS mode, l_returnflag AS flag, {_dates.format("l_shipdate")} FROM {{lineitem}}) x"""
+SOURCE_RELEASE = f"""SELECT CASE WHEN none OR k = 1 THEN NULL ELSE ' B' || CAST(o_orderkey AS STRING) END AS billno, CASE WHEN none THEN '' ELSE 'UN' || CAST(o_custkey % 40 AS STRING) END AS vesselcode, CASE WHEN none OR k = 2 THEN '  ' ELSE CAST(o_custkey % 9 AS STRING) END AS voyage,
+  CASE WHEN none THEN NULL ELSE {_time.format("o_custkey")} END AS passtime, CASE WHEN none THEN NULL ELSE o_orderstatus END AS cpcode, o_orderpriority AS direct, CASE WHEN k = 3 THEN 'Y' END AS flag, 'ship ' || o_orderstatus AS envessel,
+  {_weight.format("o_orderkey", "o_totalprice")} AS grossweight, {_weight.format("o_custkey", "o_custkey")} AS cargovolum
+FROM (SELECT *, o_orderkey % 33 = 0 AS none, o_orderkey % 11 AS k, {_dates.format("o_orderdate")} FROM {{orders}}) x"""
+SOURCE_TRANSSHIP = f"""SELECT CASE WHEN none THEN NULL ELSE 'ABCU' || CAST(l_orderkey AS STRING) END AS ctnNo, CASE WHEN none THEN '' ELSE 'B' || CAST(l_partkey AS STRING) END AS billNo, CASE WHEN none THEN NULL ELSE 'UN' || CAST(l_suppkey AS STRING) END AS firstVesselCode,
+  CASE WHEN none THEN NULL ELSE '1' END AS firstVoyage, CASE WHEN none OR k = 1 THEN NULL ELSE 'UN' || CAST(l_suppkey + 1 AS STRING) END AS secondVesselCode, CASE WHEN none THEN ' ' ELSE '2' END AS secondVoyage, p_brand AS firstLoadPortCode, CASE WHEN k = 2 THEN ' ' ELSE 'NGB' END AS firstDischargePortCode,
+  CASE WHEN k = 3 THEN NULL ELSE l_linestatus END AS secondTransPortCode, CASE k WHEN 4 THEN ' Steel   coils' WHEN 5 THEN NULL WHEN 6 THEN '  ' ELSE lower(p_type) END AS cargoDescription, {_weight.format("l_orderkey", "l_quantity")} AS quantity, {_weight.format("l_partkey", "l_extendedprice")} AS weight,
+  {_weight.format("l_suppkey", "l_quantity")} AS volume, {_time.format("l_partkey")} AS sailingDate, {_time.format("l_suppkey")} AS cutOffDate, l_linestatus AS terminal, 'OP' AS ctnOperatorCode, CASE WHEN k = 7 THEN 'Y' END AS checkFlag, 'N' AS sendFlag
+FROM (SELECT *, l_orderkey % 33 = 0 AS none, l_orderkey % 11 AS k, {_dates.format("l_shipdate")} FROM {{lineitem}} JOIN {{part}} ON l_partkey = p_partkey) x"""
+SOURCE_EVENT = """SELECT 'ABCU' || CAST(user_id AS STRING) AS asked_container, CASE WHEN event_id % 5 = 0 THEN ' ' ELSE ' ABCU' || CAST(user_id AS STRING) END AS ctnno, 'UN' || CAST(user_id % 40 AS STRING) AS vesselcode, CASE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(user_id % 7 AS STRING) END AS voyage,
+  CASE WHEN event_id % 2 = 0 THEN 'T1' ELSE 'T2' END AS cpcode, event_type AS operateId, CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'B' || CAST(user_id AS STRING) END AS blNo, CASE WHEN event_id % 4 = 0 THEN 'E' ELSE 'I' END AS direct FROM {events}"""
+SOURCE_PLAN = f"""SELECT 'UN' || CAST(l_suppkey AS STRING) AS vesselUnCode, CASE WHEN k = 1 THEN ' ' ELSE CAST(l_partkey % 50 AS STRING) END AS voyage, CASE WHEN k = 2 THEN NULL ELSE l_linestatus END AS terminal, l_returnflag AS vesselDirect, ' ever   lotus ' AS vesselEnName, CASE WHEN k = 3 THEN 'cn' END AS vesselCnName,
+  {_time.format("l_linenumber")} AS eta, {_time.format("l_suppkey")} AS etd, {_time.format("l_partkey")} AS ata, {_time.format("l_orderkey")} AS publishTime, {_time.format("l_orderkey + 1")} AS customCloseTime, {_time.format("l_orderkey + 2")} AS portCloseTime, {_time.format("l_orderkey + 3")} AS etanchor, {_time.format("l_orderkey + 4")} AS atanchor,
+  'Y' AS published, ' S' AS status, 'CNNGB' AS nextPortCode FROM (SELECT *, l_orderkey % 11 AS k, {_dates.format("l_shipdate")} FROM {{lineitem}}) x"""
+SOURCE_NOTICE = f"""SELECT 'UN' || CAST(o_custkey AS STRING) AS vesselcode, CASE WHEN k = 1 THEN ' ' ELSE CAST(o_custkey % 50 AS STRING) END AS voyage, o_orderstatus AS matou, CASE WHEN k = 2 THEN NULL ELSE 'I' END AS ioflag, {_time.format("o_orderkey")} AS ctnstart, {_time.format("o_custkey")} AS ctnend,
+  CASE WHEN k < 4 THEN 'CNNGB,CNSHA' WHEN k < 7 THEN 'CNSHA; CNNGB' WHEN k = 8 THEN NULL ELSE ' USLAX ' END AS ediports, ' ever  lotus' AS vesselename, 'own' AS vesselowner, {_time.format("o_orderkey + 1")} AS revtime
+FROM (SELECT *, o_orderkey % 11 AS k, {_dates.format("o_orderdate")} FROM {{orders}}) x"""
+
 ALL = {k.lower(): v for k, v in list(globals().items()) if k.isupper() and isinstance(v, str)}
 
 
+def source_columns(name: str) -> list[str]:
+    """Names of a source binding's columns, in its order: what stands behind an AS outside of parentheses, before its FROM."""
+    depth, out, words = 0, [], ALL[name].replace("(", " ( ").replace(")", " ) ").split()
+    for before, word in zip(words, words[1:], strict=False):
+        depth += (before == "(") - (before == ")")
+        if depth == 0 and before == "FROM":
+            break
+        if depth == 0 and before == "AS":
+            out.append(word.rstrip(","))
+    return out
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A binding, or a generated table, by name."""
     if name not in ALL:

@@ -3,77 +3,54 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions import codes, text
 from tidewright.operators import asof, cdc, gold, joins, profile, quality, reports, sample, series
-from tidewright.plans.bindings import sql, view
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(oracle: str | None = None):
-    """Register the function under its name. It gets ``v``, which reads a binding or table by name."""
-
-    def register(f):
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: view(spark, sf_dir, name))
-        if oracle:
-            ORACLES[f.__name__] = sql(oracle)
-        return f
-
-    return register
-
-
-def doubles(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
-    """Measures as doubles, rounded so that the order of a sum doesn't show."""
-    return df.withColumns({n: F.round(F.col(n).cast("double"), digits) for n in names})
-
-
-def longs(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.col(n).cast("bigint") for n in names})
-
-
-TEU_SQL = "CASE substr(size_code, 1, 1) WHEN '1' THEN 0.5 WHEN '2' THEN 1.0 WHEN '3' THEN 1.5 WHEN '4' THEN 2.0 WHEN 'L' THEN 2.25 END"
+from tidewright.plans import silver  # noqa: F401 (registers its queries)
+from tidewright.plans.registry import ORACLES, QUERIES, doubles, longs, query  # noqa: F401
+
+TEU_SQL = "CASE upper(substr(trim(size_code), 1, 1)) WHEN '1' THEN 0.5 WHEN '2' THEN 1.0 WHEN '3' THEN 1.5 WHEN '4' THEN 2.0 WHEN 'L' THEN 2.25 END"
+#: The day that dates are judged from; what may count is from 2000-01-01 to 180 days after it.
+ANCHOR = dt.date(2006, 1, 1)
+GATE_ANCHOR = dt.date(2024, 6, 1)
+_GATE_DAILY = f"""m AS (SELECT coalesce(direction, '') AS direction, CASE type WHEN 'GATE_IN' THEN 'IN' ELSE 'OUT' END AS kind, upper(trim(container_no)) AS container_no, trim(CASE type WHEN 'GATE_IN' THEN in_time ELSE out_time END) AS raw, {TEU_SQL} AS teu
+  FROM :gate_raw: g WHERE trim(container_no) <> '' AND NOT EXISTS (SELECT 1 FROM :quarantined: q WHERE q.vesselcode = g.vesselcode AND q.voyage = g.voyage)),
+t AS (SELECT *, CASE WHEN substr(raw, 5, 1) = '-' THEN substr(raw, 1, 10) WHEN length(raw) >= 8 THEN substr(raw, 1, 4) || '-' || substr(raw, 5, 2) || '-' || substr(raw, 7, 2) END AS day FROM m WHERE raw <> ''),
+o AS (SELECT CAST(day AS DATE) AS flow_date, direction, kind, container_no, max(teu) AS teu FROM t WHERE day BETWEEN '2000-01-01' AND '2024-11-28' GROUP BY ALL),
+gd AS (SELECT flow_date, direction, count(*) FILTER (kind = 'IN') AS in_count, count(*) FILTER (kind = 'OUT') AS out_count, count(DISTINCT container_no) AS unique_containers,
+  CAST(coalesce(sum(teu) FILTER (kind = 'IN'), 0) AS DOUBLE) AS in_teu, CAST(coalesce(sum(teu) FILTER (kind = 'OUT'), 0) AS DOUBLE) AS out_teu,
+  count(*) FILTER (kind = 'IN' AND teu IS NOT NULL) AS in_teu_known, count(*) FILTER (kind = 'OUT' AND teu IS NOT NULL) AS out_teu_known FROM o GROUP BY flow_date, direction)"""
 
 
-@query(f"""WITH m AS (SELECT direction, CASE type WHEN 'GATE_IN' THEN 'IN' ELSE 'OUT' END AS kind, container_no,
-  strptime(substr(CASE type WHEN 'GATE_IN' THEN in_time ELSE out_time END, 1, 8), '%Y%m%d')::DATE AS flow_date, {TEU_SQL} AS teu
-  FROM :gate: g WHERE NOT EXISTS (SELECT 1 FROM :quarantined: q WHERE q.vesselcode = g.vesselcode AND q.voyage = g.voyage)),
-o AS (SELECT flow_date, direction, kind, container_no, max(teu) AS teu FROM m WHERE flow_date IS NOT NULL GROUP BY ALL)
-SELECT flow_date, direction, count(*) FILTER (kind = 'IN') AS in_count, count(*) FILTER (kind = 'OUT') AS out_count, count(DISTINCT container_no) AS unique_containers,
-  CAST(coalesce(sum(teu) FILTER (kind = 'IN'), 0) AS DOUBLE) AS in_teu, CAST(coalesce(sum(teu) FILTER (kind = 'OUT'), 0) AS DOUBLE) AS out_teu,
-  count(*) FILTER (kind = 'IN' AND teu IS NOT NULL) AS in_teu_known, count(*) FILTER (kind = 'OUT' AND teu IS NOT NULL) AS out_teu_known FROM o GROUP BY flow_date, direction""")
+@query(f"WITH {_GATE_DAILY} SELECT * FROM gd")
 def gate_daily(v):
-    return gold.gate_daily(v("gate"), v("quarantined"))
+    return gold.gate_daily(v("gate_raw"), v("quarantined"), GATE_ANCHOR)
 
 
-@query(f"""SELECT round(count({TEU_SQL})::DOUBLE / count(*), 6) AS known_share, count(*) AS n, min(in_time) AS first_time FROM :gate:""")
+@query(f"WITH {_GATE_DAILY} SELECT round(CAST(sum(in_teu_known + out_teu_known) AS DOUBLE) / sum(in_count + out_count), 6) AS coverage, min(flow_date) AS first_date, max(flow_date) AS last_date FROM gd")
 def gate_teu_coverage(v):
-    out = v("gate").agg((F.count(codes.teu(F.col("size_code"))) / F.count("*")).alias("known_share"), F.count("*").alias("n"), F.min("in_time").alias("first_time"))
-    return doubles(out, "known_share")
+    return doubles(gold.gate_coverage(gate_daily(v)), "coverage")
 
 
 _FLOW = """f AS (
-  SELECT flow_date, terminal, direction, '' AS route, '' AS cargo_group, '' AS operator, 1 AS vgm_count, weight_kg AS vgm_weight_kg, 0 AS release_count, 0 AS release_weight, 0 AS release_weight_kg, 0 AS release_pieces, 0 AS transship_count, 0 AS transship_weight, 0 AS transship_volume, 0 AS planned_calls, 0 AS actual_calls, NULL::DOUBLE AS ad, NULL::DOUBLE AS dd FROM :vgm:
-  UNION ALL SELECT flow_date, terminal, direction, '', '', operator, 0, 0, CASE WHEN trim(bill_no) <> '' THEN 1 ELSE 0 END, weight, weight_kg, pieces, 0, 0, 0, 0, 0, NULL, NULL FROM :release:
-  UNION ALL SELECT flow_date, terminal, '', route, coalesce(cargo_group, 'UNKNOWN'), '', 0, 0, 0, 0, 0, 0, 1, weight, volume, 0, 0, NULL, NULL FROM :transship:
-  UNION ALL SELECT flow_date, terminal, direction, '', '', '', 0, 0, 0, 0, 0, 0, 0, 0, 0, 1, CASE WHEN arrived THEN 1 ELSE 0 END, CASE WHEN arrival_delay_h BETWEEN 0 AND 720 THEN arrival_delay_h END, CASE WHEN departure_delay_h BETWEEN 0 AND 720 THEN departure_delay_h END
+  SELECT flow_date, terminal, direction, '' AS route, '' AS cargo_group, '' AS operator, 1 AS vgm_count, weight_kg AS vgm_weight_kg, 0 AS release_count, 0 AS release_weight, 0 AS release_weight_kg, 0 AS release_volume, 0 AS release_pieces, 0 AS transship_count, 0 AS transship_weight, 0 AS transship_volume, 0 AS planned_calls, 0 AS actual_calls, NULL::DOUBLE AS ad, NULL::DOUBLE AS dd FROM :vgm:
+  UNION ALL SELECT flow_date, terminal, direction, '', '', operator, 0, 0, CASE WHEN trim(bill_no) <> '' THEN 1 ELSE 0 END, weight, weight_kg, volume, pieces, 0, 0, 0, 0, 0, NULL, NULL FROM :release:
+  UNION ALL SELECT flow_date, terminal, '', route, coalesce(cargo_group, 'UNKNOWN'), '', 0, 0, 0, 0, 0, 0, 0, 1, weight, volume, 0, 0, NULL, NULL FROM :transship:
+  UNION ALL SELECT flow_date, terminal, direction, '', '', '', 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 1, CASE WHEN arrived THEN 1 ELSE 0 END, CASE WHEN arrival_delay_h BETWEEN 0 AND 720 THEN arrival_delay_h END, CASE WHEN departure_delay_h BETWEEN 0 AND 720 THEN departure_delay_h END
     FROM (SELECT *, row_number() OVER (PARTITION BY vessel_code, voyage, terminal, direction ORDER BY snapshot_time DESC, t1 DESC, t2 DESC, t3 DESC, t4 DESC) AS r FROM :plans:) WHERE r = 1),
 d AS (SELECT flow_date, terminal, direction, route, cargo_group, operator, sum(vgm_count) AS vgm_count, coalesce(sum(vgm_weight_kg), 0) AS vgm_weight_kg, sum(release_count) AS release_count, coalesce(sum(release_weight), 0) AS release_weight,
-  coalesce(sum(release_weight_kg), 0) AS release_weight_kg, coalesce(sum(release_pieces), 0) AS release_pieces, sum(transship_count) AS transship_count, coalesce(sum(transship_weight), 0) AS transship_weight, coalesce(sum(transship_volume), 0) AS transship_volume,
-  sum(planned_calls) AS planned_calls, sum(actual_calls) AS actual_calls, avg(ad) AS avg_arrival_delay, avg(dd) AS avg_departure_delay FROM f GROUP BY ALL)"""
+  coalesce(sum(release_weight_kg), 0) AS release_weight_kg, coalesce(sum(release_volume), 0) AS release_volume, coalesce(sum(release_pieces), 0) AS release_pieces, sum(transship_count) AS transship_count, coalesce(sum(transship_weight), 0) AS transship_weight, coalesce(sum(transship_volume), 0) AS transship_volume,
+  sum(planned_calls) AS planned_calls, sum(actual_calls) AS actual_calls, avg(ad) AS avg_arrival_delay, avg(dd) AS avg_departure_delay FROM f WHERE flow_date BETWEEN DATE '2000-01-01' AND DATE '2006-06-30' GROUP BY ALL)"""
 _COUNTS = ["vgm_count", "release_count", "transship_count", "planned_calls", "actual_calls"]
-_MEASURES = ["vgm_weight_kg", "release_weight", "release_weight_kg", "release_pieces", "transship_weight", "transship_volume"]
+_MEASURES = ["vgm_weight_kg", "release_weight", "release_weight_kg", "release_volume", "release_pieces", "transship_weight", "transship_volume"]
 _DELAYS = ["avg_arrival_delay", "avg_departure_delay"]
 _FLOW_OUT = ", ".join([*[f"CAST({c} AS BIGINT) AS {c}" for c in _COUNTS], *[f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in (*_MEASURES, *_DELAYS)]])
 
 
 def _daily(v):
-    return gold.daily_flow(v("vgm"), v("release"), v("transship"), gold.latest_plans(v("plans"), ["t1", "t2", "t3", "t4"]))
+    return gold.daily_flow(v("vgm"), v("release"), v("transship"), gold.latest_plans(v("plans"), ["t1", "t2", "t3", "t4"]), ANCHOR)
 
 
 @query(f"WITH {_FLOW} SELECT flow_date, terminal, direction, route, cargo_group, operator, {_FLOW_OUT} FROM d")
@@ -81,10 +58,18 @@ def flow_daily(v):
     return longs(doubles(_daily(v), *_MEASURES, *_DELAYS), *_COUNTS)
 
 
-@query(f"""WITH {_FLOW}, w AS (SELECT CAST(date_trunc('week', flow_date) AS DATE) AS week_start, terminal, direction, route, cargo_group, operator, {", ".join(f"sum({c}) AS {c}" for c in [*_COUNTS, *_MEASURES])}, {", ".join(f"avg({c}) AS {c}" for c in _DELAYS)} FROM d GROUP BY ALL)
+def _gold_daily(v):
+    """The daily aggregate as a table: weekly sums, curves and the index read it."""
+    return v.stored("gold_daily", lambda: _daily(v))
+
+
+_WEEK = f"""w AS (SELECT CAST(date_trunc('week', flow_date) AS DATE) AS week_start, terminal, direction, route, cargo_group, operator, {", ".join(f"sum({c}) AS {c}" for c in [*_COUNTS, *_MEASURES])}, {", ".join(f"avg({c}) AS {c}" for c in _DELAYS)} FROM d GROUP BY ALL)"""
+
+
+@query(f"""WITH {_FLOW}, {_WEEK}
 SELECT week_start, terminal, direction, route, cargo_group, operator, {_FLOW_OUT} FROM w""")
 def flow_weekly(v):
-    return longs(doubles(gold.weekly_flow(_daily(v)), *_MEASURES, *_DELAYS), *_COUNTS)
+    return longs(doubles(gold.weekly_flow(_gold_daily(v)), *_MEASURES, *_DELAYS), *_COUNTS)
 
 
 @query("""SELECT terminal, count(*) AS revisions, min(CAST(snapshot_time AS DATE)) AS first_revision FROM (SELECT *, lag(record_hash) OVER (PARTITION BY vessel_code, voyage, terminal, direction ORDER BY snapshot_time, t1, t2, t3, t4) AS b FROM :plans:)
@@ -118,9 +103,12 @@ def input_fingerprint(v):
     return asof.fingerprint(v("orders"), "orders", "o_orderkey", "o_orderdate")
 
 
-@query("""WITH h AS (SELECT o_orderkey % 64 AS b, sha256(concat_ws(chr(31), CAST(o_orderkey AS STRING), CAST(o_custkey AS STRING), o_orderstatus, o_orderpriority)) AS h FROM orders), d AS (SELECT b, sha256(string_agg(h, '' ORDER BY h)) AS d FROM h GROUP BY b) SELECT sha256(string_agg(d, '' ORDER BY b)) AS digest FROM d""")
+_WORDS = ", ".join(f"CAST(sum(CAST(CAST('0x' || substr(h, {8 * i + 1}, 8) AS BIGINT) AS HUGEINT)) AS STRING)" for i in range(8))
+
+
+@query(f"""WITH h AS (SELECT sha256(concat_ws(chr(31), CAST(o_orderkey AS STRING), CAST(o_custkey AS STRING), o_orderstatus, o_orderpriority)) AS h FROM orders) SELECT sha256(concat_ws(',', CAST(count(*) AS STRING), {_WORDS})) AS digest FROM h""")
 def strict_fingerprint(v):
-    return asof.strict_digest(v("orders"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"], F.col("o_orderkey") % 64)
+    return asof.strict_digest(v("orders"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
 
 
 _FIELDS = ["status", "customer", "priority", "compare_time"]
@@ -219,25 +207,33 @@ def curve_statistics(v):
     return doubles(doubles(out.select("entity_key", "time_bucket", "expected", "observed", "moving_avg", "z"), "z"), "moving_avg", digits=4)
 
 
-_MELT = f"""WITH {_FLOW}, m AS (SELECT terminal || ':' || direction AS entity_key, CAST(date_trunc('week', flow_date) AS DATE) AS time_bucket, unnest([{", ".join(f"struct_pack(t := '{c}', x := CAST({c} AS DOUBLE))" for c in ("planned_calls", "vgm_count", "release_count", "transship_count"))}]) AS u FROM d),
-c AS (SELECT u.t AS curve_type, entity_key, time_bucket, sum(u.x) AS value FROM m GROUP BY ALL)"""
+_REVISIONS = """(SELECT CAST(snapshot_time AS DATE) AS day, terminal FROM (SELECT *, lag(record_hash) OVER (PARTITION BY vessel_code, voyage, terminal, direction ORDER BY snapshot_time, t1, t2, t3, t4) AS b FROM :plans:) WHERE b IS NOT NULL AND b <> record_hash)"""
+_UNNEST = ", ".join(f"struct_pack(t := '{t}', x := CAST({c} AS DOUBLE), k := '{k}')" for k, m in (("sum", series.SUM_CURVES), ("mean", series.MEAN_CURVES)) for t, c in m.items())
+_MELT = f"""WITH {_FLOW}, {_WEEK}, {_GATE_DAILY}, mm AS (
+  SELECT CASE trim(terminal) WHEN '' THEN 'UNKNOWN' ELSE trim(terminal) END || ':' || direction AS entity_key, week_start AS time_bucket, unnest([{_UNNEST}]) AS u FROM w
+  UNION ALL SELECT 'ALL_GATE_TERMINALS:' || direction, CAST(date_trunc('week', flow_date) AS DATE), unnest([{", ".join(f"struct_pack(t := '{t}', x := CAST({c} AS DOUBLE), k := 'sum')" for t, c in series.GATE_CURVES.items())}]) FROM gd
+  UNION ALL SELECT terminal || ':', CAST(date_trunc('week', day) AS DATE), struct_pack(t := 'plan_revision', x := CAST(1 AS DOUBLE), k := 'sum') FROM {_REVISIONS}),
+c AS (SELECT u.t AS curve_type, entity_key, time_bucket, CASE max(u.k) WHEN 'mean' THEN avg(u.x) ELSE sum(u.x) END AS value FROM mm WHERE u.x IS NOT NULL GROUP BY ALL)"""
 
 
 def _gold_curves(v):
-    weekly = gold.weekly_flow(_daily(v))
-    return series.build_curves(weekly, "week_start", ["planned_calls", "vgm_count", "release_count", "transship_count"], [], "weekly", "v1")
+    revisions = series.revision_points(v("plans"), ["t1", "t2", "t3", "t4"])
+    return series.build_curves(gold.weekly_flow(_gold_daily(v)), "week_start", "week", "v1", gate_daily(v), revisions)
 
 
-@query(f"{_MELT} SELECT curve_type, entity_key, time_bucket, value FROM c")
+@query(f"{_MELT} SELECT curve_type, entity_key, time_bucket, round(value, 4) AS value FROM c")
 def curves_from_gold(v):
-    return _gold_curves(v).select("curve_type", "entity_key", "time_bucket", "value")
+    return doubles(_gold_curves(v).select("curve_type", "entity_key", "time_bucket", "value"), "value", digits=4)
+
+
+_PRESSURE = " ".join(f"WHEN '{k}' THEN {w}" for k, w in series.PRESSURE_WEIGHTS.items() if k != "plan_revision")
 
 
-@query(f"""{_MELT}, z AS (SELECT *, CASE WHEN stddev_pop(value) OVER p > 0 THEN (value - avg(value) OVER p) / stddev_pop(value) OVER p ELSE 0 END AS z, CASE curve_type WHEN 'planned_calls' THEN 0.2 WHEN 'vgm_count' THEN 0.25 WHEN 'release_count' THEN 0.2 WHEN 'transship_count' THEN 0.15 END AS w FROM c WINDOW p AS (PARTITION BY curve_type, entity_key))
-SELECT entity_key, time_bucket, round(CAST(sum(w * z) / sum(w) AS DOUBLE), 5) AS value, count(*) AS parts FROM z GROUP BY entity_key, time_bucket""")
+@query(f"""{_MELT}, z AS (SELECT *, CASE WHEN stddev_pop(value) OVER p > 0 THEN (value - avg(value) OVER p) / stddev_pop(value) OVER p ELSE 0 END AS z, CASE curve_type {_PRESSURE} END AS w FROM c WINDOW p AS (PARTITION BY curve_type, entity_key))
+SELECT entity_key, time_bucket, round(CAST(sum(w * z) / sum(w) AS DOUBLE), 5) AS value, round(CAST(sum(w * z) FILTER (curve_type = 'vgm') / sum(w) AS DOUBLE), 5) AS vgm_part, count(*) AS parts FROM z WHERE w IS NOT NULL GROUP BY entity_key, time_bucket""")
 def pressure(v):
     out = series.pressure_index(series.with_zscore(_gold_curves(v)))
-    return doubles(out.select("entity_key", "time_bucket", "value", F.cardinality("contributions").cast("bigint").alias("parts")), "value", digits=5)
+    return doubles(out.select("entity_key", "time_bucket", "value", F.col("contributions")["vgm"].alias("vgm_part"), F.cardinality("contributions").cast("bigint").alias("parts")), "value", "vgm_part", digits=5)
 
 
 @query(f"""WITH s AS (SELECT entity_key, time_bucket, count(*) OVER p AS n, row_number() OVER ({_W}) - 1 AS i, sum(value::DECIMAL(28, 6)) OVER p AS t, stddev_pop(value) OVER p AS sd, sum(value::DECIMAL(28, 6)) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM :curves: WINDOW p AS (PARTITION BY entity_key)),
@@ -254,9 +250,9 @@ def curve_anomalies(v):
 
 
 @query(f"""WITH s AS (SELECT *, row_number() OVER (PARTITION BY entity_key ORDER BY time_bucket DESC) AS r, {", ".join(f"(value - lag(value, {k}) OVER w) / nullif(abs(lag(value, {k}) OVER w), 0) AS g{k}" for k in (1, 4, 13))} FROM :curves: WINDOW w AS ({_W})),
-a AS (SELECT entity_key, max(time_bucket) AS time_bucket, max(value) FILTER (r = 1) AS value, {", ".join(f"max(g{k}) FILTER (r = 1) AS g{k}" for k in (1, 4, 13))}, stddev_pop(value) FILTER (r <= 13) AS volatility, avg(value) FILTER (r <= 13) AS m, avg(CASE quality_flag WHEN 'complete' THEN 1.0 ELSE 0.5 END) AS q FROM s GROUP BY entity_key)
+a AS (SELECT entity_key, max(time_bucket) AS time_bucket, max(value) FILTER (r = 1) AS value, {", ".join(f"max(g{k}) FILTER (r = 1) AS g{k}" for k in (1, 4, 13))}, stddev_pop(value) FILTER (r <= 13) AS volatility, avg(value) AS m, avg(CASE quality_flag WHEN 'complete' THEN 1.0 ELSE 0.5 END) AS q FROM s GROUP BY entity_key)
 SELECT entity_key, time_bucket, value, round(g1, 6) AS g1, round(g4, 6) AS g4, round(g13, 6) AS g13, round(volatility, 4) AS volatility, round(q, 6) AS data_quality,
-  CASE WHEN q < 0.8 THEN 'insufficient_data' WHEN g4 > 0.1 THEN 'growth' WHEN g4 < -0.1 THEN 'decline' WHEN m <> 0 AND volatility > abs(m) THEN 'high_volatility' ELSE 'stable' END AS state FROM a""")
+  CASE WHEN q < 0.8 THEN 'data_insufficient' WHEN g4 > 0.1 THEN 'growth' WHEN g4 < -0.1 THEN 'decline' WHEN m <> 0 AND volatility > abs(m) THEN 'high_volatility' ELSE 'stable' END AS state FROM a""")
 def curve_trends(v):
     out = series.trends(v("curves")).drop("curve_type", "granularity", "model_version")
     return doubles(doubles(out, "g1", "g4", "g13", "data_quality"), "volatility", digits=4)
@@ -394,9 +390,15 @@ def dwell_times(v):
     return doubles(joins.dwell(v("gate"), ["container_no"], "type", "event_time"), "hours")
 
 
-@query("SELECT container_no, min(event_time) AS first_event, max(event_time) AS last_event, count(*) AS events, false AS valid, 'invalid' AS status FROM :gate: GROUP BY container_no")
+_AT = "coalesce(nullif(trim({0}), ''), nullif(trim({1}), ''), nullif(trim(received_time), ''))"
+
+
+@query(f"""WITH e AS (SELECT upper(trim(container_no)) AS c, {_AT.format("in_time", "out_time")} AS a, {_AT.format("out_time", "in_time")} AS b FROM :gate_raw: g WHERE trim(container_no) <> '' AND NOT EXISTS (SELECT 1 FROM :quarantined: q WHERE q.vesselcode = g.vesselcode AND q.voyage = g.voyage)),
+s AS (SELECT c, min(a) AS a, max(b) AS b, count(*) AS n FROM e GROUP BY c),
+k AS (SELECT c, {" + ".join(f"{f} * 2 ** {i}" for i, f in enumerate([10, 12, 13, 32] + [f"CAST(substr(c, {i + 1}, 1) AS INT)" for i in range(4, 10)]))} AS total FROM s)
+SELECT s.c AS container_no, a AS first_event, b AS last_event, n AS events, CAST(total AS BIGINT) % 11 % 10 = CAST(substr(s.c, 11, 1) AS BIGINT) AS valid, CASE WHEN CAST(total AS BIGINT) % 11 % 10 = CAST(substr(s.c, 11, 1) AS BIGINT) THEN 'pending' ELSE 'invalid' END AS status FROM s JOIN k USING (c)""")
 def containers(v):
-    return joins.container_catalog(v("gate"))
+    return joins.container_catalog(v("gate_raw"), v("quarantined"))
 
 
 @query("""SELECT year(o_orderdate) AS period, count(*) FILTER (o_orderstatus = 'F') AS complete, count(*) FILTER (o_orderstatus = 'O') AS pending, count(*) FILTER (o_orderstatus = 'P') AS error, round(count(*) FILTER (o_orderstatus = 'F')::DOUBLE / count(*), 6) AS completion FROM orders GROUP BY 1""")
