@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import shared_dir, shuffle_partitions, written
@@ -16,6 +16,8 @@ from tidewright.llm.words import Sums, blocks
 WINDOW = 50
 #: The words whose hash can stand for a window. The least hash among a window's 43 places is its anchor, so equal windows have equal anchors.
 GRAM = 8
+#: Windows of a segment; more are several segments.
+LONGEST = 255
 _POSITION = np.uint64((1 << 28) - 1)
 
 
@@ -29,12 +31,15 @@ def _least(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def _segments(block, window: int, gram: int):
-    """Runs of windows with one anchor: (row, first window, number of windows, anchor hash, hash of all words that they cover)."""
+    """Runs of windows with one anchor, LONGEST windows at most: (row, first window, anchor hash, body, check).
+
+    Body and check are hashes, independent of each other and of the anchor's, of all words that the run covers; the body's low byte is the number of windows.
+    """
     n = len(block.starts)
     if n < window:
         return None
     hashes = block.hashes()
-    sums = Sums(hashes)
+    sums, other = Sums(hashes), Sums(hashes, "b")
     grams = sums.of(np.arange(n - gram + 1), np.arange(gram, n + 1))
     keys = (grams & ~_POSITION) | np.arange(len(grams), dtype=np.uint64)
     anchor = (_least(keys, window - gram + 1) & _POSITION).astype(np.int64)
@@ -47,32 +52,45 @@ def _segments(block, window: int, gram: int):
     ends = whole.copy()
     ends[:-1] &= (anchor[1:] != anchor[:-1]) | ~whole[1:]
     last = np.flatnonzero(ends)
-    return block.row[first], first - block.first[block.row[first]], last - first + 1, grams[anchor[first]], Sums(hashes, "b").of(first, last + window)
+    pieces = -(-(last - first + 1) // LONGEST)
+    if pieces.max() > 1:
+        of = np.repeat(np.arange(len(first)), pieces)
+        first = first[of] + LONGEST * (np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+        last = np.minimum(last[of], first + LONGEST - 1)
+    check = sums.of(first, last + window)
+    body = (other.of(first, last + window) & np.uint64(0xFFFFFF00)) | (last - first + 1).astype(np.uint64)
+    return block.row[first], first - block.first[block.row[first]], grams[anchor[first]], body.astype(np.uint32), check
 
 
-SEGMENTS = "doc_id bigint, at bigint, n int, anchor bigint, body bigint"
+SEGMENTS = "doc_id bigint, at bigint, anchor bigint, body int, check bigint"
 
 
-def segments(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Per document (doc_id, part, text) its segments; body is a 64-bit digest of a segment's words, of another base than the anchor's.
+def segments(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, body_bits: int = 24) -> DataFrame:
+    """Per document (doc_id, part, text) its segments (see ``_segments``); of the body's hash ``body_bits`` bits are used.
 
     ``at`` is the place of the first window, with the row's part in its upper half.
     """
+    mask = np.uint32(((1 << body_bits) - 1) << 8 | 0xFF)
 
     def run(batches):
         for batch in batches:
             ids, part = batch.column("doc_id"), batch.column("part").to_numpy().astype(np.int64) << 32
             for b in blocks(batch.column("text")):
                 if found := _segments(b, window, gram):
-                    row, at, n, anchor, body = found
+                    row, at, anchor, body, check = found
                     of = row + b.first_row
-                    columns = [ids.take(pa.array(of)), pa.array(at + part[of]), pa.array(n.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(body.view(np.int64))]
-                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "at", "n", "anchor", "body"])
+                    columns = [ids.take(pa.array(of)), pa.array(at + part[of]), pa.array(anchor.view(np.int64)), pa.array((body & mask).view(np.int32)), pa.array(check.view(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "at", "anchor", "body", "check"])
 
     return docs.select("doc_id", "part", "text").mapInArrow(run, SEGMENTS)
 
 
-RUN = "anchor bigint, body bigint, doc_id bigint, at bigint, n int, own boolean, many boolean, again boolean"
+def _count() -> Column:
+    """Number of a segment's windows."""
+    return F.col("body").bitwiseAND(F.lit(0xFF)).alias("n")
+
+
+RUN = "anchor bigint, body int, doc_id bigint, at bigint, own boolean, many boolean, again boolean"
 WINDOWS = "doc_id bigint, at bigint, w1 bigint, w2 int"
 
 
@@ -153,60 +171,68 @@ def _cleaned(docs_with_spans: DataFrame) -> DataFrame:
 class FingerprintIndex:
     """Immutable runs of segment fingerprints: Parquet tables, bucketed and sorted by fingerprint, newest last.
 
-    A run's row is a segment that its batch holds: (anchor, body, doc_id, at, n, own, many, again): a place in the first document, whether it is
+    A run's row is a segment that its batch holds: (anchor, body, doc_id, at, own, many, again): a place in the first document, whether it is
     of this run's documents (else only known from an older run), whether other documents of the run hold the segment too, and whether
     the run's batch holds it at more places than one, in whatever documents.
     ``append`` merge-joins a batch's fingerprints with each run, without moving the runs, and writes the outcome as a new run; runs whose
     sizes are within a factor ``fanout`` are then compacted into one by another merge. ``covered`` finds the repeated windows of
-    documents that were appended. Batches are to be appended in ascending order of ids.
+    documents that were appended, and verifies them. Batches are to be appended in ascending order of ids.
     """
 
     spark: SparkSession
     window: int = WINDOW
     gram: int = GRAM
     fanout: float = 2.0
+    body_bits: int = 24
     runs: list[tuple[str, str, int]] = field(default_factory=list)
 
     def _write(self, rows: DataFrame) -> tuple[str, str, int]:
         name = f"fp_run_{uuid.uuid4().hex}"
         path = f"{shared_dir(self.spark)}/{name}"
-        rows.select("anchor", "body", "doc_id", "at", "n", "own", "many", "again").write.bucketBy(shuffle_partitions(self.spark), "anchor", "body").sortBy("anchor", "body").option("path", path).saveAsTable(name)
+        rows.select("anchor", "body", "doc_id", "at", "own", "many", "again").write.bucketBy(shuffle_partitions(self.spark), "anchor", "body").sortBy("anchor", "body").option("path", path).saveAsTable(name)
         return name, path, self.spark.read.schema(RUN).parquet(path).count()
 
+    def _drop(self, run: tuple[str, str, int]) -> None:
+        self.spark.sql(f"DROP TABLE {run[0]}")
+        _delete(self.spark, run[1])
+
     def append(self, docs: DataFrame) -> None:
-        """Fingerprints are combined per task before they are shuffled: a hash aggregate over numbers. Equal bodies have equal n."""
-        found = segments(docs, self.window, self.gram).groupBy("anchor", "body")
-        new = found.agg(F.min("doc_id").alias("doc_id"), F.min_by("at", "doc_id").alias("at"), F.first("n").alias("n"), (F.max("doc_id") > F.min("doc_id")).alias("many"), (F.count("*") > 1).alias("again")).withColumn("own", F.lit(True))
+        """Fingerprints are combined per task before they are shuffled: a hash aggregate over numbers."""
+        found = segments(docs, self.window, self.gram, self.body_bits).groupBy("anchor", "body")
+        new = found.agg(F.min("doc_id").alias("doc_id"), F.min_by("at", "doc_id").alias("at"), (F.max("doc_id") > F.min("doc_id")).alias("many"), (F.count("*") > 1).alias("again")).withColumn("own", F.lit(True))
         for name, _, _ in self.runs:
             known = self.spark.table(name).filter("own").select("anchor", "body", F.col("doc_id").alias("_known"))
             new = new.join(known.hint("merge"), ["anchor", "body"], "left").withColumn("own", F.col("own") & F.col("_known").isNull()).withColumn("doc_id", F.coalesce("_known", "doc_id")).drop("_known")
         self.runs.append(self._write(new))
         while len(self.runs) > 1 and self.runs[-1][2] * self.fanout > self.runs[-2][2]:
-            (a, path_a, _), (b, path_b, _) = self.runs[-2:]
-            older, newer = (self.spark.table(t).select("anchor", "body", F.struct("doc_id", "at", "n", "own", "many", "again").alias(x)) for t, x in ((a, "x"), (b, "y")))
+            a, b = self.runs[-2:]
+            older, newer = (self.spark.table(t).select("anchor", "body", F.struct("doc_id", "at", "own", "many", "again").alias(x)) for t, x in ((a[0], "x"), (b[0], "y")))
             merged = older.join(newer.hint("merge"), ["anchor", "body"], "full").withColumn("p", F.coalesce("x", "y"))
-            whole = self._write(merged.select("anchor", "body", "p.doc_id", "p.at", "p.n", "p.own", (F.col("p.many") | (F.col("x").isNotNull() & F.col("y").isNotNull())).alias("many"), "p.again"))
-            for name, path in ((a, path_a), (b, path_b)):
-                self.spark.sql(f"DROP TABLE {name}")
-                _delete(self.spark, path)
+            whole = self._write(merged.select("anchor", "body", "p.doc_id", "p.at", "p.own", (F.col("p.many") | (F.col("x").isNotNull() & F.col("y").isNotNull())).alias("many"), "p.again"))
+            self._drop(a)
+            self._drop(b)
             self.runs[-2:] = [whole]
 
     def covered(self, docs: DataFrame) -> DataFrame:
         """(doc_id, part, spans): stretches of words covered by windows that also start in a smaller doc_id.
 
-        A segment known from a smaller doc_id is covered whole. Else two equal windows lie in segments of one anchor and
-        different bodies: of those, all places in the segment's first document are opened, and their windows' digests compared one by
-        one. A place in a later document needs no look: it is covered whole.
+        A segment known from a smaller doc_id is verified: its check must be that of a place in the first document. Then it is covered whole.
+        Other equal windows lie in segments of one anchor that differ: of those, all places in a segment's first document are opened, and those that failed, and
+        their windows' digests compared one by one. Other places need no look: they are covered whole.
         Joins and aggregates only, so hot segments, anchors and windows are combined or split by Spark.
         """
         index = self.spark.read.schema(RUN).parquet(*[path for _, path, _ in self.runs])
         own = index.filter("own")
-        mixed = own.groupBy("anchor").agg(F.count("*").alias("_bodies")).filter("_bodies > 1").select("anchor")
         twice = index.filter("many or again or not own").select("anchor", "body", F.col("doc_id").alias("_first"))
-        hits = segments(docs, self.window, self.gram).join(twice, ["anchor", "body"]).filter("doc_id >= _first")
-        hits = written(hits.select("anchor", "doc_id", "at", "n", (F.col("doc_id") > F.col("_first")).alias("later")), "hits")
-        whole = hits.filter("later").select("doc_id", "at", (F.col("n") + self.window - 1).alias("n"))
-        places = own.filter("not again").select("anchor", "doc_id", "at", "n").unionByName(hits.filter("not later").drop("later"))
+        hits = segments(docs, self.window, self.gram, self.body_bits).join(twice, ["anchor", "body"]).filter("doc_id >= _first")
+        hits = written(hits.select("anchor", "body", "check", "doc_id", "at", (F.col("doc_id") > F.col("_first")).alias("later")), "hits")
+        first = hits.filter("not later").select("anchor", "body", "check").distinct().withColumn("_same", F.lit(True))
+        later = written(hits.filter("later").join(first, ["anchor", "body", "check"], "left").select("anchor", "doc_id", "at", _count(), F.coalesce("_same", F.lit(False)).alias("sure")), "verified")
+        whole = later.filter("sure").select("doc_id", "at", (F.col("n") + self.window - 1).alias("n"))
+        unsure = later.filter("not sure").select("anchor", "doc_id", "at", "n")
+        several = own.groupBy("anchor").agg(F.count("*").alias("_bodies")).filter("_bodies > 1").select("anchor")
+        mixed = written(several.unionByName(unsure.select("anchor")).distinct(), "mixed")
+        places = own.filter("not again").select("anchor", "doc_id", "at", _count()).unionByName(hits.filter("not later").select("anchor", "doc_id", "at", _count())).unionByName(unsure)
         part = F.shiftright("at", 32).cast("int").alias("part")
         opened = places.join(mixed, "anchor").groupBy("doc_id", part).agg(F.collect_set(F.struct("at", "n")).alias("spans"))
         windows = _windows(docs.join(opened, ["doc_id", "part"]), self.window)
@@ -220,7 +246,7 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, batches: int = 3) -> DataFrame:
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, batches: int = 3, body_bits: int = 24) -> DataFrame:
     """One row per input row: id, n_words, n_removed, text (what stays, words joined by one space), removed (spans of words).
 
     A word goes if a window of ``window`` consecutive words over it also starts in a row with a smaller id. The table is
@@ -237,7 +263,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     else:  # only then are texts sorted, to tell the rows of one id apart
         rows = written(rows.withColumn("part", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))), "parts")
     known = rows.filter("doc_id is not null")
-    index = FingerprintIndex(spark, window=window, gram=min(GRAM, window))
+    index = FingerprintIndex(spark, window=window, gram=min(GRAM, window), body_bits=body_bits)
     edges = known.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 10_000)).first()[0] or []
     for low, high in zip([None, *edges], [*edges, None], strict=True):
         part = known if low is None else known.filter(F.col("doc_id") > low)
