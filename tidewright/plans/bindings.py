@@ -74,6 +74,24 @@ SOURCE_NOTICE = f"""SELECT 'UN' || CAST(o_custkey AS STRING) AS vesselcode, CASE
   CASE WHEN k < 4 THEN 'CNNGB,CNSHA' WHEN k < 7 THEN 'CNSHA; CNNGB' WHEN k = 8 THEN NULL ELSE ' USLAX ' END AS ediports, ' ever  lotus' AS vesselename, 'own' AS vesselowner, {_time.format("o_orderkey + 1")} AS revtime
 FROM (SELECT *, o_orderkey % 11 AS k, {_dates.format("o_orderdate")} FROM {{orders}}) x"""
 
+CAPTURE_JOBS = """SELECT o_orderkey AS job_id, o_custkey AS candidate_id, CASE o_orderstatus WHEN 'O' THEN 'pending' WHEN 'F' THEN 'partial' ELSE 'error' END AS status,
+  CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE CAST(o_custkey AS BIGINT) END AS planned_total FROM {orders}"""
+HISTORY_CANDIDATES = """SELECT 'UN' || CAST(l_suppkey AS STRING) AS vesselcode, CAST(l_partkey % 20 AS STRING) AS voyage, 'name' AS vessel_en_name, CASE min(l_orderkey) % 4 WHEN 0 THEN 'hit' WHEN 1 THEN 'no_data' ELSE 'pending' END AS status,
+  CAST(min(l_shipdate) AS DATE) AS first_eta, CAST(max(l_shipdate) AS DATE) AS last_eta, count(*) AS source_plan_rows, l_suppkey % 3 = 0 AS vessel_in_catalog FROM {lineitem} GROUP BY l_suppkey, l_partkey % 20"""
+HISTORY_MONTHS = """SELECT 'UN' || CAST(l_suppkey AS STRING) AS vesselcode, CAST(l_partkey % 20 AS STRING) AS voyage, substr(CAST(l_shipdate AS STRING), 1, 7) AS eta_month, CAST(min(l_shipdate) AS DATE) AS first_eta, CAST(max(l_shipdate) AS DATE) AS last_eta
+FROM {lineitem} GROUP BY l_suppkey, l_partkey % 20, substr(CAST(l_shipdate AS STRING), 1, 7)"""
+HISTORY_REJECTED = "SELECT DISTINCT 'UN' || CAST(l_suppkey AS STRING) AS vesselcode, CAST(l_partkey % 20 AS STRING) AS voyage FROM {lineitem} WHERE l_partkey % 20 = 7"
+GATE_CATALOG = "SELECT 'UN' || CAST(s_suppkey AS STRING) AS vesselcode, CAST(s_nationkey % 20 AS STRING) AS voyage, CASE WHEN s_suppkey % 2 = 0 THEN 'done' END AS in_done_at, s_suppkey * 3 AS in_total, CAST(NULL AS STRING) AS out_done_at, s_suppkey * 5 AS out_total FROM {supplier}"
+GATE_VOYAGES = """SELECT 'UN' || CAST(user_id % 40 AS STRING) AS vesselcode, CAST(user_id % 97 AS STRING) AS voyage, max(ts) AS last_event_at, CASE WHEN user_id % 40 % 11 = 0 THEN 1 ELSE 0 END AS inactive
+FROM {events} GROUP BY user_id % 40, user_id % 97"""
+NPP_CATALOG = """SELECT 'UN' || CAST(s_suppkey AS STRING) AS unvessel, CAST(s_nationkey AS STRING) AS voyage, s_name AS envessel, CASE WHEN s_suppkey % 3 = 0 THEN TIMESTAMP '2024-01-20 10:00:00' END AS portclose_at, CASE WHEN s_suppkey % 3 = 0 THEN '01-20 10:00' ELSE '' END AS portclose_raw,
+  TIMESTAMP '2024-01-01 00:00:00' AS first_seen_at, TIMESTAMP '2024-01-10 00:00:00' AS last_seen_at FROM {supplier}"""
+NPP_BATCH = """SELECT 'UN' || CAST(CASE WHEN k % 5 = 0 THEN k + 100000 ELSE k END AS STRING) AS unvessel, CAST(n AS STRING) AS voyage, 'ship ' || CAST(k AS STRING) AS envessel, CASE WHEN c = 2 THEN TIMESTAMP '2024-02-02 08:00:00' WHEN c = 1 AND k % 2 = 0 THEN TIMESTAMP '2024-02-01 08:00:00' END AS portclose_at,
+  CASE WHEN c = 2 THEN '02-02 08:00' WHEN c = 1 AND k % 2 = 0 THEN '02-01 08:00' ELSE '01-01 00:00' END AS portclose_raw
+FROM (SELECT s_suppkey AS k, s_nationkey AS n, 0 AS c FROM {supplier} WHERE s_suppkey % 7 <> 0 UNION ALL SELECT s_suppkey, s_nationkey, 1 FROM {supplier} WHERE s_suppkey % 4 = 0 UNION ALL SELECT s_suppkey, s_nationkey, 2 FROM {supplier} WHERE s_suppkey % 6 = 0) x"""
+FLOW_VERSIONS = """SELECT l_orderkey, l_linenumber, l_shipdate + INTERVAL 2900 DAY AS observed_at, l_partkey * 100000 + l_suppkey AS version_id, CAST(l_shipdate AS DATE) + CAST(2898 + l_linenumber AS INT) AS flow_date, l_linestatus AS terminal, l_returnflag AS direction, 'R' || CAST(l_suppkey % 3 AS STRING) AS route,
+  CAST(l_quantity AS DECIMAL(18, 4)) AS weight_kg FROM {lineitem}"""
+
 ALL = {k.lower(): v for k, v in list(globals().items()) if k.isupper() and isinstance(v, str)}
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions import codes, text
 from tidewright.operators import asof, cdc, gold, joins, profile, quality, reports, sample, series
-from tidewright.plans import silver  # noqa: F401 (registers its queries)
+from tidewright.plans import catalog, silver  # noqa: F401 (register their queries)
 from tidewright.plans.registry import ORACLES, QUERIES, doubles, longs, query  # noqa: F401
 
 TEU_SQL = "CASE upper(substr(trim(size_code), 1, 1)) WHEN '1' THEN 0.5 WHEN '2' THEN 1.0 WHEN '3' THEN 1.5 WHEN '4' THEN 2.0 WHEN 'L' THEN 2.25 END"

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidewright.operators.cdc import upsert
@@ -26,15 +26,26 @@ def streamed_rows(pages: DataFrame) -> DataFrame:
     return page_rows(pages).withColumn("observed_at", F.current_timestamp())
 
 
+def not_ahead(events: DataFrame, at: str) -> DataFrame:
+    """Without rows whose time lies further ahead than the margin."""
+    return events.filter(F.col(at) <= F.current_timestamp() + F.expr(f"interval {AHEAD}"))
+
+
+def start_landing(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write rows as they come until there are none. ``checkpoint`` remembers what was read: a query that is started again goes on behind it, and
+    each page counts once. What ``observed_at`` says at landing is what as-of reads go by, whatever the rows' own times are."""
+    return rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def distinct_events(events: DataFrame, id_col: str, at: str) -> DataFrame:
     """Each id once within the watermark; rows from too far ahead are left out."""
-    return events.filter(F.col(at) <= F.current_timestamp() + F.expr(f"interval {AHEAD}")).withWatermark(at, LATE).dropDuplicatesWithinWatermark([id_col])
+    return not_ahead(events, at).withWatermark(at, LATE).dropDuplicatesWithinWatermark([id_col])
 
 
 def windowed_counts(events: DataFrame, at: str, keys: list[str], weekly: bool = False) -> DataFrame:
     """Counts by day, or by ISO week: windows of seven days that begin on a Monday (1970-01-05 was one)."""
     w = F.window(at, "7 days", startTime="4 days") if weekly else F.window(at, "1 day")
-    return events.withWatermark(at, LATE).groupBy(w, *keys).agg(F.count("*").alias("n")).select(F.col("window.start").alias("bucket"), *keys, "n")
+    return not_ahead(events, at).withWatermark(at, LATE).groupBy(w, *keys).agg(F.count("*").alias("n")).select(F.col("window.start").alias("bucket"), *keys, "n")
 
 
 class IdleRounds(StatefulProcessor):
