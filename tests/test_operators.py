@@ -184,6 +184,21 @@ def test_features_and_clusters(spark):
     assert models.cluster(f.limit(1)).count() == 0 and models.silhouette(models.cluster(f, k=3)) is None
 
 
+def test_neighbours_are_exact_and_chains_settle(spark):
+    import random
+
+    from pyspark.ml.linalg import Vectors
+
+    rng = random.Random(3)
+    points = {i: [rng.uniform(0, 6) for _ in range(3)] for i in range(150)}
+    data = spark.createDataFrame([(i, Vectors.dense(p)) for i, p in points.items()], ["k", "vector"])
+    want = {(a, b) for a, p in points.items() for b, q in points.items() if sum((x - y) ** 2 for x, y in zip(p, q)) <= 1.21}
+    assert {(r.a, r.b) for r in models.neighbours(data, "k", 1.1, 3).collect()} == want
+    chain = spark.createDataFrame([(i, float(i)) for i in range(90)], "k int, x double")
+    got = models.density_cluster(chain, "k", 0.05, 3, names=["x"]).collect()
+    assert {r.cluster_id for r in got} == {1}
+
+
 def test_density_clusters_and_consensus(spark):
     points = spark.createDataFrame([(f"p{i}", float(i // 5) * 50 + i % 5 * 0.1) for i in range(10)] + [("far", 1000.0)], "entity_key string, mean double")
     got = {r.entity_key: (r.cluster_id, r.is_outlier) for r in models.density_cluster(points, "entity_key", 0.05, 3, ["mean"]).collect()}

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import math
+import random
 
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import BucketedRandomProjectionLSH, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-FEATURES = ["mean", "median", "sd", "cv", "slope", "growth_4", "growth_13", "peak_ratio", "zero_ratio", "autocorr_1", "autocorr_seasonal"]
+from tidewright.sources.sinks import staged
+
+FEATURES = ["mean", "median", "sd", "cv", "slope", "growth_4", "growth_13", "peak_ratio", "zero_ratio", "autocorr_1", "autocorr_seasonal", "arrival_delay_mean", "arrival_delay_p90", "transshipment_share", "seasonal_strength", "plan_revision_frequency"]
 
 
 def vectors(features: DataFrame, names: list[str] = FEATURES, robust: bool = False) -> DataFrame:
@@ -53,24 +57,43 @@ def choose_k(features: DataFrame, ks: list[int], names: list[str] = FEATURES, se
     return max(scores, key=lambda k: -math.inf if scores[k] is None else scores[k]), scores
 
 
-def density_cluster(features: DataFrame, key: str, radius: float, min_points: int, names: list[str] = FEATURES, rounds: int = 30) -> DataFrame:
+def neighbours(data: DataFrame, key: str, radius: float, size: int, axes: int = 2, seed: int = 1) -> DataFrame:
+    """(a, b): all pairs of rows of ``data`` (key, vector of ``size`` numbers) within ``radius`` of each other, each row with itself as well. Exact.
+
+    Along any direction two such rows lie at most ``radius`` apart, so they are in the same or in neighbouring cells of a grid over ``axes`` random
+    directions: an equi-join on the cell, then the distance decides.
+    """
+    rng = random.Random(seed)
+    drawn = [[rng.gauss(0, 1) for _ in range(size)] for _ in range(axes)]
+    units = [[x / math.sqrt(sum(y * y for y in v)) for x in v] for v in drawn]
+    rows = data.select(key, vector_to_array("vector").alias("x"))
+    along = lambda v: F.aggregate(F.zip_with("x", F.array(*map(F.lit, v)), lambda p, q: p * q), F.lit(0.0), lambda s, y: s + y)
+    placed = rows.withColumns({f"c{i}": F.floor(along(v) / radius) for i, v in enumerate(units)})
+    around = placed
+    for i in range(axes):
+        around = around.withColumn(f"c{i}", F.explode(F.array(*[F.col(f"c{i}") + k for k in (-1, 0, 1)])))
+    cells = [f"c{i}" for i in range(axes)]
+    both = placed.select(F.col(key).alias("a"), F.col("x").alias("xa"), *cells).join(around.select(F.col(key).alias("b"), F.col("x").alias("xb"), *cells), cells)
+    square = F.aggregate(F.zip_with("xa", "xb", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, y: s + y)
+    return both.filter(square <= radius * radius).select("a", "b")
+
+
+def density_cluster(features: DataFrame, key: str, radius: float, min_points: int, names: list[str] = FEATURES) -> DataFrame:
     """Clusters of rows that have ``min_points`` rows (themselves included) within ``radius`` of each other; the rest are outliers without a cluster.
 
-    Neighbours come from a hashed similarity join; core rows spread the smallest key along their links until nothing changes. A row within
-    reach of a core row joins its cluster.
+    Neighbours are exact. Core rows take the smallest label around them and then that label's own, until nothing changes: a chain of n rows needs some log n rounds.
+    A row within reach of a core row joins its cluster, of several the one with the smallest key.
     """
-    data = vectors(features, names).select(key, "vector")
-    lsh = BucketedRandomProjectionLSH(inputCol="vector", outputCol="_h", bucketLength=radius, numHashTables=4, seed=1).fit(data)
-    near = lsh.approxSimilarityJoin(data, data, radius, distCol="_d").select(F.col(f"datasetA.{key}").alias("a"), F.col(f"datasetB.{key}").alias("b")).distinct()
+    near = staged(neighbours(vectors(features, names).select(key, "vector"), key, radius, len(names)), "neighbours")
     cores = near.groupBy("a").agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_points).select("a")
-    links = near.join(cores, "a").join(cores.select(F.col("a").alias("b")), "b").select("a", "b").persist()
-    labels = cores.withColumn("label", F.col("a"))
-    for _ in range(rounds):
+    links = staged(near.join(cores, "a").join(cores.select(F.col("a").alias("b")), "b").select("a", "b"), "links")
+    labels = staged(cores.withColumn("label", F.col("a")), "labels")
+    while True:
         spread = links.join(labels.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("label").alias("_new"))
-        nxt = labels.join(spread, "a").select("a", F.least("label", "_new").alias("label")).persist()
-        settled = nxt.join(labels.withColumnRenamed("label", "_old"), "a").filter("label <> _old").isEmpty()
-        labels = nxt
-        if settled:
+        jump = labels.select(F.col("a").alias("_new"), F.col("label").alias("_next"))
+        lowered = staged(labels.join(spread, "a").join(jump, "_new").select("a", F.least("label", "_new", "_next").alias("label"), (F.least("_new", "_next") < F.col("label")).alias("_moved")), "labels")
+        labels = lowered.drop("_moved")
+        if lowered.filter("_moved").isEmpty():
             break
     reach = near.join(labels.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("label").alias("cluster_id"))
     return features.join(reach.withColumnRenamed("a", key), key, "left").withColumn("is_outlier", F.col("cluster_id").isNull())

@@ -29,9 +29,13 @@ def top_values(df: DataFrame, names: list[str], k: int = 2) -> DataFrame:
 
 
 def key_prefixes(df: DataFrame, names: list[str]) -> DataFrame:
-    """(columns, distinct_keys, n): distinct values of each growing prefix of a candidate key against the rows."""
-    aggs = [F.countDistinct(F.struct(*names[: i + 1])).alias(f"k{i}") for i in range(len(names))]
-    one = df.agg(F.count("*").alias("n"), *aggs)
+    """(columns, distinct_keys, n): distinct values of each growing prefix of a candidate key against the rows.
+
+    Rows are first counted by the whole key, so repeated keys are combined before any prefix is.
+    """
+    keys = df.groupBy(*names).agg(F.count("*").alias("_rows"))
+    shorter = [F.countDistinct(F.struct(*names[: i + 1])).alias(f"k{i}") for i in range(len(names) - 1)]
+    one = keys.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n"), *shorter, F.count("*").alias(f"k{len(names) - 1}"))
     return one.select("n", F.explode(F.array(*[F.struct(F.lit(",".join(names[: i + 1])).alias("columns"), F.col(f"k{i}").alias("distinct_keys")) for i in range(len(names))])).alias("c")).select("c.columns", "c.distinct_keys", "n")
 
 

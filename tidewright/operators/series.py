@@ -130,7 +130,8 @@ def trends(curves: DataFrame) -> DataFrame:
 
 def features(curves: DataFrame, seasonal_lag: tuple[int, int] = (4, 7)) -> DataFrame:
     """One feature row per series: mean, median, deviation, its ratio to the mean, slope, growth, peak ratio, share of zeros, autocorrelation at
-    lag 1 and at a seasonal lag (the second from 14 points on), and completeness where given. Undefined ones are null."""
+    lag 1 and at a seasonal lag (the second from 14 points on; null with fewer than two pairs), and completeness where given. A curve of delays has their mean and
+    nearest-rank 90th percentile, one of transshipments a share of 1. Undefined ones are null; seasonal strength and frequency of revisions aren't known from one curve and are 0."""
     w = Window.partitionBy(*SERIES).orderBy("time_bucket")
     whole = Window.partitionBy(*SERIES)
     rows = curves.filter("value is not null").withColumns({"i": F.row_number().over(w) - 1, "n": F.count("*").over(whole), "l1": F.lag("value", 1).over(w), "la": F.lag("value", seasonal_lag[0]).over(w), "lb": F.lag("value", seasonal_lag[1]).over(w), "g4": _growth(F.col("value"), F.lag("value", 4).over(w)), "g13": _growth(F.col("value"), F.lag("value", 13).over(w))})
@@ -141,15 +142,18 @@ def features(curves: DataFrame, seasonal_lag: tuple[int, int] = (4, 7)) -> DataF
         y = F.when(x.isNotNull(), F.col("value"))
         c = F.covar_pop(x, y)
         d = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(y)
-        return F.when(d > 0, c / d).otherwise(0.0)
+        return F.when(F.count(y) > 1, F.when(d > 0, c / d).otherwise(0.0))
 
     last = lambda c: F.max(F.when(F.col("i") == F.col("n") - 1, F.col(c)))
     out = rows.groupBy(*SERIES).agg(
         F.count("*").alias("n"), F.avg("value").alias("mean"), F.median("value").alias("median"), F.stddev_pop("value").alias("sd"),
         F.try_divide(F.covar_pop("i", "value"), F.var_pop("i")).alias("slope"), last("g4").alias("growth_4"), last("g13").alias("growth_13"), F.max("value").alias("_peak"),
+        F.expr("percentile_disc(0.9) within group (order by value)").alias("_p90"),
         F.avg(F.when(F.col("value") == 0, 1.0).otherwise(0.0)).alias("zero_ratio"), correlation(F.col("l1")).alias("autocorr_1"), correlation(lagged).alias("autocorr_seasonal"),
     )
-    return out.withColumns({"cv": F.try_divide("sd", F.abs("mean")), "peak_ratio": F.try_divide("_peak", "median")}).drop("_peak")
+    delay = F.col("curve_type") == "arrival_delay"
+    out = out.withColumns({"arrival_delay_mean": F.when(delay, F.col("mean")), "arrival_delay_p90": F.when(delay, F.col("_p90")), "transshipment_share": F.when(F.col("curve_type") == "transshipment", 1.0).otherwise(0.0), "seasonal_strength": F.lit(0.0), "plan_revision_frequency": F.lit(0.0)})
+    return out.withColumns({"cv": F.coalesce(F.try_divide("sd", F.abs("mean")), F.lit(0.0)), "peak_ratio": F.try_divide("_peak", "median")}).drop("_peak", "_p90")
 
 
 def delay_profile(delays: DataFrame, key: str, value: str) -> DataFrame:

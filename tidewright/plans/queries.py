@@ -191,9 +191,14 @@ def work_states(v):
     return cdc.work_status(rows, ["l_suppkey"])
 
 
-@query("SELECT entity_key, time_bucket, value, quality_flag FROM :curves:")
+@query("SELECT entity_key, time_bucket, value, quality_flag FROM (SELECT *, max(time_bucket) OVER (PARTITION BY entity_key) AS m FROM :curves:) WHERE datediff('day', time_bucket, m) < 364")
 def curves_weekly(v):
-    return v("curves").select("entity_key", "time_bucket", "value", "quality_flag")
+    return series.recent_buckets(v("curves"), 52).select("entity_key", "time_bucket", "value", "quality_flag")
+
+
+@query("SELECT time_bucket, sum(value) AS value FROM :curves: WHERE curve_type = 'orders' GROUP BY time_bucket")
+def curves_rolled_up(v):
+    return series.rollup_curves(v("curves"), "orders")
 
 
 _W = "PARTITION BY entity_key ORDER BY time_bucket"
@@ -441,12 +446,15 @@ def endpoint_report(v):
     return quality.endpoint_summary(v("events").select(F.col("event_type").alias("endpoint"), F.col("user_id").alias("record_id"), F.when(F.col("value") >= 5, F.col("ts")).alias("event_time")))
 
 
-@query("""SELECT coalesce(r.k, f.k) AS k, CASE WHEN r.k IS NULL THEN f.reason WHEN f.k IS NULL THEN 'manual' WHEN f.reason < 'manual' THEN f.reason || '+manual' ELSE 'manual+' || f.reason END AS reason
-FROM (SELECT s_suppkey AS k FROM supplier WHERE s_suppkey % 4 = 0) r FULL JOIN (SELECT l_suppkey AS k, 'oversized' AS reason FROM lineitem GROUP BY l_suppkey HAVING count(*) >= 600) f ON r.k = f.k""")
+@query("""WITH f AS (SELECT l_suppkey AS k, 'oversized' AS reason FROM lineitem GROUP BY l_suppkey HAVING count(*) >= 60 AND l_suppkey % 2 = 0 UNION ALL SELECT s_suppkey, 'TEST_SHIP' FROM supplier WHERE upper(s_name) LIKE '%1' UNION ALL SELECT s_suppkey, 'manual' FROM supplier WHERE s_suppkey % 4 = 0)
+SELECT k, string_agg(DISTINCT reason, '+' ORDER BY reason) AS reason FROM f GROUP BY k""")
 def quarantine_update(v):
-    found = v("lineitem").groupBy(F.col("l_suppkey").alias("k")).agg(F.count("*").alias("total")).withColumn("status", F.lit("hit"))
+    status = F.when(F.col("l_suppkey") % 2 == 0, "hit").otherwise("complete")
+    found = v("lineitem").groupBy(F.col("l_suppkey").alias("k")).agg(F.count("*").alias("total"), F.first(status).alias("status"))
     rejected = v("supplier").filter("s_suppkey % 4 = 0").select(F.col("s_suppkey").alias("k"), F.lit("manual").alias("reason"))
-    return quality.quarantine(rejected, found, v("supplier").select(F.col("s_suppkey").alias("k"), F.lit("x").alias("bucket")).limit(0), ["k"], 600)
+    text = lambda c: F.lit(c).cast("string")
+    buckets = v("supplier").select(F.col("s_suppkey").alias("k"), codes.classify_vessel(text(None), F.col("s_name"), F.lit(""), text(None), text(None), [("en", "%1", "TEST_SHIP")]).alias("bucket")).filter("bucket is not null")
+    return quality.quarantine(rejected, found, buckets, ["k"], 60)
 
 
 @query("SELECT o_orderkey, l.late FROM orders o JOIN (SELECT l_orderkey, bool_or(o_orderdate > l_shipdate) AS late FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_orderkey) l ON l.l_orderkey = o.o_orderkey")
@@ -469,9 +477,10 @@ def sample_stratified(v):
     return sample.stratified_sample(v("customer").select("c_custkey", "c_mktsegment"), ["c_custkey"], F.col("c_mktsegment"), _STRATA, "seed").select("c_custkey", "stratum", "universe")
 
 
-@query("""SELECT sha256(string_agg(l, chr(10) ORDER BY l)) AS fingerprint, count(*) AS n FROM (SELECT CAST(s_suppkey AS STRING) || chr(31) || s_name AS l FROM supplier)""")
+@query("""SELECT sha256(string_agg(l, chr(10) ORDER BY l)) AS fingerprint, count(*) AS n FROM (SELECT CAST(c_custkey AS STRING) || chr(31) || c_mktsegment AS l FROM (SELECT c_custkey, c_mktsegment FROM customer ORDER BY sha256('seed' || chr(31) || CAST(c_custkey AS STRING) || chr(31) || c_mktsegment), c_custkey LIMIT 100))""")
 def manifest(v):
-    return sample.manifest_fingerprint(v("supplier"), ["s_suppkey", "s_name"])
+    drawn = sample.stable_sample(v("customer").select("c_custkey", "c_mktsegment"), ["c_custkey", "c_mktsegment"], 100, "seed")
+    return sample.manifest_fingerprint(drawn, ["c_custkey", "c_mktsegment"])
 
 
 @query("""WITH r AS (SELECT CAST(user_id AS STRING) AS voyage, CAST(date_trunc('day', ts) AS DATE) - DATE '2024-01-01' AS round, count(*) FILTER (event_type = 'purchase') AS n, max(ts) AS t FROM events GROUP BY 1, 2),
@@ -592,10 +601,10 @@ def vgm_work_list(v):
     return reports.work_list([v("gate"), v("orders").select(F.col("o_custkey").cast("string").alias("container_no"))], ["container_no"])
 
 
-@query("SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-09 22:00:00' AND ts <= TIMESTAMP '2024-01-12'")
+@query("""SELECT event_id FROM events WHERE ts >= (SELECT max(ts) - INTERVAL 122 HOUR FROM events WHERE event_type IN ('click', 'view') AND event_id % 3 = 0) AND ts <= TIMESTAMP '2024-01-30'""")
 def incremental_rows(v):
-    ledger = v("nation").select(F.lit("incremental").alias("kind"), F.lit("ok").alias("status"), F.lit(dt.datetime(2024, 1, 10)).alias("watermark_to"))
-    return reports.in_window(v("events"), "ts", *reports.incremental_window(ledger, ["incremental"], dt.datetime(2024, 1, 11))).select("event_id")
+    ledger = v("events").select(F.col("event_type").alias("kind"), F.when(F.col("event_id") % 3 == 0, "ok").otherwise("failed").alias("status"), (F.col("ts") - F.expr("interval 5 days")).alias("watermark_to"))
+    return reports.in_window(v("events"), "ts", *reports.incremental_window(ledger, ["click", "view"], dt.datetime(2024, 1, 29))).select("event_id")
 
 
 @query("""SELECT endpoint, fingerprint, page, seq, coalesce(payload_hash = lag(payload_hash, 1) OVER w OR payload_hash = lag(payload_hash, 2) OVER w, false) AS adjacent_repeat FROM :page_log: WINDOW w AS (PARTITION BY endpoint, fingerprint ORDER BY seq)""")

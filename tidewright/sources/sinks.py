@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,3 +32,12 @@ def write_report(metrics: DataFrame, path: str) -> str:
     """Metrics (name, value) as JSON under ``path``, and as Markdown text for a reader. ``metrics`` has one row a metric."""
     metrics.coalesce(1).write.mode("overwrite").json(path)
     return "\n".join(["| metric | value |", "|---|---|", *[f"| {r['name']} | {r['value']} |" for r in metrics.orderBy("name").collect()]])
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder that spark.checkpoint.dir names, else in the warehouse: cuts lineage and survives lost executors."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{base}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
