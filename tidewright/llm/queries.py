@@ -138,9 +138,13 @@ _KEY = f"CASE WHEN contains({{0}}, '://') THEN {_HOST} || CASE {_REST} WHEN '' T
 OP10_SQL = rf"""
 WITH RECURSIVE rules(h, p, a) AS (VALUES {", ".join(map(str, URL_RULES))}),
 q AS (SELECT page_id, coalesce(url, '') AS url, html, {_HOST.format("coalesce(url, '')")} AS host, {_PATH.format("coalesce(url, '')")} AS path, {_KEY.format("url")} AS node FROM pages),
-link AS (SELECT url, host, unnest([regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical["''\s/>][^>]*>|<link\b[^>]*\brel\s*=\s*["'']?canonical["'']?\s*>', 0), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
-  regexp_extract(html, '(?is)<meta\b[^>]*http-equiv\s*=\s*["'']?refresh[^>]*url\s*=\s*[''"]?([^"''\s>]+)', 1)]) AS target FROM q),
-full_link AS (SELECT url, CASE WHEN contains(target, '://') THEN target WHEN target LIKE '//%' THEN 'http:' || target WHEN target LIKE '/%' THEN 'http://' || host || target END AS target FROM link WHERE target <> ''),
+tag AS (SELECT url, host, unnest(regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical["''\s/>][^>]*>|<link\b[^>]*\brel\s*=\s*["'']?canonical["'']?\s*>')) AS tag FROM q),
+link AS (SELECT url, host, regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS target FROM tag
+  UNION ALL SELECT url, host, unnest(regexp_extract_all(html, '(?is)<meta\b[^>]*http-equiv\s*=\s*["'']?refresh[^>]*url\s*=\s*[''"]?([^"''\s>]+)', 1)) FROM q),
+part AS (SELECT url, host, target, regexp_extract(target, '(?s)^([^?#]*)(.*)$', 1) AS place, regexp_extract(target, '(?s)^([^?#]*)(.*)$', 2) AS rest FROM link WHERE target <> ''),
+walk AS (SELECT *, string_split('/' || regexp_replace(CASE WHEN place LIKE '/%' THEN place WHEN place = '' THEN {_PATH.format("url")} ELSE regexp_replace({_PATH.format("url")}, '[^/]*$', '') || place END, '^/', ''), '/') AS steps FROM part),
+full_link AS (SELECT url, CASE WHEN contains(target, '://') THEN target WHEN target LIKE '//%' THEN 'http:' || target WHEN NOT regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:')
+  THEN 'http://' || host || list_reduce(steps, lambda acc, x: CASE x WHEN '..' THEN regexp_replace(acc, '/[^/]*$', '') WHEN '.' THEN acc ELSE acc || '/' || x END) || CASE WHEN steps[-1] IN ('.', '..') THEN '/' ELSE '' END || rest END AS target FROM walk),
 one AS (SELECT {_KEY.format("url")} AS a, {_KEY.format("target")} AS b FROM full_link WHERE target IS NOT NULL),
 e AS (SELECT a, b FROM one UNION SELECT b, a FROM one),
 t(node, reach) AS (SELECT a, a FROM e UNION SELECT t.node, e.b FROM t JOIN e ON e.a = t.reach),

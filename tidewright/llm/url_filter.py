@@ -28,39 +28,55 @@ def url_key(url: Column) -> Column:
     return F.when(url.contains("://"), F.concat(host_of(url), F.when(rest == "", F.lit("/")).otherwise(rest)))
 
 
+def resolved(base: Column, target: Column) -> Column:
+    """The url that a link's target means on the page ``base``; null for targets of other schemes than those with ``://``.
+
+    A target without a host is taken against the base's host, one without a leading slash against the base's folder, one of a query alone against
+    its path; ``.`` and ``..`` are worked off.
+    """
+    place, rest = F.regexp_extract(target, r"(?s)^([^?#]*)(.*)$", 1), F.regexp_extract(target, r"(?s)^([^?#]*)(.*)$", 2)
+    path = F.when(F.startswith(place, F.lit("/")), place).when(place == "", path_of(base)).otherwise(F.concat(F.regexp_replace(path_of(base), r"[^/]*$", ""), place))
+    steps = F.split(F.concat(F.lit("/"), F.regexp_replace(path, "^/", "")), "/")
+    step = lambda acc, x: F.when(x == "..", F.regexp_replace(acc, "/[^/]*$", "")).when(x == ".", acc).otherwise(F.concat(acc, F.lit("/"), x))
+    walked = F.aggregate(F.slice(steps, F.lit(2), F.size(steps)), F.lit(""), step)
+    walked = F.when(F.element_at(steps, -1).isin(".", ".."), F.concat(walked, F.lit("/"))).otherwise(walked)
+    return (
+        F.when(target.contains("://"), target).when(F.startswith(target, F.lit("//")), F.concat(F.lit("http:"), target))
+        .when(~target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.concat(F.lit("http://"), host_of(base), walked, rest))
+    )
+
+
 def html_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(src, dst): the canonical link and the refresh target that a page names, as url nodes.
+    """(src, dst): all canonical links and refresh targets that a page names, in whatever letter case, as url nodes; targets are ``resolved``.
 
-    Relative targets are taken against the page's host. Pages that name none are dropped before any pattern runs.
+    Pages that name none are dropped before any pattern runs.
     """
-    html = F.col(html_col)
-    named = pages.select(F.col(url_col).alias("_url"), html.alias("_html")).filter(F.col("_html").contains("canonical") | F.lower("_html").contains("http-equiv"))
-    tag = F.regexp_extract("_html", r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical[\"'\s/>][^>]*>|<link\b[^>]*\brel\s*=\s*[\"']?canonical[\"']?\s*>", 0)
-    canonical = F.regexp_extract(tag, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    refresh = F.regexp_extract("_html", r"(?is)<meta\b[^>]*http-equiv\s*=\s*[\"']?refresh[^>]*url\s*=\s*['\"]?([^\"'\s>]+)", 1)
-    targets = named.select("_url", F.explode(F.array(canonical, refresh)).alias("_to")).filter("_to <> ''")
-    absolute = F.when(F.col("_to").contains("://"), F.col("_to")).when(F.startswith("_to", F.lit("//")), F.concat(F.lit("http:"), F.col("_to"))).when(
-        F.startswith("_to", F.lit("/")), F.concat(F.lit("http://"), host_of(F.col("_url")), F.col("_to"))
-    )
-    return targets.select(url_key(F.col("_url")).alias("src"), url_key(absolute).alias("dst")).dropna()
+    named = pages.select(F.col(url_col).alias("_url"), F.col(html_col).alias("_html")).filter(F.lower("_html").contains("canonical") | F.lower("_html").contains("http-equiv"))
+    tags = F.regexp_extract_all("_html", F.lit(r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical[\"'\s/>][^>]*>|<link\b[^>]*\brel\s*=\s*[\"']?canonical[\"']?\s*>"), 0)
+    canonical = F.transform(tags, lambda t: F.regexp_extract(t, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1))
+    refresh = F.regexp_extract_all("_html", F.lit(r"(?is)<meta\b[^>]*http-equiv\s*=\s*[\"']?refresh[^>]*url\s*=\s*['\"]?([^\"'\s>]+)"), 1)
+    targets = named.select("_url", F.explode(F.concat(canonical, refresh)).alias("_to")).filter("_to <> ''")
+    return targets.select(url_key(F.col("_url")).alias("src"), url_key(resolved(F.col("_url"), F.col("_to"))).alias("dst")).dropna()
 
 
 def match_rules(places: DataFrame, rules: DataFrame) -> DataFrame:
     """(host, path, rule, action): the longest rule of ``rules`` (host, path, action) that fits each of the distinct ``places`` (host, path).
 
-    A rule fits its host and all subdomains where the path starts with the rule's. Each place asks for its own host suffixes
-    with its own path prefixes of the lengths that occur in the rules: an equi-join, however many rules there are.
+    A rule fits its host and all subdomains where the path starts with the rule's. Each place asks for its own host suffixes, with its own
+    path prefixes of the lengths that rules of that host have: two equi-joins, however many rules there are.
     Of rules of one length, allow wins, then the smaller string. Rules with a null host or path are ignored.
     """
     rules = rules.filter("host is not null and path is not null").groupBy("host", "path").agg(F.min("action").alias("action"))
-    sizes = rules.agg(F.count("*").alias("n"), F.collect_set(F.length("path")).alias("lengths")).first()
-    lengths = sorted(sizes["lengths"] or [0])
+    small = rules.count() <= BROADCAST_RULES
+    sent = lambda df: F.broadcast(df) if small else df
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    asked = places.select("host", "path", F.explode(suffixes).alias("r_host")).select("*", F.explode(F.array(*[F.lit(n) for n in lengths])).alias("_n")).filter(F.length("path") >= F.col("_n"))
+    lengths = rules.groupBy(F.col("host").alias("r_host")).agg(F.collect_set(F.length("path")).alias("_lengths"))
+    asked = places.select("host", "path", F.explode(suffixes).alias("r_host")).join(sent(lengths), "r_host")
+    asked = asked.select("host", "path", "r_host", F.explode(F.filter("_lengths", lambda n: n <= F.length("path"))).alias("_n"))
     asked = asked.select("host", "path", "r_host", F.expr("substr(path, 1, _n)").alias("r_path"))
     known = rules.select(F.col("host").alias("r_host"), F.col("path").alias("r_path"), "action")
-    hits = asked.join(F.broadcast(known) if sizes["n"] <= BROADCAST_RULES else known, ["r_host", "r_path"])
+    hits = asked.join(sent(known), ["r_host", "r_path"])
     rule = F.concat("r_host", "r_path")
     best = F.min(F.struct((-F.length(rule)).alias("n"), F.col("action").alias("action"), rule.alias("rule"))).alias("b")
     return hits.groupBy("host", "path").agg(best).select("host", "path", F.col("b.rule").alias("rule"), F.col("b.action").alias("action"))
