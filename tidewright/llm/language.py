@@ -9,14 +9,13 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import held_out, written
 
-#: The model learns from about so many documents a language, taken by hash of the id, and keeps so many words and so many
-#: n-grams of each length a language: its size is bounded by the number of languages alone.
-DOCS_A_LANGUAGE, WORDS_A_LANGUAGE, GRAMS_A_LANGUAGE, LONGEST = 4000, 20_000, 5_000, 4
+#: The model learns from about so many documents a language, taken by hash of the id, and keeps all their words, and their n-grams up to LONGEST.
+DOCS_A_LANGUAGE, LONGEST = 2000, 4
 #: Words that a Python worker remembers with their scores.
 WORD_MEMORY = 200_000
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -56,13 +55,15 @@ def learn_language_counts(docs: DataFrame) -> DataFrame:
 class LanguageModel:
     """Log frequencies of words and n-grams in each language."""
 
-    def __init__(self, rows: list):
-        self.languages = sorted({r["lang"] for r in rows})
+    def __init__(self, counts: pa.Table):
+        """From the counts of a bounded number of documents: (lang, n, gram, count)."""
+        self.languages = sorted(counts.column("lang").unique().to_pylist())
         totals: Counter = Counter()
         tables: dict[int, dict[str, dict[str, int]]] = {n: {} for n in range(LONGEST + 1)}
-        for r in rows:
-            totals[r["n"], r["lang"]] += r["count"]
-            tables[r["n"]].setdefault(r["gram"], {})[r["lang"]] = r["count"]
+        for batch in counts.to_batches(max_chunksize=50_000):
+            for lang, n, gram, count in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                totals[n, lang] += count
+                tables[n].setdefault(gram, {})[lang] = count
         self.tables = {}
         for n, grams in tables.items():
             floor = [math.log(0.5 / (totals[n, lang] + 1)) for lang in self.languages]
@@ -139,9 +140,7 @@ def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     for r in sizes:
         share = F.when(F.col("lang") == r["lang"], int(min(1.0, docs_a_language / r["count"]) * 1_000_000)).otherwise(share)
     counts = written(learn_language_counts(rows.filter(F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1_000_000)) < share)), "language-counts")
-    rank = F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc("count"), "gram"))
-    kept = counts.withColumn("_rank", rank).filter(F.col("_rank") <= F.when(F.col("n") == 0, WORDS_A_LANGUAGE).otherwise(GRAMS_A_LANGUAGE))
-    return LanguageModel(kept.select("lang", "n", "gram", "count").collect())
+    return LanguageModel(counts.select("lang", "n", "gram", "count").toArrow())
 
 
 def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_a_language: int = DOCS_A_LANGUAGE) -> DataFrame:
