@@ -20,7 +20,7 @@ from tidewright.llm.near_dedup import near_duplicates
 from tidewright.llm.packing import best_fit_rounds, pack_documents
 from tidewright.llm.quality import classify_quality
 from tidewright.llm.substring_dedup import segments, substring_dedup
-from tidewright.llm.url_filter import filter_urls
+from tidewright.llm.url_filter import filter_urls, html_edges
 from tidewright.llm.words import blocks
 
 DOCS = "doc_id bigint, text string, _text string, lang string, rev string, kept string, part string"
@@ -85,10 +85,25 @@ def test_substring_dedup_takes_every_place_inside_one_document(spark):
     assert got == brute.substring_dedup(rows)
 
 
-def test_segments_of_one_anchor_differ_in_64_bits(spark):
-    docs = spark.createDataFrame([(d, 0, " ".join(f"w{d}_{i}" for i in range(90))) for d in range(20)], "doc_id bigint, part int, text string")
-    bodies = [r.body for r in segments(docs).collect()]
-    assert len({b >> 32 for b in bodies}) > 20 and len({b & 0xFFFFFFFF for b in bodies}) > 20
+@pytest.mark.parametrize("bits", [0, 2])
+def test_substring_dedup_verifies_what_a_weak_hash_proposes(spark, bits):
+    rng = random.Random(8)
+    some = lambda k: " ".join(f"w{rng.randrange(10**6)}" for _ in range(k))
+    phrase, rows = some(8), []
+    for d in range(60):  # one anchor, no window in common
+        rows.append((d, f"{some(21)} {phrase} {some(21)}"))
+    passage = some(70)
+    rows += [(100 + d, f"{some(rng.randrange(30))} {passage} {some(rng.randrange(30))}") for d in range(6)] + [(200, rows[3][1]), (201, rows[3][1] + " more")]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in substring_dedup(frame(spark, rows), body_bits=bits).collect()}
+    assert got == brute.substring_dedup(rows)
+
+
+def test_long_segments_are_several(spark):
+    docs = spark.createDataFrame([(1, 0, "a " * 900)], "doc_id bigint, part int, text string")
+    assert sum(r.body & 0xFF for r in segments(docs, 400).collect()) == 501
+    rows = [(1, "x " + "a " * 900), (2, "a " * 600)]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in substring_dedup(frame(spark, rows), window=400).collect()}
+    assert got == brute.substring_dedup(rows, 400)
 
 
 def test_line_dedup_equals_brute_force(spark):
@@ -158,6 +173,19 @@ def test_near_duplicates_of_a_dense_group_at_the_threshold(spark, changed):
     assert got == {d: c for d, (_, c) in brute.near_duplicates(rows, 1).items()}
 
 
+def test_near_duplicates_of_a_hub_are_one_group(spark):
+    base = [f"w{i}" for i in range(241)]
+    rows = [(0, " ".join(base))] + [(d, " ".join(base + [f"d{d}x{j}" for j in range(45)])) for d in range(1, 1500)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), shingle=2).collect()
+    assert {r.component_id for r in got} == {0} and sum(r.kept for r in got) == 1
+
+
+def test_near_duplicates_confirm_equal_digests(spark):
+    rows = documents(5)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(frame(spark, rows), shingle=2, digest_bits=1).collect()}
+    assert got == brute.near_duplicates(rows, 2)
+
+
 def test_connected_components(spark):
     edges = [(5, 4), (4, 3), (3, 9), (7, 8), (2, 2), (None, 1), (8, 7)] + [(100, i) for i in range(101, 140)]
     got = dict(connected_components(spark.createDataFrame(edges, "src bigint, dst bigint")).collect())
@@ -222,6 +250,36 @@ def test_decontamination_finds_every_whole_passage_of_many(spark):
     assert [d for d in range(1100) if d not in got[d]] == [] and not any(got[5000 + d] for d in range(50))
 
 
+def test_decontamination_finds_whole_items_of_any_length_and_none_elsewhere(spark):
+    rng = random.Random(9)
+    common = [f"c{i}" for i in range(40)]
+    some = lambda k: " ".join(rng.choice(common) if rng.random() < 0.4 else f"w{rng.randrange(3000)}" for _ in range(k))
+    items = [(n * 10 + k, some(n)) for n in [*range(3, 20), 30, 63, 64, 65, 100, 150] for k in range(4)]
+    rows = [(i, f"{some(40)}, {t.upper()}. {some(40)}") for i, t in items]
+    rows += [(10_000 + i, f"{some(30)} {' '.join(t.split()[40:100])} {some(30)}") for i, t in items if len(t.split()) >= 100]  # excerpts of 60 words
+    rows += [(20_000 + d, some(120)) for d in range(60)] + rows[:3]
+    found = decontaminate(frame(spark, rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    got = {r.doc_id: {x["item_id"] for x in r["items"]} for r in found}
+    assert len(found) == len(rows) and [i for i, _ in items if i not in got[i]] == [] and all(d - 10_000 in got[d] for d in got if 10_000 <= d < 20_000)
+    held = lambda text: {i for i, t in items if f" {t} " in f" {text} "}
+    assert {d: got[d] for d in got if d >= 20_000} == {d: held(t) for d, t in rows if d >= 20_000}
+
+
+def test_paraphrases_that_keep_most_words(spark):
+    rng = random.Random(10)
+    some = lambda k: " ".join(f"w{rng.randrange(5000)}" for _ in range(k))
+    items = [(i, f"{some(28)}. {some(6)}") for i in range(40)]
+    rows = []
+    for share in (60, 70, 80):
+        for i, t in items:
+            w = t.split()
+            kept = [x for k, x in enumerate(w) if k >= 28 or rng.randrange(100) < share]
+            rows.append((share * 100 + i, f"{some(40)} {' '.join(kept)} {some(40)}"))
+    found = {r.doc_id: {x["item_id"] for x in r["items"]} for r in decontaminate(frame(spark, rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    recall = {share: sum(d % 100 in found[d] for d in found if d // 100 == share) / len(items) for share in (60, 70, 80)}
+    assert recall[80] >= 0.95 and recall[70] >= 0.9 and recall[60] >= 0.75, recall
+
+
 def test_latent_space_is_the_svd(spark):
     rng = np.random.default_rng(1)
     a = rng.random((12, 30)) * (rng.random((12, 30)) < 0.4)
@@ -303,6 +361,19 @@ def test_packing(spark):
 RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"), (None, "/", "block")]
 
 
+def test_words_that_change_their_letters_before_marks():
+    import public_tokenizers
+
+    from tidewright.llm.packing import _WordIds
+
+    ids = _WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    letters = [chr(c) for c in range(0x110000) if chr(c).isalpha()]
+    changing = [c for c in letters if not __import__("unicodedata").normalize("NFC", c).lower().isalpha()]
+    words = [w.encode() for c in changing + letters[::97] for m in "!,.|" for w in (c + m, "\u0915" + c + m, "x" + c + m + m)]
+    found = ids.of(set(words))
+    assert len(changing) >= 60 and [found[w] for w in words] == ids.encode(words)
+
+
 def test_url_rules_and_aliases(spark):
     page = lambda target: f'<html><link href="{target}" rel="canonical"></html>'
     rows = [
@@ -317,6 +388,21 @@ def test_url_rules_and_aliases(spark):
     assert got[0][1:4] == ("a.example.com", "/en/1", "com/en/") and got[3][1:4] == ("", "", None) and got[1][3] == "example.com/en/7"
 
 
+def test_links_in_any_case_and_relative(spark):
+    rows = [
+        (1, "http://a.org/x/y/p.html?q=1", '<LINK REL="Canonical" HREF="../es/2">'), (2, "http://b.org/f/g", '<link rel=canonical href="page.html"><META HTTP-EQUIV="Refresh" CONTENT="0; URL=?k=2">'), (3, "http://b.org/f/page.html", ""),
+        (4, "http://c.org", '<link rel="canonical" href="a/./b/.."><link rel="canonical" href="http://a.org/es/9">'), (5, "http://c.org/a/", ""), (6, "http://d.org/x", '<link rel="canonical" href="mailto:x@y">'),
+        (7, "http://e.org/x", '<link rel="canonical" href="../../es/../es/">'), (8, "http://e.org/f", '<link rel="canonical" href="//E.org/x">'), (9, None, '<link rel="canonical" href="p">'),
+    ]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    edges = {(r.src, r.dst) for r in html_edges(pages).collect()}
+    assert edges == {
+        ("a.org/x/y/p.html?q=1", "a.org/x/es/2"), ("b.org/f/g", "b.org/f/page.html"), ("b.org/f/g", "b.org/f/g?k=2"), ("c.org/", "c.org/a/"), ("c.org/", "a.org/es/9"), ("e.org/x", "e.org/es/"), ("e.org/f", "e.org/x"),
+    }
+    rules = spark.createDataFrame([("org", "/es/", "block")] + [("org", "/z" * n, "allow") for n in range(1, 30)], "host string, path string, action string")
+    assert {r.page_id: r.verdict for r in filter_urls(pages, rules).collect()} == {1: "allow", 2: "allow", 3: "allow", 4: "block", 5: "block", 6: "allow", 7: "block", 8: "block", 9: "allow"}
+
+
 def test_words_of_blocks():
     texts = ["a bb\tccc", "", None, " x ", "é\x0bü", "y" * 10]
     seen = []

@@ -11,21 +11,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import written
-from tidewright.llm.words import LETTERS_DIGITS, blocks
+from tidewright.llm.words import LETTERS_DIGITS, Sums, blocks
 
 #: Document frequencies are counted in so many buckets of word hashes.
 BUCKETS = 1 << 16
-#: Words of a benchmark passage, and of the windows of a document, which start every third of their width: of a passage of any
-#: length to 64 words, some window holds enough, and little else, for a cosine above 0.6.
+#: Words of a benchmark passage, which overlap by half, and of the windows of a document, which start every third of their width: of a passage of any
+#: length from SHORT to 64 words, some window holds enough, and little else, for a cosine above 0.6.
 PASSAGE, WIDTHS = 64, (24, 64)
+#: A passage of fewer words is too short for a latent vector to tell it from what stands around it: it counts where all its words follow each other.
+SHORT = 9
 #: A latent space is of at most so many passages and has a dimension for each, so that it holds every passage whole.
 RANK = 256
 #: Least share of a window's TF-IDF mass in benchmark words, and least cosine, of a candidate.
-LEAST_SHARE, LEAST_COSINE = 0.3, 0.5
+LEAST_SHARE, LEAST_COSINE = 0.25, 0.42
 #: Least share of an item's TF-IDF mass in the longest common subsequence: for a copy, and for a paraphrase that also has the answer's words.
 COPY, PARAPHRASE, ANSWER = 0.75, 0.5, 0.8
 #: Passages that one pass over the documents carries, in spaces of RANK: so many times PASSAGE words of RANK numbers are broadcast at most. More passages take more passes.
 PASSAGES_A_PASS = 1024
+#: Short passages that one pass carries beside them: so many times SHORT numbers at most.
+SHORT_A_PASS = 100_000
 
 
 def _words(texts: pa.Array):
@@ -220,8 +224,28 @@ class Retriever:
         return "", share
 
 
+class ShortPassages:
+    """Passages of fewer than SHORT words, to be found where all their words follow each other."""
+
+    def __init__(self, items: list[int], words: list[np.ndarray]):
+        self.found: dict[int, dict[bytes, list[int]]] = {}
+        for item, w in zip(items, words, strict=True):
+            self.found.setdefault(len(w), {}).setdefault(w.tobytes(), []).append(item)
+        self.keys = {m: np.unique([Sums(np.frombuffer(w, dtype=np.uint64)).of(np.zeros(1, dtype=np.int64), np.full(1, m))[0] for w in by]) for m, by in self.found.items()}
+
+    def search(self, row: np.ndarray, h: np.ndarray, n_rows: int) -> list[tuple[int, int, float, float, str]]:
+        """(row, item, 1, 1, "copy") of each row and passage in it. Hashes of stretches only propose; their words decide."""
+        out, sums = set(), Sums(h)
+        for m, keys in self.keys.items():
+            begin = np.flatnonzero(row[: max(0, len(h) - m + 1)] == row[m - 1 :]) if len(h) >= m else np.zeros(0, dtype=np.int64)
+            k = sums.of(begin, begin + m)
+            for i in begin[keys[np.minimum(np.searchsorted(keys, k), len(keys) - 1)] == k].tolist():
+                out.update((int(row[i]), item) for item in self.found[m].get(h[i : i + m].tobytes(), ()))
+        return [(r, item, 1.0, 1.0, "copy") for r, item in sorted(out)]
+
+
 def benchmark_passages(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(pid, item_id, words array<bigint>, answer array<bigint>): items in passages of PASSAGE words, the last one whole.
+    """(item_id, words array<bigint>, answer array<bigint>): items in passages of PASSAGE words that overlap by half, the last one whole.
 
     The answer of a passage is what its item says after the last break between sentences, where that lies in the passage; else its last quarter.
     """
@@ -232,14 +256,13 @@ def benchmark_passages(benchmark: DataFrame, id_col: str, text_col: str) -> Data
                 sentences = [s for s in (text or "").replace("?", ".").replace("!", ".").replace("\n", ".").split(".") if any(c.isalnum() for c in s)]
                 h = _words(pa.array([text or ""]))[1]
                 last = len(_words(pa.array(sentences[-1:] or [""]))[1]) if len(sentences) > 1 else 0
-                for at in range(0, max(len(h), 1), PASSAGE):
+                for at in [0, *range(PASSAGE // 2, len(h) - PASSAGE // 2, PASSAGE // 2)]:
                     words = h[max(0, min(at, len(h) - PASSAGE)) : at + PASSAGE]
                     tail = last if 0 < last < len(words) and at + PASSAGE >= len(h) else -(-len(words) // 4)
                     if len(words):
                         yield pa.RecordBatch.from_arrays([pa.array([item], pa.int64()), pa.array([words.view(np.int64)], pa.list_(pa.int64())), pa.array([words[len(words) - tail :].view(np.int64)], pa.list_(pa.int64()))], ["item_id", "words", "answer"])
 
-    rows = benchmark.select(F.col(id_col).cast("bigint"), text_col).mapInArrow(run, "item_id bigint, words array<bigint>, answer array<bigint>")
-    return rows.select(F.monotonically_increasing_id().alias("pid"), "*")
+    return benchmark.select(F.col(id_col).cast("bigint"), text_col).mapInArrow(run, "item_id bigint, words array<bigint>, answer array<bigint>")
 
 
 def _retriever(idf: np.ndarray, passages: DataFrame, terms: DataFrame, low: int, high: int) -> Retriever:
@@ -263,14 +286,15 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     n_docs, df = document_frequencies(docs)
     idf = np.log((n_docs + 1) / (df + 1)).astype(np.float32) + np.float32(0.01)
     passages = written(benchmark_passages(benchmark, "item_id", "text"), "passages")
+    schema = "doc_id bigint, item_id bigint, cosine double, in_order double, kind string"
+    short = passages.filter(F.size("words") < SHORT).select("item_id", "words").toPandas()
+    passages = written(passages.filter(F.size("words") >= SHORT).withColumn("pid", F.monotonically_increasing_id()), "passages")
     # ``pid`` has the partition above its lower 33 bits; passages are counted through over all partitions.
     sizes = sorted(passages.groupBy(F.shiftright("pid", 33).alias("p")).count().collect())
-    schema = "doc_id bigint, item_id bigint, cosine double, in_order double, kind string"
-    if not sizes:
-        return spark.createDataFrame([], schema)
     before = np.cumsum([0, *(n for _, n in sizes)]).tolist()
-    shift = F.create_map(*[F.lit(x) for (p, _), k in zip(sizes, before, strict=False) for x in (p, k - (p << 33))])
-    passages = written(passages.withColumn("pid", F.col("pid") + shift[F.shiftright("pid", 33)]), "passages")
+    if sizes:
+        shift = F.create_map(*[F.lit(x) for (p, _), k in zip(sizes, before, strict=False) for x in (p, k - (p << 33))])
+        passages = written(passages.withColumn("pid", F.col("pid") + shift[F.shiftright("pid", 33)]), "passages")
     exploded = passages.select("pid", F.explode("words").alias("term")).groupBy("pid", "term").count()
 
     def weigh(batches):
@@ -283,9 +307,12 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # Passages of one length each: a space spans the same, and none is lost for its small weight.
     norms = terms.groupBy("pid").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     terms = written(terms.join(norms, "pid").select("pid", "term", (F.col("w") / F.col("norm")).alias("w")), "terms")
-    out = None
-    for low in range(0, before[-1], PASSAGES_A_PASS):
-        carried = [_retriever(idf, passages, terms, k, min(k + RANK, before[-1])) for k in range(low, min(low + PASSAGES_A_PASS, before[-1]), RANK)]
+    out = spark.createDataFrame([], schema)
+    for turn in range(max(-(-before[-1] // PASSAGES_A_PASS), -(-len(short) // SHORT_A_PASS))):
+        low, part = turn * PASSAGES_A_PASS, short.iloc[turn * SHORT_A_PASS : (turn + 1) * SHORT_A_PASS]
+        carried: list = [_retriever(idf, passages, terms, k, min(k + RANK, before[-1])) for k in range(low, min(low + PASSAGES_A_PASS, before[-1]), RANK)]
+        if len(part):
+            carried.append(ShortPassages(part["item_id"].tolist(), [np.asarray(w, dtype=np.int64).view(np.uint64) for w in part["words"]]))
         shared = spark.sparkContext.broadcast(carried)
 
         def run(batches, shared=shared):
@@ -299,7 +326,7 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                             yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.asarray(row) + b.first_row)), pa.array(item, pa.int64()), pa.array(cosine, pa.float64()), pa.array(share, pa.float64()), pa.array(kind, pa.string())], ["doc_id", "item_id", "cosine", "in_order", "kind"])
 
         pairs = docs.select("doc_id", "text").mapInArrow(run, schema)
-        out = pairs if out is None else out.unionByName(pairs)
+        out = out.unionByName(pairs)
     return out.groupBy("doc_id", "item_id").agg(F.max("cosine").alias("cosine"), F.max("in_order").alias("in_order"), F.min("kind").alias("kind"))
 
 
@@ -307,9 +334,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per row of ``docs``: id, contaminated, items (array of struct item_id, cosine, in_order, kind).
 
     Words are letters and digits, A-Z lower-cased; IDF counts all documents. Blocks of RANK benchmark passages span a latent space each, of full rank, by
-    a randomised SVD of their TF-IDF rows. Windows of every whole text, of four widths, that have enough mass in benchmark words are projected and compared with all
+    a randomised SVD of their TF-IDF rows. Windows of every whole text, of two widths, that have enough mass in benchmark words are projected and compared with all
     passages by cosine; of candidates, the longest common subsequence with the passage is weighed: enough of it is a copy, and less of
-    it a paraphrase if the window also has the words of the passage's answer.
+    it a paraphrase if the window also has the words of the passage's answer. Passages of fewer than SHORT words count where all their words follow each other.
 
     Null and empty texts and items match nothing; nor do rows with a null id, which come back as not contaminated. Rows that repeat an id
     share their result. An empty benchmark gives no matches. Other columns are not read. Ids are whole numbers.
