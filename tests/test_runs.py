@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from tidewright.functions import sql, text
 from tidewright.operators import gold, joins, runs
+from tidewright.plans.bindings import ask
+from tidewright.sources import sinks
 from tidewright.streaming import streams
 
 D = dt.datetime
@@ -102,3 +104,19 @@ def test_landing_goes_on_behind_its_checkpoint(spark, tmp_path):
     assert sorted(r.id for r in out.collect()) == [0, 1, 2, 3] and land().count() == 4
     # What was visible goes by the time of landing, not by the rows' own times.
     assert out.filter(F.col("observed_at") <= F.lit(D(2002, 1, 1))).count() == 0
+
+
+def test_gate_files_by_scope(spark, tmp_path):
+    events = spark.createDataFrame([("U", "1", 1), ("V", "2", 2)], "vesselcode string, voyage string, id int")
+    active, none = events.filter("id = 2"), events.limit(0)
+    read = lambda name: spark.read.option("header", True).csv(f"{tmp_path}/{name}").count()
+    for scope, rows in (("all", 2), ("active", 1), ("off", None)):
+        sinks.write_gate(events, active, events, none if scope == "off" else events, f"{tmp_path}/{scope}", scope)
+        assert read(f"{scope}/gap") == 2 and (tmp_path / scope / "events").exists() == (rows is not None) and (tmp_path / scope / "new").exists() == (scope != "off")
+        assert rows is None or read(f"{scope}/events") == rows
+
+
+def test_questions_in_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    assert ask(spark, sf, "SELECT count(*) AS n FROM curves WHERE entity_key = :who", who="FRANCE").first().n > 0
+    assert ask(spark, sf, "SELECT count(*) AS n FROM gate JOIN quarantined USING (vesselcode, voyage)").first().n >= 0

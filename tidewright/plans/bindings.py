@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import string
 
 from pyspark.sql import DataFrame, SparkSession
@@ -121,3 +122,10 @@ def sql(text: str) -> str:
         tables = {t: t for _, t, _, _ in string.Formatter().parse(body) if t}
         text = text.replace(f":{name}:", f"({body.format(**tables)})")
     return text
+
+
+def ask(spark: SparkSession, sf_dir: str, text: str, **values) -> DataFrame:
+    """Any SQL over the bindings, those it names as temporary views; ``:name`` in it takes one of ``values``. Reads only: it returns rows and stores nothing."""
+    for name in set(re.findall(r"\w+", text)) & set(ALL):
+        view(spark, sf_dir, name).createOrReplaceTempView(name)
+    return spark.sql(text, args=values)

@@ -34,6 +34,18 @@ def write_report(metrics: DataFrame, path: str) -> str:
     return "\n".join(["| metric | value |", "|---|---|", *[f"| {r['name']} | {r['value']} |" for r in metrics.orderBy("name").collect()]])
 
 
+def write_gate(events: DataFrame, active: DataFrame, gap: DataFrame, new: DataFrame, path: str, scope: str = "all", pair: tuple[str, str] = ("vesselcode", "voyage")) -> None:
+    """Gate files under ``path``: ``events`` of all voyages, of the active ones, or none at all (``scope``: all, active, off); ``new`` rows of the run, if
+    there are any; ``gap`` rows always."""
+    if scope not in ("all", "active", "off"):
+        raise ValueError(f"scope is all, active or off, not {scope}")
+    if scope != "off":
+        write_csv(events if scope == "all" else events.join(active.select(*pair).distinct(), list(pair), "left_semi"), f"{path}/events")
+    if not new.isEmpty():
+        write_csv(new, f"{path}/new")
+    write_csv(gap, f"{path}/gap")
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder that spark.checkpoint.dir names, else in the warehouse: cuts lineage and survives lost executors."""
     spark = df.sparkSession
