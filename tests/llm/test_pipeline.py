@@ -30,6 +30,21 @@ def test_quality_stage_keeps_good_documents(spark):
     assert sum(d in kept for d in good) > 0.9 * len(good)
 
 
+def test_stages_take_nulls_repeats_clashing_columns_and_nothing(spark):
+    rows = [(r.doc_id, r.text, "en", "s", 1, True, "p", 0.5, 1, "x") for r in spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 40").collect()]
+    rows += [(None, "no id", None, None, None, False, None, None, None, None), (None, None, None, None, None, None, None, None, None, None), (900, None, None, None, None, None, None, None, None, None), (901, "", None, None, None, None, None, None, None, None), rows[3], rows[3]]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, kept boolean, part string, score double, n int, component string")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and 0 < out.count() <= len(rows)
+        assert stage(spark, docs.limit(0), SF).count() == 0
+    same = corpus_pipeline.exact_stage(spark, docs, SF).collect()
+    assert sum(r.doc_id is None for r in same) == 2 and sum(r.doc_id == rows[3][0] for r in same) in (0, 3)
+    packed = corpus_pipeline.packing_stage(spark, docs, SF)
+    assert packed.groupBy().sum("length").first()[0] > 0 and {r.doc_id for r in packed.collect()} == {r[0] for r in rows}
+    assert corpus_pipeline.packing_stage(spark, docs.limit(0), SF).count() == 0
+
+
 def test_run_packs_what_is_left(spark):
     out = corpus_pipeline.run(spark, SF).collect()
     assert out and all(0 < r.length <= 2048 for r in out)
