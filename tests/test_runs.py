@@ -118,5 +118,5 @@ def test_gate_files_by_scope(spark, tmp_path):
 
 def test_questions_in_sql(spark):
     sf = "/root/testdata/sf0.001"
-    assert ask(spark, sf, "SELECT count(*) AS n FROM curves WHERE entity_key = :who", who="FRANCE").first().n > 0
+    assert ask(spark, sf, "SELECT count(*) AS n FROM curves WHERE entity_key = :who", who="NATION_6").first().n > 0
     assert ask(spark, sf, "SELECT count(*) AS n FROM gate JOIN quarantined USING (vesselcode, voyage)").first().n >= 0

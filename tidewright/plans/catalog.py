@@ -138,9 +138,9 @@ def preset_invalid_containers(v):
     return joins.container_catalog(v("gate_raw"), v("quarantined")).filter("status = 'invalid'").select("container_no").orderBy("container_no").limit(100)
 
 
-@query("SELECT time_bucket, value, quality_flag FROM :curves: WHERE curve_type = 'orders' AND granularity = 'weekly' AND entity_key = 'FRANCE' ORDER BY time_bucket DESC LIMIT 260")
+@query("SELECT time_bucket, value, quality_flag FROM :curves: WHERE curve_type = 'orders' AND granularity = 'weekly' AND entity_key = 'NATION_6' ORDER BY time_bucket DESC LIMIT 260")
 def curve_slice(v):
-    rows = v("curves").filter("curve_type = 'orders' AND granularity = 'weekly' AND entity_key = 'FRANCE'")
+    rows = v("curves").filter("curve_type = 'orders' AND granularity = 'weekly' AND entity_key = 'NATION_6'")
     return rows.select("time_bucket", "value", "quality_flag").orderBy(F.desc("time_bucket")).limit(260)
 
 
