@@ -66,7 +66,8 @@ def business_key(parts: list[Column], row: Column, need_all: bool = False) -> Co
 def flow_date(c: Column) -> Column:
     """Date of a raw gate time: ``yyyy-MM-dd...`` or ``yyyyMMdd...``, else null."""
     text = F.trim(c)
-    return F.when(F.substring(text, 5, 1) == "-", F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")).when(text.rlike(r"^\d{8}"), F.try_to_date(F.substring(text, 1, 8), "yyyyMMdd"))
+    digits = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+    return F.when(F.substring(text, 5, 1) == "-", F.substring(text, 1, 10).try_cast("date")).when(text.rlike(r"^\d{8}"), digits.try_cast("date"))
 
 
 def readable_time(c: Column) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,14 +19,17 @@ def capture_changes(current: DataFrame, incoming: DataFrame, key: str, fields: l
     new = incoming.select(key, F.struct(*fields).alias("_new"))
     both = new.join(old, key, "left")
     text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    pairs = F.map_from_arrays(F.array(*[F.lit(f) for f in fields]), F.array(*[F.array(text(F.col(f"_old.{f}")), text(F.col(f"_new.{f}"))) for f in fields]))
-    diff = F.map_filter(pairs, lambda _, v: v[0] != v[1])
-    kind = (
-        F.when(F.col(key).isNull(), "skipped").when(F.col("_old").isNull(), "new").when(F.cardinality("changed_fields") == 0, "unchanged")
-        .when(F.forall(F.map_keys("changed_fields"), lambda f: f.isin(*touch) if touch else F.lit(False)), "touched").otherwise("updated")
-    )
-    out = both.withColumn("changed_fields", F.when(F.col("_old").isNotNull(), diff))
-    return out.withColumn("change_type", kind).select(key, "change_type", "changed_fields")
+    ends = {f: (text(F.col(f"_old.{f}")), text(F.col(f"_new.{f}"))) for f in fields}
+    differ = {f: a != b for f, (a, b) in ends.items()}
+    some = reduce(or_, differ.values(), F.lit(False))
+    beyond = reduce(or_, [d for f, d in differ.items() if f not in touch], F.lit(False))
+    # Only rows with a difference build a map of them.
+    entries = [F.when(d, F.struct(F.lit(f).alias("key"), F.array(*ends[f]).alias("value"))) for f, d in differ.items()]
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<array<string>>"))
+    known = F.col("_old").isNotNull()
+    kind = F.when(F.col(key).isNull(), "skipped").when(~known, "new").when(~some, "unchanged").when(~beyond, "touched").otherwise("updated")
+    changed = F.when(known & some, F.map_from_entries(F.array_compact(F.array(*entries)))).when(known, none)
+    return both.select(key, kind.alias("change_type"), changed.alias("changed_fields"))
 
 
 def upsert(current: DataFrame, incoming: DataFrame, key: str) -> DataFrame:

@@ -87,12 +87,13 @@ def gate_daily(events: DataFrame, quarantined: DataFrame, anchor: dt.date | None
     moves = moves.filter("kind is not null and flow_date is not null and container_no <> ''")
     if anchor is not None:
         moves = moves.filter(allowed_date(F.col("flow_date"), anchor))
-    once = moves.groupBy("flow_date", "direction", "kind", "container_no").agg(F.max("teu").alias("teu"))
-    side = lambda k: F.col("kind") == k
+    into, out = F.col("kind") == "IN", F.col("kind") == "OUT"
+    once = moves.groupBy("flow_date", "direction", "container_no").agg(
+        F.bool_or(into).alias("into"), F.bool_or(out).alias("out"), F.max(F.when(into, F.col("teu"))).alias("in_teu"), F.max(F.when(out, F.col("teu"))).alias("out_teu")
+    )
     return once.groupBy("flow_date", "direction").agg(
-        F.count_if(side("IN")).alias("in_count"), F.count_if(side("OUT")).alias("out_count"), F.countDistinct("container_no").alias("unique_containers"),
-        *[F.coalesce(F.sum(F.when(side(k), F.col("teu"))), F.lit(0.0)).alias(f"{k.lower()}_teu") for k in ("IN", "OUT")],
-        *[F.count_if(side(k) & F.col("teu").isNotNull()).alias(f"{k.lower()}_teu_known") for k in ("IN", "OUT")],
+        F.count_if("into").alias("in_count"), F.count_if("out").alias("out_count"), F.count("*").alias("unique_containers"), *[F.coalesce(F.sum(f"{k}_teu"), F.lit(0.0)).alias(f"{k}_teu") for k in ("in", "out")],
+        *[F.count(f"{k}_teu").alias(f"{k}_teu_known") for k in ("in", "out")],
     )
 
 
