@@ -106,8 +106,9 @@ def test_long_segments_are_several(spark):
     assert got == brute.substring_dedup(rows, 400)
 
 
-def test_line_dedup_equals_brute_force(spark):
-    rows = documents(3)
+@pytest.mark.parametrize("shift", [0, -500, 10**15])
+def test_line_dedup_equals_brute_force(spark, shift):
+    rows = [(d + shift, t) for d, t in documents(3)]
     want = brute.line_dedup(rows)
     out = line_dedup(frame(spark, rows)).collect()
     assert {r.doc_id: (list(r.removed_lines), r.n_links) for r in out} == want
@@ -299,13 +300,15 @@ def test_chat_round_trip(spark):
     rng = random.Random(1)
     bits = [*CONTROL_STRINGS, "~", "~0", "~1", "~n", "\n", "hello", "é", "😀", "<", "[", "|", "", " "]
     rows = [(c, t, rng.choice(["user", "assistant", "system", "a\nb", "<s>"]), "".join(rng.choice(bits) for _ in range(rng.randint(0, 8)))) for c in range(60) for t in range(rng.randint(1, 6))]
-    rows += [(500, 0, None, None), (500, None, "assistant", "first"), (None, 1, "user", "x"), (501, 1, "assistant", "b"), (501, 1, "assistant", "a"), (501, 1, "assistant", "a")]
+    rows += [(500, 0, None, None), (500, None, "assistant", "first"), (None, 1, "user", "x"), (None, 2, "user", "y"), (501, 1, "assistant", "b"), (501, 1, "assistant", "a"), (501, 1, "assistant", "a")]
     got = format_conversations(chat(spark, rows)).withColumn("loss", loss_text()).collect()
     by = {}
     for c, t, r, x in rows:
         by.setdefault(c, []).append((-1 if t is None else t, r or "", x or ""))
-    assert len(got) == len(by)
+    assert len(got) == len(by) + 1 and sorted(tuple(t) for g in got if g.conv_id is None for t in g.turns) == [("user", "x"), ("user", "y")]
     for g in got:
+        if g.conv_id is None:
+            continue
         want = [(r, x) for _, r, x in sorted(by[g.conv_id])]
         assert g.round_trip and [(t.role, t.text) for t in g.turns] == want and g.loss == "".join(x for r, x in want if r == "assistant")
     assert {g.level for g in got} >= {0, 1}

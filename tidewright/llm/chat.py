@@ -86,14 +86,15 @@ def format_conversations(
     ``loss_spans`` are (start, length) in code points of ``formatted``, from 0: the assistants' texts.
 
     A null text or role is empty. Turns are in order of turn, role and text, null turns first; repeated rows
-    are turns of their own. Rows with a null conversation id form one conversation. A conversation is one
+    are turns of their own. A row with a null conversation id is a conversation of its own. A conversation is one
     row of the result, so its turns meet in one task; nothing larger does. Other columns are not read.
     """
     turns = rows.select(
         F.col(conv_col).alias("_conv"),
         F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).alias("_turn"),
     )
-    convs = turns.groupBy("_conv").agg(F.sort_array(F.collect_list("_turn")).alias("_rows"))
+    alone = F.when(F.col("_conv").isNull(), F.monotonically_increasing_id())
+    convs = turns.withColumn("_alone", alone).groupBy("_conv", "_alone").agg(F.sort_array(F.collect_list("_turn")).alias("_rows"))
     pairs = lambda c: F.transform(c, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
     plain = lambda x: F.replace(x, F.lit("~"), F.lit("~0"))
     out = convs.select("_conv", pairs(F.col("_rows")).alias("_source"))
