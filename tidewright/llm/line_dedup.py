@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from tidewright.llm.common import written
 
 #: Token frequencies are counted in so many buckets of token hashes; a bucket's count decides how rare its tokens are.
-BUCKETS = 1 << 16
+BUCKETS = 1 << 19
 THRESHOLD = 80
+#: Places of so many lines are broadcast at most (two numbers each, about 50 bytes in memory); more are joined by shuffle.
+BROADCAST_LINES = 1_000_000
 
 
 def _spaced(text: Column) -> Column:
@@ -22,11 +24,6 @@ def _spaced(text: Column) -> Column:
     return out
 
 
-def _tokens(line: Column) -> Column:
-    """Distinct tokens of a spaced line."""
-    return F.array_remove(F.array_distinct(F.split(line, " ")), "")
-
-
 def _lines(docs: DataFrame) -> DataFrame:
     """(doc_id, pos, line, h1, h2): every line with a token; h1 and h2 are a 96-bit digest of the spaced line."""
     lines = docs.select("doc_id", F.posexplode(F.split(_spaced(F.col("text")), "\n")).alias("pos", "line")).filter("trim(line) <> ''")
@@ -39,44 +36,72 @@ def _place(doc: str = "doc_id", pos: str = "pos") -> Column:
 
 
 def rarity(docs: DataFrame) -> Column:
-    """Token hash -> how common its bucket is, from 0 (rarest), over all tokens of all documents (text): a literal of BUCKETS numbers."""
+    """How common each bucket of token hashes is, from 0 (rarest) to 127, over all tokens of all documents (text): a literal array of BUCKETS numbers."""
     tokens = docs.select(F.explode(F.split(F.replace(_spaced(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("t")).filter("t <> ''")
-    counts = {r["b"]: r["n"] for r in tokens.groupBy(F.pmod(F.xxhash64("t"), F.lit(BUCKETS)).cast("int").alias("b")).agg(F.count("*").alias("n")).collect()}
-    steps = ",".join(str(int(4 * math.log2(counts[b]))) if b in counts else "0" for b in range(BUCKETS))
-    return F.split(F.lit(steps), ",").cast("array<bigint>")
+    counts = tokens.groupBy(F.xxhash64("t").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("b")).agg(F.count("*").alias("n"))
+    step = F.least(F.lit(127), F.floor(3 * F.log2("n"))).cast("string")
+    listed = F.array_join(F.collect_list(F.concat(F.col("b").cast("string"), F.lit(":"), step)), ",")
+    table = ["0"] * BUCKETS
+    for r in counts.groupBy(F.shiftright("b", 10)).agg(listed.alias("x")).collect():
+        for pair in r["x"].split(","):
+            bucket, n = pair.split(":")
+            table[int(bucket)] = n
+    return F.split(F.lit(",".join(table)), ",").cast("array<bigint>")
 
 
-def similar_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Links (a1, a2, b1, b2) between different lines of docs (doc_id, text) with 100 * intersection >= threshold * union of tokens.
+def _candidates(known: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): pairs of h1 of different lines that their prefixes, places, lengths and bits allow; each pair once.
 
     Tokens of a line are ordered from rare to common. Lines meet on a token of their prefixes: so many of the rarest that lines
-    without a common one there cannot be similar. Lengths, and the places of the token in both, rule out most pairs inside the
-    join; the rest are verified on all tokens. Every different line takes part once, however often it occurs.
+    without a common one there cannot be similar. Where they met on the token before it already, they say nothing. Every different line takes part once, however
+    often it occurs; its text is not moved for that.
     """
-    ranks = rarity(docs)
-    # Dealt by the digest alone, so that texts are moved once: the comparison at the end finds them where they are.
-    lines = _lines(docs).groupBy("h1", "h2").agg(F.min("line").alias("line"))
-    hashes = F.array_distinct(F.array_remove(F.transform(F.split("line", " "), lambda t: F.xxhash64(t)), F.xxhash64(F.lit(""))))
+    table = rarity(known)
     # Rarity above, hash below: one number that orders tokens and tells them apart.
-    order = lambda h: F.shiftleft(F.element_at(ranks, F.pmod(h, F.lit(BUCKETS)).cast("int") + 1), 55).bitwiseOR(F.shiftrightunsigned(h, 9))
+    rank = lambda t: F.get(table, F.xxhash64(t).bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
+    order = lambda t: F.shiftleft(rank(t), 55).bitwiseOR(F.shiftrightunsigned(F.xxhash64(t), 9))
+    texts = known.select(F.explode(F.split(_spaced(F.col("text")), "\n")).alias("line")).filter("trim(line) <> ''")
+    tokens = F.sort_array(F.array_remove(F.array_distinct(F.transform(F.split("line", " "), order)), order(F.lit(""))))
+    sets = texts.select(F.xxhash64("line").alias("h1"), F.hash(F.lit(7), "line").alias("h2"), tokens.alias("s"))
     # A bit for each token: sets whose bits differ in more places than their difference may have tokens are not similar.
-    bits = F.aggregate("h", F.lit(0).cast("bigint"), lambda acc, h: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(F.lit(63)).cast("int"))))
-    sets = lines.select("h1", "h2", hashes.alias("h")).select("h1", "h2", bits.alias("bits"), F.sort_array(F.transform("h", order)).alias("s")).withColumn("n", F.size("s"))
-    least = F.ceil(F.col("n") * F.lit(threshold) / 100).cast("int")
-    prefix = sets.select("h1", "h2", "bits", "n", F.posexplode(F.slice("s", F.lit(1), F.col("n") - least + 1)).alias("p", "t")).withColumn("t", F.hash("t"))
-    x, y = (prefix.select("t", *[F.col(c).alias(f"{s}_{c}") for c in ("h1", "h2", "bits", "n", "p")]) for s in "xy")
+    bits = F.aggregate("s", F.lit(0).cast("bigint"), lambda acc, h: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(F.lit(63)).cast("int"))))
+    n = F.size("s")
+    prefix = F.transform(F.slice("s", F.lit(1), n - F.ceil(n * F.lit(threshold) / 100).cast("int") + 1), lambda t: F.hash(t))
+    lines = sets.select("h1", "h2", bits.alias("bits"), n.alias("n"), prefix.alias("t")).groupBy("h1", "h2").agg(*[F.first(c).alias(c) for c in ("bits", "n", "t")])
+    before = F.concat(F.array(F.lit(None).cast("int")), F.slice("t", F.lit(1), F.size("t") - 1))
+    placed = lines.select("h1", "bits", "n", F.posexplode(F.arrays_zip("t", before.alias("before"))).alias("p", "z")).select("h1", "bits", "n", "p", F.col("z.t").alias("t"), F.col("z.before").alias("before"))
+    x, y = (placed.select("t", *[F.col(c).alias(f"{s}_{c}") for c in ("h1", "bits", "n", "p", "before")]) for s in "xy")
     after, both = F.least(F.col("x_n") - F.col("x_p"), F.col("y_n") - F.col("y_p")), F.col("x_n") + F.col("y_n")
     fits = (
-        ((F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.struct("x_h1", "x_h2") < F.struct("y_h1", "y_h2"))))
+        ((F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_h1") < F.col("y_h1"))))
         & (100 * F.col("x_n") >= threshold * F.col("y_n"))
+        & (F.col("x_before").isNull() | F.col("y_before").isNull() | (F.col("x_before") != F.col("y_before")))
         & ((100 + threshold) * after >= threshold * both)
         & ((100 + threshold) * F.bit_count(F.col("x_bits").bitwiseXOR(F.col("y_bits"))) <= (100 - threshold) * both)
     )
-    pairs = x.join(y, "t").filter(fits).select(F.col("x_h1").alias("a1"), F.col("x_h2").alias("a2"), F.col("y_h1").alias("b1"), F.col("y_h2").alias("b2")).distinct()
-    a, b = (lines.select(F.col("h1").alias(f"{s}1"), F.col("h2").alias(f"{s}2"), F.col("line").alias(f"{s}_line")) for s in "ab")
-    both = pairs.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).select("a1", "a2", "b1", "b2", _tokens(F.col("a_line")).alias("ta"), _tokens(F.col("b_line")).alias("tb"))
-    common = F.size(F.array_intersect("ta", "tb"))
-    return both.filter(100 * common >= threshold * (F.size("ta") + F.size("tb") - common)).select("a1", "a2", "b1", "b2")
+    return x.join(y, "t").filter(fits).select(F.col("x_h1").alias("a"), F.col("y_h1").alias("b")).distinct()
+
+
+def similar_lines(docs: DataFrame, firsts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Links (a1, a2, b1, b2) between different lines of docs (doc_id, text) with 100 * intersection >= threshold * union of tokens.
+
+    Candidates by prefix, place and length; only lines with a candidate bring their tokens, from their first place (``firsts``: h1, h2, first), and pairs are
+    verified on all of them.
+    """
+    pairs = written(_candidates(docs, threshold), "line-pairs")
+    wanted = firsts.join(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "h1", "left_semi")
+    size = F.lit(1 << 31).cast("decimal(10,0)")
+    pos = F.pmod("first", size)
+    wanted = written(wanted.select(((F.col("first") - pos) / size).cast("bigint").alias("doc_id"), pos.cast("int").alias("pos")).distinct(), "line-wanted")
+    texts = docs.select("doc_id", F.posexplode(F.split(_spaced(F.col("text")), "\n")).alias("pos", "line"))
+    texts = texts.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted, ["doc_id", "pos"])
+    tokens = F.array_distinct(F.transform(F.array_remove(F.split("line", " "), ""), lambda t: F.xxhash64(t)))
+    once = texts.select(F.xxhash64("line").alias("h1"), F.hash(F.lit(7), "line").alias("h2"), tokens.alias("s"))
+    sets = written(once, "line-sets")
+    a, b = (sets.select(F.col("h1").alias(s), F.col("h2").alias(f"{s}2"), F.col("s").alias(f"t{s}")) for s in "ab")
+    both = pairs.join(a, "a").join(b, "b")
+    links = both.filter((100 + threshold) * F.size(F.array_intersect("ta", "tb")) >= threshold * (F.size("ta") + F.size("tb")))
+    return links.select(F.col("a").alias("a1"), "a2", F.col("b").alias("b1"), "b2").distinct()
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
@@ -93,9 +118,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     known = rows.filter("doc_id is not null")
-    links = written(similar_lines(known, threshold), "line-links")
     lines = written(_lines(known).select("doc_id", "pos", "h1", "h2"), "line-places")
-    firsts = lines.groupBy("h1", "h2").agg(F.min(_place()).alias("first"))
+    firsts = written(lines.groupBy("h1", "h2").agg(F.min(_place()).alias("first")), "line-firsts")
+    links = written(similar_lines(known, firsts, threshold), "line-links")
     ends = links.select(F.explode(F.array(F.struct(*[F.col(c).alias(n) for c, n in (("a1", "h1"), ("a2", "h2"), ("b1", "o1"), ("b2", "o2"))]), F.struct(*[F.col(c).alias(n) for c, n in (("b1", "h1"), ("b2", "h2"), ("a1", "o1"), ("a2", "o2"))]))).alias("e")).select("e.*")
     other = firsts.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("first").alias("_other"))
     linked = ends.join(other, ["o1", "o2"]).groupBy("h1", "h2").agg(F.min("_other").alias("_earliest"), F.count("*").alias("_links"))
