@@ -29,7 +29,8 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_lines", F.size("removed_lines").alias("n_removed"), "n_links", "removed_lines")
+    counts = [c.cast("bigint").alias(n) for n, c in (("n_lines", F.col("n_lines")), ("n_removed", F.size("removed_lines")), ("n_links", F.col("n_links")))]
+    return out.select("doc_id", *counts, F.array_join("removed_lines", ",").alias("removed_lines"))
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,6 +121,22 @@ g AS (SELECT x.doc_id, x.i, x.word, max(d.i) OVER (PARTITION BY x.doc_id ORDER B
 r AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM g GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN r ON r.doc_id = w.doc_id"""
 
+OP2_SQL = r"""
+WITH l AS (SELECT doc_id, generate_subscripts(x, 1) - 1 AS pos, unnest(x) AS raw FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents WHERE text IS NOT NULL)),
+k AS (SELECT * FROM (SELECT doc_id, pos, translate(lower(raw), chr(9) || chr(11) || chr(12) || chr(13), '    ') AS line FROM l) WHERE trim(line) <> ''),
+s AS (SELECT row_number() OVER () AS r, line, first, list_distinct(list_filter(string_split(line, ' '), lambda t: t <> '')) AS ts FROM (SELECT line, min(struct_pack(d := doc_id, p := pos)) AS first FROM k GROUP BY line)),
+e AS (SELECT r, len(ts) AS m, unnest(ts) AS t FROM s),
+f AS (SELECT t, count(*) AS c FROM e GROUP BY t),
+p AS (SELECT r, m, t FROM (SELECT r, m, e.t, row_number() OVER (PARTITION BY r ORDER BY c, e.t) AS i FROM e JOIN f ON f.t = e.t) WHERE i <= m - (80 * m + 99) // 100 + 1),
+q AS (SELECT DISTINCT a.r AS x, b.r AS y FROM p a JOIN p b ON a.t = b.t AND a.r < b.r AND 100 * least(a.m, b.m) >= 80 * greatest(a.m, b.m)),
+v AS (SELECT x, y FROM (SELECT x, y, len(list_intersect(a.ts, b.ts)) AS i, len(a.ts) + len(b.ts) AS u FROM q JOIN s a ON a.r = x JOIN s b ON b.r = y) WHERE 180 * i >= 80 * u),
+w AS (SELECT x AS r, y AS o FROM v UNION ALL SELECT y, x FROM v),
+g AS (SELECT w.r, count(*) AS links, min(s.first) AS other FROM w JOIN s ON s.r = w.o GROUP BY w.r),
+j AS (SELECT k.doc_id, k.pos, coalesce(links, 0) AS links, struct_pack(d := k.doc_id, p := k.pos) > s.first OR coalesce(struct_pack(d := k.doc_id, p := k.pos) > g.other, false) AS gone FROM k JOIN s ON s.line = k.line LEFT JOIN g ON g.r = s.r),
+o AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, CAST(sum(links) AS BIGINT) AS n_links, string_agg(CAST(pos AS STRING), ',' ORDER BY pos) FILTER (gone) AS removed FROM j GROUP BY doc_id)
+SELECT documents.doc_id, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END AS BIGINT) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_links, 0) AS n_links, coalesce(removed, '') AS removed_lines
+FROM documents LEFT JOIN o ON o.doc_id = documents.doc_id"""
+
 OP8_SQL = rf"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_NORM4}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
 s AS (SELECT doc_id, CASE WHEN len(ws) > 1 THEN list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) ELSE ws END AS gs FROM w),
@@ -164,4 +181,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op5_chat_format": OP5_SQL, "op8_near_dedup": OP8_SQL, "op10_url_filter": OP10_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op5_chat_format": OP5_SQL, "op8_near_dedup": OP8_SQL, "op10_url_filter": OP10_SQL}
