@@ -1,7 +1,9 @@
-"""The queries op1_ ... op10_ of the driver contract, and SQL for those that SQL can express."""
+"""The queries op1_ ... op13_ of the driver contract, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
+import zlib
+
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,9 @@ from tidewright.llm.line_dedup import line_dedup
 from tidewright.llm.near_dedup import near_duplicates
 from tidewright.llm.packing import pack_documents
 from tidewright.llm.quality import classify_quality
+from tidewright.llm.repair import repair, repaired_digests
+from tidewright.llm.secret_scan import KINDS, find_secrets
+from tidewright.llm.spelling import count_words, spelling_groups
 from tidewright.llm.substring_dedup import substring_dedup
 from tidewright.llm.url_filter import filter_urls
 
@@ -81,6 +86,46 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), rules).drop("component")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_secrets(table(spark, sf_dir, "documents"))
+    names = F.array(*(F.lit(k) for k in KINDS))
+    listed = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
+    counts = [F.size(F.filter("base", lambda x, k=i: x["kind"] == k)).cast("bigint").alias(f"n_{KINDS[i]}") for i in range(3)]
+    return out.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """The conversations of op12: by crc32(conv_id:turn) % 20 a row is dropped (0), emptied (1), loses its stops (2), stands twice (3), is a user's (4). Nulls are one space."""
+    filled = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    h = F.crc32(F.concat(filled("conv_id"), F.lit(":"), filled("turn")).cast("binary")) % 20
+    out = rows.select("conv_id", "turn", filled("role").alias("role"), filled("text").alias("text"), h.alias("h")).filter("h <> 0")
+    text = F.when(F.col("h") == 1, "").when(F.col("h") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("h") == 4, "user").otherwise(F.col("role"))
+    return out.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(F.array_repeat(F.lit(1), F.when(F.col("h") == 3, 2).otherwise(1)))).drop("col")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    reports, repaired = repair(damaged(rows))
+    found = reports.join(repaired_digests(repaired).withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c")), "left").drop("c")
+    all_ids = rows.select(F.col("conv_id").alias("original")).distinct()
+    out = all_ids.join(found, F.col("original").eqNullSafe(F.col("conv_id")), "left")
+    numbers = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select(F.col("original").alias("conv_id"), *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def mistyped(doc_id: int | None, word: str) -> str:
+    """The word of op13: without its code point h % length where 97 divides h, the crc32 of ``doc_id:word``."""
+    h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+    at = h % len(word)
+    return word if h % 97 else word[:at] + word[at + 1 :]
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = count_words(table(spark, sf_dir, "documents"), change=mistyped)
+    return spelling_groups(words.filter("char_length(word) >= 5 and n >= 3")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 _NORM4 = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 OP4_SQL = f"""
 WITH n AS (SELECT doc_id, sha256({_NORM4}) AS text_sha256, {_NORM4} AS norm FROM documents)
@@ -172,13 +217,89 @@ SELECT page_id, q.host, q.path, rule, coalesce(a, CASE WHEN q.node IN (SELECT no
 FROM q LEFT JOIN fit ON fit.host = q.host AND fit.path = q.path AND r = 1"""
 
 
+_CRC_STEP = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+_CRC_TABLE = f"SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(CAST(i AS BIGINT), [CAST(0 AS BIGINT) FOR k IN range(8)]), lambda x, k: {_CRC_STEP})) AS tab"
+
+
+def _crc_sql(key: str) -> str:
+    """crc32 of a string's UTF-8 bytes, by the table of _CRC_TABLE."""
+    byte = lambda i: f"CAST(('0x' || substr(hex(encode({key})), 2 * {i} - 1, 2)) AS BIGINT)"
+    folded = f"list_reduce(list_prepend(4294967295, [{byte('i')} FOR i IN range(1, CAST(octet_length(encode({key})) AS BIGINT) + 1)]), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))"
+    return f"xor({folded}, 4294967295)"
+
+
+_LAST = "right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1)"
+
+
+def _best_sql(options: list[tuple[str, str, str]]) -> str:
+    """The least (cost, audit) of options: from a place's state, extra cost, letters."""
+    return "list_min([" + ", ".join(f"CASE WHEN {p} IS NOT NULL THEN struct_pack(c := {p}.c + {cost}, a := {p}.a || {edit}) END" for p, cost, edit in options) + "])"
+
+
+def _op12_sql() -> str:
+    """A forward program over (cost, audit) of each place, a row of every conversation a round; repaired lines are then read off the audit."""
+    gone = "CASE WHEN fault IN (1, 2) THEN 1000000000 ELSE CASE WHEN fault = 3 THEN 3 ELSE 0 END END"
+    kept = lambda letter: f"(CASE WHEN i = '{letter}' THEN 0 ELSE 1000000000 END + {gone})"
+    rerole = f"(3 + {gone})"
+    # Each place before the row, after up to two inserts.
+    before = {
+        "b0": [("p0", "0", "''")], "b1": [("p1", "0", "''")],
+        "b2": [("p2", "0", "''"), ("p0", "3", "'I'"), ("p1", "3", "'I'"), ("p3", "3", "'I'")],
+        "b3": [("p3", "0", "''"), ("p2", "3", "'I'"), ("p0", "6", "'II'"), ("p1", "6", "'II'")],
+    }
+    after = {
+        "p0": [("b0", "4", "'D'")], "p1": [("b1", "4", "'D'"), ("b0", kept("s"), "'K'")],
+        "p2": [("b2", "4", "'D'"), *((b, c, e) for b in ("b0", "b1", "b3") for c, e in ((kept("u"), "'K'"), (rerole, "'R'")))],
+        "p3": [("b3", "4", "'D'"), ("b2", kept("a"), "'K'"), ("b2", rerole, "'R'")],
+    }
+    return f"""
+WITH RECURSIVE t AS ({_CRC_TABLE}),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+h AS (SELECT conv_id, turn, role, text, {_crc_sql("key")} % 20 AS h FROM k, t),
+d AS (SELECT conv_id, turn, CASE h WHEN 4 THEN 'user' ELSE role END AS role, CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE h WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM h WHERE h <> 0),
+o AS (SELECT *, substr(role, 1, 1) AS i, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS r, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS again FROM d),
+f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1 WHEN again > 1 THEN 2 WHEN {_LAST} NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault, lag(i) OVER (PARTITION BY conv_id ORDER BY r) || i AS pair FROM o),
+c AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+        count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+s(conv_id, r, p0, p1, p2, p3) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), struct_pack(c := CAST(0 AS BIGINT), a := ''), CAST(NULL AS STRUCT(c BIGINT, a VARCHAR)), CAST(NULL AS STRUCT(c BIGINT, a VARCHAR)), CAST(NULL AS STRUCT(c BIGINT, a VARCHAR)) FROM c
+  UNION ALL SELECT conv_id, r + 1, {", ".join(_best_sql(x) for x in after.values())} FROM (
+    SELECT s.conv_id, s.r, i, fault, {", ".join(f"{_best_sql(x)} AS {b}" for b, x in before.items())} FROM s JOIN f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.r = s.r + 1)),
+e AS (SELECT conv_id, {_best_sql([("p0", "0", "''"), ("p3", "0", "''"), ("p2", "3", "'I'"), ("p1", "6", "'II'")])} AS best FROM s JOIN c USING (conv_id) WHERE s.r = c.n),
+a AS (SELECT conv_id, best.a AS audit, generate_subscripts(string_split(best.a, ''), 1) AS pos, unnest(string_split(best.a, '')) AS edit FROM e),
+b AS (SELECT *, sum(CASE edit WHEN 'I' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY pos) AS r, sum(CASE edit WHEN 'D' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY pos) AS place FROM a),
+g AS (SELECT b.conv_id, pos, place, edit, role, text, coalesce(max(CASE WHEN place = 1 AND edit = 'K' AND i = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY b.conv_id), 0) AS has_s
+      FROM b LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.r = b.r AND edit <> 'I' WHERE edit <> 'D'),
+l AS (SELECT conv_id, string_agg(CASE edit WHEN 'K' THEN role ELSE CASE WHEN (place - has_s) % 2 = 1 THEN 'user' ELSE 'assistant' END END || ':' || CASE edit WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY pos) AS repaired FROM g GROUP BY conv_id)
+SELECT q.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) q LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM q.conv_id LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM q.conv_id LEFT JOIN l ON l.conv_id IS NOT DISTINCT FROM q.conv_id"""
+
+
+OP12_SQL = _op12_sql()
+
+OP13_SQL = rf"""
+WITH RECURSIVE t AS ({_CRC_TABLE}),
+d AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all({_NORM4}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS w FROM documents) GROUP BY ALL),
+h AS (SELECT w, n, {_crc_sql("(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w)")} AS h FROM d, t),
+v AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS w, n FROM h),
+c AS (SELECT w, CAST(sum(n) AS BIGINT) AS n FROM v GROUP BY w HAVING length(w) >= 5 AND sum(n) >= 3),
+x AS (SELECT w, n, i, substr(w, 1, i - 1) || substr(w, i + 1) AS rest FROM (SELECT w, n, unnest(range(1, length(w) + 1)) AS i FROM c)),
+p AS (SELECT DISTINCT a.w, a.n, b.w AS o, b.n AS m FROM x a JOIN x b ON a.i = b.i AND a.rest = b.rest AND a.w <> b.w
+      UNION SELECT a.w, a.n, b.w, b.n FROM x a JOIN c b ON a.rest = b.w UNION SELECT b.w, b.n, a.w, a.n FROM x a JOIN c b ON a.rest = b.w),
+g AS (SELECT w, n, count(*) AS n_near, min(struct_pack(m := -m, o := o)) AS best FROM p GROUP BY w, n),
+f AS (SELECT c.w, c.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.m >= 2 * c.n THEN best.o END AS form, CASE WHEN -best.m >= 2 * c.n THEN -best.m END AS form_n FROM c LEFT JOIN g ON g.w = c.w),
+r AS (SELECT w, w AS root, form AS next FROM f UNION ALL SELECT r.w, f.w, f.form FROM r JOIN f ON f.w = r.next)
+SELECT f.w AS word, form, root, f.n, n_near, form_n FROM f JOIN r ON r.w = f.w AND r.next IS NULL"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_line_dedup, op3_quality_classifier, op4_exact_dedup, op5_chat_format, op6_best_fit_packing, op7_language_id, op8_near_dedup, op9_decontamination, op10_url_filter, pipeline)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_line_dedup, op3_quality_classifier, op4_exact_dedup, op5_chat_format, op6_best_fit_packing, op7_language_id, op8_near_dedup, op9_decontamination, op10_url_filter, op11_secret_scan, op12_conversation_repair, op13_spelling_variants, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op5_chat_format": OP5_SQL, "op8_near_dedup": OP8_SQL, "op10_url_filter": OP10_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op5_chat_format": OP5_SQL, "op8_near_dedup": OP8_SQL, "op10_url_filter": OP10_SQL, "op12_conversation_repair": OP12_SQL, "op13_spelling_variants": OP13_SQL}
