@@ -90,8 +90,8 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = find_secrets(table(spark, sf_dir, "documents"))
     names = F.array(*(F.lit(k) for k in KINDS))
     listed = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
-    counts = [F.size(F.filter("base", lambda x, k=i: x["kind"] == k)).cast("bigint").alias(f"n_{KINDS[i]}") for i in range(3)]
-    return out.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+    found = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("bigint")
+    return out.select("doc_id", *[found(i).alias(f"n_{KINDS[i]}") for i in range(3)], F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
 
 def damaged(rows: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,10 @@ for _, _symbols in ENCODINGS:
 _IN_RUN = _PLACES[-1] >= 0
 #: p-values of the false-discovery control are kept as steps of a twentieth of a decimal, down to 10 ** -50.
 STEPS_A_DECIMAL, LAST_STEP = 20, 1000
+#: Symbols for which a document counts at most in the frequencies of prose: its shares all count, but one long or odd text doesn't set them.
+VOICE = 10_000
+#: Symbols up to which the number of equal pairs has an exact table, and the largest number in it; longer strings are taken in such parts.
+CHUNK, MOST_PAIRS = 64, 500
 
 
 def encoding_of(symbols: np.ndarray) -> int:
@@ -48,33 +53,73 @@ def normal_tail(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
-def collision_moments(n: int, s2: float, s3: float) -> tuple[float, float]:
-    """Mean and variance of the number of equal pairs among n independent symbols whose shares have the sums of squares s2 and of cubes s3.
+def collision_table(shares: np.ndarray) -> np.ndarray:
+    """P(at most c equal pairs among n independent symbols with these shares), exactly, at [n, c] for n up to CHUNK; beyond MOST_PAIRS it is taken as 1.
 
-    It is the chi-squared statistic of uniformity in other units: X^2 = (k / n)(2 C + n) - n.
+    The number of equal pairs is the chi-squared statistic of uniformity in other units: X^2 = (k / n)(2 C + n) - n. Symbol by symbol, the ways to give j of n places to it.
     """
-    pairs = n * (n - 1) / 2
-    return pairs * s2, pairs * (s2 - s2 * s2) + n * (n - 1) * (n - 2) * (s3 - s2 * s2)
+    ways = np.zeros((CHUNK + 1, MOST_PAIRS + 1))
+    ways[0, 0] = 1.0
+    for q in shares:
+        after, term = ways.copy(), 1.0
+        for j in range(1, CHUNK + 1):
+            term *= q / j
+            pairs = j * (j - 1) // 2
+            if pairs > MOST_PAIRS or term < 1e-300:
+                break
+            after[j:, pairs:] += term * ways[:-j, : MOST_PAIRS + 1 - pairs]
+        ways = after
+    n = np.cumprod(np.concatenate([[1.0], np.arange(1, CHUNK + 1)]))
+    return np.minimum(np.cumsum(ways * n[:, None], axis=1), 1.0)
+
+
+@lru_cache
+def _even(k: int) -> np.ndarray:
+    return collision_table(np.full(k, 1 / k))
+
+
+def equal_pairs(places: np.ndarray, k: int) -> int:
+    counts = np.bincount(places, minlength=k)
+    return int((counts * (counts - 1)).sum() // 2)
+
+
+def chunked(places: np.ndarray) -> list[np.ndarray]:
+    """A string in parts of like length, at most CHUNK symbols each."""
+    return np.array_split(places, -(-len(places) // CHUNK))
+
 
+def uneven(places: np.ndarray, k: int) -> float:
+    """p of chi-squared for uniformity: exact for short strings, by the cube-root transformation of a gamma variable for long ones."""
+    c, n = equal_pairs(places, k), len(places)
+    if n <= CHUNK:
+        return 1.0 if c == 0 else 1.0 if c > MOST_PAIRS and _even(k)[n, -1] >= 1 else max(1 - float(_even(k)[n, min(c - 1, MOST_PAIRS)]), 0.0)
+    mean = n * (n - 1) / 2 / k
+    shape = mean / (1 - 1 / k)
+    return normal_tail((np.cbrt(c / mean) - 1 + 1 / (9 * shape)) * 3 * math.sqrt(shape))
 
-def collision_score(collisions: int, n: int, s2: float, s3: float) -> float:
-    """A standard normal score of the number of equal pairs, by the cube-root transformation of a gamma variable with its moments."""
-    mean, variance = collision_moments(n, s2, s3)
-    if mean <= 0 or variance <= 0:
-        return 0.0
-    shape = mean * mean / variance
-    return (np.cbrt((collisions + 0.5) / (mean + 0.5)) - 1 + 1 / (9 * shape)) * 3 * math.sqrt(shape)
 
+def fisher(ps: list[float]) -> float:
+    """p of independent p-values together: the tail of chi-squared with two degrees of freedom for each, in logarithms."""
+    half = -sum(math.log(max(p, 1e-300)) for p in ps)
+    if half == 0:
+        return 1.0
+    total, term = 0.0, 0.0
+    terms = []
+    for i in range(len(ps)):
+        terms.append(term)
+        term += math.log(half) - math.log(i + 1)
+    top = max(terms)
+    total = top + math.log(sum(math.exp(t - top) for t in terms)) - half
+    return math.exp(total) if total > -700 else 0.0
 
-def battery(places: np.ndarray, k: int) -> tuple[int, float]:
-    """(equal pairs, p) of a string of places in an alphabet of k symbols: p that random symbols look as uneven, by Fisher's sum of three tests.
+
+def battery(places: np.ndarray, k: int) -> float:
+    """p that random symbols, as places in an alphabet of k, look as odd, by Fisher's sum of three tests.
 
     Chi-squared for uniformity (upper side); Wald-Wolfowitz runs of the lower and upper half of the alphabet; correlation of neighbours (both sides).
     """
     n = len(places)
-    counts = np.bincount(places, minlength=k)
-    collisions = int((counts * (counts - 1)).sum() // 2)
-    tests = [normal_tail(collision_score(collisions, n, 1 / k, 1 / k**2))]
+    tests = [uneven(places, k)]
     high = places >= k / 2
     n1 = int(high.sum())
     n0 = n - n1
@@ -89,13 +134,13 @@ def battery(places: np.ndarray, k: int) -> tuple[int, float]:
     spread = float(x @ x)
     serial = float(x[1:] @ x[:-1]) / spread if spread else 1.0
     tests.append(2 * normal_tail(abs(serial + 1 / n) * math.sqrt(n)))
-    half = -sum(math.log(max(p, 1e-300)) for p in tests)
-    return collisions, math.exp(-half) * (1 + half + half * half / 2) if half < 700 else 0.0
+    return fisher(tests)
 
 
-def prose_step(collisions: int, n: int, s2: float, s3: float) -> int:
-    """Step of the p-value that so few equal pairs come from prose, whose symbols have the given shares."""
-    p = normal_tail(-collision_score(collisions, n, s2, s3))
+def prose_step(pairs: list[int], n: int, table: np.ndarray) -> int:
+    """Step of the p-value that prose gives as few equal pairs: exact in each part of the string, whose parts are independent."""
+    sizes = [n // len(pairs) + (i < n % len(pairs)) for i in range(len(pairs))]
+    p = fisher([float(table[m, c]) if c <= MOST_PAIRS else 1.0 for m, c in zip(sizes, pairs, strict=True)])
     return min(LAST_STEP, int(-math.log10(max(p, 1e-60)) * STEPS_A_DECIMAL))
 
 
@@ -106,14 +151,14 @@ def length_class(n: int) -> int:
 
 @dataclass(frozen=True)
 class Rules:
-    """Sums of squares and cubes of the shares of symbols in prose by encoding, and the least step that counts by (encoding, length class)."""
+    """``collision_table`` of each encoding's symbols as the corpus has them, and the least step that counts by (encoding, length class)."""
 
-    shares: dict[int, tuple[float, float]]
+    tables: list[np.ndarray]
     least: dict[tuple[int, int], int]
 
-    def finds(self, encoding: int, n: int, collisions: int, p: float) -> bool:
+    def finds(self, encoding: int, n: int, pairs: list[int], p: float) -> bool:
         least = self.least.get((encoding, length_class(n)))
-        return least is not None and p >= REJECT and prose_step(collisions, n, *self.shares[encoding]) >= least
+        return least is not None and p >= REJECT and prose_step(pairs, n, self.tables[encoding]) >= least
 
 
 def patterns(text: str) -> list[tuple[int, int]]:
@@ -122,15 +167,15 @@ def patterns(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in _ASSIGN.finditer(text) if len(m[2]) >= 12] if any(k in low for k in _KEYWORDS) else []
 
 
-_SCANNED = "base array<struct<start:bigint,kind:int,end:bigint>>, tested array<struct<start:bigint,end:bigint,encoding:int,collisions:bigint,p:double,hash:bigint>>, symbols array<bigint>"
+_SCANNED = "base array<struct<start:bigint,kind:int,end:bigint>>, tested array<struct<start:bigint,end:bigint,encoding:int,pairs:array<int>,p:double,hash:bigint>>, symbols array<bigint>"
 
 
 def scan_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(_id, base, tested, symbols) in one reading of the texts: matches of the patterns, strings of LEAST or more symbols with the results of the battery, and, on
-    the first row of each block of rows, how often each byte occurs in the block's runs. Long strings are found by whole blocks of bytes; patterns of their symbols are looked for in them only."""
+    the first row of each block of rows, how often each byte occurs in the runs of the block's documents, none of which counts for more than VOICE. Long strings are found by whole blocks of bytes; patterns of their symbols are looked for in them only."""
     kind = docs.schema[id_col].dataType.simpleString()
     base_type = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
-    tested_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("encoding", pa.int32()), ("collisions", pa.int64()), ("p", pa.float64()), ("hash", pa.int64())]))
+    tested_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("encoding", pa.int32()), ("pairs", pa.list_(pa.int32())), ("p", pa.float64()), ("hash", pa.int64())]))
 
     def run(batches):
         for batch in batches:
@@ -154,15 +199,19 @@ def scan_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         head = string.index(body)
                         symbols = symbols[head : head + len(body)]
                         encoding = encoding_of(symbols)
-                        collisions, p = battery(_PLACES[encoding][symbols], len(ENCODINGS[encoding][1]))
-                        tested[row].append({"start": place + head, "end": place + head + len(body), "encoding": encoding, "collisions": collisions, "p": p, "hash": _hash(body)})
+                        places, k = _PLACES[encoding][symbols], len(ENCODINGS[encoding][1])
+                        pairs = [equal_pairs(part, k) for part in chunked(places)]
+                        tested[row].append({"start": place + head, "end": place + head + len(body), "encoding": encoding, "pairs": pairs, "p": battery(places, k), "hash": _hash(body)})
                 for row in range(block.n_rows):
                     text = texts[block.first_row + row].as_py()
                     if text:
                         base[row] += [{"start": a, "kind": 0, "end": b} for a, b in patterns(text)]
                     base[row].sort(key=lambda x: (x["start"], x["kind"]))
-                in_runs = np.bincount(block.data, minlength=256) * _IN_RUN
-                counted = [in_runs.tolist()] + [None] * (block.n_rows - 1)
+                in_runs = np.zeros(256)
+                for row in range(block.n_rows):
+                    own = np.bincount(block.data[block.offsets[row] : block.offsets[row + 1]], minlength=256) * _IN_RUN
+                    in_runs += own * (min(1.0, VOICE / max(int(own.sum()), 1)))
+                counted = [np.rint(in_runs).astype(np.int64).tolist()] + [None] * (block.n_rows - 1)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(block.first_row, block.n_rows), pa.array(base, base_type), pa.array(tested, tested_type), pa.array(counted, pa.list_(pa.int64()))], ["_id", "base", "tested", "symbols"]
                 )
@@ -177,7 +226,7 @@ def _hash(string: str) -> int:
 def learn_rules(scanned: DataFrame, false_rate: float = FALSE_RATE) -> Rules:
     """Shares of symbols over all documents, then Benjamini-Hochberg over all distinct strings of an encoding and length class.
 
-    Null hypothesis: the string is prose, drawn with the corpus's own frequencies of the encoding's symbols. A short string cannot have a small p-value and has its own
+    Null hypothesis: the string is prose, drawn with the corpus's own frequencies of the encoding's symbols, by the exact distribution of equal pairs. A short string cannot have a small p-value and has its own
     class, so neither do short strings borrow from long ones nor does their number raise the bar for those. P-values are counted in steps, so what
     reaches the driver is 256 sums and at most LAST_STEP + 1 counts a class.
     """
@@ -185,20 +234,19 @@ def learn_rules(scanned: DataFrame, false_rate: float = FALSE_RATE) -> Rules:
     counts = np.zeros(256)
     for r in found:
         counts[r["byte"]] = r["n"]
-    shares = {}
-    for i, (_, symbols) in enumerate(ENCODINGS):
+    tables = []
+    for _, symbols in ENCODINGS:
         own = counts[np.frombuffer(symbols.encode(), dtype=np.uint8)]
-        q = (own + 1) / (own.sum() + len(own))
-        shares[i] = float((q**2).sum()), float((q**3).sum())
+        tables.append(collision_table((own + 1) / (own.sum() + len(own))))
 
     def steps(batches):
         for batch in batches:
             rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            out = [(h, e, length_class(n), prose_step(c, n, *shares[e]) if p >= REJECT else -1) for h, e, n, c, p in rows]
+            out = [(h, e, length_class(n), prose_step(c, n, tables[e]) if p >= REJECT else -1) for h, e, n, c, p in rows]
             columns = list(zip(*out, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), *(pa.array(c, pa.int32()) for c in columns[1:])], ["hash", "encoding", "class", "step"])
 
-    strings = scanned.select(F.explode("tested").alias("t")).select("t.hash", "t.encoding", (F.col("t.end") - F.col("t.start")).alias("n"), "t.collisions", "t.p")
+    strings = scanned.select(F.explode("tested").alias("t")).select("t.hash", "t.encoding", (F.col("t.end") - F.col("t.start")).alias("n"), "t.pairs", "t.p")
     told = strings.mapInArrow(steps, "hash bigint, encoding int, class int, step int").distinct().groupBy("encoding", "class", "step").count().collect()
     least: dict[tuple[int, int], int] = {}
     classes: dict[tuple[int, int], dict[int, int]] = {}
@@ -210,7 +258,7 @@ def learn_rules(scanned: DataFrame, false_rate: float = FALSE_RATE) -> Rules:
             above += by_step[step]
             if total * 10 ** (-step / STEPS_A_DECIMAL) <= false_rate * above:
                 least[key] = step
-    return Rules(shares, least)
+    return Rules(tables, least)
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_rate: float = FALSE_RATE) -> DataFrame:
@@ -231,7 +279,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             out = []
             for base, tested in zip(batch.column("base").to_pylist(), batch.column("tested").to_pylist(), strict=True):
-                more = [{"start": t["start"], "kind": 3, "end": t["end"]} for t in tested if rules.finds(t["encoding"], t["end"] - t["start"], t["collisions"], t["p"])]
+                more = [{"start": t["start"], "kind": 3, "end": t["end"]} for t in tested if rules.finds(t["encoding"], t["end"] - t["start"], t["pairs"], t["p"])]
                 more = [m for m in more if not any(b["start"] <= m["start"] and m["end"] <= b["end"] for b in base)] if base else more
                 out.append(sorted(base + more, key=lambda x: (x["start"], x["kind"])))
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("base"), pa.array(out, span_type)], ["_id", "base", "spans"])
