@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
@@ -114,11 +115,18 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("original").alias("conv_id"), *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
-def mistyped(doc_id: int | None, word: str) -> str:
-    """The word of op13: without its code point h % length where 97 divides h, the crc32 of ``doc_id:word``."""
-    h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
-    at = h % len(word)
-    return word if h % 97 else word[:at] + word[at + 1 :]
+def mistyped(doc_id: int | None) -> Callable[[str], str]:
+    """What op13 makes of a document's words: without the code point h % length where 97 divides h, the crc32 of ``doc_id:word``."""
+    begun = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
+
+    def change(word: str) -> str:
+        h = zlib.crc32(word.encode(), begun)
+        if h % 97:
+            return word
+        at = h % len(word)
+        return word[:at] + word[at + 1 :]
+
+    return change
 
 
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:

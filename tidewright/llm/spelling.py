@@ -37,8 +37,8 @@ def _runs_in(text: str) -> Iterator[list[str]]:
         yield runs
 
 
-def count_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", change: Callable[[object, str], str] | None = None) -> DataFrame:
-    """(word, n) over the letter runs of all whole texts, A-Z lower-cased; ``change`` maps (id, word) to what is counted, empty words don't count.
+def count_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", change: Callable[[object], Callable[[str], str]] | None = None) -> DataFrame:
+    """(word, n) over the letter runs of all whole texts, A-Z lower-cased; ``change`` gives for an id what maps its words to what is counted; empty words don't count.
 
     Tasks add up what they meet and Spark adds up the tasks, so a frequent word moves once for each task, not once for each occurrence. Null texts have no words.
     """
@@ -57,10 +57,10 @@ def count_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for i in range(0, batch.num_rows, 64):
                 part = batch.slice(i, 64)
                 for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    changed = change(key) if change else str
                     for runs in _runs_in(text or ""):
                         for run, n in Counter(runs).items():
-                            word = run.lower() if run.isascii() else run.translate(_TO_LOWER)
-                            counts[change(key, word) if change else word] += n
+                            counts[changed(run.lower() if run.isascii() else run.translate(_TO_LOWER))] += n
                         if len(counts) >= WORDS_A_TASK:
                             yield from flushed()
         yield from flushed()
@@ -75,10 +75,11 @@ def _codes(words: list[str], length: int) -> np.ndarray:
 
 
 def letter_counts(codes: np.ndarray) -> np.ndarray:
-    """The letter-count vector of each row of code points."""
+    """The letter-count vector of each row of code points; a byte a count where words are short enough for sums of differences."""
     dims = np.where((codes >= 97) & (codes <= 122), codes - 97, 26 + codes % OTHERS).astype(np.int64)
     flat = (dims + DIMENSIONS * np.arange(len(codes))[:, None]).ravel()
-    return np.bincount(flat, minlength=len(codes) * DIMENSIONS).astype(np.int16).reshape(len(codes), DIMENSIONS)
+    kind = np.int8 if codes.shape[1] < 100 else np.int32
+    return np.bincount(flat, minlength=len(codes) * DIMENSIONS).astype(kind).reshape(len(codes), DIMENSIONS)
 
 
 def _split(vectors: np.ndarray) -> tuple[int, int] | None:
@@ -135,10 +136,11 @@ class UpperTree:
 
 
 class LeafTree:
-    """A k-d tree over some words' vectors with the true bounding box of each node."""
+    """A k-d tree over some words' vectors with the true bounding box of each node, in the dimensions that any of the words has."""
 
     def __init__(self, vectors: np.ndarray):
-        self.vectors = vectors
+        self.used = np.flatnonzero(vectors.any(axis=0))
+        self.vectors = np.ascontiguousarray(vectors[:, self.used])
         self.root = self._node(np.arange(len(vectors)))
 
     def _node(self, at):
@@ -152,11 +154,17 @@ class LeafTree:
 
     def search(self, queries: np.ndarray, within: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(query, member) index pairs with an L1 distance of at most ``within``; all queries go down together, those a box rules out are left behind."""
+        # Letters that no word here has count in full.
+        spent = queries.sum(axis=1, dtype=np.int64)
+        queries = np.ascontiguousarray(queries[:, self.used])
+        spent -= queries.sum(axis=1, dtype=np.int64)
 
         def go(node, at):
             low, high, members, children = node
             q = queries[at]
-            at = at[(np.maximum(low - q, 0) + np.maximum(q - high, 0)).sum(axis=1) <= within]
+            over = np.maximum(low - q, 0)
+            over += np.maximum(q - high, 0)
+            at = at[over.sum(axis=1, dtype=np.int32) <= within - spent[at]]
             if not len(at):
                 return
             if children:
@@ -165,15 +173,19 @@ class LeafTree:
                 return
             # Queries by members by dimensions: members of a leaf that cannot be split are taken in steps as well.
             for i in range(0, len(at), 256):
+                some_q = at[i : i + 256]
+                left = (within - spent[some_q])[:, None]
                 for j in range(0, len(members), LEAF):
                     some = members[j : j + LEAF]
-                    near = np.abs(queries[at[i : i + 256], None, :] - self.vectors[None, some, :]).sum(axis=2) <= within
-                    a, b = np.nonzero(near)
+                    apart = queries[some_q, None, :] - self.vectors[None, some, :]
+                    np.abs(apart, out=apart)
+                    a, b = np.nonzero(apart.sum(axis=2, dtype=np.int32) <= left)
                     if len(a):
-                        yield at[i : i + 256][a], some[b]
+                        yield some_q[a], some[b]
 
         if len(queries) and len(self.vectors):
-            yield from go(self.root, np.arange(len(queries)))
+            at = np.flatnonzero(spent <= within)
+            yield from go(self.root, at)
 
 
 def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -189,8 +201,8 @@ def near_words(words: DataFrame) -> DataFrame:
     """(word, n, near, near_n): all ordered pairs of ``words`` (word, n; distinct) that differ by one inserted, deleted or replaced code point.
 
     One edit changes the letter counts by an L1 distance of at most two, of one between lengths. Each length has a k-d tree. Its upper splits, learned from a
-    bounded sample, cut space into cells; every word is put into its cell, and asks those cells of its own length and of the next whose part of space is near enough. Spark
-    deals the cells out; a task builds a tree with true boxes inside each, prunes by box and verifies the order of letters of what is left.
+    bounded sample, cut space into cells; every word is put into its cell, and asks those cells of its own length, from its own on, and of the next length whose part of
+    space is near enough, so each pair is met once. Spark deals the cells out; a task builds a tree with true boxes inside each, prunes by box and verifies the order of letters of what is left.
     A cell's words are held by one task in blocks of about BLOCK, its searches stream past them in sorted order, so no cell has to fit a task.
     """
     spark = words.sparkSession
@@ -218,16 +230,20 @@ def near_words(words: DataFrame) -> DataFrame:
                 for length in np.unique(lengths):
                     at = np.flatnonzero(lengths == length)
                     vectors = letter_counts(_codes([texts[k] for k in at], length))
+                    own = np.zeros(len(at), dtype=np.int64)
                     for kind, target, within in ((0, length, 0), (1, length, 2), (1, length + 1, 1)):
                         tree = trees.get(int(target))
                         rows, to = tree.visits(vectors, within) if tree else (np.arange(len(at)), np.full(len(at), -int(target)))
-                        out.append((to, np.full(len(rows), kind), np.full(len(rows), target), at[rows]))
-                to, kind, target, rows = (np.concatenate(x) for x in zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(to, pa.int64()), pa.array(kind, pa.int32()), pa.array(target, pa.int32()), pa.array([texts[k] for k in rows], pa.string()), pa.array(ns[rows], pa.int64())], ["cell", "kind", "length", "word", "n"]
-                )
-
-    placed = written(words.select("word", "n").mapInArrow(dealt, "cell bigint, kind int, length int, word string, n bigint"), "spelling-cells")
+                        if kind == 0:
+                            own[rows] = to
+                        elif target == length:
+                            rows, to = rows[to >= own[rows]], to[to >= own[rows]]
+                        # 0: the word is held there, 1: it asks its own cell, 2: it asks another.
+                        out.append((to, kind * (2 - (to == own[rows])), at[rows]))
+                to, kind, rows = (np.concatenate(x) for x in zip(*out, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array(kind, pa.int32()), part.column(0).take(pa.array(rows)), pa.array(ns[rows], pa.int64())], ["cell", "kind", "word", "n"])
+
+    placed = written(words.select("word", "n").mapInArrow(dealt, "cell bigint, kind int, word string, n bigint"), "spelling-cells")
     # At most one row a cell, and at most SAMPLE / 4 cells besides those of unseen lengths.
     full = placed.filter("kind = 0").groupBy("cell").count().filter(F.col("count") > BLOCK).select("cell", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     blocks = F.coalesce("blocks", F.lit(1))
@@ -236,7 +252,7 @@ def near_words(words: DataFrame) -> DataFrame:
 
     def searched(batches):
         now, members, member_ns, tree, codes = None, [], [], None, None
-        asked: list[tuple[str, int]] = []
+        asked: list[tuple[str, int, int]] = []
 
         def answers():
             nonlocal tree, codes
@@ -246,14 +262,15 @@ def near_words(words: DataFrame) -> DataFrame:
             if tree is None:
                 codes = _codes(members, len(members[0]))
                 tree = LeafTree(letter_counts(codes))
-            for length in {len(w) for w, _ in asked}:
+            for length in {len(q[0]) for q in asked}:
                 own = [x for x in asked if len(x[0]) == length]
-                mine = _codes([w for w, _ in own], length)
+                mine = _codes([q[0] for q in own], length)
                 for a, b in tree.search(letter_counts(mine), 2 if length == codes.shape[1] else 1):
                     good = one_edit(mine[a], codes[b])
                     pairs = [(*own[i], members[j], member_ns[j]) for i, j in zip(a[good], b[good], strict=True)]
-                    if length < codes.shape[1]:
-                        pairs += [(w, n, v, m) for v, m, w, n in pairs]
+                    # Words of this cell ask it as well, and would meet each other twice.
+                    pairs = [p[:2] + p[3:] for p in pairs if p[2] == 2 or p[0] < p[3]]
+                    pairs += [(w, n, v, m) for v, m, w, n in pairs]
                     if pairs:
                         columns = zip(*pairs, strict=True)
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64()) * 2, strict=True)], ["word", "n", "near", "near_n"])
@@ -268,7 +285,7 @@ def near_words(words: DataFrame) -> DataFrame:
                     members.append(word)
                     member_ns.append(n)
                 else:
-                    asked.append((word, n))
+                    asked.append((word, n, kind))
                     if len(asked) == 4096:
                         yield from answers()
         yield from answers()
