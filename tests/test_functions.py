@@ -72,3 +72,17 @@ def test_cutoffs():
 def test_business_keys(spark):
     key = lambda *parts, all_=False: one(spark, text.business_key([F.lit(p).cast("string") for p in parts], F.lit("row"), all_))
     assert key("a", " b ") == key("a", "b") != key("a", None) and key(None, " ") == one(spark, F.sha2(F.lit("row"), 256)) == key("a", None, all_=True)
+
+
+def test_white_space_of_every_kind(spark):
+    """Ends of fields, names, keys and reasons take the same characters for white space as Python's strip."""
+    every = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+    assert set(text.WHITE_SPACE) == set(every)
+    rows = [(f"{c}a{c}{c}B{c}", c) for c in every] + [(f"{every}20260801000000{every}", every), (f"{every}12.5{every}", every), ("​x", "​")]
+    df = spark.createDataFrame(rows, "c string, w string")
+    got = df.select(text.clean(F.col("c")).alias("clean"), text.clean(F.col("w")).alias("blank"), text.filled(F.col("c")).alias("filled"), text.has_value(F.col("w")).alias("has"), text.normalize_name(F.col("c")).alias("name"), text.parse_time(F.col("c")).alias("t"), text.parse_number(F.col("c")).alias("n"), codes.invalid_pair_reason(F.lit("UN1"), F.col("c")).alias("reason")).collect()
+    for (c, w), r in zip(rows, got, strict=True):
+        assert (r["clean"], r["filled"], r["blank"], r["has"]) == (c.strip() or None, c.strip(), w.strip() or None, bool(w.strip()))
+        assert r["name"] == " ".join(c.upper().split())
+    assert all(r["reason"] == "voyage_contains_whitespace" for r in got[: len(every)]) and got[-1]["reason"] == "voyage_non_ascii"
+    assert got[-3]["t"] == dt.datetime(2026, 8, 1) and got[-2]["n"] == 12.5

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -43,3 +44,34 @@ def test_upserts_by_batch(spark):
     run = streams.upsert_batches(lambda: state["df"], lambda df: state.update(df=df), "id", "at")
     run(spark.createDataFrame([(1, "x", 1), (1, "y", 2), (2, "n", 1)], "id int, v string, at int"), 0)
     assert {tuple(r) for r in state["df"].collect()} == {(1, "y", 2), (2, "n", 1)}
+
+
+def test_silent_voyages_retire_by_timer(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    schema = "voyage string, round int, new_events int, in_catalog boolean, last_event timestamp"
+    t = dt.datetime(2026, 1, 1)
+    spark.createDataFrame([("silent", 1, 1, False, t), ("known", 1, 1, True, t)], schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    got = []
+    rows = streams.idle_rounds(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), silent_ms=400)
+    q = rows.writeStream.outputMode("update").foreachBatch(lambda df, _: got.extend(df.collect())).option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(processingTime="200 milliseconds").start()
+    try:
+        end = time.time() + 60
+        while time.time() < end and not (any(r.inactive for r in got) and sum(r.voyage == "known" for r in got) > streams.IDLE_ROUNDS + 1):
+            time.sleep(0.2)
+    finally:
+        q.stop()
+    silent = [r for r in got if r.voyage == "silent"]
+    assert [r.idle_rounds for r in silent] == list(range(streams.IDLE_ROUNDS + 1)) and silent[-1].inactive and silent[-1].last_event == t
+    known = [r for r in got if r.voyage == "known"]
+    assert [r.idle_rounds for r in known] == list(range(len(known))) and not any(r.inactive for r in known)
+
+
+def test_a_batch_given_twice_changes_nothing(spark):
+    state = {"rows": [(1, "old", 0)]}
+    schema = "id int, v string, at int"
+    run = streams.upsert_batches(lambda: spark.createDataFrame(state["rows"], schema), lambda df: state.update(rows=[tuple(r) for r in df.collect()]), "id", "at")
+    batch = spark.createDataFrame([(1, "x", 1), (2, "n", 1)], schema)
+    run(batch, 7)
+    once = sorted(state["rows"])
+    run(batch, 7)
+    assert sorted(state["rows"]) == once == [(1, "x", 1), (2, "n", 1)]

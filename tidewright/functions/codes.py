@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidewright.functions.text import filled, normalize_name
+from tidewright.functions.text import WHITE_CLASS, filled, normalize_name, stripped
 
 #: TEU by the first character of a size code.
 TEU_BY_SIZE = {"1": 0.5, "2": 1.0, "3": 1.5, "4": 2.0, "L": 2.25}
@@ -24,7 +24,7 @@ def teu(size_code: Column) -> Column:
 
 def iso6346_valid(c: Column) -> Column:
     """Four letters (the fourth U, J or Z), six digits and a check digit that agrees; null is not valid."""
-    text = F.upper(F.trim(c))
+    text = F.upper(stripped(c))
     values = F.create_map(*[x for k, v in zip(ISO_LETTERS + "0123456789", (*ISO_VALUES, *range(10)), strict=True) for x in (F.lit(k), F.lit(v))])
     total = F.aggregate(F.sequence(F.lit(1), F.lit(10)), F.lit(0), lambda acc, i: acc + values[F.substr(text, i, F.lit(1))] * F.pow(F.lit(2), i - 1).cast("int"))
     ok = F.when(text.rlike("^[A-Z]{3}[UJZ][0-9]{7}$"), total % 11 % 10 == F.substring(text, 11, 1).cast("int"))
@@ -32,7 +32,7 @@ def iso6346_valid(c: Column) -> Column:
 
 
 def invalid_pair_reason(vessel: Column, voyage: Column) -> Column:
-    """Why a vessel/voyage pair must not be asked for; empty if nothing is wrong. The first rule that fits counts."""
+    """Why a vessel/voyage pair must not be asked for; empty if nothing is wrong. The first rule that fits counts. The reasons are fixed values."""
     v, y = filled(vessel), filled(voyage)
     placeholder = lambda c: F.translate(c, PLACEHOLDER_CHARACTERS, "") == ""
     return (
@@ -40,7 +40,7 @@ def invalid_pair_reason(vessel: Column, voyage: Column) -> Column:
         .when((F.upper(v) == PLACEHOLDER_VESSEL) | placeholder(v), "placeholder_vesselcode")
         .when(y == "", "empty_voyage")
         .when(placeholder(y), "placeholder_voyage")
-        .when(y.rlike(r"\s"), "voyage_contains_whitespace")
+        .when(y.rlike(WHITE_CLASS), "voyage_contains_whitespace")
         .when(~y.rlike(r"^[\x00-\x7F]*$"), "voyage_non_ascii")
         .otherwise("")
     )

@@ -9,22 +9,29 @@ from pyspark.sql import functions as F
 
 #: The time formats of the sources, in the order in which they are tried.
 TIME_FORMATS = ("yyyyMMddHHmmss", "yyyyMMddHHmm", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss")
-#: A full-width space counts as a space in names.
-_NAME_SPACES = "[\\s\u3000]+"
+#: What counts as white space at the ends of a field and inside names: ASCII, the four separators, next line, and the Unicode spaces.
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: The same as a class of a regular expression.
+WHITE_CLASS = r"[\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
+def stripped(c: Column) -> Column:
+    """Without WHITE_SPACE at both ends."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def clean(c: Column) -> Column:
-    """Trimmed text; blank text is null."""
-    return F.nullif(F.trim(c), F.lit(""))
+    """Stripped text; blank text is null."""
+    return F.nullif(stripped(c), F.lit(""))
 
 
 def filled(c: Column) -> Column:
-    """Trimmed text; null is empty."""
-    return F.trim(F.coalesce(c, F.lit("")))
+    """Stripped text; null is empty."""
+    return stripped(F.coalesce(c, F.lit("")))
 
 
 def has_value(c: Column) -> Column:
-    return F.coalesce(F.trim(c.cast("string")) != "", F.lit(False))
+    return F.coalesce(stripped(c.cast("string")) != "", F.lit(False))
 
 
 def parse_time(c: Column) -> Column:
@@ -41,7 +48,7 @@ def parse_number(c: Column) -> Column:
 
 
 def normalize_name(c: Column) -> Column:
-    return F.nullif(F.trim(F.regexp_replace(F.upper(c), _NAME_SPACES, " ")), F.lit(""))
+    return F.nullif(F.btrim(F.regexp_replace(F.upper(c), f"{WHITE_CLASS}+", " ")), F.lit(""))
 
 
 def row_json(*names: str) -> Column:

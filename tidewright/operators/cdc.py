@@ -17,7 +17,11 @@ def capture_changes(current: DataFrame, incoming: DataFrame, key: str, fields: l
     """
     old = current.select(key, F.struct(*fields).alias("_old"))
     new = incoming.select(key, F.struct(*fields).alias("_new"))
-    both = new.join(old, key, "left")
+    return compared(new.join(old, key, "left"), key, fields, touch)
+
+
+def compared(both: DataFrame, key: str, fields: list[str], touch: tuple[str, ...] = ()) -> DataFrame:
+    """The changes of ``capture_changes`` from rows (key, _old, _new) of the known and the incoming structs; further columns are kept."""
     text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     ends = {f: (text(F.col(f"_old.{f}")), text(F.col(f"_new.{f}"))) for f in fields}
     differ = {f: a != b for f, (a, b) in ends.items()}
@@ -29,7 +33,8 @@ def capture_changes(current: DataFrame, incoming: DataFrame, key: str, fields: l
     known = F.col("_old").isNotNull()
     kind = F.when(F.col(key).isNull(), "skipped").when(~known, "new").when(~some, "unchanged").when(~beyond, "touched").otherwise("updated")
     changed = F.when(known & some, F.map_from_entries(F.array_compact(F.array(*entries)))).when(known, none)
-    return both.select(key, kind.alias("change_type"), changed.alias("changed_fields"))
+    rest = [c for c in both.columns if c not in (key, "_old", "_new")]
+    return both.select(key, kind.alias("change_type"), changed.alias("changed_fields"), *rest)
 
 
 def upsert(current: DataFrame, incoming: DataFrame, key: str) -> DataFrame:

@@ -38,8 +38,8 @@ def latest_plans(snapshots: DataFrame, tie: list[str]) -> DataFrame:
     return latest(snapshots, keys, ["snapshot_time", *tie])
 
 
-def daily_flow(vgm: DataFrame, release: DataFrame, transship: DataFrame, plans: DataFrame, anchor: dt.date | None = None, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
-    """Four facts in one bucket of six keys. Facts bring what they have of FLOW_KEYS (absent: empty; a transshipment's missing cargo
+def daily_flow(vgm: DataFrame, release: DataFrame, transship: DataFrame, plans: DataFrame, anchor: dt.date | None = None, start: dt.date | None = None, end: dt.date | None = None, apart: tuple[str, ...] = ()) -> DataFrame:
+    """Four facts in one bucket of six keys, and of the columns ``apart`` that keep rebuilds for several moments apart. Facts bring what they have of FLOW_KEYS (absent: empty; a transshipment's missing cargo
     group: UNKNOWN) and their measures: vgm weight_kg; release bill_no, weight, weight_kg, volume, pieces; transship container_no, weight, volume;
     plans arrived (boolean), arrival_delay_h, departure_delay_h. Sums of nothing are 0, delays of nothing null.
 
@@ -48,7 +48,7 @@ def daily_flow(vgm: DataFrame, release: DataFrame, transship: DataFrame, plans:
 
     def part(df: DataFrame, measures: dict[str, Column]) -> DataFrame:
         keys = [F.coalesce(F.col(k).cast("string"), F.lit("")).alias(k) if k in df.columns else F.lit("").alias(k) for k in FLOW_KEYS[1:]]
-        return df.select("flow_date", *keys, *[c.alias(n) for n, c in measures.items()])
+        return df.select(*apart, "flow_date", *keys, *[c.alias(n) for n, c in measures.items()])
 
     one = lambda c: F.when(c, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
     if "cargo_group" in transship.columns:
@@ -64,7 +64,7 @@ def daily_flow(vgm: DataFrame, release: DataFrame, transship: DataFrame, plans:
     if anchor is not None:
         parts = [p.filter(allowed_date(F.col("flow_date"), anchor, start, end)) for p in parts]
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return whole.groupBy(*FLOW_KEYS).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in SUMS], F.avg("arrival_delay").alias("avg_arrival_delay"), F.avg("departure_delay").alias("avg_departure_delay"))
+    return whole.groupBy(*apart, *FLOW_KEYS).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in SUMS], F.avg("arrival_delay").alias("avg_arrival_delay"), F.avg("departure_delay").alias("avg_departure_delay"))
 
 
 def weekly_flow(daily: DataFrame) -> DataFrame:
@@ -73,8 +73,8 @@ def weekly_flow(daily: DataFrame) -> DataFrame:
     return daily.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMS], *[F.avg(c).alias(c) for c in ("avg_arrival_delay", "avg_departure_delay")])
 
 
-def gate_daily(events: DataFrame, quarantined: DataFrame, anchor: dt.date | None = None) -> DataFrame:
-    """Gate throughput by day and direction from events (type, direction, container_no, size_code, in_time, out_time, vesselcode, voyage).
+def gate_daily(events: DataFrame, quarantined: DataFrame, anchor: dt.date | None = None, apart: tuple[str, ...] = ()) -> DataFrame:
+    """Gate throughput by day and direction from events (type, direction, container_no, size_code, in_time, out_time, vesselcode, voyage), and by the columns ``apart``.
 
     IN or OUT is said by ``type`` alone: an OUT event may carry an old in time. A container counts once a day, direction and kind, with its
     largest TEU, whatever the case of its number and the spaces around it; events without a number or a time don't count. Quarantined pairs are left out, and
@@ -83,15 +83,15 @@ def gate_daily(events: DataFrame, quarantined: DataFrame, anchor: dt.date | None
     rows = events.join(quarantined.select("vesselcode", "voyage").distinct(), ["vesselcode", "voyage"], "left_anti")
     kind = F.when(F.col("type") == "GATE_IN", "IN").when(F.col("type") == "GATE_OUT", "OUT")
     at = flow_date(F.when(kind == "IN", F.col("in_time")).otherwise(F.col("out_time")))
-    moves = rows.select(F.coalesce("direction", F.lit("")).alias("direction"), kind.alias("kind"), F.upper(F.trim("container_no")).alias("container_no"), at.alias("flow_date"), teu(F.col("size_code")).alias("teu"))
+    moves = rows.select(*apart, F.coalesce("direction", F.lit("")).alias("direction"), kind.alias("kind"), F.upper(F.trim("container_no")).alias("container_no"), at.alias("flow_date"), teu(F.col("size_code")).alias("teu"))
     moves = moves.filter("kind is not null and flow_date is not null and container_no <> ''")
     if anchor is not None:
         moves = moves.filter(allowed_date(F.col("flow_date"), anchor))
     into, out = F.col("kind") == "IN", F.col("kind") == "OUT"
-    once = moves.groupBy("flow_date", "direction", "container_no").agg(
+    once = moves.groupBy(*apart, "flow_date", "direction", "container_no").agg(
         F.bool_or(into).alias("into"), F.bool_or(out).alias("out"), F.max(F.when(into, F.col("teu"))).alias("in_teu"), F.max(F.when(out, F.col("teu"))).alias("out_teu")
     )
-    return once.groupBy("flow_date", "direction").agg(
+    return once.groupBy(*apart, "flow_date", "direction").agg(
         F.count_if("into").alias("in_count"), F.count_if("out").alias("out_count"), F.count("*").alias("unique_containers"), *[F.coalesce(F.sum(f"{k}_teu"), F.lit(0.0)).alias(f"{k}_teu") for k in ("in", "out")],
         *[F.count(f"{k}_teu").alias(f"{k}_teu_known") for k in ("in", "out")],
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.functions.codes import iso6346_valid
+from tidewright.functions.text import filled
 
 
 def match_gate_to_customs(gate: DataFrame, customs: DataFrame, keys: list[str], received: str) -> DataFrame:
@@ -56,10 +57,41 @@ def dwell(events: DataFrame, keys: list[str], kind: str, at: str) -> DataFrame:
     return rows.filter((F.col(kind) == "GATE_IN") & (F.col("_kind") == "GATE_OUT")).select(*keys, F.col(at).alias("in_time"), F.col("_next").alias("out_time"), ((F.unix_timestamp("_next") - F.unix_timestamp(at)) / 3600).alias("hours"))
 
 
+def stays(events: DataFrame, days: int, container: str = "container_no", kind: str = "type", into: str = "in_time", out: str = "out_time") -> DataFrame:
+    """(container_no, in_time, out_time, hours, form) from gate events with timestamps: every stay of each container, and what is left over.
+
+    direct: an OUT that carries both times in order; its own in time counts. paired: an OUT with the latest IN of its container that no OUT has taken, at most ``days`` before it.
+    lost_out: an IN that no OUT takes within that time; lost_in: an OUT without an IN. Messages of one container, kind and time are one event; those without a container or their own time don't count.
+
+    INs and OUTs nest like brackets: the depth of open INs is a running sum less its running minimum below zero, and the next event at an IN's depth is the OUT that takes it.
+    So one shuffle by container and two sorts, whatever order the losses come in; nothing is compared across a window of time.
+    """
+    is_in = F.col(kind) == "GATE_IN"
+    own = F.when(is_in, F.col(into)).when(F.col(kind) == "GATE_OUT", F.col(out))
+    rows = events.select(F.col(container).alias("container_no"), F.when(is_in, 1).otherwise(-1).alias("step"), own.alias("at"), F.when(~is_in & (F.col(into) <= F.col(out)), F.col(into)).alias("carried"))
+    once = rows.filter("container_no is not null and at is not null").groupBy("container_no", "step", "at").agg(F.max("carried").alias("carried"))
+    line = Window.partitionBy("container_no").orderBy("at", F.desc("step"))
+    far = line.rowsBetween(Window.unboundedPreceding, 0)
+    summed = once.withColumn("sum", F.sum("step").over(far)).withColumn("low", F.least(F.min("sum").over(far), F.lit(0)))
+    # Depth after the event; an IN opens the depth it leads to, an OUT closes the one above the depth it leads to.
+    deep = summed.withColumn("after", F.col("sum") - F.col("low")).withColumn("before", F.coalesce(F.lag("after").over(line), F.lit(0)))
+    level = deep.withColumn("level", F.when(F.col("step") == 1, F.col("after")).when(F.col("before") > 0, F.col("before")).otherwise(0))
+    same = Window.partitionBy("container_no", "level").orderBy("at", F.desc("step"))
+    met = level.withColumns({"taken": F.lead(F.struct("step", "at")).over(same), "taker": F.lag(F.struct("step", "at")).over(same)})
+    near = lambda a, b: F.unix_timestamp(b) - F.unix_timestamp(a) <= days * 86400
+    partner = F.when((F.col("step") == -1) & (F.col("level") > 0) & (F.col("taker.step") == 1) & near(F.col("taker.at"), F.col("at")), F.col("taker.at"))
+    closed = (F.col("taken.step") == -1) & near(F.col("at"), F.col("taken.at"))
+    form = F.when(F.col("step") == 1, F.when(~F.coalesce(closed, F.lit(False)), "lost_out")).when(F.col("carried").isNotNull(), "direct").when(partner.isNotNull(), "paired").otherwise("lost_in")
+    begin = F.when(F.col("step") == 1, F.col("at")).otherwise(F.coalesce("carried", partner))
+    end = F.when(F.col("step") == -1, F.col("at"))
+    found = met.select("container_no", begin.alias("in_time"), end.alias("out_time"), form.alias("form")).filter("form is not null")
+    return found.withColumn("hours", (F.unix_timestamp("out_time") - F.unix_timestamp("in_time")) / 3600)
+
+
 def discover_candidates(plans: DataFrame, catalog: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
     """(candidates, rejected) from plan rows (vesselcode, voyage, vessel_en_name, eta): one row per trimmed pair. Pairs for which ``reason`` isn't
     empty are rejected; those in the catalog already are dropped; known vessels are flagged."""
-    trimmed = plans.withColumns({"vesselcode": F.trim(F.coalesce("vesselcode", F.lit(""))), "voyage": F.trim(F.coalesce("voyage", F.lit("")))})
+    trimmed = plans.withColumns({c: filled(F.col(c)) for c in ("vesselcode", "voyage")})
     pairs = trimmed.groupBy("vesselcode", "voyage").agg(F.min("eta").alias("first_eta"), F.max("eta").alias("last_eta"), F.max("vessel_en_name").alias("vessel_en_name"), F.count("*").alias("source_plan_rows")).withColumn("reason", reason)
     known = catalog.select("vesselcode").distinct().withColumn("_known", F.lit(True))
     good = pairs.filter("reason = ''").drop("reason").join(catalog.select("vesselcode", "voyage").distinct(), ["vesselcode", "voyage"], "left_anti")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions.codes import classify_cargo
-from tidewright.functions.text import business_key, clean, digest, normalize_name, parse_number, parse_time, row_json
+from tidewright.functions.text import business_key, clean, digest, filled, normalize_name, parse_number, parse_time, row_json
 
 #: Version of the rule by which a cargo weight is taken as kilograms.
 WEIGHT_RULE = "cargo-weight-kg-v1"
@@ -118,13 +118,66 @@ def normalize_notice(rows: DataFrame) -> DataFrame:
 
 
 def split_extra(rows: DataFrame, fields: list[str]) -> DataFrame:
-    """Rows of a ``record map<string,string>`` column: each known field trimmed (null is empty), unknown keys that have a value kept as ``extra``;
+    """Rows of a ``record map<string,string>`` column: each known field stripped (null is empty), unknown keys that have a value kept as ``extra``;
     ``row_hash`` covers both; rows without an ``id`` go."""
-    extra = F.map_filter("record", lambda k, v: ~k.isin(*fields) & (F.coalesce(F.trim(v), F.lit("")) != ""))
-    out = rows.withColumns({f: F.trim(F.coalesce(F.col("record")[f], F.lit(""))) for f in fields} | {"extra": F.map_from_entries(F.array_sort(F.map_entries(extra)))})
+    extra = F.map_filter("record", lambda k, v: ~k.isin(*fields) & (filled(v) != ""))
+    out = rows.withColumns({f: filled(F.col("record")[f]) for f in fields} | {"extra": F.map_from_entries(F.array_sort(F.map_entries(extra)))})
     return out.withColumn("row_hash", digest(F.to_json(F.struct(*[F.col(f) for f in sorted(fields)], "extra")))).filter("id <> ''").drop("record")
 
 
+def json_each(rows: DataFrame, record: str, spark: SparkSession | None = None) -> DataFrame:
+    """``rows`` with a row for each key of the variant object ``record``: key, value (variant), kind (type of the value), in order of keys.
+
+    A lateral table function beside each row, so types and nesting stay as they are in the source. Rows whose record is no object have none.
+    """
+    each = (spark or rows.sparkSession).tvf.variant_explode(F.col(record).outer())
+    return rows.lateralJoin(each).filter("key is not null").withColumn("kind", F.schema_of_variant("value")).drop("pos")
+
+
+def _field(record: str, name: str) -> Column:
+    """The field as text, stripped; missing and null are empty. Numbers and booleans are written as JSON writes them."""
+    return filled(F.try_variant_get(F.col(record), f"$.{name}", "string"))
+
+
+def _extra(record: str, known: list[str], filled_only: bool) -> Column:
+    """Keys beside ``known`` (whatever their case) as a map of variants, so a number stays a number; null without any. ``filled_only`` leaves out null and empty values."""
+    entries = F.map_entries(F.col(record).cast("map<string, variant>"))
+    names = [k.lower() for k in known]
+    kept = F.filter(entries, lambda e: ~F.lower(e["key"]).isin(*names))
+    if filled_only:
+        kept = F.filter(kept, lambda e: ~F.coalesce(F.is_variant_null(e["value"]), F.lit(True)) & (F.coalesce(F.try_variant_get(e["value"], "$", "string"), F.lit("x")) != ""))
+    # Keys of an object are unique; to_json of a variant writes the keys of inner objects in order.
+    listed = F.transform(kept, lambda e: F.struct(e["key"].alias("key"), F.to_json(e["value"]).alias("value")))
+    text = F.array_join(F.transform(F.array_sort(listed), lambda e: F.concat(_quoted(e["key"]), F.lit(":"), e["value"])), ",")
+    return F.when(F.size(listed) > 0, F.concat(F.lit("{"), text, F.lit("}")))
+
+
+def _quoted(c: Column) -> Column:
+    """Text as a JSON string."""
+    whole = F.to_json(F.struct(c.alias("k")))
+    return F.substr(whole, F.lit(6), F.length(whole) - 6)
+
+
+#: Fields of a gate event as the source names them.
+GATE_FIELDS = ("id", "vesselcode", "voyage", "ctnNo", "ctnSizeType", "ctnStatus", "billNo", "inGateTime", "outGateTime", "msgReceiveTime", "direct")
+
+
+def normalize_gate_event(rows: DataFrame, record: str = "record", fields: tuple[str, ...] = GATE_FIELDS) -> DataFrame:
+    """Gate events from a VARIANT ``record`` and the query they answer (direction, asked_vessel, asked_voyage): stripped fields, ``type`` and ``vesselcode`` of the query, its
+    voyage where the row has none; unknown keys with a value as sorted JSON text in ``extra``, with their types; rows without an id go."""
+    out = rows.select(
+        _field(record, "id").alias("id"), F.col("direction").alias("type"), F.col("asked_vessel").alias("vesselcode"), F.coalesce(F.nullif(_field(record, "voyage"), F.lit("")), F.col("asked_voyage")).alias("voyage"),
+        *[_field(record, f).alias(f) for f in fields if f not in ("id", "vesselcode", "voyage")], F.coalesce(_extra(record, [*fields, "type"], True), F.lit("")).alias("extra"),
+    )
+    return out.filter("id <> ''")
+
+
+def normalize_container(rows: DataFrame, fields: list[str], record: str = "record") -> DataFrame:
+    """Container rows from a VARIANT ``record``: stripped fields, all unknown keys as sorted JSON text in ``extra``, and ``row_hash`` over both; rows without an id go."""
+    out = rows.select(*[_field(record, f).alias(f) for f in fields], F.coalesce(_extra(record, fields, False), F.lit("")).alias("extra"))
+    return out.withColumn("row_hash", digest(F.to_json(F.struct(*[F.col(f) for f in sorted(fields)], "extra")))).filter("id <> ''")
+
+
 def dead_letters(rows: DataFrame, checks: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """(good, bad): a row that fails a check goes to ``bad`` with the first failed check's name and its JSON; the rest goes on."""
     reason = F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in checks.items()])

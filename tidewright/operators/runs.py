@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.operators import cdc, gold
-from tidewright.operators.asof import as_of
+from tidewright.operators.asof import as_of, as_of_many
 from tidewright.operators.reports import in_window
 
 #: States of capture jobs in the order in which they are taken up; errors only when asked for.
@@ -122,6 +122,26 @@ def daily_flow_as_of(facts: dict[str, tuple[DataFrame, list[str], list[str]]], c
     return gold.daily_flow(seen["vgm"], seen["release"], seen["transship"], seen["plans"], anchor or day, end=day).withColumn("as_of_time", F.lit(cutoff))
 
 
+def daily_flow_at_cutoffs(facts: dict[str, tuple[DataFrame, list[str], list[str]]], cutoffs: list[dt.datetime]) -> DataFrame:
+    """``daily_flow_as_of`` for several cutoffs at once, kept apart by ``as_of_time``: each fact is read once, and its versions are told apart by
+    the cutoffs at which they were visible. Dates count up to the day of each cutoff."""
+    seen = {}
+    for name, (rows, keys, order) in facts.items():
+        seen[name] = as_of_many(rows, keys, cutoffs, order=order).filter(F.col("flow_date").between(F.lit(gold.FIRST_DATE), F.to_date("as_of_time")))
+    return gold.daily_flow(seen["vgm"], seen["release"], seen["transship"], seen["plans"], apart=("as_of_time",))
+
+
+def gate_daily_at_cutoffs(events: DataFrame, quarantined: DataFrame, cutoffs: list[dt.datetime], fetched: str = "fetched_at") -> DataFrame:
+    """``gold.gate_daily`` as of several cutoffs: an event counts from when it was fetched. Dates count up to HORIZON_DAYS after the day of each cutoff.
+
+    Events have no versions, so each is dealt to the cutoffs from its own on, in one scan; the first aggregate is combined before its shuffle.
+    """
+    cutoffs = sorted(set(cutoffs))
+    seen = events.withColumn("as_of_time", F.explode(F.filter(F.array(*map(F.lit, cutoffs)), lambda c: c >= F.col(fetched))))
+    daily = gold.gate_daily(seen, quarantined, apart=("as_of_time",))
+    return daily.filter(F.col("flow_date").between(F.lit(gold.FIRST_DATE), F.date_add(F.to_date("as_of_time"), gold.HORIZON_DAYS)))
+
+
 def rebuild_days(rows: DataFrame, path: str, day: str, start: dt.date, end: dt.date) -> None:
     """Replace the days from start to end of a table partitioned by ``day`` and leave the others; a day of the stretch that ``rows`` lack becomes empty."""
     spark = rows.sparkSession

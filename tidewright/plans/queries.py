@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions import codes, text
 from tidewright.operators import asof, cdc, gold, joins, profile, quality, reports, sample, series
-from tidewright.plans import catalog, silver  # noqa: F401 (register their queries)
+from tidewright.plans import catalog, following, ledgers, shapes, silver  # noqa: F401 (register their queries)
 from tidewright.plans.registry import ORACLES, QUERIES, doubles, longs, query  # noqa: F401
 
 TEU_SQL = "CASE upper(substr(trim(size_code), 1, 1)) WHEN '1' THEN 0.5 WHEN '2' THEN 1.0 WHEN '3' THEN 1.5 WHEN '4' THEN 2.0 WHEN 'L' THEN 2.25 END"
@@ -349,14 +349,19 @@ def pseudo_vessels(v):
     return v("supplier").select("s_suppkey", codes.classify_vessel(F.lit(None).cast("string"), F.col("s_name"), F.lit(""), imo, F.lit(None).cast("string"), [("en", "%1", "TEST_SHIP"), ("en", "supplier%", "TRANSSHIP_POOL")]).alias("bucket"))
 
 
-@query("""SELECT trim(vesselcode) AS vesselcode, voyage, min(eta) AS first_eta, max(eta) AS last_eta, count(*) AS source_plan_rows, trim(vesselcode) IN (SELECT vesselcode FROM :catalog:) AS vessel_in_catalog FROM :candidates: c
-WHERE voyage NOT IN ('/', '0') AND NOT EXISTS (SELECT 1 FROM :catalog: k WHERE k.vesselcode = trim(c.vesselcode) AND k.voyage = c.voyage) GROUP BY ALL""")
+_PAIR = f"SELECT trim(vesselcode, '{text.WHITE_SPACE}') AS vesselcode, trim(voyage, '{text.WHITE_SPACE}') AS voyage, eta FROM :candidates:"
+_REASON = f"""CASE WHEN vesselcode = '' THEN 'empty_vesselcode' WHEN upper(vesselcode) = 'FC0000000' OR translate(vesselcode, '0?/.· -_', '') = '' THEN 'placeholder_vesselcode' WHEN voyage = '' THEN 'empty_voyage'
+  WHEN translate(voyage, '0?/.· -_', '') = '' THEN 'placeholder_voyage' WHEN regexp_matches(voyage, '[{text.WHITE_SPACE}]') THEN 'voyage_contains_whitespace' WHEN strlen(voyage) > length(voyage) THEN 'voyage_non_ascii' ELSE '' END"""
+
+
+@query(f"""SELECT vesselcode, voyage, min(eta) AS first_eta, max(eta) AS last_eta, count(*) AS source_plan_rows, vesselcode IN (SELECT vesselcode FROM :catalog:) AS vessel_in_catalog FROM ({_PAIR}) c
+WHERE {_REASON} = '' AND NOT EXISTS (SELECT 1 FROM :catalog: k WHERE k.vesselcode = c.vesselcode AND k.voyage = c.voyage) GROUP BY ALL""")
 def voyage_candidates(v):
     good, _ = joins.discover_candidates(v("candidates"), v("catalog"), codes.invalid_pair_reason(F.col("vesselcode"), F.col("voyage")))
     return good.drop("vessel_en_name")
 
 
-@query("SELECT DISTINCT trim(vesselcode) AS vesselcode, voyage, 'placeholder_voyage' AS reason FROM :candidates: WHERE voyage IN ('/', '0')")
+@query(f"SELECT DISTINCT vesselcode, voyage, {_REASON} AS reason FROM ({_PAIR}) WHERE reason <> ''")
 def rejected_pairs(v):
     return joins.discover_candidates(v("candidates"), v("catalog"), codes.invalid_pair_reason(F.col("vesselcode"), F.col("voyage")))[1]
 

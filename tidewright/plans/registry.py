@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.plans.bindings import sql, view
+from tidewright.sources.sinks import shared_base
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,13 +24,23 @@ class Views:
     def __call__(self, name: str) -> DataFrame:
         return view(self.spark, self.sf_dir, name)
 
+    def place(self, name: str) -> str:
+        """A folder of this application and input that all executors share."""
+        return f"{shared_base(self.spark)}/{self.spark.sparkContext.applicationId}-{name}-{hashlib.md5(self.sf_dir.encode()).hexdigest()}"
+
+    def once(self, name: str, make: Callable[[], object]) -> object:
+        """What ``make`` returns, made once per application and input."""
+        key = self.spark.sparkContext.applicationId, self.sf_dir, name
+        if key not in _MADE:
+            _MADE[key] = make()
+        return _MADE[key]
+
     def stored(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         """What ``make`` returns, written once per application as a Parquet table that several queries read."""
         application = self.spark.sparkContext.applicationId
         key = application, self.sf_dir, name
         if key not in _STORED:
-            base = self.spark.conf.get("spark.checkpoint.dir", None) or self.spark.conf.get("spark.sql.warehouse.dir")
-            path = f"{base}/{application}-{name}-{hashlib.md5(self.sf_dir.encode()).hexdigest()}"
+            path = self.place(name)
             make().write.mode("overwrite").parquet(path)
             _STORED[key] = path
         return self.spark.read.parquet(_STORED[key])
@@ -37,6 +48,7 @@ class Views:
 
 #: Paths of the tables that this process has written, by application, input and name.
 _STORED: dict[tuple[str, str, str], str] = {}
+_MADE: dict[tuple[str, str, str], object] = {}
 
 
 def query(oracle: str | None = None):

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewright.functions.text import WHITE_SPACE
 from tidewright.operators import normalize
 from tidewright.plans.bindings import source_columns
 from tidewright.plans.registry import query
 
 
+def _trim(c: str) -> str:
+    return f"trim({c}, '{WHITE_SPACE}')"
+
+
 def _text(c: str) -> str:
-    return f"nullif(trim({c}), '')"
+    return f"nullif({_trim(c)}, '')"
 
 
 def _texts(names: dict[str, str]) -> str:
@@ -19,16 +24,17 @@ def _texts(names: dict[str, str]) -> str:
 
 def _time(c: str) -> str:
     forms = ((r"\d{14}", "%Y%m%d%H%M%S"), (r"\d{12}", "%Y%m%d%H%M"), (r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d", "%Y-%m-%d %H:%M:%S"), (r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d", "%Y-%m-%dT%H:%M:%S"))
-    return "CASE " + " ".join(f"WHEN regexp_full_match(trim({c}), '{shape}') THEN try_strptime(trim({c}), '{form}')" for shape, form in forms) + " END"
+    return "CASE " + " ".join(f"WHEN regexp_full_match({_trim(c)}, '{shape}') THEN try_strptime({_trim(c)}, '{form}')" for shape, form in forms) + " END"
 
 
 def _number(c: str) -> str:
-    return f"CASE WHEN isfinite(try_cast(trim({c}) AS DOUBLE)) THEN try_cast(trim({c}) AS DOUBLE) END"
+    return f"CASE WHEN isfinite(try_cast({_trim(c)} AS DOUBLE)) THEN try_cast({_trim(c)} AS DOUBLE) END"
 
 
 def _json(columns: list[str]) -> str:
     """The row as JSON in order of names; what is null isn't there."""
-    return "'{' || concat_ws(',', " + ", ".join(f"""'"{c}":"' || {c} || '"'""" for c in sorted(columns)) + ") || '}'"
+    escaped = "replace(replace({0}, chr(9), chr(92) || 't'), chr(13), chr(92) || 'r')"
+    return "'{' || concat_ws(',', " + ", ".join(f"""'"{c}":"' || {escaped.format(c)} || '"'""" for c in sorted(columns)) + ") || '}'"
 
 
 def _key(columns: list[str], *parts: str, need_all: bool = False) -> str:
@@ -62,7 +68,7 @@ def silver_release(v):
 
 
 _TRANSSHIP = source_columns("source_transship")
-_CARGO = "regexp_replace(upper(trim(replace(cargoDescription, chr(12288), ' '))), '\\s+', ' ', 'g')"
+_CARGO = f"regexp_replace(upper({_trim('cargoDescription')}), '[{WHITE_SPACE}]+', ' ', 'g')"
 _GROUP = f"CASE WHEN coalesce({_CARGO}, '') = '' THEN ['UNKNOWN', 'unknown'] WHEN {_CARGO} = 'STEEL COILS' THEN ['METAL', 'exact'] WHEN regexp_matches({_CARGO}, 'PROMO') THEN ['PROMOTED', 'regex'] WHEN regexp_matches({_CARGO}, '^STANDARD') THEN ['STANDARD', 'regex'] ELSE ['UNKNOWN', 'unknown'] END"
 
 
@@ -86,7 +92,7 @@ def silver_container_event(v):
 
 
 _PLAN = source_columns("source_plan")
-_NAME = "nullif(trim(regexp_replace(upper({0}), '\\s+', ' ', 'g')), '')"
+_NAME = f"nullif(trim(regexp_replace(upper({{0}}), '[{WHITE_SPACE}]+', ' ', 'g')), '')"
 
 
 @query(f"""SELECT {_key(_PLAN, "vesselUnCode", "voyage", "terminal", "vesselDirect", need_all=True)}, {_NAME.format("vesselEnName")} AS vessel_en_name,
@@ -113,3 +119,29 @@ SELECT 'good' AS side, CAST(sum(n) AS BIGINT) AS n FROM k UNION ALL SELECT 'bad'
 def silver_dead_letters(v):
     good, bad = normalize.dead_letters(v("source_release"), {"vessel": F.trim("vesselcode") != "", "voyage": F.trim("voyage") != ""})
     return good.agg(F.lit("good").alias("side"), F.count("*").alias("n")).unionByName(bad.agg(F.lit("bad").alias("side"), F.count("*").alias("n")))
+
+
+_GATE_EXTRA = """concat_ws(',', CASE WHEN event_id % 7 <> 0 THEN '"Alpha":"n' || substr(ctn, 5) || '"' END, CASE event_id % 5 WHEN 2 THEN '"zeta":{"a":[true,"x"],"b":1}' WHEN 3 THEN '"zeta":12' WHEN 4 THEN '"zeta":" "' END)"""
+
+
+@query(f"""WITH g AS (SELECT *, CAST(json_extract_string(body, '$.id') AS VARCHAR) AS id, trim(json_extract_string(body, '$.ctnNo'), '{WHITE_SPACE}') AS ctn, trim(json_extract_string(body, '$.voyage'), '{WHITE_SPACE}') AS voyage FROM :gate_json:)
+SELECT id, direction AS type, asked_vessel AS vesselcode, coalesce(nullif(voyage, ''), asked_voyage) AS voyage, ctn AS "ctnNo", '' AS "billNo", CASE WHEN {_GATE_EXTRA} = '' THEN '' ELSE '{{' || {_GATE_EXTRA} || '}}' END AS extra FROM g WHERE event_id % 20 > 1""")
+def silver_gate_event(v):
+    rows = v("gate_json").withColumn("record", F.try_parse_json("body"))
+    return normalize.normalize_gate_event(rows).select("id", "type", "vesselcode", "voyage", "ctnNo", "billNo", "extra")
+
+
+_CONTAINER_EXTRA = """concat_ws(',', CASE WHEN o_orderkey % 5 = 0 THEN '"also":"","count":3' END, CASE WHEN o_orderkey % 2 = 0 THEN '"more":null' END)"""
+
+
+@query(f"""WITH c AS (SELECT trim(json_extract_string(body, '$.id')) AS id, trim(coalesce(json_extract_string(body, '$.status'), ''), '{WHITE_SPACE}') AS status, json_extract_string(body, '$.priority') AS priority, CASE WHEN {_CONTAINER_EXTRA} = '' THEN '' ELSE '{{' || {_CONTAINER_EXTRA} || '}}' END AS extra FROM :container_json: WHERE o_orderkey % 17 <> 0)
+SELECT *, sha256('{{"id":"' || id || '","priority":"' || priority || '","status":"' || status || '","extra":"' || replace(extra, '"', chr(92) || '"') || '"}}') AS row_hash FROM c""")
+def silver_container(v):
+    return normalize.normalize_container(v("container_json").withColumn("record", F.try_parse_json("body")), ["id", "status", "priority"])
+
+
+@query("""SELECT key, kind, count(*) AS n FROM (SELECT unnest(json_keys(body)) AS key, body FROM :container_json:), LATERAL (SELECT CASE json_type(body, '$.' || key) WHEN 'VARCHAR' THEN 'STRING' WHEN 'NULL' THEN 'VOID' WHEN 'UBIGINT' THEN 'BIGINT' ELSE json_type(body, '$.' || key) END AS kind) GROUP BY key, kind""")
+def json_fields(v):
+    """Every key of the records with the type of its values."""
+    rows = v("container_json").select(F.try_parse_json("body").alias("record"))
+    return normalize.json_each(rows, "record").groupBy("key", "kind").agg(F.count("*").alias("n"))

@@ -1,10 +1,10 @@
-"""Files written for others. Spark's commit protocol makes a write atomic; a byte-order mark and CRLF are not written."""
+"""Files written for others. Spark's commit protocol makes a write atomic; ``exports`` has a writer with byte-order mark and CRLF."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -46,10 +46,20 @@ def write_gate(events: DataFrame, active: DataFrame, gap: DataFrame, new: DataFr
     write_csv(gap, f"{path}/gap")
 
 
+def shared_base(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, else the warehouse. On a cluster a warehouse that is a local folder is refused: executors would not share it."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    base = spark.conf.get("spark.sql.warehouse.dir")
+    if base.startswith(("/", "file:")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("Name a folder that all executors share in spark.checkpoint.dir")
+    return base
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder that spark.checkpoint.dir names, else in the warehouse: cuts lineage and survives lost executors."""
+    """``df`` as a Parquet table in the shared folder: cuts lineage and survives lost executors."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{base}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_base(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

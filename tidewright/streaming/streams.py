@@ -49,21 +49,52 @@ def windowed_counts(events: DataFrame, at: str, keys: list[str], weekly: bool =
 
 
 class IdleRounds(StatefulProcessor):
-    """Rounds without new events per voyage. Input rows: (voyage, round, new_events, in_catalog, last_event)."""
+    """Rounds without new events per voyage. Input rows: (voyage, round, new_events, in_catalog, last_event).
+
+    With ``silent_ms`` a voyage that no row names for so long has an idle round as well, again and again until it retires, and what retired and stayed silent
+    is forgotten after ``forget_ms``.
+    """
+
+    def __init__(self, silent_ms: int | None = None, forget_ms: int | None = None):
+        self.silent_ms, self.forget_ms = silent_ms, forget_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("idle", "idle int, last_event timestamp")
+        self.handle = handle
+        self.state = handle.getValueState("idle", "idle int, last_event timestamp, in_catalog boolean", self.forget_ms) if self.forget_ms else handle.getValueState("idle", "idle int, last_event timestamp, in_catalog boolean")
+
+    def _frame(self, key, idle: int, last, known: bool) -> pd.DataFrame:
+        return pd.DataFrame({"voyage": [key[0]], "idle_rounds": [idle], "last_event": [last], "inactive": [bool(idle >= IDLE_ROUNDS and not known)]})
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+    def _wake_after(self, timer_values, retired: bool) -> None:
+        """One timer a voyage: the next idle round; none once it has retired."""
+        if self.silent_ms:
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t)
+            if not retired:
+                self.handle.registerTimer(timer_values.getCurrentProcessingTimeInMs() + self.silent_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         frame = pd.concat(list(rows)).sort_values("round")
-        idle, last = self.state.get() if self.state.exists() else (0, None)
+        idle, last = tuple(self.state.get())[:2] if self.state.exists() else (0, None)
         for r in frame.itertuples():
             idle = 0 if r.new_events > 0 else idle + 1
             if pd.notna(r.last_event) and (last is None or r.last_event > pd.Timestamp(last)):
                 last = r.last_event.to_pydatetime()
-        self.state.update((idle, last))
-        retired = bool(idle >= IDLE_ROUNDS and not frame["in_catalog"].iloc[-1])
-        yield pd.DataFrame({"voyage": [key[0]], "idle_rounds": [idle], "last_event": [last], "inactive": [retired]})
+        known = bool(frame["in_catalog"].iloc[-1])
+        self.state.update((idle, last, known))
+        out = self._frame(key, idle, last, known)
+        self._wake_after(timerValues, bool(out["inactive"][0]))
+        yield out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self.state.exists():
+            return
+        idle, last, known = self.state.get()
+        self.state.update((idle + 1, last, known))
+        out = self._frame(key, idle + 1, last, known)
+        if not out["inactive"][0]:
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.silent_ms)
+        yield out
 
     def close(self) -> None:
         pass
@@ -72,9 +103,14 @@ class IdleRounds(StatefulProcessor):
 IDLE_SCHEMA = "voyage string, idle_rounds int, last_event timestamp, inactive boolean"
 
 
-def idle_rounds(rounds: DataFrame) -> DataFrame:
-    """Per voyage after each batch: idle rounds, last event, and whether it retires: idle for IDLE_ROUNDS and gone from the catalog. Needs the RocksDB state store."""
-    return rounds.groupBy("voyage").transformWithStateInPandas(IdleRounds(), outputStructType=StructType.fromDDL(IDLE_SCHEMA), outputMode="Update", timeMode="None")
+def idle_rounds(rounds: DataFrame, silent_ms: int | None = None, forget_ms: int | None = None) -> DataFrame:
+    """Per voyage after each batch: idle rounds, last event, and whether it retires: idle for IDLE_ROUNDS and gone from the catalog. Needs the RocksDB state store.
+
+    Without ``silent_ms`` only rows that say so are idle rounds. With it silence counts: processing-time timers add a round each ``silent_ms`` without a row, also in batches without any
+    data, and the state of a voyage expires ``forget_ms`` after its last change.
+    """
+    mode = "ProcessingTime" if silent_ms or forget_ms else "None"
+    return rounds.groupBy("voyage").transformWithStateInPandas(IdleRounds(silent_ms, forget_ms), outputStructType=StructType.fromDDL(IDLE_SCHEMA), outputMode="Update", timeMode=mode)
 
 
 def idle_rounds_batch(rounds: DataFrame) -> DataFrame:
@@ -86,7 +122,11 @@ def idle_rounds_batch(rounds: DataFrame) -> DataFrame:
 
 
 def upsert_batches(read: Callable[[], DataFrame], write: Callable[[DataFrame], None], key: str, order: str) -> Callable[[DataFrame, int], None]:
-    """For ``foreachBatch``: the latest row of each key in the batch goes into the next snapshot."""
+    """For ``foreachBatch``: the latest row of each key in the batch goes into the next snapshot.
+
+    Spark may give a batch again after a failure, under the same id. Taking the same rows twice leaves the same snapshot, so ``write`` must only replace
+    what ``read`` gives, not add to it; the id is not needed for that.
+    """
 
     def run(batch: DataFrame, _: int) -> None:
         fields = [c for c in batch.columns if c != key]
