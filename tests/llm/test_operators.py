@@ -217,11 +217,13 @@ def test_language_on_held_out_documents(spark):
     for d in range(300):
         lang = rng.choice(list(known))
         rows.append((d, " ".join(rng.choice(known[lang]) for _ in range(12)), lang))
-    rows += [(900, None, "en"), (901, "12 !!", "en"), (902, "", None), (903, "schönes straßen", None), (None, "the", "en")]
+    rows += [(900, None, "en"), (901, "12 !!", "en"), (902, "", None), (904, "² ½ Ⅷ 12", "en"), (903, "schönes straßen", None), (905, "the²and½with", None), (None, "the", "en")]
+    rows += rows[:3]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     got = {r.doc_id: r for r in identify_language(docs).collect()}
     assert all(got[d].lang_pred == lang for d, _, lang in rows[:300] if got[d].held_out)
-    assert [(got[d].lang_pred, got[d].score) for d in (900, 901, 902)] == [("und", 0.0)] * 3
+    assert [(got[d].lang_pred, got[d].score) for d in (900, 901, 902, 904)] == [("und", 0.0)] * 4
+    assert got[905].lang_pred == "en"
     assert got[903].lang_pred == "de" and 0 < got[903].score <= 1
 
 

@@ -18,7 +18,15 @@ from tidewright.llm.common import held_out, written
 DOCS_A_LANGUAGE, LONGEST = 2000, 4
 #: Words that a Python worker remembers with their scores.
 WORD_MEMORY = 200_000
-_LETTERS = re.compile(r"[^\W\d_]+")
+_RUNS = re.compile(r"[^\W\d_]+")
+
+
+def _words(text: str) -> list[str]:
+    """Maximal runs of letters, in lower case. The pattern also takes other numerals, such as fractions and superscripts, for letters: they part words."""
+    runs = _RUNS.findall(text.lower())
+    if all(map(str.isalpha, runs)):
+        return runs
+    return [w for run in runs for w in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
 def _grams(word: str, n: int) -> list[str]:
@@ -34,7 +42,7 @@ def learn_language_counts(docs: DataFrame) -> DataFrame:
         counts: dict[str, Counter] = {}
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                counts.setdefault(lang, Counter()).update(_LETTERS.findall(text.lower()))
+                counts.setdefault(lang, Counter()).update(_words(text))
         for lang, words in counts.items():
             for n in range(LONGEST + 1):
                 if n == 0:
@@ -98,7 +106,7 @@ def _scorer(model: LanguageModel, key: str):
         nonlocal table, filled
         out = []
         for text in texts:
-            words = _LETTERS.findall(text.lower()) if text else []
+            words = _words(text) if text else []
             if not words or not model.languages:
                 out.append(("und", 0.0))
                 continue
