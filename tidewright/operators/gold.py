@@ -80,11 +80,13 @@ def gate_daily(events: DataFrame, quarantined: DataFrame, anchor: dt.date | None
     largest TEU, whatever the case of its number and the spaces around it; events without a number or a time don't count. Quarantined pairs are left out, and
     with an ``anchor`` so are dates that ``allowed_date`` doesn't allow.
     """
-    rows = events.join(quarantined.select("vesselcode", "voyage").distinct(), ["vesselcode", "voyage"], "left_anti")
-    kind = F.when(F.col("type") == "GATE_IN", "IN").when(F.col("type") == "GATE_OUT", "OUT")
-    at = flow_date(F.when(kind == "IN", F.col("in_time")).otherwise(F.col("out_time")))
-    moves = rows.select(*apart, F.coalesce("direction", F.lit("")).alias("direction"), kind.alias("kind"), F.upper(F.trim("container_no")).alias("container_no"), at.alias("flow_date"), teu(F.col("size_code")).alias("teu"))
-    moves = moves.filter("kind is not null and flow_date is not null and container_no <> ''")
+    # Two narrow branches: the type reaches the scan, each reads one time column, and a day is one short expression.
+    parts = []
+    for kind, at in (("IN", "in_time"), ("OUT", "out_time")):
+        own = events.filter(F.col("type") == f"GATE_{kind}").select(*apart, "vesselcode", "voyage", F.coalesce("direction", F.lit("")).alias("direction"), F.lit(kind).alias("kind"), F.upper(F.trim("container_no")).alias("container_no"), F.col(at).alias("at"), "size_code")
+        parts.append(own.filter("container_no <> '' and at is not null"))
+    rows = parts[0].unionByName(parts[1]).join(quarantined.select("vesselcode", "voyage").distinct(), ["vesselcode", "voyage"], "left_anti")
+    moves = rows.select(*apart, "direction", "kind", "container_no", flow_date(F.col("at")).alias("flow_date"), teu(F.col("size_code")).alias("teu")).filter("flow_date is not null")
     if anchor is not None:
         moves = moves.filter(allowed_date(F.col("flow_date"), anchor))
     into, out = F.col("kind") == "IN", F.col("kind") == "OUT"

@@ -81,3 +81,8 @@ def assignments_with_features(assignments: DataFrame, features: DataFrame, run_i
     """Assignments of one run with the features of the same entity, of its entity type and feature version; entities without stay."""
     known = features.filter((F.col("entity_type") == entity_type) & (F.col("feature_version") == feature_version)).select("entity_key", *columns)
     return assignments.filter(F.col("run_id") == run_id).join(known, "entity_key", "left")
+
+
+def unknown_counts(rows: DataFrame, layer: str, unknown: Column) -> DataFrame:
+    """(layer, n, unknown): rows of each layer, and those whose kind is not known."""
+    return rows.groupBy(F.col(layer).alias("layer")).agg(F.count("*").alias("n"), F.count_if(unknown).alias("unknown"))

@@ -144,6 +144,10 @@ BOARD_CURVES = """SELECT t AS curve_type, n_name || ':' || substr(o_orderpriorit
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey JOIN (SELECT 'planned_demand' AS t, 1 AS f UNION ALL SELECT 'released_bill_count', 2 UNION ALL SELECT 'cargo_release', 1000 UNION ALL SELECT 'gate_in_teu', 3 UNION ALL SELECT 'gate_out_teu', 4 UNION ALL SELECT 'arrival_delay', 5
   UNION ALL SELECT 'departure_delay', 6 UNION ALL SELECT 'pressure_index', 7 UNION ALL SELECT 'transshipment_container_count', 0) k ON o_orderkey % 3 <> f % 3 OR f = 1 GROUP BY t, f, n_name, substr(o_orderpriority, 1, 1), date_trunc('week', o_orderdate)"""
 
+#: Pages of jobs, two rows a page; by job an empty page, a short one, a total that shrinks, a page or the last page missing, or nothing wrong.
+JOB_PAGES = """SELECT job, n AS page, CAST(CASE WHEN job % 6 = 1 AND n = 2 THEN 0 WHEN job % 6 = 2 AND n = 3 THEN 1 ELSE 2 END AS INT) AS row_count, CAST(c * 2 - CASE WHEN job % 6 = 3 AND n >= 2 THEN 1 ELSE 0 END AS INT) AS total
+FROM (SELECT l_suppkey AS job, CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey) AS INT) AS n, count(*) OVER (PARTITION BY l_suppkey) AS c FROM {lineitem}) x WHERE NOT (job % 6 = 4 AND n = 2) AND NOT (job % 6 = 5 AND n = c)"""
+
 ALL = {k.lower(): v for k, v in list(globals().items()) if k.isupper() and isinstance(v, str)}
 
 

@@ -87,12 +87,16 @@ def merged_candidates(v):
     return runs.merge_candidates(old.filter("source_plan_rows % 2 = 0"), found)
 
 
+_VALID = " + ".join(f"{f} * {2**i}" for i, f in enumerate([10, 12, 13, 32] + [f"CAST(substr(c, {i + 1}, 1) AS INT)" for i in range(4, 10)]))
+
+
 @query("""WITH e AS (SELECT upper(trim(container_no)) AS container_no, count(*) AS events FROM :gate_raw: g WHERE trim(container_no) <> '' AND NOT EXISTS (SELECT 1 FROM :quarantined: q WHERE q.vesselcode = g.vesselcode AND q.voyage = g.voyage) GROUP BY ALL)
-SELECT container_no, 'gate_events+plans' AS source, events FROM e WHERE CAST(substr(container_no, 5, 7) AS BIGINT) % 2 = 0 UNION ALL SELECT container_no, 'gate_events', events FROM e WHERE CAST(substr(container_no, 5, 7) AS BIGINT) % 2 = 1""")
+SELECT container_no, CASE WHEN CAST(substr(container_no, 5, 7) AS BIGINT) % 2 = 0 THEN 'gate_events+plans' ELSE 'gate_events' END AS source, events,
+  CASE WHEN container_no IN (SELECT upper(trim(containerNumber)) FROM :source_vgm: WHERE containerNumber IS NOT NULL) THEN 'complete' WHEN CAST(""" + _VALID.replace("substr(c,", "substr(container_no,") + """ AS BIGINT) % 11 % 10 = CAST(substr(container_no, 11, 1) AS BIGINT) THEN 'pending' ELSE 'invalid' END AS status FROM e""")
 def merged_containers(v):
     found = joins.container_catalog(v("gate_raw"), v("quarantined"))
     old = found.filter(F.substring("container_no", 5, 7).cast("bigint") % 2 == 0).withColumns({"source": F.lit("plans"), "events": F.lit(0).cast("bigint")})
-    return runs.merge_containers(old, found, "gate_events", v("source_vgm").select(F.col("containerNumber").alias("container_no"))).select("container_no", "source", "events")
+    return runs.merge_containers(old, found, "gate_events", v("source_vgm").select(F.col("containerNumber").alias("container_no"))).select("container_no", "source", "events", "status")
 
 
 @query("SELECT l_partkey, l_suppkey, l_shipdate FROM lineitem EXCEPT SELECT l_partkey, l_suppkey, l_shipdate FROM lineitem WHERE l_linenumber = 1")
@@ -106,7 +110,6 @@ def model_runs(v):
     return runs.model_run(v("customer"), "nation", NOW, cluster="c_nationkey")
 
 
-_VALID = " + ".join(f"{f} * {2**i}" for i, f in enumerate([10, 12, 13, 32] + [f"CAST(substr(c, {i + 1}, 1) AS INT)" for i in range(4, 10)]))
 
 
 @query(f"""SELECT id, CASE WHEN c IS NULL OR c = '' THEN 0 ELSE CAST(CAST({_VALID} AS BIGINT) % 11 % 10 = CAST(substr(c, 11, 1) AS BIGINT) AS INT) END AS valid,

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidewright.operators import dashboard, ledger, metrics
+from tidewright.operators import cdc, dashboard, ledger, metrics
 from tidewright.plans.registry import doubles, longs, query
 
 NOW = dt.datetime(2024, 3, 1)
@@ -175,3 +175,14 @@ def cluster_members(v):
     assigned = s.select(F.concat(F.lit("r"), (F.col("s_suppkey") % 3).cast("string")).alias("run_id"), key, F.col("s_nationkey").alias("cluster_id"))
     featured = s.select(F.when(F.col("s_suppkey") % 2 == 0, "terminal").otherwise("operator").alias("entity_type"), F.when(F.col("s_suppkey") % 5 == 0, "v2").otherwise("v1").alias("feature_version"), key, F.col("s_acctbal").alias("mean"))
     return metrics.assignments_with_features(assigned, featured, "r1", "terminal", "v1", ["mean"]).select("run_id", "entity_key", "cluster_id", "mean")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM lineitem o WHERE o.l_linenumber = 1 AND o.l_orderkey = l.l_orderkey AND o.l_partkey = l.l_partkey)")
+def facts_without_version(v):
+    rows = v("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return cdc.missing_versions(rows, rows.filter("l_linenumber = 1"), ["l_orderkey"], "l_partkey")
+
+
+@query("SELECT event_type AS layer, count(*) AS n, count(*) FILTER (event_type = 'error') AS unknown FROM events GROUP BY event_type")
+def unknown_events(v):
+    return metrics.unknown_counts(v("events"), "event_type", F.col("event_type") == "error")

@@ -263,12 +263,19 @@ def curve_trends(v):
     return doubles(doubles(out, "g1", "g4", "g13", "data_quality"), "volatility", digits=4)
 
 
-@query(f"""WITH s AS (SELECT *, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY entity_key) AS n, lag(value) OVER w AS l1, (value - lag(value, 4) OVER w) / nullif(abs(lag(value, 4) OVER w), 0) AS g4 FROM :curves: WINDOW w AS ({_W}))
-SELECT entity_key, count(*) AS n, round(avg(value), 4) AS mean, round(median(value), 4) AS median, round(stddev_pop(value), 4) AS sd, round(covar_pop(i, value) / nullif(var_pop(i), 0), 4) AS slope, round(max(g4) FILTER (i = n - 1), 6) AS growth_4,
-  round(avg(CASE WHEN value = 0 THEN 1.0 ELSE 0.0 END), 6) AS zero_ratio, round(covar_pop(l1, value) FILTER (l1 IS NOT NULL) / (stddev_pop(l1) FILTER (l1 IS NOT NULL) * stddev_pop(value) FILTER (l1 IS NOT NULL)), 5) AS autocorr_1, round(max(value) / median(value), 5) AS peak_ratio FROM s GROUP BY entity_key""")
+def _correlation(lagged: str) -> str:
+    pairs = f"FILTER ({lagged} IS NOT NULL)"
+    return f"round(CASE WHEN count({lagged}) > 1 THEN coalesce(covar_pop({lagged}, value) {pairs} / nullif(stddev_pop({lagged}) {pairs} * stddev_pop(value) {pairs}, 0), 0) END, 5)"
+
+
+@query(f"""WITH s AS (SELECT *, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY entity_key) AS n, lag(value) OVER w AS l1, CASE WHEN count(*) OVER (PARTITION BY entity_key) < 14 THEN lag(value, 4) OVER w ELSE lag(value, 7) OVER w END AS ls,
+  (value - lag(value, 4) OVER w) / nullif(abs(lag(value, 4) OVER w), 0) AS g4, (value - lag(value, 13) OVER w) / nullif(abs(lag(value, 13) OVER w), 0) AS g13 FROM :curves: WINDOW w AS ({_W}))
+SELECT entity_key, count(*) AS n, round(avg(value), 4) AS mean, round(median(value), 4) AS median, round(stddev_pop(value), 4) AS sd, round(coalesce(stddev_pop(value) / nullif(abs(avg(value)), 0), 0), 5) AS cv, round(covar_pop(i, value) / nullif(var_pop(i), 0), 4) AS slope,
+  round(max(g4) FILTER (i = n - 1), 6) AS growth_4, round(max(g13) FILTER (i = n - 1), 6) AS growth_13, round(avg(CASE WHEN value = 0 THEN 1.0 ELSE 0.0 END), 6) AS zero_ratio, {_correlation("l1")} AS autocorr_1, {_correlation("ls")} AS autocorr_seasonal, round(max(value) / median(value), 5) AS peak_ratio,
+  CAST(NULL AS DOUBLE) AS arrival_delay_mean, CAST(NULL AS DOUBLE) AS arrival_delay_p90, CAST(0 AS DOUBLE) AS transshipment_share, CAST(0 AS DOUBLE) AS seasonal_strength, CAST(0 AS DOUBLE) AS plan_revision_frequency FROM s GROUP BY entity_key""")
 def curve_features(v):
-    out = series.features(v("curves")).select("entity_key", "n", "mean", "median", "sd", "slope", "growth_4", "zero_ratio", "autocorr_1", "peak_ratio")
-    return doubles(doubles(doubles(out, "growth_4", "zero_ratio"), "autocorr_1", "peak_ratio", digits=5), "mean", "median", "sd", "slope", digits=4)
+    out = series.features(v("curves")).drop("curve_type", "granularity", "model_version")
+    return doubles(doubles(doubles(out, "growth_4", "growth_13", "zero_ratio"), "autocorr_1", "autocorr_seasonal", "peak_ratio", "cv", digits=5), "mean", "median", "sd", "slope", digits=4)
 
 
 @query("SELECT terminal, round(avg(arrival_delay_h), 6) AS delay_mean, quantile_disc(arrival_delay_h, 0.9) AS delay_p90 FROM :plans: GROUP BY terminal")
@@ -628,19 +635,17 @@ def field_drift(v):
     return schema_drift(observed_fields(records).select("endpoint", "field"), expected)
 
 
-@query("""SELECT l_suppkey AS job, count(*) AS pages, CAST(ceil(max(CASE WHEN page = 1 THEN total END) / 2.0) AS BIGINT) AS expected_pages FROM (SELECT l_suppkey, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey) AS page, count(*) OVER (PARTITION BY l_suppkey) * 2 AS total FROM lineitem) GROUP BY l_suppkey""")
+@query("""WITH p AS (SELECT *, first_value(total) OVER w AS f, lag(total) OVER w AS b, row_number() OVER w AS i FROM :job_pages: WINDOW w AS (PARTITION BY job ORDER BY page)),
+x AS (SELECT *, CASE WHEN page <> i THEN 'gap' WHEN total < b THEN 'total_shrank' WHEN least(2, f - (page - 1) * 2) > 0 AND row_count = 0 THEN 'empty_page' WHEN row_count < least(2, f - (page - 1) * 2) THEN 'short_page' END AS fault FROM p)
+SELECT job, count(*) AS pages, CAST(ceil(max(f) / 2.0) AS BIGINT) AS expected_pages, coalesce(arg_min(fault, page) FILTER (fault IS NOT NULL), CASE WHEN count(*) < ceil(max(f) / 2.0) THEN 'incomplete' END) AS fault FROM x GROUP BY job""")
 def page_plans(v):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("l_suppkey")
-    pages = v("lineitem").select(F.col("l_suppkey").alias("job"), F.row_number().over(w.orderBy("l_orderkey", "l_linenumber", "l_partkey")).alias("page"), (F.count("*").over(w) * 2).cast("int").alias("total"), F.lit(2).alias("row_count"))
-    return quality.page_ledger(pages, 2).drop("fault")
+    return quality.page_ledger(v("job_pages"), 2)
 
 
-@query("""SELECT cluster, round(quantile_cont(value, 0.5), 4) AS median, round(quantile_cont(value, 0.9), 4) AS high FROM (SELECT CASE WHEN entity_key < 'M' THEN 0 ELSE 1 END AS cluster, value FROM :curves:) GROUP BY cluster""")
+@query("""SELECT cluster, time_bucket, round(quantile_cont(value, 0.1), 4) AS low, round(quantile_cont(value, 0.5), 4) AS median, round(quantile_cont(value, 0.9), 4) AS high FROM (SELECT CASE WHEN entity_key < 'M' THEN 0 ELSE 1 END AS cluster, time_bucket, value FROM :curves:) GROUP BY cluster, time_bucket""")
 def cluster_bands(v):
     from tidewright.operators.models import prototypes
 
-    rows = v("curves").withColumn("time_bucket", F.lit(0))
     assigned = v("curves").select("entity_key").distinct().withColumn("cluster_id", F.when(F.col("entity_key") < "M", 0).otherwise(1))
-    return doubles(prototypes(rows, assigned).select(F.col("cluster_id").alias("cluster"), F.col("bands")[2].alias("median"), F.col("bands")[4].alias("high")), "median", "high", digits=4)
+    bands = prototypes(v("curves"), assigned).select(F.col("cluster_id").alias("cluster"), "time_bucket", F.col("bands")[0].alias("low"), F.col("bands")[2].alias("median"), F.col("bands")[4].alias("high"))
+    return doubles(bands, "low", "median", "high", digits=4)

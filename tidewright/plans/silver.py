@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewright.functions.text import WHITE_SPACE
-from tidewright.operators import normalize
+from tidewright.functions.text import WHITE_SPACE, parse_number, parse_time
+from tidewright.operators import normalize, quality
 from tidewright.plans.bindings import source_columns
 from tidewright.plans.registry import query
 
@@ -145,3 +145,12 @@ def json_fields(v):
     """Every key of the records with the type of its values."""
     rows = v("container_json").select(F.try_parse_json("body").alias("record"))
     return normalize.json_each(rows, "record").groupBy("key", "kind").agg(F.count("*").alias("n"))
+
+
+_FAILED = {"weight": ("vgmGrossWeight", _number), "operator_time": ("operatetime", _time), "received_time": ("portreceiverdate", _time)}
+
+
+@query(" UNION ALL ".join(f"""SELECT '{n}' AS "check", count(*) FILTER ({_text(c)} IS NOT NULL AND ({typed(c)}) IS NULL) AS failures FROM :source_vgm:""" for n, (c, typed) in _FAILED.items()))
+def parse_failures(v):
+    parse = {"weight": parse_number, "operator_time": parse_time, "received_time": parse_time}
+    return quality.parse_failures(v("source_vgm"), {n: (c, parse[n](F.col(c))) for n, (c, _) in _FAILED.items()})
