@@ -223,7 +223,8 @@ c AS (SELECT u.t AS curve_type, entity_key, time_bucket, CASE max(u.k) WHEN 'mea
 
 def _gold_curves(v):
     revisions = series.revision_points(v("plans"), ["t1", "t2", "t3", "t4"])
-    return series.build_curves(gold.weekly_flow(_gold_daily(v)), "week_start", "week", "v1", gate_daily(v), revisions)
+    gate = v.stored("gold_gate_daily", lambda: gate_daily(v))
+    return series.build_curves(gold.weekly_flow(_gold_daily(v)), "week_start", "week", "v1", gate, revisions)
 
 
 @query(f"{_MELT} SELECT curve_type, entity_key, time_bucket, round(value, 4) AS value FROM c")
