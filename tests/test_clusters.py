@@ -230,3 +230,14 @@ def test_shape_medoids(spark):
         cost = {c: sum(plain_warping(series[c], series[m], 2) for m in members) for c in members}
         assert cost[medoid] <= min(cost.values()) + 1e-6
     assert all(math.isclose(r["distance"], plain_warping(series[k], series[r["medoid"]], 2), abs_tol=1e-9) for k, r in rows.items())
+
+
+def test_similar_shapes_in_one_crowded_cell_are_dealt_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(elastic, "BLOCK", 25)
+    rows = [(f"s{i:03}", [float((i * 7 + k * (i % 5)) % 11) / 8 for k in range(6 + i % 2)] if i % 9 else [0.5, None, 0.25, 0.5, 0.5, 0.75]) for i in range(120)]
+    df = spark.createDataFrame(rows, "id string, x array<double>")
+    plain = df.alias("p").join(df.alias("q"), F.col("p.id") < F.col("q.id")).select(F.col("p.id").alias("a"), F.col("q.id").alias("b"), elastic.warping_distance(F.col("p.x"), F.col("q.x"), 2).alias("d")).filter("d <= 1")
+    want = {(r["a"], r["b"]): r["d"] for r in plain.collect()}
+    found = elastic.similar_shapes(df, 1.0, 2)
+    assert {(r["a"], r["b"]): r["distance"] for r in found.collect()} == want and len(want) > 50
+    assert found.rdd.getNumPartitions() == elastic.TASKS

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from tidewright.sources.sinks import staged
 
 #: Nearest members of a medoid that are tried in its place, each against all members.
 CANDIDATES = 16
+#: Series that one side of a comparison holds at most; tasks over which comparisons are dealt.
+BLOCK, TASKS = 1000, 256
 
 
 def series_of(curves: DataFrame, key: str = "entity_key", at: str = "time_bucket", value: str = "value", scaled: bool = False) -> DataFrame:
@@ -72,15 +76,118 @@ def shape_candidates(series: DataFrame, radius: float, band: int) -> DataFrame:
     return met.withColumn("bound", F.greatest(envelope_bound(F.col("xa"), F.col("eb")), envelope_bound(F.col("xb"), F.col("ea")))).select("a", "b", "xa", "xb", "bound")
 
 
+def warped(a: np.ndarray, b: np.ndarray, band: int) -> np.ndarray:
+    """``warping_distance`` of each row of ``a`` to the same row of ``b`` (infinite where a missing value bars every path), a cell of all tables at once."""
+    before = np.full((b.shape[1] + 1, len(a)), np.inf)
+    before[0] = 0.0
+    for i in range(a.shape[1]):
+        row = np.full_like(before, np.inf)
+        for j in range(max(0, i - band), min(b.shape[1], i + band + 1)):
+            gap = a[:, i] - b[:, j]
+            value = gap * gap + np.minimum(np.minimum(before[j + 1], before[j]), row[j])
+            row[j + 1] = np.where(np.isnan(value), np.inf, value)
+        before = row
+    return np.sqrt(before[-1])
+
+
+def _by_length(xs: list[list]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Places and values of series of each length; a missing value is NaN."""
+    lengths = np.array([len(x or ()) for x in xs], dtype=int)
+    return {int(n): (at, np.array([xs[i] for i in at], dtype=float).reshape(len(at), n)) for n in np.unique(lengths) if n for at in [np.nonzero(lengths == n)[0]]}
+
+
+def _may_be_near(a: np.ndarray, b: np.ndarray, radius: float, band: int) -> np.ndarray:
+    """(rows of ``a``) x (rows of ``b``): what the envelope of ``b`` doesn't rule out. First meets first and last meets last, so these count by their own differences."""
+    total = np.zeros((len(a), len(b)))
+    for i in range(a.shape[1]):
+        if i in (0, a.shape[1] - 1):
+            out = a[:, i, None] - b[None, :, 0 if i == 0 else -1]
+        else:
+            around = b[:, max(0, i - band) : i + band + 1]
+            out = np.maximum(np.maximum(a[:, i, None] - np.fmax.reduce(around, axis=1)[None, :], np.fmin.reduce(around, axis=1)[None, :] - a[:, i, None]), 0)
+        total += np.nan_to_num(out * out, nan=0.0)
+    # A little slack for rounding: it costs a distance, never a pair.
+    return total <= radius * radius * (1 + 1e-9)
+
+
+def _compared(radius: float, band: int):
+    """Pairs within the radius of one block's series with another's, or with each other."""
+
+    def run(table: pa.Table) -> pa.Table:
+        side = np.array(table.column("side").to_pylist())
+        sides = []
+        for s in (0, 1):
+            part = table.filter(pa.array(side == s))
+            sides.append((np.array(part.column("id").to_pylist(), dtype=object), _by_length(part.column("x").to_pylist())))
+        (left, la), (right, lb) = sides if (side == 1).any() else (sides[0], sides[0])
+        alone = right is left
+        found: tuple[list, list, list] = ([], [], [])
+        for m, (at, a) in la.items():
+            for n, (to, b) in lb.items():
+                if abs(m - n) > band:
+                    continue
+                for k in range(0, len(a), 256):
+                    some = slice(k, k + 256)
+                    i, j = np.nonzero(_may_be_near(a[some], b, radius, band))
+                    i += k
+                    p, q = left[at[i]], right[to[j]]
+                    keep = (p < q) if alone else (p != q)
+                    i, j, p, q = i[keep], j[keep], p[keep], q[keep]
+                    d = np.concatenate([warped(a[i[c : c + 50000]], b[j[c : c + 50000]], band) for c in range(0, len(i), 50000)] or [np.zeros(0)])
+                    near = d <= radius
+                    low = p[near] < q[near]
+                    found[0].extend(np.where(low, p[near], q[near]))
+                    found[1].extend(np.where(low, q[near], p[near]))
+                    found[2].extend(d[near])
+        return pa.table([pa.array(found[0], pa.string()), pa.array(found[1], pa.string()), pa.array(found[2], pa.float64())], ["a", "b", "distance"])
+
+    return run
+
+
 def similar_shapes(series: DataFrame, radius: float, band: int) -> DataFrame:
-    """(a, b, distance): all pairs of ``series`` (id, x), a < b, within ``radius`` of each other. Only pairs that the envelopes let through are warped."""
-    near = shape_candidates(series, radius, band).filter(F.col("bound") <= radius)
-    return near.withColumn("distance", warping_distance(F.col("xa"), F.col("xb"), band)).filter(F.col("distance") <= radius).select("a", "b", "distance")
+    """(a, b, distance): all pairs of ``series`` (id, x), a < b, within ``radius`` of each other. Only pairs that the envelopes let through are warped.
+
+    A warping path joins first to first and last to last value, so a pair within the radius lies in the same or a neighbouring cell of a grid over these two. A cell is dealt into blocks
+    of about BLOCK series, so no task holds a crowded cell, and each pair of blocks is compared once, by whole arrays. Where most series lie in a few cells the pairs of
+    blocks still grow with the square of the series; they are spread over all tasks.
+    """
+    rows = staged(series.filter("id is not null and size(x) > 0").select("id", "x", F.floor(F.get("x", F.lit(0)) / radius).alias("c0"), F.floor(F.element_at("x", -1) / radius).alias("c1")).filter("c0 is not null and c1 is not null"), "shape-series")
+    cells = rows.groupBy("c0", "c1").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    placed = staged(rows.join(cells, ["c0", "c1"]).select("id", "x", "c0", "c1", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")), "shape-blocks")
+    blocks = cells.select("c0", "c1", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    around = blocks.select(*[F.col(c).alias(f"{c}_2") for c in ("c0", "c1", "block")], "c0", "c1")
+    for c in ("c0", "c1"):
+        around = around.withColumn(c, F.explode(F.array(*[F.col(c) + k for k in (-1, 0, 1)])))
+    met = blocks.join(around, ["c0", "c1"]).filter(F.struct("c0", "c1", "block") <= F.struct("c0_2", "c1_2", "block_2"))
+    met = staged(met.withColumn("pair", F.struct("c0", "c1", "block", "c0_2", "c1_2", "block_2")), "shape-pairs")
+    one = placed.join(met.select("pair", "c0", "c1", "block"), ["c0", "c1", "block"]).select("pair", F.lit(0).alias("side"), "id", "x")
+    apart = met.filter(F.struct("c0", "c1", "block") < F.struct("c0_2", "c1_2", "block_2")).select("pair", F.col("c0_2").alias("c0"), F.col("c1_2").alias("c1"), F.col("block_2").alias("block"))
+    two = placed.join(apart, ["c0", "c1", "block"]).select("pair", F.lit(1).alias("side"), "id", "x")
+    dealt = one.unionByName(two).repartition(TASKS, "pair")
+    return dealt.groupBy("pair").applyInArrow(_compared(radius, band), "a string, b string, distance double")
+
+
+def _warp(rows: DataFrame, names: str, band: int) -> DataFrame:
+    """``rows`` (x, y and the columns of the schema ``names``) with the warping distance of x to y instead of these; null if there is none."""
+    kept = [n.split()[0] for n in names.split(", ")]
+
+    def run(batches):
+        for batch in batches:
+            xs, ys = (_by_length(batch.column(c).to_pylist()) for c in ("x", "y"))
+            out = np.full(batch.num_rows, np.inf)
+            for m, (at, a) in xs.items():
+                for n, (to, b) in ys.items():
+                    both, i, j = np.intersect1d(at, to, return_indices=True)
+                    if abs(m - n) <= band and len(both):
+                        out[both] = warped(a[i], b[j], band)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(out, mask=np.isinf(out))], [*kept, "distance"])
+
+    return rows.select(*kept, "x", "y").mapInArrow(run, f"{names}, distance double")
 
 
 def _to(series: DataFrame, some: DataFrame, band: int) -> DataFrame:
     """(id, medoid, distance) of each series to each of a few ``some`` (medoid, y), which are broadcast: at most k."""
-    return series.crossJoin(F.broadcast(some)).select("id", "medoid", warping_distance(F.col("x"), F.col("y"), band).alias("distance"))
+    return _warp(series.crossJoin(F.broadcast(some)), "id string, medoid string", band)
 
 
 def shape_medoids(series: DataFrame, k: int, band: int, rounds: int = 10, candidates: int = CANDIDATES) -> DataFrame:
@@ -103,7 +210,8 @@ def shape_medoids(series: DataFrame, k: int, band: int, rounds: int = 10, candid
     for _ in range(rounds):
         tried = _closest(assigned, candidates).join(rows, "id").select(F.col("medoid").alias("cluster"), F.col("id").alias("candidate"), F.col("x").alias("y"))
         members = assigned.select("id", F.col("medoid").alias("cluster")).join(rows, "id").join(F.broadcast(tried), "cluster")
-        cost = members.groupBy("cluster", "candidate").agg(F.sum(F.coalesce(warping_distance(F.col("x"), F.col("y"), band), F.lit(float("inf")))).alias("cost"))
+        tries = _warp(members, "id string, cluster string, candidate string", band)
+        cost = tries.groupBy("cluster", "candidate").agg(F.sum(F.coalesce("distance", F.lit(float("inf")))).alias("cost"))
         best = staged(cost.groupBy("cluster").agg(F.min(F.struct(F.round("cost", 9).alias("cost"), (F.col("candidate") != F.col("cluster")).alias("moves"), "candidate")).alias("b")).select("cluster", "b.candidate", "b.moves"), "shape-best")
         if best.filter("moves").isEmpty():
             break
