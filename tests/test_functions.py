@@ -86,3 +86,24 @@ def test_white_space_of_every_kind(spark):
         assert r["name"] == " ".join(c.upper().split())
     assert all(r["reason"] == "voyage_contains_whitespace" for r in got[: len(every)]) and got[-1]["reason"] == "voyage_non_ascii"
     assert got[-3]["t"] == dt.datetime(2026, 8, 1) and got[-2]["n"] == 12.5
+
+
+def test_times_read_by_shape_are_those_of_the_formats(spark):
+    texts = ["20240229101500", "202402291015", "2024-02-29 10:15:00", "2024-02-29T10:15:00", "20230229101500", "202313011015", "2024-02-29 24:00:00", "2024-02-29 10:15:60", "2024-02-29 10:15", "2024-02-29", "2024022910150", "20240229101500Z"]
+    texts += ["0000-02-29 00:00:00", "000002290000", "99991231235959", "2024-2-29 10:15:00", "+2024-02-29 10:15:00", "\u0662\u0660240229101500", "\u30002024-02-29 10:15:00\r\n", "", " ", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    shapes = (r"^\d{14}$", r"^\d{12}$", r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$", r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d$")
+    clean = text.clean(F.col("t"))
+    by_format = F.coalesce(*[F.when(clean.rlike(s), F.try_to_timestamp(clean, F.lit(f))) for s, f in zip(shapes, text.TIME_FORMATS, strict=True)])
+    assert rows.filter(~text.parse_time(F.col("t")).eqNullSafe(by_format)).collect() == []
+    assert rows.filter(text.parse_time(F.col("t")).isNotNull()).count() >= 6
+    assert rows.filter(~text.trimmed(F.col("t")).eqNullSafe(text.stripped(F.col("t")))).collect() == []
+
+
+def test_normalizers_clean_each_text_once(spark):
+    from tidewright.operators import normalize
+
+    rows = spark.createDataFrame([(" a ", "b")], "vesselUnCode string, voyage string")
+    for made in (normalize.normalize_plan(rows), normalize.normalize_vgm(rows), normalize.normalize_transshipment(rows, {}, [])):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Some(\t") <= 4 and plan.count("try_cast") < 30 and "gettimestamp" not in plan.lower()

@@ -58,7 +58,11 @@ def _cargo(group: str, match: str) -> Column:
 def classify_cargo(c: Column, exact: dict[str, str], patterns: list[tuple[str, str]]) -> Column:
     """struct(group, match): a normalized text by the dictionary, whose keys are normalized likewise (of keys that become one the last counts), else by
     the first pattern found in it (in order, any case), else UNKNOWN. The dictionary is one map, looked up by hash."""
-    text = normalize_name(c)
+    return classify_name(normalize_name(c), exact, patterns)
+
+
+def classify_name(text: Column, exact: dict[str, str], patterns: list[tuple[str, str]]) -> Column:
+    """As ``classify_cargo``, of a text that is normalized already."""
     out = F.when(text.isNull(), _cargo("UNKNOWN", "unknown"))
     known = {" ".join(key.upper().split()): group for key, group in exact.items()}
     if known:

@@ -20,6 +20,12 @@ def stripped(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITE_SPACE))
 
 
+def trimmed(c: Column) -> Column:
+    """As ``stripped``, for a plain column or a lambda's variable: a trim by so many characters is slow, so only texts that begin or end with one of them are trimmed."""
+    ends = F.substring(c, 1, 1).isin(*WHITE_SPACE) | F.substring(c, -1, 1).isin(*WHITE_SPACE)
+    return F.when(ends, stripped(c)).otherwise(c)
+
+
 def clean(c: Column) -> Column:
     """Stripped text; blank text is null."""
     return F.nullif(stripped(c), F.lit(""))
@@ -36,14 +42,23 @@ def has_value(c: Column) -> Column:
 
 def parse_time(c: Column) -> Column:
     """Timestamp (in the session's zone, UTC by convention) by the first of TIME_FORMATS whose shape the text has."""
-    text = clean(c)
-    shapes = (r"^\d{14}$", r"^\d{12}$", r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$", r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d$")
-    return F.coalesce(*[F.when(text.rlike(s), F.try_to_timestamp(text, F.lit(f))) for s, f in zip(shapes, TIME_FORMATS, strict=True)])
+    return time_of(clean(c))
+
+
+def time_of(text: Column) -> Column:
+    """As ``parse_time``, of text that is clean already. The shape is checked, so a plain cast reads it; a formatter is many times slower."""
+    spread = F.regexp_replace(F.rpad(text, 14, "0"), r"^(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)$", "$1-$2-$3 $4:$5:$6")
+    return F.when(text.rlike(r"^\d{4}-\d\d-\d\d[ T]\d\d:\d\d:\d\d$"), text.try_cast("timestamp")).when(text.rlike(r"^\d{12}(\d\d)?$"), spread.try_cast("timestamp"))
 
 
 def parse_number(c: Column) -> Column:
     """Finite double, or null."""
-    n = clean(c).try_cast("double")
+    return number_of(clean(c))
+
+
+def number_of(text: Column) -> Column:
+    """As ``parse_number``, of text that is clean already."""
+    n = text.try_cast("double")
     return F.when(~F.isnan(n) & (F.abs(n) != float("inf")), n)
 
 
@@ -62,7 +77,11 @@ def digest(c: Column) -> Column:
 
 def business_key(parts: list[Column], row: Column, need_all: bool = False) -> Column:
     """SHA-256 of the cleaned parts joined by ``|``; of the whole ``row`` text when all parts are empty, or, with ``need_all``, any is."""
-    given = [clean(p.cast("string")) for p in parts]
+    return key_of([clean(p.cast("string")) for p in parts], row, need_all)
+
+
+def key_of(given: list[Column], row: Column, need_all: bool = False) -> Column:
+    """As ``business_key``, of parts that are clean already."""
     missing = [g.isNull() for g in given]
     use_row = missing[0]
     for m in missing[1:]:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.functions.codes import classify_cargo
-from tidewright.functions.text import business_key, clean, digest, filled, normalize_name, parse_number, parse_time, row_json
+from tidewright.functions.codes import classify_name
+from tidewright.functions.text import digest, filled, key_of, normalize_name, number_of, row_json, time_of, trimmed
 
 #: Version of the rule by which a cargo weight is taken as kilograms.
 WEIGHT_RULE = "cargo-weight-kg-v1"
@@ -26,30 +26,51 @@ def _have(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.lit(None).cast("string") for n in names if n not in df.columns})
 
 
-def _texts(names: dict[str, str]) -> list[Column]:
-    return [clean(F.col(c)).alias(n) for c, n in names.items()]
+class _Read:
+    """``rows`` read once: clean texts and times as arrays, and the JSON of the columns ``keep`` (all by default); columns ``also`` stay.
 
+    Each value is worked out once, by a function over an array. Written out in one select, all of them make a method that is too large for the JVM to compile, and each row takes many times as long.
+    """
+
+    def __init__(self, rows: DataFrame, texts: list[str], times: list[str] = [], keep: list[str] | None = None, names: list[str] = [], also: list[str] = []):  # noqa: B006
+        raw = list(dict.fromkeys([*texts, *times]))
+        self.text = {c: F.get(F.col("_texts"), F.lit(i)) for i, c in enumerate(raw)}
+        self.time = {c: F.get(F.col("_times"), F.lit(i)) for i, c in enumerate(times)}
+        self.name = {c: F.get(F.col("_names"), F.lit(i)) for i, c in enumerate(names)}
+        given = lambda columns: F.array(*[F.col(c).cast("string") for c in columns])
+        cleaned = [F.transform(F.transform(given(raw), trimmed), lambda t: F.nullif(t, F.lit(""))).alias("_texts"), row_json(*(rows.columns if keep is None else keep)).alias("_json")]
+        if names:
+            cleaned.append(F.transform(given(names), normalize_name).alias("_names"))
+        self.rows = rows.select(*cleaned, *also)
+        if times:
+            self.rows = self.rows.withColumn("_times", F.transform(F.array(*[self.text[c] for c in times]), time_of))
+
+    def texts(self, names: dict[str, str]) -> list[Column]:
+        return [self.text[c].alias(n) for c, n in names.items()]
 
-def _key(rows: DataFrame, *names: str, need_all: bool = False) -> Column:
-    return business_key([F.col(c) for c in names], row_json(*rows.columns), need_all).alias("business_key_hash")
+    def times(self, names: dict[str, str]) -> list[Column]:
+        return [self.time[c].alias(n) for c, n in names.items()]
 
+    def key(self, *names: str, need_all: bool = False) -> Column:
+        return key_of([self.text[c] for c in names], F.col("_json"), need_all).alias("business_key_hash")
 
-def _record_hash(rows: DataFrame) -> Column:
-    """Digest of the whole source row; fields that it lacks don't count."""
-    return digest(row_json(*rows.columns)).alias("record_hash")
+    def record_hash(self) -> Column:
+        """Digest of the whole source row; fields that it lacks don't count."""
+        return digest(F.col("_json")).alias("record_hash")
 
 
 def normalize_vgm(rows: DataFrame) -> DataFrame:
     """Verified gross mass. ``direction`` is the source's container type; ``quality`` notes a weight that is given but not a number."""
     texts = {"containerNumber": "container_no", "vesselcode": "vessel_code", "vessel": "vessel_name_raw", "voyage": "voyage", "receiverCode": "terminal_code", "ctnOperatorCode": "operator_code", "containerType": "direction"}
     more = {"containerType": "container_type", "vgmMethod": "vgm_method", "resultCode": "result_code", "resultDescripts": "result_description", "senderCode": "sender_code", "receiverCode": "receiver_code"}
-    rows = _have(rows, *texts, *more, "vgmGrossWeight", "operatetime", "portreceiverdate")
-    weight = parse_number(F.col("vgmGrossWeight"))
-    bad = clean(F.col("vgmGrossWeight")).isNotNull() & weight.isNull()
-    return rows.select(
-        _key(rows, "containerNumber", "vesselcode", "voyage", "operatetime", "senderCode"), *_texts(texts), *_texts(more), weight.alias("vgm_weight_kg"),
-        parse_time(F.col("operatetime")).alias("operator_time"), parse_time(F.col("portreceiverdate")).alias("terminal_received_time"),
-        F.when(bad, '{"invalid_vgm_weight":true}').otherwise("{}").alias("quality"), _record_hash(rows),
+    times = {"operatetime": "operator_time", "portreceiverdate": "terminal_received_time"}
+    rows = _have(rows, *texts, *more, "vgmGrossWeight", *times)
+    read = _Read(rows, [*texts, *more, "vgmGrossWeight"], list(times))
+    weight = number_of(read.text["vgmGrossWeight"])
+    bad = read.text["vgmGrossWeight"].isNotNull() & weight.isNull()
+    return read.rows.select(
+        read.key("containerNumber", "vesselcode", "voyage", "operatetime", "senderCode"), *read.texts(texts), *read.texts(more), weight.alias("vgm_weight_kg"), *read.times(times),
+        F.when(bad, '{"invalid_vgm_weight":true}').otherwise("{}").alias("quality"), read.record_hash(),
     )
 
 
@@ -57,12 +78,13 @@ def normalize_release(rows: DataFrame) -> DataFrame:
     """Cargo release. ``cargovolum`` is a piece count, kept as a volume too; a gross weight counts as kilograms only when it is a number from 0 on."""
     texts = {"billno": "bill_no", "vesselcode": "vessel_code", "envessel": "vessel_name_raw", "voyage": "voyage", "direct": "direction", "cpcode": "terminal_code", "flag": "flag"}
     rows = _have(rows, *texts, "passtime", "cargovolum", "grossweight")
-    weight, pieces = parse_number(F.col("grossweight")), parse_number(F.col("cargovolum"))
+    read = _Read(rows, [*texts, "cargovolum", "grossweight"], ["passtime"])
+    weight, pieces = number_of(read.text["grossweight"]), number_of(read.text["cargovolum"])
     good = F.coalesce(weight >= 0, F.lit(False))
-    return rows.select(
-        _key(rows, "billno", "vesselcode", "voyage", "passtime", "cpcode"), *_texts(texts), parse_time(F.col("passtime")).alias("pass_time"), pieces.alias("cargo_volume"),
+    return read.rows.select(
+        read.key("billno", "vesselcode", "voyage", "passtime", "cpcode"), *read.texts(texts), *read.times({"passtime": "pass_time"}), pieces.alias("cargo_volume"),
         weight.alias("gross_weight"), pieces.alias("piece_count"), F.when(good, weight).alias("gross_weight_kg"), F.when(good, "kg").alias("weight_unit"),
-        F.when(good, WEIGHT_RULE).alias("weight_rule"), _record_hash(rows),
+        F.when(good, WEIGHT_RULE).alias("weight_rule"), read.record_hash(),
     )
 
 
@@ -73,13 +95,14 @@ def normalize_transshipment(rows: DataFrame, exact: dict[str, str], patterns: li
         "firstLoadPortCode": "first_load_port_code", "firstDischargePortCode": "first_discharge_port_code", "secondVesselCode": "second_vessel_code", "secondVoyage": "second_voyage",
         "secondTransPortCode": "second_trans_port_code", "terminal": "terminal_code", "checkFlag": "check_flag", "sendFlag": "send_flag",
     }
-    rows = _have(rows, *texts, "quantity", "weight", "volume", "sailingDate", "cutOffDate")
-    cargo = classify_cargo(F.col("cargoDescription"), exact, patterns)
-    route = F.concat_ws(":", *[F.coalesce(clean(F.col(c)), F.lit("")) for c in ("firstLoadPortCode", "firstDischargePortCode", "secondTransPortCode")])
-    return rows.select(
-        _key(rows, "ctnNo", "firstVesselCode", "firstVoyage", "secondVesselCode", "secondVoyage", "billNo"), *_texts(texts), route.alias("route"), cargo["group"].alias("cargo_group"),
-        cargo["match"].alias("cargo_match"), *[parse_number(F.col(c)).alias(c) for c in ("quantity", "weight", "volume")], parse_time(F.col("sailingDate")).alias("sailing_date"),
-        parse_time(F.col("cutOffDate")).alias("cutoff_date"), _record_hash(rows),
+    numbers, times = ("quantity", "weight", "volume"), {"sailingDate": "sailing_date", "cutOffDate": "cutoff_date"}
+    rows = _have(rows, *texts, *numbers, *times)
+    read = _Read(rows, [*texts, *numbers], list(times), names=["cargoDescription"])
+    cargo = read.rows.withColumn("_cargo", classify_name(read.name["cargoDescription"], exact, patterns))
+    route = F.concat_ws(":", *[F.coalesce(read.text[c], F.lit("")) for c in ("firstLoadPortCode", "firstDischargePortCode", "secondTransPortCode")])
+    return cargo.select(
+        read.key("ctnNo", "firstVesselCode", "firstVoyage", "secondVesselCode", "secondVoyage", "billNo"), *read.texts(texts), route.alias("route"), F.col("_cargo.group").alias("cargo_group"),
+        F.col("_cargo.match").alias("cargo_match"), *[number_of(read.text[c]).alias(c) for c in numbers], *read.times(times), read.record_hash(),
     )
 
 
@@ -87,20 +110,20 @@ def normalize_container_event(rows: DataFrame, asked: str = "asked_container") -
     """History rows of the container named in ``asked``, which is part of the key: the code isn't interpreted and the time isn't known, so both say so."""
     texts = {"operateId": "event_code_raw", "vesselcode": "vessel_code", "voyage": "voyage", "cpcode": "terminal_code", "direct": "direction", "blNo": "bill_no"}
     rows = _have(rows, asked, "ctnno", *texts)
-    source = row_json(*[c for c in rows.columns if c != asked])
-    key = business_key([F.col(c) for c in (asked, "vesselcode", "voyage", "cpcode", "operateId", "blNo")], source)
-    return rows.select(
-        key.alias("business_key_hash"), F.coalesce(clean(F.col("ctnno")), F.col(asked)).alias("container_no"), F.lit("UNKNOWN").alias("event_type"), F.lit(None).cast("timestamp").alias("event_time"),
-        *_texts(texts), F.lit("ediContainerlog").alias("event_source"), F.lit("unverified").alias("event_confidence"), digest(source).alias("record_hash"),
+    read = _Read(rows, [asked, "ctnno", *texts], keep=[c for c in rows.columns if c != asked], also=[asked])
+    return read.rows.select(
+        read.key(asked, "vesselcode", "voyage", "cpcode", "operateId", "blNo"), F.coalesce(read.text["ctnno"], F.col(asked)).alias("container_no"), F.lit("UNKNOWN").alias("event_type"), F.lit(None).cast("timestamp").alias("event_time"),
+        *read.texts(texts), F.lit("ediContainerlog").alias("event_source"), F.lit("unverified").alias("event_confidence"), read.record_hash(),
     )
 
 
 def normalize_plan(rows: DataFrame) -> DataFrame:
     """Vessel plan snapshots; the estimate of arrival isn't part of the key, so a revised plan keeps it. The source's update time is its publish time."""
     rows = _have(rows, *PLAN_TEXTS, *PLAN_TIMES, "vesselEnName")
-    return rows.select(
-        _key(rows, "vesselUnCode", "voyage", "terminal", "vesselDirect", need_all=True), normalize_name(F.col("vesselEnName")).alias("vessel_en_name"), *_texts(PLAN_TEXTS),
-        *[parse_time(F.col(c)).alias(n) for c, n in PLAN_TIMES.items()], parse_time(F.col("publishTime")).alias("source_update_time"), _record_hash(rows),
+    read = _Read(rows, list(PLAN_TEXTS), list(PLAN_TIMES), names=["vesselEnName"])
+    return read.rows.select(
+        read.key("vesselUnCode", "voyage", "terminal", "vesselDirect", need_all=True), read.name["vesselEnName"].alias("vessel_en_name"), *read.texts(PLAN_TEXTS),
+        *read.times(PLAN_TIMES), *read.times({"publishTime": "source_update_time"}), read.record_hash(),
     )
 
 
@@ -108,12 +131,13 @@ def normalize_notice(rows: DataFrame) -> DataFrame:
     """Container notices; the two container times belong to the key, the direction doesn't. Ports are sorted before they are hashed, so their order is no revision."""
     texts = {"vesselcode": "vessel_code", "voyage": "voyage", "matou": "terminal_code", "ioflag": "direction", "ediports": "ports_raw", "vesselowner": "vessel_operator"}
     rows = _have(rows, *texts, "ctnstart", "ctnend", "vesselename", "revtime")
-    ports = F.array_join(F.array_sort(F.split(F.coalesce(clean(F.col("ediports")), F.lit("")), r"[,;\s]+")), ",")
+    times = {"ctnstart": "ctn_start_time", "ctnend": "ctn_end_time", "revtime": "source_update_time"}
     rest = sorted(set(rows.columns) - {"ediports"})
-    return rows.select(
-        _key(rows, "vesselcode", "voyage", "matou", "ctnstart", "ctnend", need_all=True), normalize_name(F.col("vesselename")).alias("vessel_en_name"), *_texts(texts),
-        parse_time(F.col("ctnstart")).alias("ctn_start_time"), parse_time(F.col("ctnend")).alias("ctn_end_time"), parse_time(F.col("revtime")).alias("source_update_time"),
-        ports.alias("ports"), digest(F.concat_ws("|", row_json(*rest), ports)).alias("record_hash"),
+    read = _Read(rows.withColumn("_rest", row_json(*rest)), list(texts), list(times), keep=rows.columns, names=["vesselename"], also=["_rest"])
+    ports = F.array_join(F.array_sort(F.split(F.coalesce(read.text["ediports"], F.lit("")), r"[,;\s]+")), ",")
+    return read.rows.withColumn("ports", ports).select(
+        read.key("vesselcode", "voyage", "matou", "ctnstart", "ctnend", need_all=True), read.name["vesselename"].alias("vessel_en_name"), *read.texts(texts), *read.times(times),
+        "ports", digest(F.concat_ws("|", "_rest", "ports")).alias("record_hash"),
     )
 
 
