@@ -296,3 +296,12 @@ def test_sinks(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "b").glob("run_id=*")) == ["run_id=r1", "run_id=r2"]
     assert [r.run_id for r in sinks.runs_to_keep(rows.withColumn("kind", F.lit("k")), 1).collect()] == ["r2"]
     assert "| n | 1 |" in sinks.write_report(spark.createDataFrame([("n", "1")], "name string, value string"), str(tmp_path / "c"))
+
+
+def test_key_prefixes_repeat_no_row_and_count_missing_values(spark):
+    rows = [(i % 7 or None, i % 3, i % 5) for i in range(200)] + [(None, None, None)] * 3
+    df = spark.createDataFrame(rows, "a int, b int, c int")
+    found = profile.key_prefixes(df, ["a", "b", "c"])
+    assert {r["columns"]: (r["distinct_keys"], r["n"]) for r in found.collect()} == {",".join("abc"[: k + 1]): (len({r[: k + 1] for r in rows}), 203) for k in range(3)}
+    assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["distinct_keys"], r["n"]) for r in profile.key_prefixes(df.limit(0), ["a", "b"]).collect()} == {(0, 0)}

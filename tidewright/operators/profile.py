@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.text import has_value
 
+#: Parts over which keys are dealt to be counted.
+PARTS = 256
+
 
 def columns(df: DataFrame, names: list[str]) -> DataFrame:
     """(name, n, filled, fill_rate, distinct_values, status): one row a column; dead without values, thin under 1 %."""
@@ -31,11 +34,14 @@ def top_values(df: DataFrame, names: list[str], k: int = 2) -> DataFrame:
 def key_prefixes(df: DataFrame, names: list[str]) -> DataFrame:
     """(columns, distinct_keys, n): distinct values of each growing prefix of a candidate key against the rows.
 
-    Rows are first counted by the whole key, so repeated keys are combined before any prefix is.
+    Rows are dealt by the first column once, so every prefix is whole in one part: the rows are counted by the whole key, these by the prefix one shorter, and so on, each carrying
+    the counts so far. No row is repeated for another prefix, and what a task holds are the keys of one of PARTS parts, which are not merged again.
     """
-    keys = df.groupBy(*names).agg(F.count("*").alias("_rows"))
-    shorter = [F.countDistinct(F.struct(*names[: i + 1])).alias(f"k{i}") for i in range(len(names) - 1)]
-    one = keys.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n"), *shorter, F.count("*").alias(f"k{len(names) - 1}"))
+    levels = df.select(*names).repartition(PARTS, names[0]).groupBy(*names).agg(F.count("*").alias("n"))
+    for i in range(len(names) - 1, -1, -1):
+        deeper = [F.sum(f"k{j}").alias(f"k{j}") for j in range(i + 1, len(names))]
+        levels = (levels.groupBy(*names[:i]) if i else levels.groupBy()).agg(F.sum("n").alias("n"), *deeper, F.count("*").alias(f"k{i}"))
+    one = levels.select(*[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in ("n", *[f"k{i}" for i in range(len(names))])])
     return one.select("n", F.explode(F.array(*[F.struct(F.lit(",".join(names[: i + 1])).alias("columns"), F.col(f"k{i}").alias("distinct_keys")) for i in range(len(names))])).alias("c")).select("c.columns", "c.distinct_keys", "n")
 
 
