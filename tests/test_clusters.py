@@ -51,6 +51,13 @@ def test_nearest_leaves_far_cells_out(spark):
     assert len(pivots.ids) == 20 and found.count() < 400 * 8
 
 
+def test_nearest_visits_few_cells_of_one_cloud(spark):
+    rng = np.random.default_rng(3)
+    rows = frame(spark, {f"p{i}": rng.normal(0, 1, 4) for i in range(1000)}).select("id", F.col("id").alias("label"), F.lit(1.0).alias("weight"), "x").cache()
+    found = nearest.Pivots(rows).search(rows, "plain").count()
+    assert found < 8 * 1000
+
+
 def plain_ward(pts):
     groups = {k: (1, np.array(v), {k}) for k, v in pts.items()}
     merges = []

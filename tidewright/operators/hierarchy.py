@@ -13,7 +13,7 @@ from tidewright.operators.nearest import Pivots, distances
 from tidewright.sources.sinks import staged
 
 #: Once so few clusters are left, one task merges them: the last rounds are many and small.
-LAST = 64
+LAST = 512
 _MERGES = "a string, b string, height double, size bigint"
 
 
@@ -21,16 +21,19 @@ def _merge_the_last(batches):
     """All merges of a few clusters (id, weight, x), the nearest two at a time."""
     rows = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
     rows.sort()
-    out = []
-    while len(rows) > 1:
-        x, w = np.array([r[2] for r in rows], dtype=float), np.array([r[1] for r in rows], dtype=float)
+    ids, out, n = [r[0] for r in rows], [], len(rows)
+    if n > 1:
+        x, w, left = np.array([r[2] for r in rows], dtype=float), np.array([r[1] for r in rows], dtype=float), np.ones(n, dtype=bool)
         d = distances("ward", x, w, x, w)
-        d[np.tril_indices(len(rows))] = np.inf
+        d[np.tril_indices(n)] = np.inf
+    for _ in range(n - 1):
         i, j = np.unravel_index(int(d.argmin()), d.shape)
         size = w[i] + w[j]
-        out.append((rows[i][0], rows[j][0], float(d[i, j]), int(size)))
-        rows[i] = (rows[i][0], float(size), ((x[i] * w[i] + x[j] * w[j]) / size).tolist())
-        del rows[j]
+        out.append((ids[i], ids[j], float(d[i, j]), int(size)))
+        x[i], w[i], left[j] = (x[i] * w[i] + x[j] * w[j]) / size, size, False
+        d[j, :], d[:, j] = np.inf, np.inf
+        fresh = np.where(left, distances("ward", x[i : i + 1], w[i : i + 1], x, w)[0], np.inf)
+        d[i, i + 1 :], d[:i, i] = fresh[i + 1 :], fresh[:i]
     if out:
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["a", "b", "height", "size"])
 
@@ -48,19 +51,17 @@ def ward_merges(points: DataFrame, last: int = LAST) -> DataFrame:
     exploded = same.select(F.col("ids")[0].alias("a"), F.posexplode("ids").alias("place", "b")).filter("place > 0")
     merges = [exploded.select("a", "b", F.lit(0.0).alias("height"), (F.col("place") + 1).cast("bigint").alias("size"))]
     clusters = staged(same.select(F.col("ids")[0].alias("id"), F.size("ids").cast("double").alias("weight"), "x"), "ward-clusters")
-    while clusters.count() > max(last, 1):
-        shaped = clusters.withColumn("label", F.col("id"))
-        found = Pivots(shaped).search(shaped, "ward").groupBy("id").agg(F.min(F.struct("distance", "other")).alias("m"))
-        to = staged(found.select("id", F.col("m.other").alias("other"), F.col("m.distance").alias("height")), "ward-nearest")
-        back = to.select(F.col("id").alias("other"), F.col("other").alias("id"))
-        pairs = to.join(back, ["id", "other"]).filter("id < other").select(F.col("id").alias("a"), F.col("other").alias("b"), "height")
-        size = clusters.select(F.col("id").alias("b"), F.col("weight").alias("wb"), F.col("x").alias("xb"))
-        met = clusters.withColumnRenamed("id", "a").withColumnRenamed("weight", "wa").join(pairs, "a").join(size, "b")
-        middle = F.zip_with("x", "xb", lambda p, q: (p * F.col("wa") + q * F.col("wb")) / (F.col("wa") + F.col("wb")))
-        both = staged(met.select("a", "b", "height", (F.col("wa") + F.col("wb")).alias("weight"), middle.alias("x")), "ward-pairs")
-        merges.append(both.select("a", "b", "height", F.col("weight").cast("bigint").alias("size")))
-        left = clusters.join(both.select(F.explode(F.array("a", "b")).alias("id")), "id", "left_anti")
-        clusters = staged(left.unionByName(both.select(F.col("a").alias("id"), "weight", "x")), "ward-clusters")
+    while (n := clusters.count()) > max(last, 1):
+        found = Pivots(clusters.withColumn("label", F.col("id")), n).search(None, "ward").groupBy("id").agg(F.min(F.struct("distance", "other")).alias("m"))
+        asked = clusters.join(found, "id", "left").select("id", "weight", "x", F.col("m.distance").alias("height"), F.least("id", "m.other").alias("a"), F.greatest("id", "m.other").alias("b"))
+        # Two clusters that name each other are one group of two rows; every other group is a row that stays.
+        met = asked.groupBy("a", "b").agg(F.array_sort(F.collect_list(F.struct("id", "weight", "x", "height"))).alias("s"))
+        p, q, both = F.col("s")[0], F.get("s", F.lit(1)), F.size("s") == 2
+        wa, wb = p["weight"], q["weight"]
+        middle = F.zip_with(p["x"], q["x"], lambda u, v: (u * wa + v * wb) / (wa + wb))
+        step = staged(met.select(p["id"].alias("id"), F.when(both, q["id"]).alias("b"), p["height"].alias("height"), F.when(both, wa + wb).otherwise(wa).alias("weight"), F.when(both, middle).otherwise(p["x"]).alias("x")), "ward-round")
+        merges.append(step.filter("b is not null").select(F.col("id").alias("a"), "b", "height", F.col("weight").cast("bigint").alias("size")))
+        clusters = step.select("id", "weight", "x")
     merges.append(clusters.select("id", "weight", "x").coalesce(1).mapInArrow(_merge_the_last, _MERGES))
     out = merges[0]
     for m in merges[1:]:
