@@ -305,3 +305,10 @@ def test_key_prefixes_repeat_no_row_and_count_missing_values(spark):
     assert {r["columns"]: (r["distinct_keys"], r["n"]) for r in found.collect()} == {",".join("abc"[: k + 1]): (len({r[: k + 1] for r in rows}), 203) for k in range(3)}
     assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert {(r["distinct_keys"], r["n"]) for r in profile.key_prefixes(df.limit(0), ["a", "b"]).collect()} == {(0, 0)}
+
+
+def test_latest_sorts_nothing_before_its_shuffle(spark):
+    rows = spark.createDataFrame([("a", 1, 5), ("a", 2, 4), ("b", 1, 3), (None, 1, 2), (None, None, 1), ("c", None, 0)], "k string, t int, v int")
+    found = asof.latest(rows, ["k"], ["t"])
+    assert sorted(map(str, found.collect())) == sorted(map(str, rows.filter("v in (4, 3, 2, 0)").collect()))
+    assert "WindowGroupLimit" not in found._jdf.queryExecution().executedPlan().toString()
