@@ -31,11 +31,22 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: cuts lineage and survives lost executors."""
+#: Spark removes the shuffle files of a query when it ends, if this is set.
+FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, label: str, free: bool = False) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: cuts lineage and survives lost executors. With ``free`` its shuffle files go at once."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(FREE, None)
+    if free:
+        spark.conf.set(FREE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if free:
+            spark.conf.set(FREE, before) if before is not None else spark.conf.unset(FREE)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -12,8 +12,8 @@ from tidewright.llm.common import written
 #: Token frequencies are counted in so many buckets of token hashes; a bucket's count decides how rare its tokens are.
 BUCKETS = 1 << 19
 THRESHOLD = 80
-#: Places of so many lines are broadcast at most (two numbers each, about 50 bytes in memory); more are joined by shuffle.
-BROADCAST_LINES = 1_000_000
+#: Documents with places of wanted lines are broadcast up to so many (some 100 bytes in memory each); more are joined by shuffle.
+BROADCAST_DOCS = 250_000
 
 
 def _spaced(text: Column) -> Column:
@@ -24,10 +24,30 @@ def _spaced(text: Column) -> Column:
     return out
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, pos, line, h1, h2): every line with a token; h1 and h2 are a 96-bit digest of the spaced line."""
+def _lines(docs: DataFrame, threshold: int) -> DataFrame:
+    """(doc_id, pos, h1, h2, bits, n, t): every line with a token; h1 and h2 are a 96-bit digest of the spaced line, n is how many tokens its set has.
+
+    Tokens of a line are ordered from rare to common; t is its prefix, 32 bits of each: so many of the rarest that lines without a common one there cannot be similar.
+    A token turns one of 64 bits, so in bits tokens of both sets leave no trace: similar sets differ in no more bits than in tokens.
+    """
+    table = rarity(docs)
+    # Rarity above, hash below: one number that orders tokens and tells them apart.
+    order = lambda h: F.shiftleft(F.get(table, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), 55).bitwiseOR(F.shiftrightunsigned(h, 9))
     lines = docs.select("doc_id", F.posexplode(F.split(_spaced(F.col("text")), "\n")).alias("pos", "line")).filter("trim(line) <> ''")
-    return lines.select("doc_id", "pos", "line", F.xxhash64("line").alias("h1"), F.hash(F.lit(7), "line").alias("h2"))
+    sets = lines.select("doc_id", "pos", *_digest(), F.sort_array(F.transform(_hashes(), order)).alias("s"))
+    bits = F.aggregate("s", F.lit(0).cast("bigint"), lambda acc, h: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(F.lit(63)).cast("int"))))
+    n = F.size("s")
+    prefix = F.transform(F.slice("s", F.lit(1), n - F.ceil(n * F.lit(threshold) / 100).cast("int") + 1), lambda t: F.hash(t))
+    return sets.select("doc_id", "pos", "h1", "h2", bits.alias("bits"), n.alias("n"), prefix.alias("t"))
+
+
+def _digest() -> list[Column]:
+    return [F.xxhash64("line").alias("h1"), F.hash(F.lit(7), "line").alias("h2")]
+
+
+def _hashes() -> Column:
+    """Hashes of the different tokens of a spaced line."""
+    return F.array_distinct(F.array_remove(F.transform(F.split("line", " "), lambda t: F.xxhash64(t)), F.xxhash64(F.lit(""))))
 
 
 def _place(doc: str = "doc_id", pos: str = "pos") -> Column:
@@ -38,38 +58,27 @@ def _place(doc: str = "doc_id", pos: str = "pos") -> Column:
 def rarity(docs: DataFrame) -> Column:
     """How common each bucket of token hashes is, from 0 (rarest) to 127, over all tokens of all documents (text): a literal array of BUCKETS numbers."""
     tokens = docs.select(F.explode(F.split(F.replace(_spaced(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("t")).filter("t <> ''")
-    counts = tokens.groupBy(F.xxhash64("t").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("b")).agg(F.count("*").alias("n"))
-    step = F.least(F.lit(127), F.floor(3 * F.log2("n"))).cast("string")
-    listed = F.array_join(F.collect_list(F.concat(F.col("b").cast("string"), F.lit(":"), step)), ",")
+    h = tokens.select(F.xxhash64("t").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("h"))
+    # A row counts 16 neighbouring buckets, so the keys are few enough for a small hash table.
+    row = h.select(F.shiftright("h", 4).alias("b"), F.col("h").bitwiseAND(F.lit(15)).alias("c"))
+    counts = row.groupBy("b").agg(*[F.count(F.when(F.col("c") == i, 1)).alias(f"n{i}") for i in range(16)])
+    step = lambda n: F.when(F.col(n) == 0, 0).otherwise(F.least(F.lit(127), F.floor(3 * F.log2(n)))).cast("string")
+    listed = F.array_join(F.collect_list(F.concat_ws(":", F.col("b").cast("string"), *[step(f"n{i}") for i in range(16)])), ",")
     table = ["0"] * BUCKETS
-    for r in counts.groupBy(F.shiftright("b", 10)).agg(listed.alias("x")).collect():
-        for pair in r["x"].split(","):
-            bucket, n = pair.split(":")
-            table[int(bucket)] = n
+    for r in counts.groupBy(F.shiftright("b", 6)).agg(listed.alias("x")).collect():
+        for row in r["x"].split(","):
+            b, *steps = row.split(":")
+            table[16 * int(b) : 16 * int(b) + 16] = steps
     return F.split(F.lit(",".join(table)), ",").cast("array<bigint>")
 
 
-def _candidates(known: DataFrame, threshold: int) -> DataFrame:
+def _candidates(classes: DataFrame, threshold: int) -> DataFrame:
     """(a, b): pairs of h1 of different lines that their prefixes, places, lengths and bits allow; each pair once.
 
-    Tokens of a line are ordered from rare to common. Lines meet on a token of their prefixes: so many of the rarest that lines
-    without a common one there cannot be similar. Where they met on the token before it already, they say nothing. Every different line takes part once, however
+    Lines meet on a token of their prefixes. Where they met on the token before it already, they say nothing. Every different line takes part once, however
     often it occurs; its text is not moved for that.
     """
-    table = rarity(known)
-    # Rarity above, hash below: one number that orders tokens and tells them apart.
-    rank = lambda t: F.get(table, F.xxhash64(t).bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
-    order = lambda t: F.shiftleft(rank(t), 55).bitwiseOR(F.shiftrightunsigned(F.xxhash64(t), 9))
-    texts = known.select(F.explode(F.split(_spaced(F.col("text")), "\n")).alias("line")).filter("trim(line) <> ''")
-    tokens = F.sort_array(F.array_remove(F.array_distinct(F.transform(F.split("line", " "), order)), order(F.lit(""))))
-    sets = texts.select(F.xxhash64("line").alias("h1"), F.hash(F.lit(7), "line").alias("h2"), tokens.alias("s"))
-    # A bit for each token: sets whose bits differ in more places than their difference may have tokens are not similar.
-    bits = F.aggregate("s", F.lit(0).cast("bigint"), lambda acc, h: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(F.lit(63)).cast("int"))))
-    n = F.size("s")
-    prefix = F.transform(F.slice("s", F.lit(1), n - F.ceil(n * F.lit(threshold) / 100).cast("int") + 1), lambda t: F.hash(t))
-    lines = sets.select("h1", "h2", bits.alias("bits"), n.alias("n"), prefix.alias("t")).groupBy("h1", "h2").agg(*[F.first(c).alias(c) for c in ("bits", "n", "t")])
-    before = F.concat(F.array(F.lit(None).cast("int")), F.slice("t", F.lit(1), F.size("t") - 1))
-    placed = lines.select("h1", "bits", "n", F.posexplode(F.arrays_zip("t", before.alias("before"))).alias("p", "z")).select("h1", "bits", "n", "p", F.col("z.t").alias("t"), F.col("z.before").alias("before"))
+    placed = classes.select("h1", "bits", "n", F.col("t").alias("ts"), F.posexplode("t").alias("p", "t")).withColumn("before", F.get("ts", F.col("p") - 1))
     x, y = (placed.select("t", *[F.col(c).alias(f"{s}_{c}") for c in ("h1", "bits", "n", "p", "before")]) for s in "xy")
     after, both = F.least(F.col("x_n") - F.col("x_p"), F.col("y_n") - F.col("y_p")), F.col("x_n") + F.col("y_n")
     fits = (
@@ -82,22 +91,23 @@ def _candidates(known: DataFrame, threshold: int) -> DataFrame:
     return x.join(y, "t").filter(fits).select(F.col("x_h1").alias("a"), F.col("y_h1").alias("b")).distinct()
 
 
-def similar_lines(docs: DataFrame, firsts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def similar_lines(docs: DataFrame, classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Links (a1, a2, b1, b2) between different lines of docs (doc_id, text) with 100 * intersection >= threshold * union of tokens.
 
-    Candidates by prefix, place and length; only lines with a candidate bring their tokens, from their first place (``firsts``: h1, h2, first), and pairs are
-    verified on all of them.
+    Candidates by prefix, place, length and bits; only lines with a candidate bring their tokens, from their first place (``classes``: h1, h2, first, bits, n, t),
+    and pairs are verified on all of them.
     """
-    pairs = written(_candidates(docs, threshold), "line-pairs")
-    wanted = firsts.join(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "h1", "left_semi")
+    pairs = written(_candidates(classes, threshold), "line-pairs", free=True)
+    wanted = classes.join(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "h1", "left_semi")
     size = F.lit(1 << 31).cast("decimal(10,0)")
     pos = F.pmod("first", size)
-    wanted = written(wanted.select(((F.col("first") - pos) / size).cast("bigint").alias("doc_id"), pos.cast("int").alias("pos")).distinct(), "line-wanted")
-    texts = docs.select("doc_id", F.posexplode(F.split(_spaced(F.col("text")), "\n")).alias("pos", "line"))
-    texts = texts.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted, ["doc_id", "pos"])
-    tokens = F.array_distinct(F.transform(F.array_remove(F.split("line", " "), ""), lambda t: F.xxhash64(t)))
-    once = texts.select(F.xxhash64("line").alias("h1"), F.hash(F.lit(7), "line").alias("h2"), tokens.alias("s"))
-    sets = written(once, "line-sets")
+    wanted = wanted.select(((F.col("first") - pos) / size).cast("bigint").alias("doc_id"), pos.cast("int").alias("pos")).distinct()
+    wanted = written(wanted.groupBy("doc_id").agg(F.collect_list("pos").alias("places")), "line-wanted", free=True)
+    few = wanted.count() <= BROADCAST_DOCS
+    texts = docs.join(F.broadcast(wanted) if few else wanted, "doc_id").select("places", F.posexplode(F.split(_spaced(F.col("text")), "\n")).alias("pos", "line"))
+    # Rows that repeat an id have other lines there, too: those that no pair asks for find none.
+    once = texts.filter(F.array_contains("places", F.col("pos"))).select(*_digest(), _hashes().alias("s"))
+    sets = written(once, "line-sets", free=True)
     a, b = (sets.select(F.col("h1").alias(s), F.col("h2").alias(f"{s}2"), F.col("s").alias(f"t{s}")) for s in "ab")
     both = pairs.join(a, "a").join(b, "b")
     links = both.filter((100 + threshold) * F.size(F.array_intersect("ta", "tb")) >= threshold * (F.size("ta") + F.size("tb")))
@@ -118,14 +128,14 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     known = rows.filter("doc_id is not null")
-    lines = written(_lines(known).select("doc_id", "pos", "h1", "h2"), "line-places")
-    firsts = written(lines.groupBy("h1", "h2").agg(F.min(_place()).alias("first")), "line-firsts")
-    links = written(similar_lines(known, firsts, threshold), "line-links")
+    lines = written(_lines(known, threshold), "line-places", free=True)
+    firsts = written(lines.groupBy("h1", "h2").agg(F.min(_place()).alias("first"), *[F.first(c).alias(c) for c in ("bits", "n", "t")]), "line-firsts", free=True)
+    links = written(similar_lines(known, firsts, threshold), "line-links", free=True)
     ends = links.select(F.explode(F.array(F.struct(*[F.col(c).alias(n) for c, n in (("a1", "h1"), ("a2", "h2"), ("b1", "o1"), ("b2", "o2"))]), F.struct(*[F.col(c).alias(n) for c, n in (("b1", "h1"), ("b2", "h2"), ("a1", "o1"), ("a2", "o2"))]))).alias("e")).select("e.*")
     other = firsts.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("first").alias("_other"))
     linked = ends.join(other, ["o1", "o2"]).groupBy("h1", "h2").agg(F.min("_other").alias("_earliest"), F.count("*").alias("_links"))
-    classes = firsts.join(linked, ["h1", "h2"], "left")
-    judged = lines.join(classes, ["h1", "h2"])
+    classes = firsts.select("h1", "h2", "first").join(linked, ["h1", "h2"], "left")
+    judged = lines.select("doc_id", "pos", "h1", "h2").join(classes, ["h1", "h2"])
     gone = (_place() > F.col("first")) | (_place() > F.col("_earliest"))
     by_doc = judged.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.when(gone, F.col("pos")))).alias("_gone"), F.sum(F.coalesce("_links", F.lit(0))).alias("_links"))
     out = rows.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n")))).join(by_doc, "doc_id", "left")
