@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tidewright.llm.chat import CONTROL_STRINGS, Template, format_conversations, loss_text
-from tidewright.llm.common import ascii_lower
+from tidewright.llm.common import FREE, ascii_lower, written
 from tidewright.llm.decontaminate import decontaminate, latent_space
 from tidewright.llm.exact_dedup import exact_dedup
 from tidewright.llm.graph import connected_components
 from tidewright.llm.language import identify_language
-from tidewright.llm.line_dedup import line_dedup
+from tidewright.llm.line_dedup import _candidates, _lines, line_dedup
 from tidewright.llm.near_dedup import near_duplicates
 from tidewright.llm.packing import best_fit_rounds, pack_documents
 from tidewright.llm.quality import classify_quality
@@ -119,6 +119,22 @@ def test_line_dedup_equals_brute_force(spark, shift):
         assert r.text == (None if texts[r.doc_id] is None else "\n".join(x for i, x in enumerate(lines) if i not in r.removed_lines))
 
 
+def test_long_lines_that_share_a_prefix_token_are_rarely_candidates(spark):
+    rng = random.Random(5)
+    rows = [(d, " ".join([f"w{i}" for i in rng.sample(range(200), 99)] + [f"rare{d // 4}"])) for d in range(20)]
+    rows.append((20, rows[0][1] + " more"))
+    classes = _lines(frame(spark, rows), 80).withColumnRenamed("doc_id", "first")
+    assert 1 <= _candidates(classes, 80).count() < 15
+    got = {r.doc_id: (list(r.removed_lines), r.n_links) for r in line_dedup(frame(spark, rows)).collect()}
+    assert got == brute.line_dedup(rows) and got[20] == ([0], 1)
+
+
+def test_written_frees_shuffle_files_and_keeps_the_setting(spark):
+    before = spark.conf.get(FREE)
+    assert written(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), "freed", free=True).count() == 7
+    assert spark.conf.get(FREE) == before
+
+
 def test_exact_dedup(spark):
     rows = documents(4)
     for keep, best in (("largest", max), ("smallest", min)):
