@@ -17,7 +17,7 @@ from tidewright.llm.graph import connected_components
 from tidewright.llm.language import identify_language
 from tidewright.llm.line_dedup import _candidates, _lines, line_dedup
 from tidewright.llm.near_dedup import near_duplicates
-from tidewright.llm.packing import best_fit_rounds, pack_documents
+from tidewright.llm.packing import _Memory, best_fit_rounds, pack_documents
 from tidewright.llm.quality import classify_quality
 from tidewright.llm.substring_dedup import segments, substring_dedup
 from tidewright.llm.url_filter import filter_urls, html_edges
@@ -357,6 +357,15 @@ def test_best_fit_places_every_document_once(counts):
     assert len(load) <= 1.15 * len(first_fit) + 1
 
 
+def test_words_are_remembered_over_two_batches_of_150_000():
+    memory = _Memory()
+    first, more = ([b"%d" % i for i in range(a, a + 150_000)] for a in (0, 150_000))
+    for words in (first, more):
+        known, new = memory.get(words)
+        memory.put(known, dict.fromkeys(new, b""))
+    assert memory.get(first)[1] == [] == memory.get(more)[1]
+
+
 def test_packing(spark):
     import public_tokenizers
     from tokenizers import Tokenizer

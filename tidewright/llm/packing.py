@@ -18,7 +18,9 @@ from tidewright.llm.common import written
 CAPACITY = 2048
 END_OF_DOCUMENT = 0
 #: Words that a Python worker remembers with their ids, in each of two generations; about 0.2 KB a word.
-WORD_MEMORY = 120_000
+WORD_MEMORY = 200_000
+#: Words of so many bytes of text are looked up at once, each different one once; whole texts always.
+BLOCK = 1 << 22
 #: Pieces of one length are ranked in parts of about so many rows of all lengths.
 RANK_PART = 50_000
 #: Up to so many placement runs (five whole numbers each) are broadcast; more are joined by shuffle.
@@ -143,7 +145,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
             doc_ids, texts = batch.column("doc_id"), batch.column("text")
             rows, size, begun = [], 0, 0
             for i in range(batch.num_rows + 1):
-                if i == batch.num_rows or size > 1 << 20:
+                if i == batch.num_rows or size > BLOCK:
                     known = ids.of(set().union(*rows))
                     yield _pieces(doc_ids.slice(begun, len(rows)), [b"".join(map(known.__getitem__, words)) + end for words in rows], capacity, with_ids)
                     begun, rows, size = begun + len(rows), [], 0
