@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tidewright.llm.chat import CONTROL_STRINGS, Template, format_conversations, loss_text
-from tidewright.llm.common import FREE, ascii_lower, written
+from tidewright.llm.common import FREE, ascii_lower, remembered, written
 from tidewright.llm.decontaminate import decontaminate, latent_space
 from tidewright.llm.exact_dedup import exact_dedup
 from tidewright.llm.graph import connected_components
@@ -366,6 +366,25 @@ def test_words_are_remembered_over_two_batches_of_150_000():
     assert memory.get(first)[1] == [] == memory.get(more)[1]
 
 
+def test_a_python_worker_forgets_what_another_operator_left():
+    kept = remembered("packing")
+    kept["some"] = 1
+    assert remembered("packing") is kept
+    assert len(list(blocks(pa.array(["a b"])))) == 1
+    assert remembered("packing") == {}
+
+
+def test_words_and_their_letters_are_remembered_once():
+    import public_tokenizers
+
+    from tidewright.llm.packing import _WordIds
+
+    ids = _WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    found = ids.of({b"Harbour,", b"harbour", b"Quay"})
+    assert set(ids.words.young) == {b"Harbour,", b"harbour", b"Quay", b"quay"} and ids.words.young[b"harbour"] == found[b"harbour"]
+    assert not hasattr(ids, "letters")
+
+
 def test_packing(spark):
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,3 +63,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def held_out(id_col: Column) -> Column:
     """True for the third of the ids that no model learns from: crc32 of the id's digits, modulo 3, is 1."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+_remembered: dict[str, dict] = {}
+
+
+def remembered(owner: str) -> dict:
+    """What this Python worker remembers for ``owner``. Workers outlive a stage: what they remember for others goes, and Arrow memory that is free goes back."""
+    for other in _remembered.keys() - {owner}:
+        del _remembered[other]
+    pa.default_memory_pool().release_unused()
+    return _remembered.setdefault(owner, {})

@@ -13,12 +13,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import written
+from tidewright.llm.common import remembered, written
 
 CAPACITY = 2048
 END_OF_DOCUMENT = 0
-#: Words that a Python worker remembers with their ids, in each of two generations; about 0.2 KB a word.
-WORD_MEMORY = 200_000
+#: Words, and their letters, that a Python worker remembers with their ids, in each of two generations; about 0.2 KB a word.
+WORD_MEMORY = 300_000
 #: Words of so many bytes of text are looked up at once, each different one once; whole texts always.
 BLOCK = 1 << 22
 #: Pieces of one length are ranked in parts of about so many rows of all lengths.
@@ -33,7 +33,7 @@ def _only_letters(word: str) -> bool:
 
 
 class _WordIds:
-    """Ids of words (bytes without white space) as little-endian uint32 bytes, remembered as long as the Python worker lives.
+    """Ids of words (bytes without white space) as little-endian uint32 bytes, remembered until the Python worker turns to another operator.
 
     A word is taken apart into letters and the marks behind them, which the tokenizer splits anyway and to which case makes no difference; the letters of
     many new words are encoded as one text, whose ids are told apart by the tokens that end a word. Other words are encoded one by one.
@@ -52,7 +52,7 @@ class _WordIds:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for token, i in vocabulary.items():
             self.ends[i] = token.endswith("</w>")
-        self.words, self.letters = _Memory(), _Memory()
+        self.words = _Memory()
 
     def encode(self, words: list[bytes]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
@@ -79,12 +79,14 @@ class _WordIds:
         for w in new:
             letters = w.rstrip(self.MARKS)
             if letters.isalpha() or _only_letters(letters.decode()):
-                split.append((w, letters.lower(), w[len(letters) :]))
+                low = letters.lower()
+                split.append((w, w if low == w else low, w[len(letters) :]))
             else:
                 alone.append(w)
-        parts, unseen = self.letters.get({x for _, x, _ in split})
+        # Letters alone are a word, too: one memory holds both.
+        parts, unseen = self.words.get({x for _, x, _ in split})
         marks = list({m for _, _, m in split if m})
-        self.letters.put(parts, self.encode_letters(unseen))
+        self.words.put(parts, self.encode_letters(unseen))
         of_marks = dict(zip(marks, self.encode(marks), strict=True))
         found = {w: parts[x] + of_marks[m] if m else parts[x] for w, x, m in split}
         found.update(zip(alone, self.encode(alone), strict=True))
@@ -120,13 +122,11 @@ class _Memory:
             self.old, self.young = self.young, {}
 
 
-_known: dict[str, _WordIds] = {}
-
-
 def _word_ids(path: str) -> _WordIds:
-    if path not in _known:
-        _known[path] = _WordIds(path)
-    return _known[path]
+    known = remembered("packing")
+    if path not in known:
+        known[path] = _WordIds(path)
+    return known[path]
 
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -139,9 +139,9 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
     """
 
     def run(batches):
-        ids = _word_ids(tokenizer_path)
         end = np.asarray([END_OF_DOCUMENT], dtype="<u4").tobytes()
         for batch in batches:
+            ids = _word_ids(tokenizer_path)
             doc_ids, texts = batch.column("doc_id"), batch.column("text")
             rows, size, begun = [], 0, 0
             for i in range(batch.num_rows + 1):

@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from tidewright.llm.common import remembered
+
 _rng = np.random.default_rng(20240601)
 #: Fixed random weights of byte values, and odd multipliers of the polynomial hashes (all arithmetic is modulo 2**64).
 BYTE_WEIGHTS = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -94,6 +96,7 @@ class Block:
 
 def blocks(texts: pa.Array, lower: bool = False, word_bytes: np.ndarray = NOT_SPACE) -> Iterator[Block]:
     """The rows of an Arrow string array in blocks of about BLOCK_BYTES (a longer row is a block of its own); null is empty."""
+    remembered("blocks")
     texts = texts.cast(pa.large_string())
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
