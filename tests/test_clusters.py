@@ -248,3 +248,27 @@ def test_similar_shapes_in_one_crowded_cell_are_dealt_over_blocks(spark, monkeyp
     found = elastic.similar_shapes(df, 1.0, 2)
     assert {(r["a"], r["b"]): r["distance"] for r in found.collect()} == want and len(want) > 50
     assert found.rdd.getNumPartitions() == elastic.TASKS
+
+
+def test_equal_shapes_are_compared_once(spark, monkeypatch):
+    monkeypatch.setattr(elastic, "BLOCK", 7)
+    tables, write = {}, elastic.staged
+    monkeypatch.setattr(elastic, "staged", lambda df, label: tables.setdefault(label, write(df, label)))
+    kinds = [[0.0, 1.0, 2.0, 1.0], [0.0, 1.0, 2.0, 1.5, 1.0], [0.5, 1.0, 2.0, 1.0], [-0.0, 1.0, 2.0, 1.0], [9.0], [9.5, 9.0], [float("nan"), 1.0], [float("inf"), 1.0, 1.0]]
+    series = {f"s{i:03}": kinds[i % 8] for i in range(160)}
+    df = spark.createDataFrame([*series.items(), ("none", None), ("null", [1.0, None])], "id string, x array<double>").repartition(3)
+    got = [(r["a"], r["b"], round(r["distance"], 9)) for r in elastic.similar_shapes(df, 1.0, 2).collect()]
+    want = [(a, b, round(d, 9)) for a, b in itertools.combinations(sorted(series), 2) if (d := plain_warping(series[a], series[b], 2)) is not None and d <= 1]
+    assert sorted(got) == sorted(want) and len(want) > 3000
+    assert tables["shape-blocks"].count() == 5
+
+
+def test_what_the_envelope_rules_out_in_single_precision():
+    rng = np.random.default_rng(3)
+    for n, m, at, radius in ((5, 5, 0.0, 1.0), (5, 6, 1e6, 1.0), (1, 3, 0.0, 1.0), (3, 1, 0.0, 1.0), (4, 4, 1e12, 0.5), (4, 4, 1e35, 1.0)):
+        a, b = at + rng.normal(size=(40, n)), at + rng.normal(size=(50, m))
+        some = {(int(p), int(q)) for i, j in elastic._may_be_near(a, b, radius, 2) for p, q in zip(i, j, strict=True)}
+        near = {(p, q) for p in range(40) for q in range(50) if plain_warping(list(a[p]), list(b[q]), 2) <= radius}
+        assert near <= some and near
+        p, q = (np.array(c) for c in zip(*sorted(some), strict=True))
+        assert np.allclose(elastic.warped(a[p], b[q], 2, 7), [plain_warping(list(a[i]), list(b[j]), 2) for i, j in sorted(some)], rtol=1e-12)

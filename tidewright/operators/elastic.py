@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,8 +14,8 @@ from tidewright.sources.sinks import staged
 
 #: Nearest members of a medoid that are tried in its place, each against all members.
 CANDIDATES = 16
-#: Series that one side of a comparison holds at most; tasks over which comparisons are dealt.
-BLOCK, TASKS = 1000, 256
+#: Series that one side of a comparison holds, about; tasks over which comparisons are dealt.
+BLOCK, TASKS = 4000, 256
 
 
 def series_of(curves: DataFrame, key: str = "entity_key", at: str = "time_bucket", value: str = "value", scaled: bool = False) -> DataFrame:
@@ -76,95 +79,170 @@ def shape_candidates(series: DataFrame, radius: float, band: int) -> DataFrame:
     return met.withColumn("bound", F.greatest(envelope_bound(F.col("xa"), F.col("eb")), envelope_bound(F.col("xb"), F.col("ea")))).select("a", "b", "xa", "xb", "bound")
 
 
-def warped(a: np.ndarray, b: np.ndarray, band: int) -> np.ndarray:
-    """``warping_distance`` of each row of ``a`` to the same row of ``b`` (infinite where a missing value bars every path), a cell of all tables at once."""
-    before = np.full((b.shape[1] + 1, len(a)), np.inf)
-    before[0] = 0.0
-    for i in range(a.shape[1]):
-        row = np.full_like(before, np.inf)
-        for j in range(max(0, i - band), min(b.shape[1], i + band + 1)):
-            gap = a[:, i] - b[:, j]
-            value = gap * gap + np.minimum(np.minimum(before[j + 1], before[j]), row[j])
-            row[j + 1] = np.where(np.isnan(value), np.inf, value)
-        before = row
-    return np.sqrt(before[-1])
-
-
-def _by_length(xs: list[list]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+def _table(a, b, band: int, shape: tuple[int, ...]) -> np.ndarray:
+    """Warping distances between series given as lists of their values, place by place: arrays that broadcast to ``shape``. Infinite where a missing value bars every path."""
+    before: list = [None] * (len(b) + 1)
+    free, least = [], np.empty(shape)
+    with np.errstate(invalid="ignore", over="ignore"):
+        for i in range(len(a)):
+            row: list = [None] * (len(b) + 1)
+            for j in range(max(0, i - band), min(len(b), i + band + 1)):
+                cell = free.pop() if free else np.empty(shape)
+                np.subtract(a[i], b[j], out=cell)
+                np.multiply(cell, cell, out=cell)
+                came = [c for c in (before[j], before[j + 1], row[j]) if c is not None]
+                for c in came[1:]:
+                    np.minimum(came[0] if c is came[1] else least, c, out=least)
+                if came:
+                    np.add(cell, least if len(came) > 1 else came[0], out=cell)
+                row[j + 1] = cell
+                # No cell to the right asks for the one above to the left.
+                if before[j] is not None:
+                    free.append(before[j])
+                    before[j] = None
+            free.extend(c for c in before if c is not None)
+            before = row
+        # What is missing in a series makes each path through it NaN.
+        return np.nan_to_num(np.sqrt(before[-1]), copy=False, nan=np.inf, posinf=np.inf)
+
+
+def warped(a: np.ndarray, b: np.ndarray, band: int, some: int = 8192) -> np.ndarray:
+    """``warping_distance`` of each row of ``a`` to the same row of ``b`` (infinite where a missing value bars every path), a cell of ``some`` tables at once."""
+    parts = [(np.ascontiguousarray(x[k : k + some].T), np.ascontiguousarray(y[k : k + some].T)) for x, y in [(a, b)] for k in range(0, len(a), some)]
+    return np.concatenate([_table(x, y, band, x.shape[1:]) for x, y in parts] or [np.zeros(0)])
+
+
+def _by_length(column: pa.ChunkedArray | pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Places and values of series of each length; a missing value is NaN."""
-    lengths = np.array([len(x or ()) for x in xs], dtype=int)
-    return {int(n): (at, np.array([xs[i] for i in at], dtype=float).reshape(len(at), n)) for n in np.unique(lengths) if n for at in [np.nonzero(lengths == n)[0]]}
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    flat = pc.list_flatten(column).to_numpy(zero_copy_only=False)
+    starts = np.cumsum(lengths) - lengths
+    return {int(n): (at, flat[starts[at][:, None] + np.arange(n)].astype(float)) for n in np.unique(lengths) if n for at in [np.nonzero(lengths == n)[0]]}
 
 
-def _may_be_near(a: np.ndarray, b: np.ndarray, radius: float, band: int) -> np.ndarray:
-    """(rows of ``a``) x (rows of ``b``): what the envelope of ``b`` doesn't rule out. First meets first and last meets last, so these count by their own differences."""
-    total = np.zeros((len(a), len(b)))
-    for i in range(a.shape[1]):
-        if i in (0, a.shape[1] - 1):
-            out = a[:, i, None] - b[None, :, 0 if i == 0 else -1]
-        else:
-            around = b[:, max(0, i - band) : i + band + 1]
-            out = np.maximum(np.maximum(a[:, i, None] - np.fmax.reduce(around, axis=1)[None, :], np.fmin.reduce(around, axis=1)[None, :] - a[:, i, None]), 0)
-        total += np.nan_to_num(out * out, nan=0.0)
-    # A little slack for rounding: it costs a distance, never a pair.
-    return total <= radius * radius * (1 + 1e-9)
+def _may_be_near(a: np.ndarray, b: np.ndarray, radius: float, band: int):
+    """Places (in ``a``, in ``b``) of pairs that the envelope of ``b`` doesn't rule out, some rows of ``a`` at a time. First meets first and last meets last, so these count by their own differences.
+
+    Single precision: envelopes are wider by what rounding may take, so it costs a distance, never a pair.
+    """
+    n, m = a.shape[1], b.shape[1]
+    largest = max(np.abs(a).max(), np.abs(b).max())
+    if largest > 1e30 or radius > 1e15:
+        yield from ((np.full(len(b), k), np.arange(len(b))) for k in range(len(a)))
+        return
+    slack = 2.0**-21 * largest
+    around = lambda i: slice(0, 1) if i == 0 else slice(m - 1, m) if i == n - 1 else slice(max(0, i - band), i + band + 1)
+    low, high = (np.array([f(b[:, around(i)], axis=1) for i in range(n)]) for f in (np.min, np.max))
+    # A series of one value meets first and last of the other.
+    if n == 1:
+        low, high = (f(b, axis=1)[None] for f in (np.max, np.min))
+    low, high, rows = (low - slack).astype(np.float32), (high + slack).astype(np.float32), a.astype(np.float32)
+    most = np.float32(radius * radius * (1 + (n + 8) * 2.0**-22))
+    t, u, total = (np.empty((16, len(b)), np.float32) for _ in range(3))
+    with np.errstate(over="ignore"):
+        for k in range(0, len(a), 16):
+            x = rows[k : k + 16]
+            v, w, s = t[: len(x)], u[: len(x)], total[: len(x)]
+            s.fill(0)
+            for i in range(n):
+                np.subtract(x[:, i, None], high[i], out=v)
+                np.subtract(low[i], x[:, i, None], out=w)
+                np.maximum(v, w, out=v)
+                np.maximum(v, np.float32(0), out=v)
+                np.multiply(v, v, out=v)
+                np.add(s, v, out=s)
+            i, j = np.nonzero(s <= most)
+            yield i + k, j
 
 
 def _compared(radius: float, band: int):
     """Pairs within the radius of one block's series with another's, or with each other."""
 
     def run(table: pa.Table) -> pa.Table:
-        side = np.array(table.column("side").to_pylist())
-        sides = []
-        for s in (0, 1):
-            part = table.filter(pa.array(side == s))
-            sides.append((np.array(part.column("id").to_pylist(), dtype=object), _by_length(part.column("x").to_pylist())))
-        (left, la), (right, lb) = sides if (side == 1).any() else (sides[0], sides[0])
-        alone = right is left
-        found: tuple[list, list, list] = ([], [], [])
-        for m, (at, a) in la.items():
-            for n, (to, b) in lb.items():
+        side = table.column("side").to_numpy()
+        parts = [table.filter(pa.array(side == s)).combine_chunks() for s in (0, 1)]
+        alone = parts[1].num_rows == 0
+        if alone:
+            parts[1] = parts[0]
+        ids = pa.concat_arrays([p.column("id").combine_chunks() for p in parts])
+        # Ids as numbers in their order.
+        rank = np.unique(np.array(ids.to_pylist(), dtype=object), return_inverse=True)[1].reshape(-1)
+        left, right = (_by_length(p.column("x")) for p in parts)
+        found: list[tuple] = []
+        for m, (at, a) in left.items():
+            for n, (to, b) in right.items():
                 if abs(m - n) > band:
                     continue
-                for k in range(0, len(a), 256):
-                    some = slice(k, k + 256)
-                    i, j = np.nonzero(_may_be_near(a[some], b, radius, band))
-                    i += k
-                    p, q = left[at[i]], right[to[j]]
-                    keep = (p < q) if alone else (p != q)
-                    i, j, p, q = i[keep], j[keep], p[keep], q[keep]
-                    d = np.concatenate([warped(a[i[c : c + 50000]], b[j[c : c + 50000]], band) for c in range(0, len(i), 50000)] or [np.zeros(0)])
+                wait: list[tuple] = []
+                for i, j in itertools.chain(_may_be_near(a, b, radius, band), [(None, None)]):
+                    if i is not None:
+                        p, q = rank[at[i]], rank[to[j] + parts[0].num_rows]
+                        keep = (p < q) if alone else (p != q)
+                        wait.append((i[keep], j[keep]))
+                        if sum(len(w[0]) for w in wait) < 100_000:
+                            continue
+                    i, j = (np.concatenate(w) for w in zip(*wait, strict=True)) if wait else (np.zeros(0, int),) * 2
+                    wait = []
+                    d = warped(a[i], b[j], band)
                     near = d <= radius
-                    low = p[near] < q[near]
-                    found[0].extend(np.where(low, p[near], q[near]))
-                    found[1].extend(np.where(low, q[near], p[near]))
-                    found[2].extend(d[near])
-        return pa.table([pa.array(found[0], pa.string()), pa.array(found[1], pa.string()), pa.array(found[2], pa.float64())], ["a", "b", "distance"])
+                    found.append((at[i[near]], to[j[near]] + parts[0].num_rows, d[near]))
+        p, q, d = (np.concatenate(f) for f in zip(*found, strict=True)) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        low = rank[p] < rank[q]
+        return pa.table([ids.take(pa.array(np.where(low, p, q))), ids.take(pa.array(np.where(low, q, p))), pa.array(d)], ["a", "b", "distance"])
 
     return run
 
 
+def _equals(rows: DataFrame) -> DataFrame:
+    """(x, id, n): each different series of ``rows`` (id, x) once, under the least id of those that are equal, and how many there are."""
+    return staged(rows.groupBy("x").agg(F.min("id").alias("id"), F.count("*").alias("n")), "shape-classes")
+
+
+def _dealt(placed: DataFrame, met: DataFrame, cell: list[str]) -> DataFrame:
+    """``placed`` (cell, block and others) for each pair of blocks in ``met`` (cell, block, and both with _2), with the columns pair and side (0, 1); a block that meets itself comes once."""
+    one, two = [*cell, "block"], [f"{c}_2" for c in (*cell, "block")]
+    met = met.withColumn("pair", F.struct(*one, *two))
+    apart = met.filter(F.struct(*one) < F.struct(*[F.col(c).alias(n) for c, n in zip(two, one, strict=True)])).select("pair", *[F.col(c).alias(n) for c, n in zip(two, one, strict=True)])
+    sides = [placed.join(at.select("pair", *one), one).withColumn("side", F.lit(s)) for s, at in enumerate((met, apart))]
+    return sides[0].unionByName(sides[1]).repartition(TASKS, "pair")
+
+
 def similar_shapes(series: DataFrame, radius: float, band: int) -> DataFrame:
     """(a, b, distance): all pairs of ``series`` (id, x), a < b, within ``radius`` of each other. Only pairs that the envelopes let through are warped.
 
-    A warping path joins first to first and last to last value, so a pair within the radius lies in the same or a neighbouring cell of a grid over these two. A cell is dealt into blocks
-    of about BLOCK series, so no task holds a crowded cell, and each pair of blocks is compared once, by whole arrays. Where most series lie in a few cells the pairs of
-    blocks still grow with the square of the series; they are spread over all tasks.
+    Equal series are compared once, and pairs of their ids are made of that. A warping path joins first to first and last to last value, so a pair within the radius lies in
+    the same or a neighbouring cell of a grid over these two. A cell is dealt into blocks of about BLOCK series, so no task holds a crowded cell, and each pair of blocks
+    is compared once, by whole arrays. Where most series differ and lie in a few cells the pairs of blocks still grow with the square of the series; they are spread over all tasks.
     """
-    rows = staged(series.filter("id is not null and size(x) > 0").select("id", "x", F.floor(F.get("x", F.lit(0)) / radius).alias("c0"), F.floor(F.element_at("x", -1) / radius).alias("c1")).filter("c0 is not null and c1 is not null"), "shape-series")
+    # A value that is missing or infinite bars every path.
+    whole = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    series = staged(series.filter("id is not null and size(x) > 0").filter(whole).select("id", "x"), "shape-series")
+    classes = _equals(series)
+    rows = staged(classes.select("id", "x", F.floor(F.get("x", F.lit(0)) / radius).alias("c0"), F.floor(F.element_at("x", -1) / radius).alias("c1")), "shape-cells")
     cells = rows.groupBy("c0", "c1").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
     placed = staged(rows.join(cells, ["c0", "c1"]).select("id", "x", "c0", "c1", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")), "shape-blocks")
     blocks = cells.select("c0", "c1", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     around = blocks.select(*[F.col(c).alias(f"{c}_2") for c in ("c0", "c1", "block")], "c0", "c1")
     for c in ("c0", "c1"):
         around = around.withColumn(c, F.explode(F.array(*[F.col(c) + k for k in (-1, 0, 1)])))
-    met = blocks.join(around, ["c0", "c1"]).filter(F.struct("c0", "c1", "block") <= F.struct("c0_2", "c1_2", "block_2"))
-    met = staged(met.withColumn("pair", F.struct("c0", "c1", "block", "c0_2", "c1_2", "block_2")), "shape-pairs")
-    one = placed.join(met.select("pair", "c0", "c1", "block"), ["c0", "c1", "block"]).select("pair", F.lit(0).alias("side"), "id", "x")
-    apart = met.filter(F.struct("c0", "c1", "block") < F.struct("c0_2", "c1_2", "block_2")).select("pair", F.col("c0_2").alias("c0"), F.col("c1_2").alias("c1"), F.col("block_2").alias("block"))
-    two = placed.join(apart, ["c0", "c1", "block"]).select("pair", F.lit(1).alias("side"), "id", "x")
-    dealt = one.unionByName(two).repartition(TASKS, "pair")
-    return dealt.groupBy("pair").applyInArrow(_compared(radius, band), "a string, b string, distance double")
+    met = staged(blocks.join(around, ["c0", "c1"]).filter(F.struct("c0", "c1", "block") <= F.struct("c0_2", "c1_2", "block_2")), "shape-pairs")
+    pairs = _dealt(placed, met, ["c0", "c1"]).groupBy("pair").applyInArrow(_compared(radius, band), "a string, b string, distance double")
+    many = classes.filter("n > 1")
+    return pairs if many.isEmpty() else _for_all(pairs, series, classes)
+
+
+def _for_all(pairs: DataFrame, series: DataFrame, classes: DataFrame) -> DataFrame:
+    """``pairs`` of different series (a, b, distance; a < b) for all ids that stand for them, and the pairs of equal series. Ids travel in lists of about BLOCK, so no row and no task holds those of a large class."""
+    pieces = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
+    lists = series.join(classes.select("x", F.col("id").alias("same"), pieces.alias("k")), "x").groupBy("same", F.pmod(F.xxhash64("id"), F.col("k")).alias("piece")).agg(F.collect_list("id").alias("ids"))
+    lists = staged(lists, "shape-ids")
+    equal = classes.filter("n > 1").select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("distance"))
+    both = pairs.unionByName(equal)
+    for s in "ab":
+        both = both.join(lists.select(F.col("same").alias(s), F.col("piece").alias(f"{s}_piece"), F.col("ids").alias(f"{s}_ids")), s)
+    both = both.repartition(TASKS, "a", "a_piece", "b", "b_piece").select("a", "b", "distance", F.explode("a_ids").alias("p"), "b_ids").select("a", "b", "distance", "p", F.explode("b_ids").alias("q"))
+    return both.filter(F.when(F.col("a") == F.col("b"), F.col("p") < F.col("q")).otherwise(F.col("p") != F.col("q"))).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), "distance")
 
 
 def _warp(rows: DataFrame, names: str, band: int) -> DataFrame:
@@ -173,7 +251,7 @@ def _warp(rows: DataFrame, names: str, band: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            xs, ys = (_by_length(batch.column(c).to_pylist()) for c in ("x", "y"))
+            xs, ys = (_by_length(batch.column(c)) for c in ("x", "y"))
             out = np.full(batch.num_rows, np.inf)
             for m, (at, a) in xs.items():
                 for n, (to, b) in ys.items():
