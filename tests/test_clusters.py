@@ -272,3 +272,20 @@ def test_what_the_envelope_rules_out_in_single_precision():
         assert near <= some and near
         p, q = (np.array(c) for c in zip(*sorted(some), strict=True))
         assert np.allclose(elastic.warped(a[p], b[q], 2, 7), [plain_warping(list(a[i]), list(b[j]), 2) for i, j in sorted(some)], rtol=1e-12)
+
+
+@pytest.mark.parametrize("series, k", [
+    ({f"s{i:03}": [float(i)] * 3 for i in range(400)}, 1),
+    ({f"a{i:02}": [0.0] * 4 for i in range(20)} | {f"b{i:02}": [5 + i / 100] * (3 + i % 2) for i in range(30)}, 1),
+    ({f"n{i:02}": [round(random.Random(i).gauss(0, 1), 3), round(random.Random(-1 - i).gauss(0, 1), 3), i % 4 / 2] for i in range(90)}, 3),
+])
+def test_every_member_is_tried_as_medoid_until_nothing_moves(spark, monkeypatch, series, k):
+    monkeypatch.setattr(elastic, "BLOCK", 60)
+    rows = {r["id"]: r for r in elastic.shape_medoids(spark.createDataFrame(list(series.items()), "id string, x array<double>").repartition(3), k, 2).collect()}
+    medoids = {r["medoid"] for r in rows.values()}
+    assert len(medoids) == k and set(rows) == set(series)
+    d = {(c, m): plain_warping(series[c], series[m], 2) for c in medoids for m in series}
+    assert all(math.isclose(r["distance"], min(d[c, i] for c in medoids), abs_tol=1e-9) and math.isclose(r["distance"], d[r["medoid"], i], abs_tol=1e-9) for i, r in rows.items())
+    for medoid in medoids:
+        members = [i for i, r in rows.items() if r["medoid"] == medoid]
+        assert sum(d[medoid, m] for m in members) <= min(sum(plain_warping(series[c], series[m], 2) for m in members) for c in members) + 1e-6

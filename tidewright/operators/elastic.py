@@ -7,13 +7,11 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.sources.sinks import staged
 
-#: Nearest members of a medoid that are tried in its place, each against all members.
-CANDIDATES = 16
 #: Series that one side of a comparison holds, about; tasks over which comparisons are dealt.
 BLOCK, TASKS = 4000, 256
 
@@ -268,14 +266,67 @@ def _to(series: DataFrame, some: DataFrame, band: int) -> DataFrame:
     return _warp(series.crossJoin(F.broadcast(some)), "id string, medoid string", band)
 
 
-def shape_medoids(series: DataFrame, k: int, band: int, rounds: int = 10, candidates: int = CANDIDATES) -> DataFrame:
+def _summed(band: int):
+    """What each series of one block adds to the cost of each of another, and these to its own; or of a block's series among each other. Infinite where there is no distance."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("side", "ascending"), ("id", "ascending")])
+        side = table.column("side").to_numpy()
+        parts = [table.filter(pa.array(side == s)).combine_chunks() for s in (0, 1)]
+        alone = parts[1].num_rows == 0
+        if alone:
+            parts[1] = parts[0]
+        weights = [p.column("n").to_numpy().astype(float) for p in parts]
+        costs = [np.zeros(len(w)) for w in weights]
+        if alone:
+            costs[1] = costs[0]
+        left, right = (_by_length(p.column("x")) for p in parts)
+        for m, (at, a) in left.items():
+            for n, (to, b) in right.items():
+                if alone and m > n:
+                    continue
+                if abs(m - n) > band:
+                    costs[0][at], costs[1][to] = np.inf, np.inf
+                    continue
+                same, columns = alone and m == n, np.ascontiguousarray(b.T)
+                # About 4096 tables at once.
+                wide = 1024
+                for k in range(0, len(a), 4):
+                    x = [v[:, None] for v in a[k : k + 4].T]
+                    for c in range(k // wide * wide if same else 0, len(b), wide):
+                        d = _table(x, columns[:, c : c + wide], band, (len(x[0]), min(wide, len(b) - c)))
+                        if same:
+                            # Each pair once, from the row that stands first.
+                            d[np.arange(c, c + d.shape[1])[None, :] <= np.arange(k, k + len(d))[:, None]] = 0
+                        costs[0][at[k : k + 4]] += d @ weights[1][to[c : c + wide]]
+                        costs[1][to[c : c + wide]] += weights[0][at[k : k + 4]] @ d
+        out = [pa.table([p.column("cluster"), p.column("id"), pa.array(c)], ["cluster", "candidate", "cost"]) for p, c in zip(parts, costs, strict=True)]
+        return out[0] if alone else pa.concat_tables(out)
+
+    return run
+
+
+def _costs(members: DataFrame, band: int) -> DataFrame:
+    """(cluster, candidate, cost): the sum of distances of each of ``members`` (cluster, id, x, n) to all of its cluster, each n times. All pairs, by blocks, each once."""
+    cells = members.groupBy("cluster").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    placed = staged(members.join(cells, "cluster").select("cluster", "id", "x", "n", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")), "shape-blocks")
+    # A block may have got no series; those it meets add nothing to it.
+    blocks = placed.select("cluster", "block").distinct()
+    met = blocks.join(blocks.select("cluster", F.col("block").alias("block_2")), "cluster").filter("block <= block_2").withColumn("cluster_2", F.col("cluster"))
+    dealt = _dealt(placed, staged(met, "shape-pairs"), ["cluster"])
+    parts = dealt.groupBy("pair").applyInArrow(_summed(band), "cluster string, candidate string, cost double")
+    return parts.groupBy("cluster", "candidate").agg(F.sum("cost").alias("cost"))
+
+
+def shape_medoids(series: DataFrame, k: int, band: int) -> DataFrame:
     """(id, medoid, distance): ``series`` (id, x; lengths within ``band`` of each other) in ``k`` clusters around one of their own, by warping distance.
 
     Medoids start far from each other: the least id, then each time the series farthest from those chosen. A round assigns each series to its nearest medoid and moves a medoid to
-    that of its ``candidates`` nearest members whose distances to all members sum to least, until nothing moves. So a round computes k + candidates distances for each series, never all pairs;
-    what is broadcast are k or ``candidates`` * k series. Of equal distances the smaller name wins. Series whose distance is null to all medoids are left out.
+    that member whose distances to all members sum to least, until nothing moves. Every member is tried: of each cluster that has changed a round takes all pairs of different series, which
+    are spread over all tasks by blocks; equal series count as one with a weight. Of equal distances the smaller name wins. Series whose distance is null to all medoids are left out.
     """
-    rows = staged(series.filter("id is not null and size(x) > 0").select("id", "x"), "shape-series")
+    members = staged(series.filter("id is not null and size(x) > 0").select("id", "x"), "shape-series")
+    rows = _equals(members)
     pick = rows.orderBy("id").limit(1).select(F.col("id").alias("medoid"), F.col("x").alias("y"))
     found = staged(_to(rows, pick, band), "shape-distances")
     for _ in range(k - 1):
@@ -285,22 +336,22 @@ def shape_medoids(series: DataFrame, k: int, band: int, rounds: int = 10, candid
         found = staged(found.unionByName(_to(rows, staged(pick, "shape-medoid"), band)), "shape-distances")
     choose = lambda df: df.filter("distance is not null").groupBy("id").agg(F.min(F.struct("distance", "medoid")).alias("m")).select("id", "m.medoid", "m.distance")
     assigned = staged(choose(found), "shape-clusters")
-    for _ in range(rounds):
-        tried = _closest(assigned, candidates).join(rows, "id").select(F.col("medoid").alias("cluster"), F.col("id").alias("candidate"), F.col("x").alias("y"))
-        members = assigned.select("id", F.col("medoid").alias("cluster")).join(rows, "id").join(F.broadcast(tried), "cluster")
-        tries = _warp(members, "id string, cluster string, candidate string", band)
-        cost = tries.groupBy("cluster", "candidate").agg(F.sum(F.coalesce("distance", F.lit(float("inf")))).alias("cost"))
-        best = staged(cost.groupBy("cluster").agg(F.min(F.struct(F.round("cost", 9).alias("cost"), (F.col("candidate") != F.col("cluster")).alias("moves"), "candidate")).alias("b")).select("cluster", "b.candidate", "b.moves"), "shape-best")
-        if best.filter("moves").isEmpty():
+    changed = names = {r["medoid"] for r in assigned.select("medoid").distinct().collect()}
+    seen = {frozenset(names)}
+    while changed:
+        touched = assigned.filter(F.col("medoid").isin(list(changed))).select("id", F.col("medoid").alias("cluster")).join(rows, "id")
+        best = _costs(touched, band).groupBy("cluster").agg(F.min(F.struct(F.round("cost", 9).alias("cost"), (F.col("candidate") != F.col("cluster")).alias("moves"), "candidate")).alias("b")).select("b.candidate")
+        # A cluster without a change keeps its medoid.
+        names = (names - changed) | {r["candidate"] for r in best.collect()}
+        # What has been seen before would only come again: costs fall, but for rounding.
+        if frozenset(names) in seen:
             break
-        medoids = staged(best.join(rows, F.col("candidate") == F.col("id")).select(F.col("id").alias("medoid"), F.col("x").alias("y")), "shape-medoids")
-        assigned = staged(choose(_to(rows, medoids, band)), "shape-clusters")
-    return assigned
-
-
-def _closest(assigned: DataFrame, n: int) -> DataFrame:
-    """The ``n`` members nearest to each medoid: first of each part of a cluster, then of those, so no window holds a whole cluster."""
-    rows = assigned.withColumn("_part", F.pmod(F.xxhash64("id"), F.lit(64)))
-    for keys in (["medoid", "_part"], ["medoid"]):
-        rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy("distance", "id"))).filter(F.col("_r") <= n)
-    return rows.select("medoid", "id")
+        seen.add(frozenset(names))
+        medoids = rows.filter(F.col("id").isin(list(names))).select(F.col("id").alias("medoid"), F.col("x").alias("y"))
+        before, assigned = assigned, staged(choose(_to(rows, medoids, band)), "shape-clusters")
+        moved = before.select("id", F.col("medoid").alias("old")).join(assigned.select("id", F.col("medoid").alias("new")), "id", "full").filter(~F.col("old").eqNullSafe(F.col("new")))
+        changed = {r["m"] for r in moved.select(F.explode(F.array("old", "new")).alias("m")).distinct().collect()}
+        names = {r["medoid"] for r in assigned.select("medoid").distinct().collect()}
+        changed &= names
+    same = members.join(rows.select("x", F.col("id").alias("same")), "x").select("id", "same")
+    return same.join(assigned.withColumnRenamed("id", "same"), "same").select("id", "medoid", "distance")
