@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import tidewright.llm.line_dedup as line_dedup_module
 from tests.llm import brute
 from tidewright.llm.chat import CONTROL_STRINGS, Template, format_conversations, loss_text
 from tidewright.llm.common import FREE, ascii_lower, remembered, written
@@ -129,6 +130,21 @@ def test_long_lines_that_share_a_prefix_token_are_rarely_candidates(spark):
     assert got == brute.line_dedup(rows) and got[20] == ([0], 1)
 
 
+def test_lines_are_verified_in_passes_that_leave_their_tokens_in_place(spark, monkeypatch):
+    made, write = [], line_dedup_module.written
+    monkeypatch.setattr(line_dedup_module, "written", lambda df, label, **how: (made.append((label, df)), write(df, label, **how))[1])
+    for name, value in (("PAIRS_A_PASS", 20), ("PAIRS_A_LINE", 0.5), ("LINES_A_BUCKET", 7)):
+        monkeypatch.setattr(line_dedup_module, name, value, raising=False)
+    rows = [(i, " ".join(f"w{k}" if k != i % 12 else f"x{i % 6}" for k in range(24)) + f"\nline {i // 2} of its own {i}") for i in range(40)]
+    got = {r.doc_id: (list(r.removed_lines), r.n_links) for r in line_dedup(frame(spark, rows)).collect()}
+    assert got == brute.line_dedup(rows) and max(n for _, n in got.values()) > 5
+    passes = [df for label, df in made if label == "line-links"]
+    assert len(passes) > 2
+    for df in passes:
+        moved = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(h1" in line]
+        assert not moved, moved
+
+
 def test_written_frees_shuffle_files_and_keeps_the_setting(spark):
     before = spark.conf.get(FREE)
     assert written(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), "freed", free=True).count() == 7

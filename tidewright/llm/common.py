@@ -36,19 +36,26 @@ def shared_dir(spark: SparkSession) -> str:
 FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, label: str, free: bool = False) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: cuts lineage and survives lost executors. With ``free`` its shuffle files go at once."""
+def written(df: DataFrame, label: str, free: bool = False, by: str | None = None, buckets: int = 1) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: cuts lineage and survives lost executors. With ``free`` its shuffle files go at once.
+
+    With ``by`` it is dealt into ``buckets`` by that column, so that joins on it move the other side only.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    name = path.rsplit("/", 1)[1].replace("-", "_")
     before = spark.conf.get(FREE, None)
     if free:
         spark.conf.set(FREE, "true")
     try:
-        df.write.parquet(path)
+        if by:
+            df.repartition(buckets, by).write.bucketBy(buckets, by).sortBy(by).option("path", path).format("parquet").saveAsTable(name)
+        else:
+            df.write.parquet(path)
     finally:
         if free:
             spark.conf.set(FREE, before) if before is not None else spark.conf.unset(FREE)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.table(name) if by else spark.read.schema(df.schema).parquet(path)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,12 @@ BUCKETS = 1 << 19
 THRESHOLD = 80
 #: Documents with places of wanted lines are broadcast up to so many (some 100 bytes in memory each); more are joined by shuffle.
 BROADCAST_DOCS = 250_000
+#: Lines meet on tokens in so many passes, each over its share of the tokens; the shuffle files of a pass go before the next.
+PASSES = 2
+#: A pass verifies about so many pairs for each line that has one, and so many at least: pairs carry tokens, and their number grows with the square of a group of near-equal lines.
+PAIRS_A_LINE, PAIRS_A_PASS = 1.5, 250_000
+#: Lines whose tokens are in one bucket, about (some 10 MB).
+LINES_A_BUCKET = 20_000
 
 
 def _spaced(text: Column) -> Column:
@@ -78,7 +85,13 @@ def _candidates(classes: DataFrame, threshold: int) -> DataFrame:
     Lines meet on a token of their prefixes. Where they met on the token before it already, they say nothing. Every different line takes part once, however
     often it occurs; its text is not moved for that.
     """
-    placed = classes.select("h1", "bits", "n", F.col("t").alias("ts"), F.posexplode("t").alias("p", "t")).withColumn("before", F.get("ts", F.col("p") - 1))
+    met = [written(_met(classes, threshold, F.pmod("t", F.lit(PASSES)) == k), "line-met", free=True) for k in range(PASSES)]
+    return reduce(DataFrame.unionByName, met).distinct()
+
+
+def _met(classes: DataFrame, threshold: int, some: Column) -> DataFrame:
+    """(a, b) of ``_candidates`` that ``some`` of the tokens (t) give; a pair may come twice."""
+    placed = classes.select("h1", "bits", "n", F.col("t").alias("ts"), F.posexplode("t").alias("p", "t")).filter(some).withColumn("before", F.get("ts", F.col("p") - 1))
     x, y = (placed.select("t", *[F.col(c).alias(f"{s}_{c}") for c in ("h1", "bits", "n", "p", "before")]) for s in "xy")
     after, both = F.least(F.col("x_n") - F.col("x_p"), F.col("y_n") - F.col("y_p")), F.col("x_n") + F.col("y_n")
     fits = (
@@ -88,14 +101,14 @@ def _candidates(classes: DataFrame, threshold: int) -> DataFrame:
         & ((100 + threshold) * after >= threshold * both)
         & ((100 + threshold) * F.bit_count(F.col("x_bits").bitwiseXOR(F.col("y_bits"))) <= (100 - threshold) * both)
     )
-    return x.join(y, "t").filter(fits).select(F.col("x_h1").alias("a"), F.col("y_h1").alias("b")).distinct()
+    return x.join(y, "t").filter(fits).select(F.col("x_h1").alias("a"), F.col("y_h1").alias("b"))
 
 
 def similar_lines(docs: DataFrame, classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Links (a1, a2, b1, b2) between different lines of docs (doc_id, text) with 100 * intersection >= threshold * union of tokens.
 
     Candidates by prefix, place, length and bits; only lines with a candidate bring their tokens, from their first place (``classes``: h1, h2, first, bits, n, t),
-    and pairs are verified on all of them.
+    and pairs are verified on all of them, in passes: what a pass moves grows with the lines, not with the pairs.
     """
     pairs = written(_candidates(classes, threshold), "line-pairs", free=True)
     wanted = classes.join(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "h1", "left_semi")
@@ -103,15 +116,20 @@ def similar_lines(docs: DataFrame, classes: DataFrame, threshold: int = THRESHOL
     pos = F.pmod("first", size)
     wanted = wanted.select(((F.col("first") - pos) / size).cast("bigint").alias("doc_id"), pos.cast("int").alias("pos")).distinct()
     wanted = written(wanted.groupBy("doc_id").agg(F.collect_list("pos").alias("places")), "line-wanted", free=True)
-    few = wanted.count() <= BROADCAST_DOCS
+    n_docs, n_lines = wanted.agg(F.count("*"), F.coalesce(F.sum(F.size("places")), F.lit(0))).first()
+    few = n_docs <= BROADCAST_DOCS
     texts = docs.join(F.broadcast(wanted) if few else wanted, "doc_id").select("places", F.posexplode(F.split(_spaced(F.col("text")), "\n")).alias("pos", "line"))
     # Rows that repeat an id have other lines there, too: those that no pair asks for find none.
     once = texts.filter(F.array_contains("places", F.col("pos"))).select(*_digest(), _hashes().alias("s"))
-    sets = written(once, "line-sets", free=True)
+    sets = written(once, "line-sets", free=True, by="h1", buckets=math.ceil(n_lines / LINES_A_BUCKET) or 1)
+    passes = math.ceil(pairs.count() / max(PAIRS_A_PASS, PAIRS_A_LINE * n_lines)) or 1
     a, b = (sets.select(F.col("h1").alias(s), F.col("h2").alias(f"{s}2"), F.col("s").alias(f"t{s}")) for s in "ab")
-    both = pairs.join(a, "a").join(b, "b")
-    links = both.filter((100 + threshold) * F.size(F.array_intersect("ta", "tb")) >= threshold * (F.size("ta") + F.size("tb")))
-    return links.select(F.col("a").alias("a1"), "a2", F.col("b").alias("b1"), "b2").distinct()
+    verified = []
+    for k in range(passes):
+        both = pairs.filter(F.pmod(F.xxhash64("a", "b"), F.lit(passes)) == k).join(a.hint("merge"), "a").join(b.hint("merge"), "b")
+        links = both.filter((100 + threshold) * F.size(F.array_intersect("ta", "tb")) >= threshold * (F.size("ta") + F.size("tb")))
+        verified.append(written(links.select(F.col("a").alias("a1"), "a2", F.col("b").alias("b1"), "b2").distinct(), "line-links", free=True))
+    return reduce(DataFrame.unionByName, verified)
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
@@ -130,7 +148,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     known = rows.filter("doc_id is not null")
     lines = written(_lines(known, threshold), "line-places", free=True)
     firsts = written(lines.groupBy("h1", "h2").agg(F.min(_place()).alias("first"), *[F.first(c).alias(c) for c in ("bits", "n", "t")]), "line-firsts", free=True)
-    links = written(similar_lines(known, firsts, threshold), "line-links", free=True)
+    links = similar_lines(known, firsts, threshold)
     ends = links.select(F.explode(F.array(F.struct(*[F.col(c).alias(n) for c, n in (("a1", "h1"), ("a2", "h2"), ("b1", "o1"), ("b2", "o2"))]), F.struct(*[F.col(c).alias(n) for c, n in (("b1", "h1"), ("b2", "h2"), ("a1", "o1"), ("a2", "o2"))]))).alias("e")).select("e.*")
     other = firsts.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("first").alias("_other"))
     linked = ends.join(other, ["o1", "o2"]).groupBy("h1", "h2").agg(F.min("_other").alias("_earliest"), F.count("*").alias("_links"))
